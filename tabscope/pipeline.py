@@ -24,7 +24,7 @@ from tabscope.plans.spec import (
     TableSpec,
     specs_from_masters,
 )
-from tabscope.sources.store import ResultStore
+from tabscope.sources.store import VALUE_SCOPE, ResultStore
 
 LEVELS = ("table", "column", "value", "pattern")
 STAT_COLUMNS = ("notnull_cnt", "col_kind", "max_col_val", "min_col_val", "max_len")
@@ -172,12 +172,11 @@ class Profiler:
         source is scanned once.
         """
         flagged = [source for source in self.inputs() if source.value_columns()]
-        for source in flagged:
-            s = source.spec
-            self._store.replace_scope(
+        for job in self._jobs(flagged):
+            self._store.replace_scopes(
                 "column_values",
-                value_histogram([source], **options),
-                {"db_nm": s.db_nm, "prfl_id": s.prfl_id, "owner_nm": s.owner_nm, "tab_nm": s.tab_nm},
+                value_histogram(job, **options),
+                [{c: getattr(source.spec, c) for c in VALUE_SCOPE} for source in job],
             )
         if flagged:
             self._update_columns(sample_values(self.values()), ["sample_data"])

@@ -8,7 +8,7 @@ update reads the newest one and writes the next, never the files it is reading.
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -74,10 +74,13 @@ class ResultStore:
         fields = {c: columns.get(c, _SCOPE_TYPES.get(c, "string")) for c in (*columns, *scope)}
         return T.StructType.fromDDL(", ".join(f"{n} {t}" for n, t in fields.items()))
 
+    def _hadoop(self, location: str):
+        path = self._spark._jvm.org.apache.hadoop.fs.Path(location)
+        return path.getFileSystem(self._spark._jsc.hadoopConfiguration()), path
+
     def read(self, table: str) -> DataFrame:
         """The table, empty if nothing has been written. Scope filters prune files."""
-        path = self._spark._jvm.org.apache.hadoop.fs.Path(self.path(table))
-        fs = path.getFileSystem(self._spark._jsc.hadoopConfiguration())
+        fs, path = self._hadoop(self.path(table))
         if not fs.exists(path):
             return self._spark.createDataFrame([], self.schema(table))
         return self._spark.read.schema(self.schema(table)).parquet(self.path(table))
@@ -98,17 +101,41 @@ class ResultStore:
             if n not in scope
         ]
         target = "/".join([self.path(table), *[_directory(c, v) for c, v in scope.items()]])
-        writer = df.select(*body, *[c for c in below if c not in columns]).write.mode("overwrite")
-        writer = writer.option("partitionOverwriteMode", "static")
-        if below:
-            writer = writer.partitionBy(*below)
-        writer.parquet(target)
+        rows = df.select(*body, *[c for c in below if c not in columns])
+        self._write(rows, "overwrite", below, target)
 
-    def append(self, table: str, df: DataFrame) -> None:
+    def replace_scopes(
+        self, table: str, df: DataFrame, scopes: Iterable[Mapping[str, object]]
+    ) -> None:
+        """Replace several full scopes by one write: they are cleared, then appended to."""
         columns, layout = TABLES[table]
-        df.select(*columns, *[c for c in layout if c not in columns]).write.mode(
-            "append"
-        ).partitionBy(*layout).parquet(self.path(table))
+        for scope in scopes:
+            if list(scope) != list(layout):
+                raise ValueError(f"{table} is laid out by {layout}; got the scope {list(scope)}")
+            steps = [_directory(c, v) for c, v in scope.items()]
+            fs, path = self._hadoop("/".join([self.path(table), *steps]))
+            fs.delete(path, True)
+        rows = df.select(
+            *[
+                (F.col(n) if n in df.columns else F.lit(None)).cast(t).alias(n)
+                for n, t in columns.items()
+            ],
+            *[c for c in layout if c not in columns],
+        )
+        self._write(rows, "append", layout, self.path(table))
+
+    @staticmethod
+    def _write(rows: DataFrame, mode: str, partitions: Sequence[str], target: str) -> None:
+        """Write, with rows of one partition brought together and large ones split.
+
+        Without the rebalance every task would leave a file in every partition.
+        """
+        if not partitions:
+            rows.write.mode(mode).parquet(target)
+            return
+        rows.hint("rebalance", *partitions).write.mode(mode).option(
+            "partitionOverwriteMode", "static"
+        ).partitionBy(*partitions).parquet(target)
 
     def latest_revision(self, table: str) -> int:
         return self.read(table).agg(F.coalesce(F.max("rev"), F.lit(0)).alias("rev")).first()["rev"]
