@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabscope.functions.text import canonical_text, distinct_key
@@ -29,42 +29,53 @@ _STATS = ("notnull_cnt", "max_col_val", "min_col_val", "max_len")
 
 
 def _plain_batch(batch: Sequence[ColumnRef]) -> DataFrame:
+    """One row per column: ``ref`` and a struct of its aggregates, in order of _STATS."""
     source = batch[0].source
-    aggregates, rows = [], []
-    for r in batch:
-        col = source_column(r)
-        text = canonical_text(col, source.dtype(r.column.col_nm), r.column.decimals)
-        fields = {
-            "notnull_cnt": F.count(col),
-            "max_col_val": F.max(text),
-            "min_col_val": F.min(text),
-            "max_len": F.max(F.length(text)),
-        }
-        aggregates += [agg.alias(f"{name}_{r.ref}") for name, agg in fields.items()]
-        rows.append(
-            F.struct(
-                F.lit(r.ref).alias("ref"),
-                F.col(f"notnull_cnt_{r.ref}").alias("notnull_cnt"),
-                F.substring(f"max_col_val_{r.ref}", 1, EXTREME_CHARS).alias("max_col_val"),
-                F.substring(f"min_col_val_{r.ref}", 1, EXTREME_CHARS).alias("min_col_val"),
-                F.coalesce(F.col(f"max_len_{r.ref}"), F.lit(0)).alias("max_len"),
-            )
+
+    def aggregates(r: ColumnRef) -> Column:
+        text = canonical_text(
+            source_column(r), source.dtype(r.column.col_nm), r.column.decimals
         )
-    return source.frame.agg(*aggregates).select(F.inline(F.array(*rows)))
+        return F.struct(F.count(text), F.max(text), F.min(text), F.max(F.length(text)))
 
+    one_row = source.frame.agg(*[aggregates(r).alias(r.ref) for r in batch])
+    return one_row.unpivot([], [r.ref for r in batch], "ref", "stats")
 
-def _distinct(groups: Sequence[Sequence[ColumnRef]]) -> DataFrame:
-    """``col_kind`` per ref; two hash aggregations over all tables together."""
 
-    def key_of(r: ColumnRef):
-        return distinct_key(source_column(r), r.source.dtype(r.column.col_nm))
+def _plain(batches: Sequence[Sequence[ColumnRef]]) -> DataFrame:
+    count, highest, lowest, longest = (F.col(f"stats.col{i}") for i in range(1, 5))
+    return union_all(_plain_batch(batch) for batch in batches).select(
+        "ref",
+        count.alias("notnull_cnt"),
+        F.substring(highest, 1, EXTREME_CHARS).alias("max_col_val"),
+        F.substring(lowest, 1, EXTREME_CHARS).alias("min_col_val"),
+        F.coalesce(longest, F.lit(0)).alias("max_len"),
+    )
 
-    return (
-        union_all(long_form(group, key_of, "key") for group in groups)
+
+def _distinct(groups: Sequence[Sequence[ColumnRef]]) -> DataFrame:
+    """``col_kind`` per ref: two hash aggregations per key family over all tables.
+
+    Columns of one family share a pass and a shuffle with keys of their own type. The
+    families read disjoint columns, so no byte of a columnar table is read twice.
+    """
+    families: dict[str, list[DataFrame]] = {}
+    for group in groups:
+        keyed: dict[str, list[tuple[ColumnRef, Column]]] = {}
+        for r in group:
+            family, key = distinct_key(source_column(r), r.source.dtype(r.column.col_nm))
+            keyed.setdefault(family, []).append((r, key))
+        for family, pairs in keyed.items():
+            keys = {r.ref: key for r, key in pairs}
+            rows = long_form([r for r, _ in pairs], lambda r: keys[r.ref], "key")
+            families.setdefault(family, []).append(rows)
+    return union_all(
+        union_all(frames)
         .filter(F.col("key").isNotNull())
         .distinct()
         .groupBy("ref")
         .agg(F.count(F.lit(1)).alias("col_kind"))
+        for frames in families.values()
     )
 
 
@@ -86,7 +97,7 @@ def column_stats(inputs: Sequence[ProfileInput], batch_columns: int = BATCH_COLU
         for group in groups
         for i in range(0, len(group), batch_columns)
     ]
-    plain = union_all(_plain_batch(batch) for batch in batches)
+    plain = _plain(batches)
     kinds = bounded_broadcast(_distinct(groups), sum(map(len, groups)))
     joined = plain.join(kinds, "ref", "left").withColumn(
         "col_kind", F.coalesce("col_kind", F.lit(0).cast("bigint"))

@@ -70,7 +70,11 @@ def column_list(
     primary = all_constraints.filter(F.col("constraint_type") == "P").select(
         "owner", "table_name", "constraint_name"
     )
-    members = all_cons_columns.select(*key, "constraint_name", F.lit("Y").alias("pk"))
+    members = (
+        all_cons_columns.select(*key, "constraint_name")
+        .join(primary, ["owner", "table_name", "constraint_name"])
+        .select(*key, F.lit("Y").alias("pk"))
+    )
     return (
         all_tab_columns.filter(~F.col("owner").isin(*LEGACY_EXCLUDED))
         .join(
@@ -79,8 +83,7 @@ def column_list(
             "left_anti",
         )
         .join(all_col_comments.select(*key, "comments"), key)
-        .join(primary, ["owner", "table_name"], "left")
-        .join(members, [*key, "constraint_name"], "left")
+        .join(members, key, "left")
         .select(
             _db(db_no),
             F.col("owner").alias("스키마명"),

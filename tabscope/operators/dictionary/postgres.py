@@ -64,12 +64,9 @@ def tables(
     comments = pg_description.filter(F.col("objsubid") == 0).select(
         F.col("objoid").alias("oid"), "description"
     )
-    joined = (
-        base.join(relations, key, "left")
-        .join(spaces, "reltablespace", "left")
-        .join(stats, key, "left")
-        .join(comments, "oid", "left")
-    )
+    # Facts hang on the relation, whose ids are never NULL; tables meet them by name.
+    described = relations.join(spaces, "reltablespace", "left").join(comments, "oid", "left")
+    joined = base.join(described, key, "left").join(stats, key, "left")
     return shaped(
         joined,
         "tables",
@@ -101,10 +98,9 @@ def columns(
     comments = pg_description.select(
         "objoid", F.col("objsubid").alias("ordinal_position"), "description"
     )
-    joined = (
-        table_columns(info_columns, info_views, schemas)
-        .join(relations, ["table_schema", "table_name"], "left")
-        .join(comments, ["objoid", "ordinal_position"], "left")
+    described = relations.join(comments, "objoid").drop("objoid")
+    joined = table_columns(info_columns, info_views, schemas).join(
+        described, ["table_schema", "table_name", "ordinal_position"], "left"
     )
     return shaped_columns(joined, F.col("description"))
 

@@ -14,6 +14,9 @@ from tabscope.plans.spec import ColumnRef
 #: and stays under this bound; otherwise Spark chooses by measured size.
 BROADCAST_ROWS = 100_000
 
+#: Columns per unpivot: under the 100 fields whole-stage code generation accepts.
+UNPIVOT_COLUMNS = 90
+
 
 def union_all(frames: Iterable[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
@@ -31,9 +34,14 @@ def long_form(
 ) -> DataFrame:
     """One row per (row, planned column): ``ref`` and the column's expression.
 
-    Spark plans the unpivot as an Expand over one pruned scan, whatever the number
-    of columns.
+    Spark plans the unpivot as an Expand over a pruned scan. Very wide tables are cut
+    into runs of columns; the runs read disjoint columns.
     """
+    if len(group) > UNPIVOT_COLUMNS:
+        return union_all(
+            long_form(group[i : i + UNPIVOT_COLUMNS], expr, value_name)
+            for i in range(0, len(group), UNPIVOT_COLUMNS)
+        )
     wide = group[0].source.frame.select(*[expr(r).alias(r.ref) for r in group])
     if len(group) == 1:
         only = group[0].ref

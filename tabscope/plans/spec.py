@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field, replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -195,7 +195,15 @@ def name_columns(df: DataFrame, groups: Sequence[Sequence[ColumnRef]]) -> DataFr
     refs = [r for group in groups for r in group]
     position = F.col("ref").cast("int") + 1
     names = [
-        F.element_at(F.lit([r.key[i] for r in refs]), position).alias(name)
+        F.element_at(_constant_array([r.key[i] for r in refs]), position).alias(name)
         for i, name in enumerate(COLUMN_KEY)
     ]
     return df.select(*names, *[c for c in df.columns if c != "ref"])
+
+
+def _constant_array(values: Sequence[str]) -> Column:
+    """An array literal. One split string instead of a call per element."""
+    mark = "\x1f"
+    if any(mark in v for v in values):
+        raise ValueError("a name in the plan holds a unit separator character")
+    return F.split(F.lit(mark.join(values)), mark, -1)
