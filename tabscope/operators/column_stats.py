@@ -25,31 +25,31 @@ EXTREME_CHARS = 4000
 #: still read once per byte.
 BATCH_COLUMNS = 24
 
-_STATS = ("notnull_cnt", "max_col_val", "min_col_val", "max_len")
-
-
 def _plain_batch(batch: Sequence[ColumnRef]) -> DataFrame:
-    """One row per column: ``ref`` and a struct of its aggregates, in order of _STATS."""
+    """One row per column: ``ref`` and a struct of its aggregates."""
     source = batch[0].source
 
     def aggregates(r: ColumnRef) -> Column:
         text = canonical_text(
             source_column(r), source.dtype(r.column.col_nm), r.column.decimals
         )
-        return F.struct(F.count(text), F.max(text), F.min(text), F.max(F.length(text)))
+        return F.struct(
+            F.count(text), F.max(text), F.min(text), F.max(F.length(text)), F.count(F.lit(1))
+        )
 
     one_row = source.frame.agg(*[aggregates(r).alias(r.ref) for r in batch])
     return one_row.unpivot([], [r.ref for r in batch], "ref", "stats")
 
 
 def _plain(batches: Sequence[Sequence[ColumnRef]]) -> DataFrame:
-    count, highest, lowest, longest = (F.col(f"stats.col{i}") for i in range(1, 5))
+    count, highest, lowest, longest, rows = (F.col(f"stats.col{i}") for i in range(1, 6))
     return union_all(_plain_batch(batch) for batch in batches).select(
         "ref",
         count.alias("notnull_cnt"),
         F.substring(highest, 1, EXTREME_CHARS).alias("max_col_val"),
         F.substring(lowest, 1, EXTREME_CHARS).alias("min_col_val"),
         F.coalesce(longest, F.lit(0)).alias("max_len"),
+        rows.alias("tab_cnt"),
     )
 
 
@@ -89,17 +89,27 @@ def distinct_counts(inputs: Sequence[ProfileInput]) -> DataFrame:
     return name_columns(_distinct(groups), groups)
 
 
-def column_stats(inputs: Sequence[ProfileInput], batch_columns: int = BATCH_COLUMNS) -> DataFrame:
-    """One row per structured column. Extremes compare as text: '9' is above '10'."""
+def column_stats(
+    inputs: Sequence[ProfileInput],
+    batch_columns: int = BATCH_COLUMNS,
+    with_row_count: bool = False,
+) -> DataFrame:
+    """One row per structured column. Extremes compare as text: '9' is above '10'.
+
+    ``with_row_count`` adds the ``tab_cnt`` of the table, which the same pass counts.
+    """
     groups = column_numbers(inputs)
     batches = [
         group[i : i + batch_columns]
         for group in groups
         for i in range(0, len(group), batch_columns)
     ]
-    plain = _plain(batches)
     kinds = bounded_broadcast(_distinct(groups), sum(map(len, groups)))
-    joined = plain.join(kinds, "ref", "left").withColumn(
-        "col_kind", F.coalesce("col_kind", F.lit(0).cast("bigint"))
+    columns = ["ref", "notnull_cnt", "col_kind", "max_col_val", "min_col_val", "max_len"]
+    joined = (
+        _plain(batches)
+        .join(kinds, "ref", "left")
+        .withColumn("col_kind", F.coalesce("col_kind", F.lit(0).cast("bigint")))
+        .select(*columns, *(["tab_cnt"] if with_row_count else []))
     )
-    return name_columns(joined.select("ref", "notnull_cnt", "col_kind", *_STATS[1:]), groups)
+    return name_columns(joined, groups)

@@ -8,9 +8,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabscope.operators.dictionary.common import DICTIONARY_TYPES, GIB, MIB, NO_PARTITION, shaped, whole_units
+from tabscope.operators.dictionary.common import (
+    DICTIONARY_TYPES,
+    GIB,
+    MIB,
+    NO_PARTITION,
+    shaped,
+    whole_units,
+)
 
-_COLUMN_ROW = "tab_nm string, col_nm string, col_seq int, data_type string, null_yn string, data_precision int, data_scale int"
+_SCHEMA_COLUMNS = (
+    "tab_nm", "col_nm", "col_seq", "data_type", "null_yn", "data_precision", "data_scale",
+)
 
 
 def columns(
@@ -30,14 +39,13 @@ def columns(
         for tab_nm, frame in frames.items()
         for seq, f in enumerate(frame.schema.fields, start=1)
     ]
-    named = {n: F.col(n) for n in ("tab_nm", "col_nm", "col_seq", "data_type", "null_yn",
-                                   "data_precision", "data_scale")}
+    types = DICTIONARY_TYPES["columns"]
     return shaped(
-        spark.createDataFrame(rows, _COLUMN_ROW),
+        spark.createDataFrame(rows, ", ".join(f"{c} {types[c]}" for c in _SCHEMA_COLUMNS)),
         "columns",
         owner_nm=F.lit(owner_nm),
         col_comment=F.lit(""),
-        **named,
+        **{c: F.col(c) for c in _SCHEMA_COLUMNS},
     )
 
 

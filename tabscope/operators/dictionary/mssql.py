@@ -7,7 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabscope.operators.dictionary.common import KIB, keep_schemas, shaped, text_or_empty, yes_no
+from tabscope.operators.dictionary.common import (
+    KIB,
+    NO_PARTITION,
+    keep_schemas,
+    shaped,
+    text_or_empty,
+    yes_no,
+)
 
 # Name of the comment property and size of a page.
 COMMENT_PROPERTY = "MS_Description"
@@ -117,6 +124,36 @@ def columns(
     )
 
 
+def segments(
+    sys_tables: DataFrame,
+    sys_schemas: DataFrame,
+    partitions: DataFrame,
+    allocation_units: DataFrame,
+    schemas: Sequence[str],
+) -> DataFrame:
+    """One table segment per table: the pages of its data and its indexes."""
+    pages = allocation_units.groupBy(F.col("container_id").alias("partition_id")).agg(
+        F.sum("total_pages").alias("pages")
+    )
+    sizes = (
+        partitions.select("object_id", "partition_id")
+        .join(pages, "partition_id")
+        .groupBy("object_id")
+        .agg((F.sum("pages") * PAGE_KIB * KIB).alias("bytes"))
+    )
+    return shaped(
+        _user_tables(sys_tables, sys_schemas, schemas).join(sizes, "object_id", "left"),
+        "segments",
+        owner_nm=F.col("schema_name"),
+        segment_nm=F.col("table_name"),
+        partition_nm=F.lit(NO_PARTITION),
+        segment_type=F.lit("TABLE"),
+        head_block_cnt=F.lit(0),
+        segment_size=F.coalesce("bytes", F.lit(0)),
+        block_cnt=F.lit(0),
+    )
+
+
 def indexes(
     sys_indexes: DataFrame, sys_tables: DataFrame, sys_schemas: DataFrame, schemas: Sequence[str]
 ) -> DataFrame:

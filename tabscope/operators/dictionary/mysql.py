@@ -8,7 +8,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabscope.operators.dictionary.ansi import shaped_columns, table_columns
-from tabscope.operators.dictionary.common import GIB, MIB, NO_PARTITION, keep_schemas, shaped, text_or_empty
+from tabscope.operators.dictionary.common import (
+    GIB,
+    MIB,
+    NO_PARTITION,
+    keep_schemas,
+    shaped,
+    text_or_empty,
+)
 
 
 def _bytes() -> Column:
@@ -46,7 +53,7 @@ def columns(
 
 
 def segments(info_tables: DataFrame, schemas: Sequence[str]) -> DataFrame:
-    """One table segment per table; also used for SQL Server extracts."""
+    """One table segment per table or view, data and indexes together."""
     return shaped(
         keep_schemas(info_tables, "table_schema", schemas),
         "segments",

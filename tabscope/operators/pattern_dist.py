@@ -12,8 +12,9 @@ from tabscope.functions.buckets import NULL_MARK, VALUE_CHARS, leading
 from tabscope.functions.patterns import char_pattern
 from tabscope.functions.text import canonical_text
 from tabscope.operators.shapes import (
-    BROADCAST_ROWS,
-    bounded_broadcast,
+    BROADCAST_BYTES,
+    NUMBER_ROW,
+    TEXT_ROW,
     long_form,
     source_column,
     union_all,
@@ -35,7 +36,7 @@ def share_text(count: Column, total: Column) -> Column:
 
 
 def with_share(
-    histogram: DataFrame,
+    counts: DataFrame,
     keys: Sequence[str] = COLUMN_KEY,
     columns: int | None = None,
 ) -> DataFrame:
@@ -45,43 +46,39 @@ def with_share(
     histogram into one task, so they are aggregated and joined back: broadcast when
     ``columns`` proves them small, else joined on the key and a salt.
     """
-    totals = histogram.groupBy(*keys).agg(F.sum("col_pat_cnt").alias("total"))
-    if columns is not None and columns <= BROADCAST_ROWS:
-        joined = histogram.join(bounded_broadcast(totals, columns), list(keys))
+    totals = counts.groupBy(*keys).agg(F.sum("col_pat_cnt").alias("total"))
+    row_bytes = NUMBER_ROW if len(keys) == 1 else TEXT_ROW
+    if columns is not None and columns * row_bytes <= BROADCAST_BYTES:
+        joined = counts.join(F.broadcast(totals), list(keys))
     else:
         salt = F.pmod(F.xxhash64("col_pat"), F.lit(SHARE_SALTS)).cast("int")
         spread = totals.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SHARE_SALTS - 1))))
-        joined = histogram.withColumn("salt", salt).join(spread, [*keys, "salt"]).drop("salt")
+        joined = counts.withColumn("salt", salt).join(spread, [*keys, "salt"]).drop("salt")
     return joined.withColumn(
         "col_pat_rt", share_text(F.col("col_pat_cnt"), F.col("total"))
     ).drop("total")
 
 
-def patterns_from_values(
-    value_histogram: DataFrame, mode: str = "executed", columns: int | None = None
-) -> DataFrame:
-    """Patterns of an existing value histogram; the source tables are not read."""
-    patterns = (
+def pattern_counts_from_values(value_histogram: DataFrame, mode: str = "executed") -> DataFrame:
+    """Pattern counts of an existing value histogram; the tables are not read."""
+    return (
         value_histogram.filter(F.col("col_val") != NULL_MARK)
         .select(*COLUMN_KEY, char_pattern(F.col("col_val"), mode).alias("col_pat"), "col_val_cnt")
         .groupBy(*COLUMN_KEY, "col_pat")
         .agg(F.sum("col_val_cnt").alias("col_pat_cnt"))
     )
-    return with_share(patterns, columns=columns)
 
 
-def patterns_direct(
-    inputs: Sequence[ProfileInput],
-    mode: str = "executed",
-    *,
-    value_chars: int | None = VALUE_CHARS,
-    two_phase: bool = False,
+def patterns_from_values(
+    value_histogram: DataFrame, mode: str = "executed", columns: int | None = None
 ) -> DataFrame:
-    """Patterns straight from the tables: one scan per table, NULLs left out.
+    """Pattern counts and shares of an existing value histogram."""
+    return with_share(pattern_counts_from_values(value_histogram, mode), columns=columns)
 
-    ``two_phase`` counts raw values first and converts each distinct value once; worth
-    it when values repeat a lot. ``value_chars=None`` converts whole texts.
-    """
+
+def _direct(
+    inputs: Sequence[ProfileInput], mode: str, value_chars: int | None, two_phase: bool
+) -> tuple[DataFrame, list[list[ColumnRef]]]:
     groups = number_columns((source, source.pattern_columns()) for source in inputs)
     if not groups:
         raise ValueError("no column is flagged for patterns")
@@ -95,16 +92,38 @@ def patterns_direct(
     )
     pattern = char_pattern(F.col("raw"), mode).alias("col_pat")
     if two_phase:
-        patterns = (
-            texts.groupBy("ref", "raw")
-            .agg(F.count(F.lit(1)).alias("n"))
-            .groupBy("ref", pattern)
-            .agg(F.sum("n").alias("col_pat_cnt"))
-        )
+        values = texts.groupBy("ref", "raw").agg(F.count(F.lit(1)).alias("n"))
+        counts = values.groupBy("ref", pattern).agg(F.sum("n").alias("col_pat_cnt"))
     else:
-        patterns = texts.groupBy("ref", pattern).agg(F.count(F.lit(1)).alias("col_pat_cnt"))
-    shared = with_share(patterns, ["ref"], sum(map(len, groups)))
-    return name_columns(shared, groups)
+        counts = texts.groupBy("ref", pattern).agg(F.count(F.lit(1)).alias("col_pat_cnt"))
+    return counts, groups
+
+
+def pattern_counts_direct(
+    inputs: Sequence[ProfileInput],
+    mode: str = "executed",
+    *,
+    value_chars: int | None = VALUE_CHARS,
+    two_phase: bool = False,
+) -> DataFrame:
+    """Pattern counts straight from the tables: one scan per table, NULLs left out.
+
+    ``two_phase`` counts raw values first and converts each distinct value once; worth
+    it when values repeat a lot. ``value_chars=None`` converts whole texts.
+    """
+    return name_columns(*_direct(inputs, mode, value_chars, two_phase))
+
+
+def patterns_direct(
+    inputs: Sequence[ProfileInput],
+    mode: str = "executed",
+    *,
+    value_chars: int | None = VALUE_CHARS,
+    two_phase: bool = False,
+) -> DataFrame:
+    """Pattern counts and shares straight from the tables; see the counts for options."""
+    counts, groups = _direct(inputs, mode, value_chars, two_phase)
+    return name_columns(with_share(counts, ["ref"], sum(map(len, groups))), groups)
 
 
 def top_pattern(pattern_histogram: DataFrame) -> DataFrame:

@@ -7,11 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 
 from tabscope.operators.column_stats import column_stats
-from tabscope.operators.pattern_dist import patterns_direct, patterns_from_values, top_pattern
-from tabscope.operators.shapes import bounded_broadcast
-from tabscope.operators.table_stats import row_counts
+from tabscope.operators.pattern_dist import (
+    pattern_counts_direct,
+    pattern_counts_from_values,
+    top_pattern,
+)
+from tabscope.operators.shapes import TEXT_ROW, bounded_broadcast
 from tabscope.operators.value_dist import sample_values, value_histogram
-from tabscope.plans.spec import COLUMN_KEY, TABLE_KEY, ProfileInput
+from tabscope.plans.spec import COLUMN_KEY, ProfileInput
 
 
 def profile_report(
@@ -25,26 +28,28 @@ def profile_report(
     """Row count, column statistics, samples and top pattern of every column.
 
     The statistics always run; ``levels`` adds the value and the pattern level.
-    Everything joined here has at most one row per planned column.
+    Everything joined here has at most one row per planned column; it is broadcast
+    unless whole texts (``value_chars=None``) leave its width unbounded.
     """
     n_columns = sum(len(source.stat_columns()) for source in inputs)
-    report = column_stats(inputs).join(
-        bounded_broadcast(row_counts(inputs), len(inputs)), list(TABLE_KEY), "left"
-    )
+
+    def attach(report: DataFrame, facts: DataFrame) -> DataFrame:
+        if value_chars is not None:
+            facts = bounded_broadcast(facts, n_columns, TEXT_ROW)
+        return report.join(facts, list(COLUMN_KEY), "left")
+
+    report = column_stats(inputs, with_row_count=True)
     histogram = None
     if any(source.value_columns() for source in inputs):
         histogram = value_histogram(inputs, value_chars=value_chars)
     if "value" in levels and histogram is not None:
-        samples = sample_values(histogram)
-        report = report.join(bounded_broadcast(samples, n_columns), list(COLUMN_KEY), "left")
+        report = attach(report, sample_values(histogram))
     if "pattern" in levels:
-        if pattern_source == "direct":
-            patterns = patterns_direct(inputs, pattern_mode, value_chars=value_chars)
-        elif histogram is not None:
-            patterns = patterns_from_values(histogram, pattern_mode, n_columns)
-        else:
-            return report
-        report = report.join(
-            bounded_broadcast(top_pattern(patterns), n_columns), list(COLUMN_KEY), "left"
-        )
+        counts = None
+        if pattern_source == "direct" and any(source.pattern_columns() for source in inputs):
+            counts = pattern_counts_direct(inputs, pattern_mode, value_chars=value_chars)
+        elif pattern_source == "values" and histogram is not None:
+            counts = pattern_counts_from_values(histogram, pattern_mode)
+        if counts is not None:
+            report = attach(report, top_pattern(counts))
     return report

@@ -10,9 +10,13 @@ from pyspark.sql import functions as F
 
 from tabscope.plans.spec import ColumnRef
 
-#: A frame is hinted for broadcast only if its row count is known from the plan
-#: and stays under this bound; otherwise Spark chooses by measured size.
-BROADCAST_ROWS = 100_000
+#: A frame is hinted for broadcast only if rows known from the plan times the widest
+#: row stay under this; otherwise Spark chooses by measured size.
+BROADCAST_BYTES = 32 * 1024 * 1024
+
+#: Widest row of (ref, number), and of a full column key with a text of 100 characters.
+NUMBER_ROW = 64
+TEXT_ROW = 4096
 
 #: Columns per unpivot: under the 100 fields whole-stage code generation accepts.
 UNPIVOT_COLUMNS = 90
@@ -22,9 +26,9 @@ def union_all(frames: Iterable[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
-def bounded_broadcast(df: DataFrame, rows: int) -> DataFrame:
-    """Hint ``df`` for broadcast when ``rows``, a proven bound, is small enough."""
-    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+def bounded_broadcast(df: DataFrame, rows: int, row_bytes: int = NUMBER_ROW) -> DataFrame:
+    """Hint ``df`` for broadcast when its proven size is small enough."""
+    return F.broadcast(df) if rows * row_bytes <= BROADCAST_BYTES else df
 
 
 def long_form(

@@ -129,6 +129,9 @@ class Profiler:
     def inputs(self) -> list[ProfileInput]:
         return [ProfileInput(s, self._read(s.owner_nm, s.tab_nm)) for s in self.specs()]
 
+    def _given(self, inputs: Sequence[ProfileInput] | None) -> Sequence[ProfileInput]:
+        return self.inputs() if inputs is None else inputs
+
     def _jobs(self, inputs: Sequence[ProfileInput]) -> Iterable[Sequence[ProfileInput]]:
         for start in range(0, len(inputs), self._per_job):
             yield inputs[start : start + self._per_job]
@@ -140,9 +143,9 @@ class Profiler:
             "column_master", update_by_key(master, facts, COLUMN_KEY, columns, stamp)
         )
 
-    def run_table_level(self) -> None:
+    def run_table_level(self, inputs: Sequence[ProfileInput] | None = None) -> None:
         """Row counts, with the wall-clock window of the job that took them."""
-        for job in self._jobs(self.inputs()):
+        for job in self._jobs(self._given(inputs)):
             started = self._clock()
             # One row per table of the job: bounded by ``tables_per_job``.
             counted = row_counts(job).collect()
@@ -160,18 +163,20 @@ class Profiler:
                 update_by_key(master, facts, TABLE_KEY, ["tab_cnt", *window], stamp),
             )
 
-    def run_column_level(self) -> None:
-        for job in self._jobs(self.inputs()):
+    def run_column_level(self, inputs: Sequence[ProfileInput] | None = None) -> None:
+        for job in self._jobs(self._given(inputs)):
             if any(source.stat_columns() for source in job):
                 self._update_columns(column_stats(job), STAT_COLUMNS)
 
-    def run_value_level(self, **options) -> None:
+    def run_value_level(
+        self, inputs: Sequence[ProfileInput] | None = None, **options
+    ) -> None:
         """Replace the histogram of every flagged table, then refresh the samples.
 
         Histograms are written first and the samples read the written table, so the
         source is scanned once.
         """
-        flagged = [source for source in self.inputs() if source.value_columns()]
+        flagged = [source for source in self._given(inputs) if source.value_columns()]
         for job in self._jobs(flagged):
             self._store.replace_scopes(
                 "column_values",
@@ -181,15 +186,21 @@ class Profiler:
         if flagged:
             self._update_columns(sample_values(self.values()), ["sample_data"])
 
-    def run_pattern_level(self, source: str = "values", mode: str = "executed", **options) -> None:
+    def run_pattern_level(
+        self,
+        source: str = "values",
+        mode: str = "executed",
+        inputs: Sequence[ProfileInput] | None = None,
+        **options,
+    ) -> None:
         """Replace all patterns of the profile, from the value histograms or the tables."""
         if source == "values":
             patterns = patterns_from_values(self.values(), mode)
         elif source == "direct":
-            inputs = [i for i in self.inputs() if i.pattern_columns()]
-            if not inputs:
+            flagged = [i for i in self._given(inputs) if i.pattern_columns()]
+            if not flagged:
                 return
-            patterns = patterns_direct(inputs, mode, **options)
+            patterns = patterns_direct(flagged, mode, **options)
         else:
             raise ValueError(f"unknown pattern source {source!r}; expected values or direct")
         self._store.replace_scope(
@@ -204,11 +215,12 @@ class Profiler:
         unknown = set(levels) - set(LEVELS)
         if unknown:
             raise ValueError(f"unknown levels {sorted(unknown)}; expected some of {LEVELS}")
+        inputs = self.inputs()
         steps = {
-            "table": self.run_table_level,
-            "column": self.run_column_level,
-            "value": self.run_value_level,
-            "pattern": lambda: self.run_pattern_level(pattern_source),
+            "table": lambda: self.run_table_level(inputs),
+            "column": lambda: self.run_column_level(inputs),
+            "value": lambda: self.run_value_level(inputs),
+            "pattern": lambda: self.run_pattern_level(pattern_source, inputs=inputs),
         }
         for level in LEVELS:
             if level in levels:

@@ -7,7 +7,7 @@ by the caller or taken from environment variables the caller names; none live he
 from __future__ import annotations
 
 import os
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -126,8 +126,69 @@ def read_query(spark: SparkSession, options: Mapping[str, str], query: str) -> D
     return spark.read.format("jdbc").options(**options).option("query", query).load()
 
 
+# Where each catalog extract comes from, as a ``dbtable``. Sizes that exist only as
+# server functions are asked for in a subquery.
+CATALOGS = {
+    "oracle": {
+        "all_tables": "ALL_TABLES",
+        "all_tab_comments": "ALL_TAB_COMMENTS",
+        "dba_segments": "DBA_SEGMENTS",
+        "all_tab_columns": "ALL_TAB_COLUMNS",
+        "all_col_comments": "ALL_COL_COMMENTS",
+        "all_views": "ALL_VIEWS",
+        "all_constraints": "ALL_CONSTRAINTS",
+        "all_cons_columns": "ALL_CONS_COLUMNS",
+        "all_indexes": "ALL_INDEXES",
+    },
+    "postgres": {
+        "info_tables": "information_schema.tables",
+        "info_columns": "information_schema.columns",
+        "info_views": "information_schema.views",
+        "table_constraints": "information_schema.table_constraints",
+        "key_column_usage": "information_schema.key_column_usage",
+        "pg_class": (
+            "(SELECT oid, relname, relnamespace, relkind::text AS relkind, reltablespace, relam, "
+            "pg_relation_size(oid) AS size_bytes, pg_total_relation_size(oid) AS total_bytes "
+            "FROM pg_class) c"
+        ),
+        "pg_namespace": "(SELECT oid, nspname FROM pg_namespace) n",
+        "pg_tablespace": "(SELECT oid, spcname FROM pg_tablespace) s",
+        "pg_stat": "pg_stat_all_tables",
+        "pg_description": "pg_description",
+        "pg_index": "(SELECT indexrelid, indrelid, indisunique, indisvalid FROM pg_index) i",
+        "pg_am": "(SELECT oid, amname FROM pg_am) a",
+    },
+    "mysql": {
+        "info_tables": "information_schema.TABLES",
+        "info_columns": "information_schema.COLUMNS",
+        "info_views": "information_schema.VIEWS",
+        "table_constraints": "information_schema.TABLE_CONSTRAINTS",
+        "key_column_usage": "information_schema.KEY_COLUMN_USAGE",
+        "statistics": "information_schema.STATISTICS",
+    },
+    "mssql": {
+        "sys_tables": "sys.tables",
+        "sys_schemas": "sys.schemas",
+        "sys_columns": "sys.columns",
+        "sys_types": "sys.types",
+        "sys_indexes": "sys.indexes",
+        "partitions": "sys.partitions",
+        "allocation_units": "sys.allocation_units",
+        "default_constraints": "sys.default_constraints",
+        "extended_properties": (
+            "(SELECT major_id, minor_id, name, CAST(value AS NVARCHAR(4000)) AS value "
+            "FROM sys.extended_properties) p"
+        ),
+        "table_constraints": "INFORMATION_SCHEMA.TABLE_CONSTRAINTS",
+        "key_column_usage": "INFORMATION_SCHEMA.KEY_COLUMN_USAGE",
+    },
+}
+
+
 def catalog_extracts(
-    spark: SparkSession, options: Mapping[str, str], views: Sequence[str]
+    spark: SparkSession, options: Mapping[str, str], vendor: str
 ) -> dict[str, DataFrame]:
-    """Catalog views by lower-case name, ready for the dictionary normalisers."""
-    return {view.split(".")[-1].lower(): read_table(spark, options, view) for view in views}
+    """A vendor's catalog extracts, ready for the dictionary normalisers."""
+    return {
+        name: read_table(spark, options, source) for name, source in CATALOGS[vendor].items()
+    }

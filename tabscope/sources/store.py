@@ -124,6 +124,10 @@ class ResultStore:
         )
         self._write(rows, "append", layout, self.path(table))
 
+    def append(self, table: str, df: DataFrame) -> None:
+        """Add rows without replacing any."""
+        self.replace_scopes(table, df, ())
+
     @staticmethod
     def _write(rows: DataFrame, mode: str, partitions: Sequence[str], target: str) -> None:
         """Write, with rows of one partition brought together and large ones split.
@@ -138,7 +142,12 @@ class ResultStore:
         ).partitionBy(*partitions).parquet(target)
 
     def latest_revision(self, table: str) -> int:
-        return self.read(table).agg(F.coalesce(F.max("rev"), F.lit(0)).alias("rev")).first()["rev"]
+        """The newest revision number, 0 if there is none. Lists one directory."""
+        fs, path = self._hadoop(self.path(table))
+        if not fs.exists(path):
+            return 0
+        names = (status.getPath().getName() for status in fs.listStatus(path))
+        return max((int(n.split("=")[1]) for n in names if n.startswith("rev=")), default=0)
 
     def master(self, table: str) -> DataFrame:
         """The newest revision of a master table."""

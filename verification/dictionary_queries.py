@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tabscope.operators.dictionary import ansi, lake, legacy, mssql, mysql, oracle, postgres, snapshot
 from tabscope.operators.dictionary.common import drop_system_schemas, stamped
+from tabscope.operators.dictionary.vendors import dictionary_parts, extract_names
 from tabscope.pipeline import collect_dictionary
 from tabscope.session import shared_dir
 from tabscope.sources.store import ResultStore
@@ -41,19 +42,8 @@ def scratch_store(frames: Frames) -> ResultStore:
 
 def oracle_parts(frames: Frames) -> dict[str, DataFrame]:
     """All dictionary parts of the derived Oracle estate."""
-    e = lambda name: extract(frames, name)
-    return {
-        "tables": oracle.tables(e("all_tables"), e("all_tab_comments"), e("dba_segments"), KEPT),
-        "columns": oracle.columns(
-            e("all_tab_columns"), e("all_col_comments"), e("all_views"), KEPT
-        ),
-        "segments": oracle.segments(e("dba_segments"), KEPT),
-        "constraints": oracle.constraints(e("all_constraints"), KEPT),
-        "constraint_columns": oracle.constraint_columns(
-            e("all_cons_columns"), e("all_constraints"), KEPT
-        ),
-        "indexes": oracle.indexes(e("all_indexes"), KEPT),
-    }
+    found = {name: extract(frames, name) for name in extract_names("oracle")}
+    return dictionary_parts("oracle", found, KEPT)
 
 
 _MB = "CAST({0} // 1048576 AS DOUBLE)"
@@ -253,6 +243,18 @@ SELECT table_schema AS owner_nm, table_name AS segment_nm, 'NOPART' AS partition
        'TABLE' AS segment_type, 0 AS head_block_cnt,
        ifnull(data_length + index_length, 0) AS segment_size, 0 AS block_cnt
 FROM info_tables WHERE table_schema IN {_IN}""",
+    )
+    out["dic_segments_mssql"] = _check(
+        _SEGMENT_COLUMNS,
+        ("sys_tables", "sys_schemas", "partitions", "allocation_units"),
+        mssql.segments,
+        f"""
+SELECT s.name AS owner_nm, t.name AS segment_nm, 'NOPART' AS partition_nm,
+       'TABLE' AS segment_type, 0 AS head_block_cnt,
+       CAST(ifnull((SELECT sum(u.total_pages) FROM partitions p, allocation_units u
+                    WHERE u.container_id = p.partition_id AND p.object_id = t.object_id), 0) * 8192
+            AS BIGINT) AS segment_size, 0 AS block_cnt
+FROM sys_tables t JOIN sys_schemas s USING (schema_id) WHERE s.name IN {_IN}""",
     )
     out["dic_constraints_oracle"] = _check(
         _CONS_COLUMNS,

@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabscope.functions.buckets import value_bucket
 from tabscope.functions.patterns import char_pattern
 from tabscope.operators.column_stats import column_stats, distinct_counts
 from tabscope.operators.merge import update_by_key
-from tabscope.operators.pattern_dist import patterns_direct, patterns_from_values, top_pattern
-from tabscope.operators.registration import COLUMN_MASTER, column_population
+from tabscope.operators.pattern_dist import (
+    pattern_counts_direct,
+    pattern_counts_from_values,
+    patterns_direct,
+    patterns_from_values,
+    top_pattern,
+)
+from tabscope.operators.registration import column_population
 from tabscope.operators.report import profile_report
 from tabscope.operators.dictionary import lake
 from tabscope.operators.registration import Snapshot
@@ -23,7 +27,6 @@ from tabscope.pipeline import STAT_COLUMNS, Profiler, collect_dictionary, regist
 from tabscope.plans.spec import COLUMN_KEY, ProfileInput, spec_from_schema
 from tabscope.sources.registry import SourceRegistry, adhoc_query
 from verification import profile_sql as sql
-from verification.catalogs import KEPT, extract, with_extracts
 from verification.checked import Check
 from verification.dictionary_queries import RUN_TS, scratch_store
 from verification.tables import SCHEMAS, TABLES, Frames
@@ -217,14 +220,13 @@ def _pattern_checks() -> dict[str, Check]:
     event_values = sql.values("events", _EVENT_MODES)
     text_values = sql.union(sql.values(t, chars=None) for t in _TEXT_TABLES)
 
-    def from_values(frames: Frames) -> DataFrame:
-        histogram = value_histogram(
+    def two_histograms(frames: Frames) -> DataFrame:
+        return value_histogram(
             [
                 profile_input(frames["orders"], "orders", _ORDER_MODES),
                 profile_input(frames["events"], "events", _EVENT_MODES),
             ]
         )
-        return patterns_from_values(histogram)
 
     def from_all_values(frames: Frames) -> DataFrame:
         return patterns_from_values(value_histogram(inputs(frames, *_TEXT_TABLES), value_chars=None))
@@ -238,11 +240,16 @@ def _pattern_checks() -> dict[str, Check]:
         "pattern_transform": transformed("executed"),
         "pattern_transform_documented": transformed("documented"),
         "pattern_from_values": Check(
-            lambda f: _short(from_values(f).drop("col_pat_rt")), values_sql
+            lambda f: _short(pattern_counts_from_values(two_histograms(f))), values_sql
+        ),
+        "pattern_share": Check(
+            lambda f: _short(patterns_from_values(two_histograms(f))), sql.shared(values_sql)
         ),
-        "pattern_share": Check(lambda f: _short(from_values(f)), sql.shared(values_sql)),
         "pattern_top1": Check(
-            lambda f: _short(top_pattern(direct_all(f))), sql.top_pattern(direct_sql)
+            lambda f: _short(
+                top_pattern(pattern_counts_direct(inputs(f, *_TEXT_TABLES), value_chars=None))
+            ),
+            sql.top_pattern(direct_sql),
         ),
         "pattern_direct_customer": _patterns("customer"),
         "pattern_direct_part": _patterns("part"),
@@ -307,7 +314,7 @@ def _writeback_checks() -> dict[str, Check]:
         return value_histogram(inputs(frames, *_TEXT_TABLES))
 
     def patterns(frames: Frames) -> DataFrame:
-        return top_pattern(patterns_direct(inputs(frames, *_TEXT_TABLES)))
+        return top_pattern(pattern_counts_direct(inputs(frames, *_TEXT_TABLES)))
 
     return {
         "writeback_column_stats": Check(
