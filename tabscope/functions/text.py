@@ -30,19 +30,15 @@ def canonical_text(col: Column, dtype: T.DataType, decimals: int | None = None)
 
 
 def distinct_key(col: Column, dtype: T.DataType) -> tuple[str, Column]:
-    """Key family and a key that is equal for two values exactly when the values are.
+    """Key type and a key that is equal for two values exactly when the values are.
 
-    Numbers and times keep their type, so that counting them builds no strings. The
-    ``double`` family relies on grouping, which treats -0.0 as 0.0 and all NaN as one.
-    Raw text keys are at most 64 bytes and digests are 66, so the two can not meet.
+    Everything but text keeps its own type (integers share one), so that counting
+    builds no strings. Grouping takes -0.0 for 0.0 and all NaN for one value. Raw text
+    keys are at most 64 bytes and digests are 66, so the two can not meet.
     """
     if is_character(dtype):
         digest = F.concat(F.lit("h:"), F.sha2(col, 256))
-        return "text", F.when(F.octet_length(col) > DIGEST_OVER_BYTES, digest).otherwise(col)
-    if isinstance(dtype, _FRACTIONAL):
-        return "double", col.cast("double")
-    if isinstance(dtype, (T.IntegralType, T.BooleanType)):
+        return "string", F.when(F.octet_length(col) > DIGEST_OVER_BYTES, digest).otherwise(col)
+    if isinstance(dtype, T.IntegralType):
         return "bigint", col.cast("bigint")
-    if isinstance(dtype, T.DateType):
-        return "bigint", F.unix_date(col).cast("bigint")
     return dtype.simpleString(), col

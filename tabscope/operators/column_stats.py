@@ -1,9 +1,11 @@
 """Column level: non-null count, distinct count, text extremes, longest text.
 
-The plain aggregates and the distinct counts are separate passes. In one ``agg`` a
-set of distinct counts next to string extremes turns into k+1 copies of every row
-and a sort; apart, the first is a keyless aggregate of one row per task and the
-second is hash aggregation with map-side combine.
+Numbers, times and booleans are grouped by value first, in their own type, and only
+distinct values are turned into text. One pass over such a column gives all its results.
+
+Text columns take two passes: a keyless aggregate for extremes and lengths, and a hash
+aggregation of keys for the distinct count. In one ``agg``, distinct counts next to
+string extremes would copy every row once per column and sort the copies.
 """
 
 from __future__ import annotations
@@ -12,83 +14,134 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tabscope.functions.text import canonical_text, distinct_key
+from tabscope.functions.types import is_character
 from tabscope.operators.shapes import bounded_broadcast, long_form, source_column, union_all
 from tabscope.plans.spec import ColumnRef, ProfileInput, name_columns, number_columns
 
 # Fixed value: longest text kept for an extreme.
 EXTREME_CHARS = 4000
 
-#: Columns per aggregate. Four results per column stay under the 100-field limit of
-#: whole-stage code generation. Batches read disjoint columns, so a wide table is
-#: still read once per byte.
-BATCH_COLUMNS = 24
+#: Text columns per aggregate. Five results per column stay under the 100-field limit
+#: of whole-stage code generation. Batches read disjoint columns.
+BATCH_COLUMNS = 18
 
-def _plain_batch(batch: Sequence[ColumnRef]) -> DataFrame:
-    """One row per column: ``ref`` and a struct of its aggregates."""
-    source = batch[0].source
+#: Widest row of column statistics: two extremes of up to four bytes a character.
+_STATS_ROW = 2 * 4 * EXTREME_CHARS + 64
 
-    def aggregates(r: ColumnRef) -> Column:
-        text = canonical_text(
-            source_column(r), source.dtype(r.column.col_nm), r.column.decimals
-        )
-        return F.struct(
-            F.count(text), F.max(text), F.min(text), F.max(F.length(text)), F.count(F.lit(1))
-        )
+_STATS = ("tab_cnt", "notnull_cnt", "col_kind", "max_col_val", "min_col_val", "max_len")
 
-    one_row = source.frame.agg(*[aggregates(r).alias(r.ref) for r in batch])
-    return one_row.unpivot([], [r.ref for r in batch], "ref", "stats")
 
+def column_numbers(inputs: Sequence[ProfileInput]) -> list[list[ColumnRef]]:
+    return number_columns((source, source.stat_columns()) for source in inputs)
 
-def _plain(batches: Sequence[Sequence[ColumnRef]]) -> DataFrame:
-    count, highest, lowest, longest, rows = (F.col(f"stats.col{i}") for i in range(1, 6))
-    return union_all(_plain_batch(batch) for batch in batches).select(
-        "ref",
-        count.alias("notnull_cnt"),
-        F.substring(highest, 1, EXTREME_CHARS).alias("max_col_val"),
-        F.substring(lowest, 1, EXTREME_CHARS).alias("min_col_val"),
-        F.coalesce(longest, F.lit(0)).alias("max_len"),
-        rows.alias("tab_cnt"),
-    )
 
+def _dtype(r: ColumnRef) -> T.DataType:
+    return r.source.dtype(r.column.col_nm)
+
+
+def _is_text(r: ColumnRef) -> bool:
+    return is_character(_dtype(r))
 
-def _distinct(groups: Sequence[Sequence[ColumnRef]]) -> DataFrame:
-    """``col_kind`` per ref: two hash aggregations per key family over all tables.
 
-    Columns of one family share a pass and a shuffle with keys of their own type. The
-    families read disjoint columns, so no byte of a columnar table is read twice.
+def _keyed_rows(
+    groups: Sequence[Sequence[ColumnRef]],
+) -> dict[tuple[str, int | None], DataFrame]:
+    """Long rows (``ref``, ``key``) of all tables, by key type and text decimals.
+
+    The frames read disjoint columns, so no byte of a columnar table is read twice.
     """
-    families: dict[str, list[DataFrame]] = {}
+    frames: dict[tuple[str, int | None], list[DataFrame]] = {}
     for group in groups:
-        keyed: dict[str, list[tuple[ColumnRef, Column]]] = {}
+        keyed: dict[tuple[str, int | None], dict[str, tuple[ColumnRef, Column]]] = {}
         for r in group:
-            family, key = distinct_key(source_column(r), r.source.dtype(r.column.col_nm))
-            keyed.setdefault(family, []).append((r, key))
-        for family, pairs in keyed.items():
-            keys = {r.ref: key for r, key in pairs}
-            rows = long_form([r for r, _ in pairs], lambda r: keys[r.ref], "key")
-            families.setdefault(family, []).append(rows)
+            key_type, key = distinct_key(source_column(r), _dtype(r))
+            keyed.setdefault((key_type, r.column.decimals), {})[r.ref] = (r, key)
+        for family, members in keyed.items():
+            rows = long_form(
+                [r for r, _ in members.values()], lambda r: members[r.ref][1], "key"
+            )
+            frames.setdefault(family, []).append(rows)
+    return {family: union_all(parts) for family, parts in frames.items()}
+
+
+def _distinct(groups: Sequence[Sequence[ColumnRef]]) -> DataFrame:
+    """``col_kind`` per ref: hash aggregation with map-side combine, one shuffle a type."""
     return union_all(
-        union_all(frames)
-        .filter(F.col("key").isNotNull())
+        rows.filter(F.col("key").isNotNull())
         .distinct()
         .groupBy("ref")
         .agg(F.count(F.lit(1)).alias("col_kind"))
-        for frames in families.values()
+        for rows in _keyed_rows(groups).values()
     )
 
 
-def column_numbers(inputs: Sequence[ProfileInput]) -> list[list[ColumnRef]]:
-    return number_columns((source, source.stat_columns()) for source in inputs)
-
-
 def distinct_counts(inputs: Sequence[ProfileInput]) -> DataFrame:
     """Exact distinct count of every column that holds at least one value."""
     groups = column_numbers(inputs)
     return name_columns(_distinct(groups), groups)
 
 
+def _by_value(rows: DataFrame, decimals: int | None) -> DataFrame:
+    """All statistics of columns that are not text, from their value counts.
+
+    The integer ``ref`` lets the grouped string extremes sort by radix; what they sort
+    is one row per distinct value.
+    """
+    counts = rows.groupBy("ref", "key").agg(F.count(F.lit(1)).alias("n"))
+    text = canonical_text(F.col("key"), rows.schema["key"].dataType, decimals)
+    shown = counts.select(F.col("ref").cast("int").alias("ref"), "key", "n", text.alias("txt"))
+    return shown.groupBy("ref").agg(
+        F.sum("n").alias("tab_cnt"),
+        F.sum(F.when(F.col("key").isNotNull(), F.col("n"))).alias("notnull_cnt"),
+        F.count("key").alias("col_kind"),
+        F.max("txt").alias("max_col_val"),
+        F.min("txt").alias("min_col_val"),
+        F.max(F.length("txt")).alias("max_len"),
+    )
+
+
+def _text_batch(batch: Sequence[ColumnRef]) -> DataFrame:
+    """One row per text column: ``ref`` and a struct of its plain aggregates."""
+
+    def aggregates(r: ColumnRef) -> Column:
+        text = source_column(r)
+        return F.struct(
+            F.count(F.lit(1)), F.count(text), F.max(text), F.min(text), F.max(F.length(text))
+        )
+
+    one_row = batch[0].source.frame.agg(*[aggregates(r).alias(r.ref) for r in batch])
+    return one_row.unpivot([], [r.ref for r in batch], "ref", "stats")
+
+
+def _plain_text(groups: Sequence[Sequence[ColumnRef]], batch_columns: int) -> DataFrame:
+    batches = [
+        group[i : i + batch_columns]
+        for group in groups
+        for i in range(0, len(group), batch_columns)
+    ]
+    rows, count, highest, lowest, longest = (F.col(f"stats.col{i}") for i in range(1, 6))
+    return union_all(_text_batch(batch) for batch in batches).select(
+        F.col("ref").cast("int").alias("ref"),
+        rows.alias("tab_cnt"),
+        count.alias("notnull_cnt"),
+        highest.alias("max_col_val"),
+        lowest.alias("min_col_val"),
+        longest.alias("max_len"),
+    )
+
+
+def _text_stats(groups: Sequence[Sequence[ColumnRef]], batch_columns: int) -> DataFrame:
+    kinds = _distinct(groups).select(F.col("ref").cast("int").alias("ref"), "col_kind")
+    return (
+        _plain_text(groups, batch_columns)
+        .join(bounded_broadcast(kinds, sum(map(len, groups))), "ref", "left")
+        .select("ref", *_STATS)
+    )
+
+
 def column_stats(
     inputs: Sequence[ProfileInput],
     batch_columns: int = BATCH_COLUMNS,
@@ -96,20 +149,39 @@ def column_stats(
 ) -> DataFrame:
     """One row per structured column. Extremes compare as text: '9' is above '10'.
 
-    ``with_row_count`` adds the ``tab_cnt`` of the table, which the same pass counts.
+    ``with_row_count`` adds the ``tab_cnt`` of the table, which the same passes count.
     """
     groups = column_numbers(inputs)
-    batches = [
-        group[i : i + batch_columns]
-        for group in groups
-        for i in range(0, len(group), batch_columns)
+    if not groups:
+        raise ValueError("no column to profile")
+    n_columns = sum(map(len, groups))
+    texts = [t for g in groups if (t := [r for r in g if _is_text(r)])]
+    others = [o for g in groups if (o := [r for r in g if not _is_text(r)])]
+    facts = [
+        _by_value(rows, decimals) for (_, decimals), rows in _keyed_rows(others).items()
     ]
-    kinds = bounded_broadcast(_distinct(groups), sum(map(len, groups)))
-    columns = ["ref", "notnull_cnt", "col_kind", "max_col_val", "min_col_val", "max_len"]
-    joined = (
-        _plain(batches)
-        .join(kinds, "ref", "left")
-        .withColumn("col_kind", F.coalesce("col_kind", F.lit(0).cast("bigint")))
-        .select(*columns, *(["tab_cnt"] if with_row_count else []))
+    if texts:
+        facts.append(_text_stats(texts, batch_columns))
+
+    # Every planned column has a row, also in a table without rows.
+    planned = inputs[0].frame.sparkSession.range(n_columns).select(
+        F.col("id").cast("int").alias("ref")
     )
-    return name_columns(joined, groups)
+    stats = planned.join(
+        bounded_broadcast(union_all(facts), n_columns, _STATS_ROW), "ref", "left"
+    )
+
+    def counted(name: str) -> Column:
+        return F.coalesce(name, F.lit(0).cast("bigint")).alias(name)
+
+    columns = [
+        "ref",
+        counted("notnull_cnt"),
+        counted("col_kind"),
+        F.substring("max_col_val", 1, EXTREME_CHARS).alias("max_col_val"),
+        F.substring("min_col_val", 1, EXTREME_CHARS).alias("min_col_val"),
+        F.coalesce("max_len", F.lit(0)).alias("max_len"),
+    ]
+    if with_row_count:
+        columns.append(counted("tab_cnt"))
+    return name_columns(stats.select(*columns), groups)

@@ -95,9 +95,28 @@ def test_extremes_are_cut_after_comparison(spark):
     assert (len(row.max_col_val), len(row.min_col_val), row.max_len) == (4000, 4000, 5000)
 
 
+def test_a_table_without_rows_still_has_its_columns(spark):
+    source = make(spark, [], "n int, s string, d double")
+    got = {tuple(r)[3:] for r in column_stats([source], with_row_count=True).drop("prfl_id").collect()}
+    assert got == {(c, 0, 0, None, None, 0, 0) for c in ("n", "s", "d")}
+    with pytest.raises(ValueError):
+        column_stats([make(spark, [], "a array<int>")])
+
+
+def test_statistics_over_several_key_types_and_tables(spark):
+    one = make(spark, [(1, 1.25, True), (None, 1.25, None)], "a int, b double, c boolean")
+    frame = spark.createDataFrame([(7, 2.5)], "a bigint, b double")
+    two = ProfileInput(spec_from_schema(frame, "u", decimals=2), frame)
+    got = {(r.tab_nm, r.col_nm): (r.notnull_cnt, r.col_kind, r.max_col_val) for r in column_stats([one, two]).collect()}
+    assert got == {
+        ("t", "a"): (1, 1, "1"), ("t", "b"): (2, 1, "1.25"), ("t", "c"): (1, 1, "true"),
+        ("u", "a"): (1, 1, "7"), ("u", "b"): (1, 1, "2.50"),
+    }
+
+
 def test_column_batches_change_nothing(small):
     source = inputs(small, "orders", "part")
-    assert same(column_stats(source), column_stats(source, batch_columns=2))
+    assert same(column_stats(source), column_stats(source, batch_columns=1))
 
 
 def test_unstructured_columns_vanish(small):

@@ -4,7 +4,7 @@ import re
 
 import pytest
 
-from tabscope.operators.column_stats import _distinct, _plain, column_numbers, column_stats
+from tabscope.operators.column_stats import _distinct, _plain_text, column_numbers, column_stats
 from tabscope.operators.pattern_dist import patterns_direct
 from tabscope.operators.report import profile_report
 from tabscope.operators.table_stats import row_counts
@@ -48,19 +48,42 @@ def test_histograms_of_many_tables_share_one_shuffle(small):
     assert count("FileScan", text) == 3 and count("Exchange", text) == 1
 
 
-def test_plain_statistics_neither_expand_rows_nor_sort(small):
-    text = plan(_plain([g for g in column_numbers(inputs(small, "lineitem"))]))
+def read_columns(text):
+    return [set(re.findall(r"(\w+):", s)) for s in re.findall(r"ReadSchema: struct<([^>]*)>", text)]
+
+
+def test_plain_text_statistics_neither_expand_rows_nor_sort(small):
+    text = plan(_plain_text(column_numbers([text_only(small)]), 18))
     below = text[text.index("SortAggregate"):]
     assert "Expand" not in below and not re.search(r"\bSort \[", below)
     assert count("FileScan", text) == 1 and count("Exchange SinglePartition", text) == 1
 
 
+def text_only(small):
+    return profile_input(small["lineitem"].select("l_returnflag", "l_linestatus"), "lineitem")
+
+
 def test_distinct_counts_are_hash_aggregation_over_disjoint_columns(small):
     text = plan(_distinct(column_numbers(inputs(small, "lineitem"))))
     assert "SortAggregate" not in text and "BroadcastNestedLoop" not in text
-    read = re.findall(r"ReadSchema: struct<([^>]*)>", text)
-    columns = [c.split(":")[0] for schema in read for c in schema.split(",")]
-    assert len(columns) == len(set(columns)) == 11
+    read = read_columns(text)
+    assert sum(map(len, read)) == len(set.union(*read)) == 11
+
+
+def test_statistics_read_text_twice_and_everything_else_once(small):
+    text = plan(column_stats(inputs(small, "lineitem")))
+    read = [c for columns in read_columns(text) for c in columns]
+    twice = {c for c in read if read.count(c) > 1}
+    assert twice == {"l_returnflag", "l_linestatus"} and len(set(read)) == 11
+    no_python(text)
+
+
+def test_statistics_sort_distinct_values_only(small):
+    """Rows are combined by value before any sort, on the map side already."""
+    numbers = small["lineitem"].select("l_orderkey", "l_partkey")
+    text = plan(column_stats([profile_input(numbers, "lineitem")]))
+    last_sort = text.rindex("Sort [")
+    assert text[last_sort:].count("HashAggregate(keys=[ref") == 2
 
 
 def test_row_counts_read_no_column(small):
@@ -89,18 +112,16 @@ def test_report_has_no_cross_join_and_no_python(small):
 
 
 def test_report_reads_each_table_once_per_level(small):
-    """Plain pass, one pass per key family over its own columns, one histogram."""
+    """A pass per key type over its own columns, the plain text pass, one histogram."""
     text = plan(profile_report(inputs(small, "customer")), executed=True)
-    read = [set(re.findall(r"(\w+):", s)) for s in re.findall(r"ReadSchema: struct<([^>]*)>", text)]
     texts = {"c_name", "c_mktsegment"}
-    families = [{"c_custkey", "c_nationkey"}, texts, {"c_acctbal"}]
-    everything = set.union(*families)
-    assert sorted(map(sorted, read)) == sorted(map(sorted, [everything, *families, texts]))
+    expected = [{"c_custkey", "c_nationkey"}, {"c_acctbal"}, texts, texts, texts]
+    assert sorted(map(sorted, read_columns(text))) == sorted(map(sorted, expected))
 
 
 def test_column_stats_join_is_over_columns_only(small):
     text = plan(column_stats(inputs(small, "orders")))
-    assert count("BroadcastHashJoin", text) == 1
+    assert count("BroadcastHashJoin", text) == 2 and "SortMergeJoin" not in text
 
 
 def test_snapshot_filter_prunes_partitions(spark, small, tmp_path):

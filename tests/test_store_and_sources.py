@@ -152,16 +152,16 @@ def test_vendor_dictionary(small):
 
 
 def test_legacy_repository(spark, tmp_path):
-    schemas = spark.createDataFrame([(7, "A")], "DB번호 int, 스키마명 string")
-    tables = spark.createDataFrame([(7, "A", "T")], "DB번호 int, 스키마명 string, 테이블명 string")
-    columns = spark.createDataFrame([(7, "A", "C", 0), (7, "A", "D", 2)], "DB번호 int, 스키마명 string, 컬럼명 string, 소수점 int")
+    schemas = spark.createDataFrame([(7, "A")], "`DB번호` int, `스키마명` string")
+    tables = spark.createDataFrame([(7, "A", "T")], "`DB번호` int, `스키마명` string, `테이블명` string")
+    columns = spark.createDataFrame([(7, "A", "C", 0), (7, "A", "D", 2)], "`DB번호` int, `스키마명` string, `컬럼명` string, `소수점` int")
     repository = LegacyRepository(spark, str(tmp_path))
     repository.save(schemas, tables, columns, 7)
     stored = spark.read.parquet(str(tmp_path / "프로파일링_컬럼정보"))
     assert sorted((r.컬럼명, r.소수점) for r in stored.collect()) == [("C", None), ("D", 2)]
     with pytest.raises(ValueError):
         repository.save(schemas, tables, columns, 7)
-    repository.save(schemas, tables, columns.filter("컬럼명 = 'D'"), 7, ignore=True)
+    repository.save(schemas, tables, columns.filter(F.col("컬럼명") == "D"), 7, ignore=True)
     assert spark.read.parquet(str(tmp_path / "프로파일링_컬럼정보")).count() == 1
     eight = schemas.withColumn("DB번호", F.lit(8))
     assert not repository.has_rows((eight, tables, columns), 8)

@@ -16,7 +16,7 @@ from tabscope.session import shared_dir
 from tabscope.sources.store import ResultStore
 from verification.catalogs import DB, KEPT, extract, extracts, with_extracts
 from verification.checked import Check, comparable, sql_stamp
-from verification.tables import SCHEMAS, Frames
+from verification.tables import SCHEMAS, SPARK_TYPES, Frames
 
 RUN_TS = dt.datetime(2026, 1, 2, 3, 4, 5)
 _IN = "(" + ", ".join(f"'{s}'" for s in KEPT) + ")"
@@ -456,16 +456,9 @@ FROM part_rows WHERE owner IN {_IN} GROUP BY part, owner""",
     }
 
 
-# Spark's name for each column type of the given tables.
-_SPARK_NAMES = {
-    "INTEGER": "int", "BIGINT": "bigint", "VARCHAR": "string", "DOUBLE": "double",
-    "TIMESTAMP": "timestamp_ntz", "FLOAT[]": "array<float>",
-}
-
-
 def _lake() -> dict[str, Check]:
     names = ", ".join(f"'{t}'" for t in SCHEMAS)
-    as_spark = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in _SPARK_NAMES.items())
+    as_spark = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in SPARK_TYPES.items())
 
     def files(frames: Frames) -> DataFrame:
         return lake.segments(frames.spark, frames.root)
