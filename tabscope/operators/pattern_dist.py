@@ -39,19 +39,24 @@ def with_share(
     counts: DataFrame,
     keys: Sequence[str] = COLUMN_KEY,
     columns: int | None = None,
+    totals: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``col_pat_rt``, the share of each pattern within its column.
 
-    The totals are one row per column. A window over the column would put a whole
-    histogram into one task, so they are aggregated and joined back: broadcast when
-    ``columns`` proves them small, else joined on the key and a salt.
+    The totals are one row per column (``keys``, ``total``). A window over the column
+    would put a whole histogram into one task, so they are joined: broadcast when
+    ``columns`` proves them small, else on the key and a salt.
     """
-    totals = counts.groupBy(*keys).agg(F.sum("col_pat_cnt").alias("total"))
+    if totals is None:
+        totals = counts.groupBy(*keys).agg(F.sum("col_pat_cnt").alias("total"))
     row_bytes = NUMBER_ROW if len(keys) == 1 else TEXT_ROW
     if columns is not None and columns * row_bytes <= BROADCAST_BYTES:
         joined = counts.join(F.broadcast(totals), list(keys))
     else:
+        # A salt that could be NULL would make the join filter the tables by it, that is,
+        # work out every pattern once more before anything is counted.
         salt = F.pmod(F.xxhash64("col_pat"), F.lit(SHARE_SALTS)).cast("int")
+        salt = F.coalesce(salt, F.lit(0))
         spread = totals.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SHARE_SALTS - 1))))
         joined = counts.withColumn("salt", salt).join(spread, [*keys, "salt"]).drop("salt")
     return joined.withColumn(
@@ -72,8 +77,17 @@ def pattern_counts_from_values(value_histogram: DataFrame, mode: str = "executed
 def patterns_from_values(
     value_histogram: DataFrame, mode: str = "executed", columns: int | None = None
 ) -> DataFrame:
-    """Pattern counts and shares of an existing value histogram."""
-    return with_share(pattern_counts_from_values(value_histogram, mode), columns=columns)
+    """Pattern counts and shares of an existing value histogram.
+
+    The totals come from the values, so that no pattern is worked out twice.
+    """
+    totals = (
+        value_histogram.filter(F.col("col_val") != NULL_MARK)
+        .groupBy(*COLUMN_KEY)
+        .agg(F.sum("col_val_cnt").alias("total"))
+    )
+    counts = pattern_counts_from_values(value_histogram, mode)
+    return with_share(counts, columns=columns, totals=totals)
 
 
 def _direct(

@@ -194,8 +194,10 @@ def name_columns(df: DataFrame, groups: Sequence[Sequence[ColumnRef]]) -> DataFr
     """
     refs = [r for group in groups for r in group]
     position = F.col("ref").cast("int") + 1
+    # Never NULL, and known not to be: joins on the names then need no NULL filters.
     names = [
-        F.element_at(_constant_array([r.key[i] for r in refs]), position).alias(name)
+        F.coalesce(F.element_at(_constant_array([r.key[i] for r in refs]), position), F.lit(""))
+        .alias(name)
         for i, name in enumerate(COLUMN_KEY)
     ]
     return df.select(*names, *[c for c in df.columns if c != "ref"])

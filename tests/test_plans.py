@@ -5,7 +5,7 @@ import re
 import pytest
 
 from tabscope.operators.column_stats import _distinct, _plain_text, column_numbers, column_stats
-from tabscope.operators.pattern_dist import patterns_direct
+from tabscope.operators.pattern_dist import patterns_direct, patterns_from_values
 from tabscope.operators.report import profile_report
 from tabscope.operators.table_stats import row_counts
 from tabscope.operators.value_dist import sample_values, value_histogram
@@ -98,6 +98,14 @@ def test_direct_patterns_scan_once(small):
     no_python(text)
 
 
+@pytest.mark.parametrize("columns", [None, 2])
+def test_shares_of_values_read_the_tables_once(small, columns):
+    histogram = value_histogram(inputs(small, "customer"))
+    text = plan(patterns_from_values(histogram, columns=columns), executed=True)
+    assert count("FileScan", text) == 1 and "ReusedExchange" in text
+    assert text.count("translate(") <= 4 and "xxhash64(CASE" not in text
+
+
 def test_samples_limit_before_the_shuffle(line):
     text = plan(sample_values(value_histogram(line)))
     assert count("WindowGroupLimit", text) == 2
