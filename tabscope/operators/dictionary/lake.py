@@ -49,6 +49,24 @@ def columns(
     )
 
 
+def measured(column_rows: DataFrame, stats: DataFrame) -> DataFrame:
+    """Column rows with what the data shows: longest text and whether NULLs occur.
+
+    A lake declares neither a length nor, as a rule, a NULL constraint. ``stats`` are
+    column statistics with row counts; columns without them keep their declaration.
+    """
+    key = ["owner_nm", "tab_nm", "col_nm"]
+    facts = stats.select(
+        *key,
+        F.col("max_len").cast("bigint").alias("_len"),
+        F.when(F.col("notnull_cnt") < F.col("tab_cnt"), "Y").otherwise("N").alias("_null_yn"),
+    )
+    joined = column_rows.join(facts, key, "left").withColumns(
+        {"data_len": F.coalesce("_len", "data_len"), "null_yn": F.coalesce("_null_yn", "null_yn")}
+    )
+    return joined.select(*column_rows.columns)
+
+
 def segments(
     spark: SparkSession, root: str, owner_nm: str = "main", suffix: str = ".parquet"
 ) -> DataFrame:

@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterable, Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tabscope.functions.buckets import VALUE_CHARS
 from tabscope.operators import registration
 from tabscope.operators.column_stats import column_stats
 from tabscope.operators.dictionary.common import stamped
@@ -97,7 +98,10 @@ def register_population(
 
 
 class Profiler:
-    """Runs the profile levels of one database and writes the result tables."""
+    """Runs the profile levels of one database and writes the result tables.
+
+    ``value_chars`` is the width of histogram values and patterns; None keeps whole texts.
+    """
 
     def __init__(
         self,
@@ -106,6 +110,7 @@ class Profiler:
         db_nm: str,
         prfl_id: str = DEFAULT_PROFILE,
         decimals: int | None = None,
+        value_chars: int | None = VALUE_CHARS,
         tables_per_job: int = TABLES_PER_JOB,
         clock: Clock = _now,
     ):
@@ -114,6 +119,7 @@ class Profiler:
         self._db_nm = db_nm
         self._prfl_id = prfl_id
         self._decimals = decimals
+        self._value_chars = value_chars
         self._per_job = tables_per_job
         self._clock = clock
 
@@ -180,7 +186,7 @@ class Profiler:
         for job in self._jobs(flagged):
             self._store.replace_scopes(
                 "column_values",
-                value_histogram(job, **options),
+                value_histogram(job, value_chars=self._value_chars, **options),
                 [{c: getattr(source.spec, c) for c in VALUE_SCOPE} for source in job],
             )
         if flagged:
@@ -200,7 +206,9 @@ class Profiler:
             flagged = [i for i in self._given(inputs) if i.pattern_columns()]
             if not flagged:
                 return
-            patterns = patterns_direct(flagged, mode, **options)
+            patterns = patterns_direct(
+                flagged, mode, value_chars=self._value_chars, **options
+            )
         else:
             raise ValueError(f"unknown pattern source {source!r}; expected values or direct")
         self._store.replace_scope(

@@ -249,3 +249,6 @@ def test_lake_dictionary(spark, tmp_path, rows):
     assert rows(lake.columns(spark, {"t": frame}), "col_nm", "col_seq", "data_type", "data_precision", "data_scale") == [
         ("a", 1, "int", None, None), ("b", 2, "decimal(10,2)", 10, 2)]
     assert lake.empty(spark, "indexes").isEmpty()
+    stats = spark.createDataFrame([("main", "t", "a", 3, 1, 2)], "owner_nm string, tab_nm string, col_nm string, max_len int, notnull_cnt bigint, tab_cnt bigint")
+    seen = lake.measured(lake.columns(spark, {"t": frame}), stats)
+    assert rows(seen, "col_nm", "data_len", "null_yn") == [("a", 3, "Y"), ("b", None, "Y")]

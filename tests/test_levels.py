@@ -15,7 +15,7 @@ from tabscope.plans.spec import (
     TableSpec,
     spec_from_schema,
 )
-from verification.profile_queries import inputs, profile_input
+from verification.inputs import inputs, profile_input
 
 MODES = {"o_orderstatus": "Y", "o_orderpriority": "Y", "o_orderdate": "A", "o_totalprice": "B"}
 

@@ -10,7 +10,7 @@ from tabscope.operators.report import profile_report
 from tabscope.operators.table_stats import row_counts
 from tabscope.operators.value_dist import sample_values, value_histogram
 from verification.catalogs import extract
-from verification.profile_queries import inputs, profile_input
+from verification.inputs import inputs, profile_input
 
 MODES = {"l_returnflag": "Y", "l_shipdate": "A", "l_extendedprice": "B", "l_tax": "B"}
 

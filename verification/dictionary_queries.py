@@ -2,23 +2,22 @@
 
 from __future__ import annotations
 
-import datetime as dt
-import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tabscope.operators.column_stats import column_stats
 from tabscope.operators.dictionary import ansi, lake, legacy, mssql, mysql, oracle, postgres, snapshot
 from tabscope.operators.dictionary.common import drop_system_schemas, stamped
 from tabscope.operators.dictionary.vendors import dictionary_parts, extract_names
+from tabscope.operators.table_stats import row_counts
 from tabscope.pipeline import collect_dictionary
-from tabscope.session import shared_dir
-from tabscope.sources.store import ResultStore
+from verification import profile_sql as sql
 from verification.catalogs import DB, KEPT, extract, extracts, with_extracts
 from verification.checked import Check, comparable, sql_stamp
+from verification.inputs import RUN_TS, inputs, profile_input, scratch_store
 from verification.tables import SCHEMAS, SPARK_TYPES, Frames
 
-RUN_TS = dt.datetime(2026, 1, 2, 3, 4, 5)
 _IN = "(" + ", ".join(f"'{s}'" for s in KEPT) + ")"
 
 _TABLE_COLUMNS = (
@@ -35,11 +34,6 @@ def _check(columns, names, normalise, sql) -> Check:
     )
 
 
-def scratch_store(frames: Frames) -> ResultStore:
-    """A store of its own below the shared folder."""
-    return ResultStore(frames.spark, f"{shared_dir(frames.spark)}/store-{uuid.uuid4().hex}")
-
-
 def oracle_parts(frames: Frames) -> dict[str, DataFrame]:
     """All dictionary parts of the derived Oracle estate."""
     found = {name: extract(frames, name) for name in extract_names("oracle")}
@@ -463,32 +457,41 @@ def _lake() -> dict[str, Check]:
     def files(frames: Frames) -> DataFrame:
         return lake.segments(frames.spark, frames.root)
 
-    def lake_tables(frames: Frames) -> DataFrame:
-        from tabscope.operators.table_stats import row_counts
-        from verification.profile_queries import inputs
+    def lake_columns(frames: Frames) -> DataFrame:
+        """Columns by the schemas in the files, with measured lengths and NULLs."""
+        stored = {t: frames.spark.read.parquet(f"{frames.root}/{t}.parquet") for t in SCHEMAS}
+        stats = column_stats(
+            [profile_input(df, t) for t, df in stored.items()], with_row_count=True
+        )
+        return comparable(
+            lake.measured(lake.columns(frames.spark, stored), stats),
+            "owner_nm", "tab_nm", "col_nm", "col_seq", "data_type", "data_len", "null_yn",
+        )
 
+    def lake_tables(frames: Frames) -> DataFrame:
         return comparable(
             lake.tables(files(frames), row_counts(inputs(frames, *SCHEMAS))),
             "owner_nm", "tab_nm", "row_cnt", "part_yn",
         )
 
-    counts = " UNION ALL ".join(
-        f"SELECT 'main' AS owner_nm, '{t}' AS tab_nm, count(*) AS row_cnt, 'N' AS part_yn FROM {t}"
-        for t in SCHEMAS
-    )
+    counts = " UNION ALL ".join(f"SELECT '{t}' AS tab_nm, count(*) AS n FROM {t}" for t in SCHEMAS)
     return {
         "dic_columns_spark": Check(
-            lambda frames: comparable(
-                lake.columns(frames.spark, frames),
-                "owner_nm", "tab_nm", "col_nm", "col_seq", "data_type",
-            ),
+            lake_columns,
             f"""SELECT 'main' AS owner_nm, table_name AS tab_nm, column_name AS col_nm,
-       ordinal_position AS col_seq,
-       CASE data_type {as_spark} ELSE data_type END AS data_type
-FROM information_schema.columns WHERE table_name IN ({names})""",
+       ordinal_position AS col_seq, CASE data_type {as_spark} ELSE data_type END AS data_type,
+       CAST(s.max_len AS BIGINT) AS data_len, if(s.notnull_cnt = c.n, 'N', 'Y') AS null_yn
+FROM information_schema.columns i
+LEFT JOIN ({sql.union(map(sql.stats, SCHEMAS))}) s
+       ON s.tab_nm = i.table_name AND s.col_nm = i.column_name
+LEFT JOIN ({counts}) c ON c.tab_nm = i.table_name
+WHERE table_name IN ({names})""",
         ),
         "dic_segments_spark": Check(lambda frames: comparable(files(frames))),
-        "dic_tables_spark": Check(lake_tables, counts),
+        "dic_tables_spark": Check(
+            lake_tables,
+            f"SELECT 'main' AS owner_nm, tab_nm, n AS row_cnt, 'N' AS part_yn FROM ({counts})",
+        ),
     }
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabscope.functions.patterns import char_pattern
+from tabscope.functions.buckets import VALUE_CHARS
 from tabscope.operators.column_stats import column_stats, distinct_counts
 from tabscope.operators.merge import update_by_key
 from tabscope.operators.pattern_dist import (
@@ -24,31 +25,13 @@ from tabscope.operators.registration import Snapshot
 from tabscope.operators.table_stats import row_counts
 from tabscope.operators.value_dist import sample_values, value_histogram
 from tabscope.pipeline import STAT_COLUMNS, Profiler, collect_dictionary, register_population
-from tabscope.plans.spec import COLUMN_KEY, ProfileInput, spec_from_schema
+from tabscope.plans.spec import COLUMN_KEY
 from tabscope.sources.registry import SourceRegistry, adhoc_query
 from verification import profile_sql as sql
 from verification.checked import Check
-from verification.dictionary_queries import RUN_TS, scratch_store
+from verification.inputs import DECIMALS, RUN_TS, inputs, profile_input, scratch_store
 from verification.tables import SCHEMAS, TABLES, Frames
 
-DECIMALS = 2
-
-
-def profile_input(
-    frame: DataFrame, tab_nm: str, modes: Mapping[str, str] | None = None
-) -> ProfileInput:
-    """A table with its default plan, or with value modes for the named columns only."""
-    if modes is not None:
-        modes = {c: modes.get(c) for c in frame.columns}
-    return ProfileInput(
-        spec_from_schema(frame, tab_nm, decimals=DECIMALS, modes=modes), frame
-    )
-
-
-def inputs(frames: Frames, *names: str) -> list[ProfileInput]:
-    return [profile_input(frames[n], n) for n in names]
-
-
 def _short(df: DataFrame) -> DataFrame:
     """Without the constant parts of the key."""
     return df.drop("db_nm", "owner_nm", "prfl_id")
@@ -62,18 +45,19 @@ def _stats(*names: str) -> Check:
 
 
 def _values(table: str, modes: Mapping[str, str], **options) -> Check:
-    known = {k: options[k] for k in ("rounded",) if k in options}
-    if "value_chars" in options:
-        known["chars"] = options["value_chars"]
+    """A histogram of whole values, unless a width is the point of the query."""
+    chars = options.pop("value_chars", None)
     return Check(
         lambda frames: _short(
-            value_histogram([profile_input(frames[table], table, modes)], **options)
+            value_histogram(
+                [profile_input(frames[table], table, modes)], value_chars=chars, **options
+            )
         ),
-        sql.values(table, modes, **known),
+        sql.values(table, modes, chars),
     )
 
 
-def _patterns(table: str, chars: int | None = 100, **options) -> Check:
+def _patterns(table: str, chars: int | None = None, **options) -> Check:
     return Check(
         lambda frames: _short(
             patterns_direct(inputs(frames, table), value_chars=chars, **options)
@@ -170,10 +154,10 @@ def _value_checks() -> dict[str, Check]:
 
     return {
         "value_dist_nulls": Check(with_nulls, nulls_sql),
-        "value_dist_text": _values(
-            "documents", sql.default_modes("documents"), value_chars=None
+        "value_dist_text": _values("documents", sql.default_modes("documents")),
+        "value_dist_text_100": _values(
+            "documents", sql.default_modes("documents"), value_chars=VALUE_CHARS
         ),
-        "value_dist_text_100": _values("documents", sql.default_modes("documents")),
         "value_dist_prefix6": _values("lineitem", {"l_shipdate": "A", "l_partkey": "A"}),
         "value_dist_yyyymm": Check(months, month_sql),
         "value_dist_range": Check(lambda f: range_columns(f, False), range_sql(False)),
@@ -216,8 +200,8 @@ def _pattern_checks() -> dict[str, Check]:
     UNION ALL SELECT '홍길동-' || c_mktsegment || ' #*N é😀' FROM customer) GROUP BY 1""",
         )
 
-    order_values = sql.values("orders", _ORDER_MODES)
-    event_values = sql.values("events", _EVENT_MODES)
+    order_values = sql.values("orders", _ORDER_MODES, chars=None)
+    event_values = sql.values("events", _EVENT_MODES, chars=None)
     text_values = sql.union(sql.values(t, chars=None) for t in _TEXT_TABLES)
 
     def two_histograms(frames: Frames) -> DataFrame:
@@ -225,7 +209,8 @@ def _pattern_checks() -> dict[str, Check]:
             [
                 profile_input(frames["orders"], "orders", _ORDER_MODES),
                 profile_input(frames["events"], "events", _EVENT_MODES),
-            ]
+            ],
+            value_chars=None,
         )
 
     def from_all_values(frames: Frames) -> DataFrame:
@@ -253,9 +238,9 @@ def _pattern_checks() -> dict[str, Check]:
         ),
         "pattern_direct_customer": _patterns("customer"),
         "pattern_direct_part": _patterns("part"),
-        "pattern_direct_documents": _patterns("documents", None),
-        "pattern_direct_documents_100": _patterns("documents"),
-        "pattern_direct_pages": _patterns("pages", None),
+        "pattern_direct_documents": _patterns("documents"),
+        "pattern_direct_documents_100": _patterns("documents", VALUE_CHARS),
+        "pattern_direct_pages": _patterns("pages"),
         "pattern_direct_events": _patterns("events"),
         "pattern_two_phase": _patterns("events", two_phase=True),
         "pattern_direct_all": Check(lambda f: _short(direct_all(f)), sql.shared(direct_sql)),
@@ -307,14 +292,16 @@ def _writeback_checks() -> dict[str, Check]:
         "notnull_cnt": "-1", "col_kind": "-1", "max_col_val": "'old'", "min_col_val": "'old'",
         "max_len": "-1",
     }
-    all_values = sql.union(sql.values(t) for t in _TEXT_TABLES)
-    all_patterns = sql.union(sql.patterns(t) for t in _TEXT_TABLES)
+    all_values = sql.union(sql.values(t, chars=None) for t in _TEXT_TABLES)
+    all_patterns = sql.union(sql.patterns(t, chars=None) for t in _TEXT_TABLES)
 
     def histogram(frames: Frames) -> DataFrame:
-        return value_histogram(inputs(frames, *_TEXT_TABLES))
+        return value_histogram(inputs(frames, *_TEXT_TABLES), value_chars=None)
 
     def patterns(frames: Frames) -> DataFrame:
-        return top_pattern(pattern_counts_direct(inputs(frames, *_TEXT_TABLES)))
+        return top_pattern(
+            pattern_counts_direct(inputs(frames, *_TEXT_TABLES), value_chars=None)
+        )
 
     return {
         "writeback_column_stats": Check(
@@ -337,10 +324,10 @@ def report(frames: Frames) -> DataFrame:
     return _short(profile_report(inputs(frames, *TABLES), value_chars=None))
 
 
-def _report_sql(chars: int | None) -> str:
+def _report_sql() -> str:
     stats = sql.union(map(sql.stats, TABLES))
     counts = sql.union(f"SELECT '{t}' AS tab_nm, count(*) AS tab_cnt FROM {t}" for t in TABLES)
-    values = sql.union(sql.values(t, chars=chars) for t in _TEXT_TABLES)
+    values = sql.union(sql.values(t, chars=None) for t in _TEXT_TABLES)
     return f"""
 WITH vals AS ({values}), pats AS ({sql.patterns_of('SELECT * FROM vals')})
 SELECT s.*, tab_cnt, sample_data, top_col_pat
@@ -366,7 +353,7 @@ def _pipeline(frames: Frames) -> DataFrame:
     register_population(store, "lake", ["main"], RUN_TS)
     profiler = Profiler(
         store, lambda _owner, tab: sources.table("lake", tab), "lake", decimals=DECIMALS,
-        clock=lambda: RUN_TS,
+        value_chars=None, clock=lambda: RUN_TS,
     )
     profiler.run()
     tables = store.master("table_master").select("tab_nm", "tab_cnt")
@@ -382,7 +369,7 @@ def _pipeline_checks() -> dict[str, Check]:
 FROM {orders} WHERE o_orderstatus <> {status} GROUP BY o_orderpriority"""
     pipeline_sql = f"""
 SELECT c.tab_nm, c.col_nm, r.* EXCLUDE (tab_nm, col_nm, tab_cnt), n.tab_cnt
-FROM {sql.column_list(TABLES)} LEFT JOIN ({_report_sql(100)}) r USING (tab_nm, col_nm)
+FROM {sql.column_list(TABLES)} LEFT JOIN ({_report_sql()}) r USING (tab_nm, col_nm)
 JOIN ({sql.union(f"SELECT '{t}' AS tab_nm, count(*) AS tab_cnt FROM {t}" for t in TABLES)}) n
 USING (tab_nm)"""
     return {
@@ -395,7 +382,7 @@ USING (tab_nm)"""
             ),
             adhoc.replace("{orders}", "orders").replace("{status}", "'P'"),
         ),
-        "profile_report": Check(report, _report_sql(None)),
+        "profile_report": Check(report, _report_sql()),
         "profile_pipeline": Check(_pipeline, pipeline_sql),
     }
 

@@ -11,7 +11,7 @@ from tabscope.pipeline import collect_dictionary, register_population
 from tabscope.plans.spec import profile_targets
 from verification.catalogs import DB, KEPT, extract, with_extracts
 from verification.checked import Check, comparable, sql_stamp
-from verification.dictionary_queries import RUN_TS, scratch_store
+from verification.inputs import RUN_TS, scratch_store
 from verification.tables import Frames
 
 _PARTS = tuple(reg.Snapshot.__dataclass_fields__)
