@@ -336,7 +336,7 @@ LEFT JOIN ({sql.samples('SELECT * FROM vals')}) USING (tab_nm, col_nm)
 LEFT JOIN ({sql.top_pattern('SELECT * FROM pats')}) USING (tab_nm, col_nm)"""
 
 
-def _pipeline(frames: Frames) -> DataFrame:
+def _full_run(frames: Frames) -> DataFrame:
     """Dictionary, registration and all levels through a store; the column master."""
     spark = frames.spark
     store = scratch_store(frames)
@@ -364,10 +364,10 @@ def _pipeline(frames: Frames) -> DataFrame:
     )
 
 
-def _pipeline_checks() -> dict[str, Check]:
+def _run_checks() -> dict[str, Check]:
     adhoc = """SELECT o_orderpriority, count(*) AS n, max(o_custkey) AS top_customer
 FROM {orders} WHERE o_orderstatus <> {status} GROUP BY o_orderpriority"""
-    pipeline_sql = f"""
+    full_run_sql = f"""
 SELECT c.tab_nm, c.col_nm, r.* EXCLUDE (tab_nm, col_nm, tab_cnt), n.tab_cnt
 FROM {sql.column_list(TABLES)} LEFT JOIN ({_report_sql()}) r USING (tab_nm, col_nm)
 JOIN ({sql.union(f"SELECT '{t}' AS tab_nm, count(*) AS tab_cnt FROM {t}" for t in TABLES)}) n
@@ -383,7 +383,7 @@ USING (tab_nm)"""
             adhoc.replace("{orders}", "orders").replace("{status}", "'P'"),
         ),
         "profile_report": Check(report, _report_sql()),
-        "profile_pipeline": Check(_pipeline, pipeline_sql),
+        "profile_full_run": Check(_full_run, full_run_sql),
     }
 
 
@@ -393,5 +393,5 @@ def checks() -> dict[str, Check]:
         | _value_checks()
         | _pattern_checks()
         | _writeback_checks()
-        | _pipeline_checks()
+        | _run_checks()
     )
