@@ -8,9 +8,10 @@ hold of every document.
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tabscope.llm import simhash, toxicity
+from tabscope.llm import decontamination, mixing, simhash, tokenfiles, toxicity
 from tabscope.llm.common import scratch_table, table
 
 
@@ -22,9 +23,24 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     return simhash.one_of_each(docs)
 
 
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontamination.without_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mixing.mixed(docs)
+
+
+def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return tokenfiles.token_files(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
 STAGES = [
     ("toxicity", drop_toxic),
     ("near_duplicates", drop_near_duplicates),
+    ("decontamination", drop_contaminated),
+    ("mixing", mix_sources),
+    ("token_files", write_tokens),
 ]
 
 #: Language models and tokenizers are not SQL; tests compare with a plain version.

@@ -2,16 +2,23 @@
 
 from __future__ import annotations
 
+import io
 import re
 import uuid
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.fs as pafs
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
+import tabscope
 from tabscope.session import ensure_checkpoint_dir, shared_dir
 
 #: Words as the contracts cut them: runs of anything but ASCII white space.
@@ -35,6 +42,27 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(key, str(BATCH_ROWS))
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Hand this package to the Python workers, once a session, as ``addPyFile`` does."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    root = Path(tabscope.__file__).parent
+    made = io.BytesIO()
+    with zipfile.ZipFile(made, "w") as out:
+        for file in sorted(root.rglob("*.py")):
+            out.write(file, f"tabscope/{file.relative_to(root)}")
+    uri = f"{scratch_dir(spark, 'package')}/tabscope.zip"
+    fs, path = files_at(uri)
+    with fs.open_output_stream(path) as stream:
+        stream.write(made.getvalue())
+    context.addPyFile(uri)
+    _SHIPPED.add(context.applicationId)
+
+
 def map_batches(
     df: DataFrame,
     func: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
@@ -42,6 +70,7 @@ def map_batches(
 ) -> DataFrame:
     """``mapInArrow`` over batches of a bounded number of rows."""
     small_batches(df.sparkSession)
+    ship_package(df.sparkSession)
     return df.mapInArrow(func, schema)
 
 
@@ -92,8 +121,55 @@ def small_side(df: DataFrame, rows: int, row_bytes: int) -> DataFrame:
     return F.broadcast(df) if rows * row_bytes <= BROADCAST_BYTES else df
 
 
-def text_or_empty(value: str | None) -> str:
-    return value if value is not None else ""
+def identified(df: DataFrame, name: str) -> DataFrame:
+    """``df`` with a number per row that stays the same in every plan over its files.
+
+    It is made from the file and the place of the row in it. A frame that is not a plain
+    read of files is written to the shared folder first.
+    """
+    try:
+        place = df.metadataColumn("_metadata")
+        return df.withColumn(name, F.xxhash64(place["file_path"], place["row_index"]))
+    except AnalysisException:
+        return identified(scratch_table(df, "rows"), name)
+
+
+def dense_arrays(table: DataFrame, bits: int, columns: list[str]) -> list[np.ndarray]:
+    """Columns of ``table(at, ...)`` as arrays of 2**bits entries, 0 where ``at`` is absent.
+
+    Their size is fixed by ``bits``; they are packed on the executors, 64k entries a row.
+    """
+    block = min(bits, 16)
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        blocks: dict[int, np.ndarray] = {}
+        for batch in batches:
+            at = batch.column(0).to_numpy(zero_copy_only=False)
+            for b in np.unique(at >> block):
+                mine = at >> block == b
+                full = blocks.setdefault(int(b), np.zeros((len(columns), 1 << block), np.int64))
+                for i in range(len(columns)):
+                    values = batch.column(i + 1).to_numpy(zero_copy_only=False)
+                    full[i][at[mine] & ((1 << block) - 1)] = values[mine]
+        for b, full in blocks.items():
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([b], pa.int64()), pa.array([full.tobytes()], pa.binary())],
+                names=["block", "counts"],
+            )
+
+    spread = table.select("at", *columns).repartition(F.shiftright("at", block))
+    out = np.zeros((len(columns), 1 << bits), np.int64)
+    for row in spread.mapInArrow(pack, "block long, counts binary").collect():
+        part = np.frombuffer(row.counts, np.int64).reshape(len(columns), -1)
+        out[:, row.block << block : (row.block + 1) << block] = part
+    return list(out)
+
+
+def files_at(uri: str) -> tuple[pafs.FileSystem, str]:
+    """File system and path of a URI on any store pyarrow reaches (file, hdfs, s3, gs)."""
+    if uri.startswith("file:/") and not uri.startswith("file:///"):
+        uri = "file:///" + uri[len("file:/") :].lstrip("/")
+    return pafs.FileSystem.from_uri(uri)
 
 
 def words_of(text: str | None) -> list[bytes]:

@@ -4,14 +4,31 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tabscope.llm import simhash, toxicity
+from tabscope.llm import decontamination, mixing, simhash, tokenfiles, toxicity
 from tabscope.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminated(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+
+
+def curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+def token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return tokenfiles.token_files(table(spark, sf_dir, "documents"), path)
+
+
 def simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -24,8 +41,12 @@ def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "pipeline": corpus_pipeline.run,
+        "op1_benchmark_leaks": benchmark_leaks,
         "op3_simhash_near_duplicates": simhash_near_duplicates,
+        "op4_curriculum_mix": curriculum_mix,
         "op6_toxicity": toxicity_scores,
+        "op7_token_files": token_files,
     }
 
 

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabscope.llm.common import appended, map_batches, scratch_table, small_side, words_of
+from tabscope.llm.common import appended, identified, scratch_table, small_side, words_of
 from tabscope.llm.components import components
 
 SHINGLE_WORDS = 4
@@ -39,6 +39,7 @@ SEED = 42
 #: Homes of a cell that meet in one task; larger cells are dealt out.
 CELL_HOMES = 4096
 _CHUNK = 1 << 15
+ROW = "_tabscope_row"
 
 
 def fingerprint(text: str | None, width: int = SHINGLE_WORDS) -> int:
@@ -288,9 +289,10 @@ def links(
 
 
 def classes(fingerprints: DataFrame, bits: int = MAX_BITS, code: Code | None = None) -> DataFrame:
-    """(fp, component_id) of the fingerprints that several documents share or that link.
+    """(fp, root, component_id) of fingerprints that several documents share or that link.
 
-    ``fingerprints(doc_id, fp)``: one row per document. All others stand alone.
+    ``fingerprints(doc_id, fp)``: one row per document. All others stand alone. The root
+    names a component even where none of its documents has an id.
     """
     groups = scratch_table(
         fingerprints.groupBy("fp").agg(
@@ -301,21 +303,19 @@ def classes(fingerprints: DataFrame, bits: int = MAX_BITS, code: Code | None = N
     linked = components(links(groups, groups.count(), bits, code))
     members = linked.join(groups, linked["node"] == groups["fp"]).select("fp", "root", "first")
     smallest = members.groupBy("root").agg(F.min("first").alias("component_id"))
-    found = members.join(smallest, "root").select("fp", "component_id")
+    found = members.join(smallest, "root").select("fp", "root", "component_id")
     alone = groups.where("copies > 1").join(found, "fp", "left_anti")
-    return found.unionAll(alone.select("fp", F.col("first").alias("component_id")))
-
-
-def _narrow(documents: DataFrame, width: int, *extra) -> DataFrame:
-    rows = with_fingerprints(documents.select("doc_id", "text", *extra), "fp", width)
-    return scratch_table(rows.drop("text"), "simhash-fingerprints")
+    return found.unionAll(
+        alone.select("fp", F.col("fp").alias("root"), F.col("first").alias("component_id"))
+    )
 
 
 def near_duplicates(
     documents: DataFrame, width: int = SHINGLE_WORDS, bits: int = MAX_BITS, code: Code | None = None
 ) -> DataFrame:
     """doc_id, fingerprint (16 hex digits) and component_id of every document."""
-    rows = _narrow(documents, width)
+    prints = with_fingerprints(documents.select("doc_id", "text"), "fp", width).drop("text")
+    rows = scratch_table(prints, "simhash-fingerprints")
     found = classes(rows, bits, code)
     alone = F.when(found["fp"].isNull(), rows["doc_id"]).otherwise(F.col("component_id"))
     return rows.join(found, rows["fp"] == found["fp"], "left").select(
@@ -328,46 +328,15 @@ def near_duplicates(
 def one_of_each(
     documents: DataFrame, width: int = SHINGLE_WORDS, bits: int = MAX_BITS
 ) -> DataFrame:
-    """``documents`` with one row of each component: that of the smallest doc_id.
-
-    Rows are told apart by doc_id and a hash of the text; of rows equal in both, one stays.
-    """
-    key = F.xxhash64("text")
-    rows = _narrow(documents, width, key.alias("key"))
-    found = classes(rows, bits)
-    several = rows.join(found, "fp")
-    keep = several.groupBy("fp", "component_id").agg(
-        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")).alias("m")
-    )
-    keep = keep.groupBy("component_id").agg(F.min("m").alias("m"))
-    same = several["component_id"].eqNullSafe(keep["component_id"])
-    losers = (
-        several.join(keep, same)
-        .where(~(F.col("doc_id").eqNullSafe(F.col("m.doc_id")) & (F.col("key") == F.col("m.key"))))
-        .select("doc_id", "key")
-    )
-    repeated = rows.groupBy("doc_id", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    repeated = repeated.select("doc_id", "key")
-    losers = scratch_table(losers.distinct(), "simhash-losers")
-    repeated = scratch_table(repeated.join(losers, _same(repeated, losers), "left_anti"), "simhash-repeats")
-    tagged = documents.withColumn("_tabscope_key", key)
-    kept = _without(tagged, losers)
-    if repeats := repeated.count():
-        side = small_side(repeated, repeats, 32)
-        once = kept.join(side, _row_of(kept, side), "left_semi")
-        once = once.dropDuplicates(["doc_id", "_tabscope_key"])
-        kept = kept.join(side, _row_of(kept, side), "left_anti").unionByName(once)
-    return kept.drop("_tabscope_key")
-
-
-def _same(a: DataFrame, b: DataFrame):
-    return a["doc_id"].eqNullSafe(b["doc_id"]) & (a["key"] == b["key"])
-
-
-def _row_of(tagged: DataFrame, keys: DataFrame):
-    return tagged["doc_id"].eqNullSafe(keys["doc_id"]) & (tagged["_tabscope_key"] == keys["key"])
-
-
-def _without(tagged: DataFrame, keys: DataFrame) -> DataFrame:
-    side = small_side(keys, keys.count(), 32)
-    return tagged.join(side, _row_of(tagged, side), "left_anti")
+    """``documents`` with one row of each component: one with its smallest doc_id."""
+    tagged = identified(documents, ROW)
+    prints = with_fingerprints(tagged.select("doc_id", "text", ROW), "fp", width).drop("text")
+    rows = scratch_table(prints, "simhash-fingerprints")
+    several = rows.join(classes(rows, bits), "fp")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", ROW)
+    # Copies combine per fingerprint first, so that no component meets in one task.
+    kept = several.groupBy("fp", "root").agg(F.min(order).alias("least"))
+    kept = kept.groupBy("root").agg(F.min("least").alias("least"))
+    stay = kept.select(F.col(f"least.{ROW}").alias(ROW))
+    gone = scratch_table(several.select(ROW).join(stay, ROW, "left_anti"), "simhash-gone")
+    return tagged.join(small_side(gone, gone.count(), 32), ROW, "left_anti").drop(ROW)

@@ -30,7 +30,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabscope.llm.common import appended, map_batches, scratch_table, small_side
+from tabscope.llm.common import (
+    appended,
+    dense_arrays,
+    map_batches,
+    scratch_table,
+    small_side,
+)
 
 #: Words are counted in this many buckets, whatever the corpus: the models that are
 #: broadcast have a fixed size (two counts of 4 bytes each: 32 MB).
@@ -47,7 +53,6 @@ CACHE_WORDS = 600_000
 _WORD = re.compile(r"[^\W_]+")
 _WORDS = 1 << WORD_BITS
 _STEMS = 1 << STEM_BITS
-_BLOCK_BITS = 16
 _SLOTS = 1 << 20
 TOP = 2
 
@@ -129,34 +134,6 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield flush()
 
 
-def _dense(table: DataFrame, bits: int, columns: list[str]) -> list[np.ndarray]:
-    """Count columns of ``table(at, ...)`` as arrays of 2**bits; sent packed, 64k a row."""
-    block = min(bits, _BLOCK_BITS)
-
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        blocks: dict[int, np.ndarray] = {}
-        for batch in batches:
-            at = batch.column(0).to_numpy(zero_copy_only=False)
-            for b in np.unique(at >> block):
-                mine = at >> block == b
-                full = blocks.setdefault(int(b), np.zeros((len(columns), 1 << block), np.int64))
-                for i in range(len(columns)):
-                    values = batch.column(i + 1).to_numpy(zero_copy_only=False)
-                    full[i][at[mine] & ((1 << block) - 1)] = values[mine]
-        for b, full in blocks.items():
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([b], pa.int64()), pa.array([full.tobytes()], pa.binary())],
-                names=["block", "counts"],
-            )
-
-    spread = table.select("at", *columns).repartition(F.shiftright("at", block))
-    out = np.zeros((len(columns), 1 << bits), np.int64)
-    for row in spread.mapInArrow(pack, "block long, counts binary").collect():
-        part = np.frombuffer(row.counts, np.int64).reshape(len(columns), -1)
-        out[:, row.block << block : (row.block + 1) << block] = part
-    return list(out)
-
-
 @dataclass
 class Counts:
     """Per bucket: class counts of words, class type counts and tokens of stems."""
@@ -264,7 +241,8 @@ def train(documents: DataFrame, labels: DataFrame) -> Model:
         F.sum(F.col("c0") + F.col("c1")).alias("tokens"),
     )
     counts = Counts(
-        _dense(words, WORD_BITS, ["c0", "c1"]), _dense(stems, STEM_BITS, ["k0", "k1", "tokens"])
+        dense_arrays(words, WORD_BITS, ["c0", "c1"]),
+        dense_arrays(stems, STEM_BITS, ["k0", "k1", "tokens"]),
     ).finish()
     share = int(_SLOTS * min(1.0, FIT_ROWS / max(n, 1)))
     drawn_ids = known.where(F.pmod(F.xxhash64("_id"), F.lit(_SLOTS)) < share)
