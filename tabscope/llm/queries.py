@@ -8,7 +8,17 @@ import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tabscope.llm import decontamination, mixing, simhash, tokenfiles, toxicity
+from tabscope.llm import (
+    decontamination,
+    mixing,
+    qualityrules,
+    simhash,
+    tokencount,
+    tokenfiles,
+    toxicity,
+    urlfilter,
+    warc,
+)
 from tabscope.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,16 +49,76 @@ def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
+#: Verdict, host and path of the contract's rules.
+URL_RULES = (
+    ("allow", "org", "/"),
+    ("block", "example.org", "/es/"),
+    ("block", "example.org", "/en/1"),
+    ("allow", "com", "/fr/"),
+    ("block", "com", "/de/"),
+)
+
+
+def url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = [(verdict, host + path) for verdict, host, path in URL_RULES]
+    listed = spark.createDataFrame(rules, "verdict string, rule string")
+    return urlfilter.judge(table(spark, sf_dir, "pages"), listed)
+
+
+URL_SQL = f"""
+WITH rule(verdict, host, path) AS (VALUES {", ".join(map(str, URL_RULES))}),
+rest AS (
+  SELECT page_id, row_number() OVER () AS nr,
+    CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) END AS url
+  FROM pages
+),
+cut AS (SELECT page_id, nr, url, regexp_extract(url, '^[^/?#]*') AS host FROM rest),
+part AS (
+  SELECT page_id, nr,
+    coalesce(translate(host, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+    coalesce(regexp_extract(substr(url, length(host) + 1), '^[^?#]*'), '') AS path
+  FROM cut
+),
+best AS (
+  SELECT part.nr, arg_max(rule.host || rule.path, length(rule.host || rule.path)) AS rule,
+    arg_max(rule.verdict, length(rule.host || rule.path)) AS verdict
+  FROM part JOIN rule
+    ON (part.host = rule.host OR ends_with(part.host, '.' || rule.host))
+    AND starts_with(part.path, rule.path)
+  GROUP BY part.nr
+)
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict
+FROM part LEFT JOIN best USING (nr)
+"""
+
+
+def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return qualityrules.judged(table(spark, sf_dir, "documents"))
+
+
+def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    return tokencount.token_counts(table(spark, sf_dir, "documents"), path)
+
+
 def queries() -> dict[str, Query]:
     return {
         "pipeline": corpus_pipeline.run,
         "op1_benchmark_leaks": benchmark_leaks,
         "op3_simhash_near_duplicates": simhash_near_duplicates,
         "op4_curriculum_mix": curriculum_mix,
+        "op5_warc_round_trip": warc_round_trip,
         "op6_toxicity": toxicity_scores,
         "op7_token_files": token_files,
+        "op8_url_verdicts": url_verdicts,
+        "op9_quality_rules": quality_rules,
+        "op10_token_counts": token_counts,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op8_url_verdicts": URL_SQL}
