@@ -9,6 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tabscope.llm import (
+    cotraining,
     decontamination,
     mixing,
     qualityrules,
@@ -30,6 +31,12 @@ def benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def cotrained_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cotraining.score_documents(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    )
+
+
 def curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
@@ -109,6 +116,7 @@ def queries() -> dict[str, Query]:
     return {
         "pipeline": corpus_pipeline.run,
         "op1_benchmark_leaks": benchmark_leaks,
+        "op2_cotrained_quality": cotrained_quality,
         "op3_simhash_near_duplicates": simhash_near_duplicates,
         "op4_curriculum_mix": curriculum_mix,
         "op5_warc_round_trip": warc_round_trip,
