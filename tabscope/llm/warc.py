@@ -228,7 +228,7 @@ def entries(archives: DataFrame, step: int = RANGE_BYTES) -> DataFrame:
     for n in range(rounds):
         ahead = reached.join(jumps, ["file", "place"]).select("file", "bytes", F.col("to").alias("place"))
         reached = scratch_table(
-            reached.unionAll(ahead.where("place <> bytes").select("file", "place")).distinct(),
+            reached.unionAll(ahead.where("place <> bytes and place >= 0").select("file", "place")).distinct(),
             "warc-reached",
         )
         if n + 1 < rounds:

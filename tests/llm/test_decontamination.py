@@ -1,0 +1,86 @@
+import numpy as np
+import pytest
+
+from tabscope.llm import decontamination as dc
+
+QUESTION = (
+    "A farmer sells 12 kg of apples to Tom Baker for 30 dollars. Later Tom Baker gives 12 kg back. "
+    "How much does the farmer owe him now?"
+)
+
+
+COUNTED = (
+    "She put 9 apples into the old basket and took 9 pears out of the box while 9 plums "
+    "rolled over the wet floor to the door."
+)
+
+
+@pytest.fixture(scope="module")
+def benchmark(spark):
+    rows = [(6, COUNTED), (1, QUESTION), (2, None), (3, ""), (4, "too short"), (5, QUESTION.replace("farmer", "baker"))]
+    return spark.createDataFrame(rows, "item_id long, text string")
+
+
+def found(spark, benchmark, texts):
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return {(r.doc_id, r.item_id) for r in dc.contaminated(frame, benchmark).collect()}
+
+
+def test_copies_and_reparameterised_questions_are_found(spark, benchmark):
+    before, after = "It was a long day in the garden. ", " And so it went on until the evening came."
+    other = QUESTION.replace("12", "7").replace("Tom Baker", "Ann").replace("30", "99").replace("kg", "pounds")
+    assert found(spark, benchmark, [QUESTION, before + QUESTION + after, before + other + after]) == {
+        (0, 1),
+        (1, 1),
+        (2, 1),
+    }
+
+
+def test_inconsistent_slots_and_clean_texts_are_left_alone(spark, benchmark):
+    parts = COUNTED.split("9")
+    consistent, mixed = "4".join(parts), "{}4{}5{}6{}".format(*parts)
+    assert found(spark, benchmark, [consistent, mixed]) == {(0, 6)}
+    half = QUESTION[: len(QUESTION) // 2]
+    clean = "The farmer walked to the market and sold all of the fruit before noon on that day."
+    assert found(spark, benchmark, [half, clean, "", None, "word"]) == set()
+
+
+def test_template_types():
+    codes, values = dc.template("He paid 3,000 dollars. Then Mary Ann Smith left two hours later.")
+    filled = [int(c) for c, v in zip(codes, values, strict=True) if v]
+    kinds = [int(dc._TYPES[k]) for k in (dc._NUMBER_SLOT, dc._UNIT_SLOT, dc._NAME_SLOT)]
+    assert filled == [kinds[0], kinds[1], kinds[2], kinds[0], kinds[1]]
+    assert len(codes) == 10  # he paid N U then NAME left N U later
+    same, _ = dc.template("he paid 7 euros. then Bob left 9 minutes later")
+    assert np.array_equal(codes[:6], same[:6])
+
+
+def test_planted_passages_of_the_test_tables(spark, documents):
+    benchmark = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")
+    texts = {r.doc_id: r.text for r in documents.collect()}
+    items = {r.item_id: r.text for r in benchmark.collect()}
+    want = {(d, i) for d, t in texts.items() for i, b in items.items() if t and b in t}
+    got = {(r.doc_id, r.item_id) for r in dc.contaminated(documents, benchmark).collect()}
+    assert want and want <= got
+    kept = dc.without_contaminated(documents, benchmark)
+    assert kept.columns == documents.columns
+    assert {r.doc_id for r in kept.collect()} == set(texts) - {d for d, _ in got}
+
+
+def test_boilerplate_shared_by_many_items(spark):
+    head = "please read the following question and choose the best of the answers below "
+    tails = ["".join(f"{w}{chr(97 + i // 10)}{chr(97 + i % 10)} " for w in "pqrstu") for i in range(50)]
+    items = [(i, head + tail) for i, tail in enumerate(tails)]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    texts = [head + "something entirely different follows here", items[3][1]]
+    assert found(spark, benchmark, texts) == {(1, 3)}
+
+
+def test_awkward_and_empty_tables(spark, awkward, nothing, benchmark):
+    assert dc.contaminated(awkward, benchmark).count() == 0
+    kept = dc.without_contaminated(awkward, benchmark)
+    assert kept.columns == awkward.columns and kept.count() == awkward.count()
+    assert dc.contaminated(nothing, benchmark).count() == 0
+    assert dc.contaminated(awkward, benchmark.where("false")).count() == 0
+    repeated = benchmark.select(benchmark.item_id.alias("doc_id"), "text")
+    assert dc.contaminated(repeated.unionAll(repeated), benchmark).count() == 6
