@@ -64,14 +64,16 @@ def constraints(table_constraints: DataFrame, schemas: Sequence[str]) -> DataFra
 def constraint_columns(
     key_column_usage: DataFrame, table_constraints: DataFrame, schemas: Sequence[str]
 ) -> DataFrame:
+    """A constraint name is unique within its table only: MySQL calls every key PRIMARY."""
+    key = ["table_schema", "table_name", "constraint_name"]
     members = keep_schemas(key_column_usage, "table_schema", schemas).select(
-        "table_schema", "constraint_name", "column_name", "ordinal_position"
+        *key, "column_name", "ordinal_position"
     )
     owners = table_constraints.filter(F.col("constraint_type").isin(*CONSTRAINT_CODES)).select(
-        "table_schema", "constraint_name", "constraint_type", "table_name"
+        *key, "constraint_type"
     )
     return shaped(
-        members.join(owners, ["table_schema", "constraint_name"]),
+        members.join(owners, key),
         "constraint_columns",
         owner_nm=F.col("table_schema"),
         cons_nm=F.col("constraint_name"),

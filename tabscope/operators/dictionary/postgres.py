@@ -38,6 +38,11 @@ def _relations(pg_class: DataFrame, pg_namespace: DataFrame) -> DataFrame:
     return pg_class.join(namespaces, "relnamespace")
 
 
+def _relation_comments(pg_description: DataFrame) -> DataFrame:
+    """Comments on relations; an oid is unique within its system catalog only."""
+    return pg_description.filter(F.col("classname") == "pg_class")
+
+
 def tables(
     info_tables: DataFrame,
     pg_class: DataFrame,
@@ -61,7 +66,7 @@ def tables(
         "n_live_tup",
         "last_analyze",
     )
-    comments = pg_description.filter(F.col("objsubid") == 0).select(
+    comments = _relation_comments(pg_description).filter(F.col("objsubid") == 0).select(
         F.col("objoid").alias("oid"), "description"
     )
     # Facts hang on the relation, whose ids are never NULL; tables meet them by name.
@@ -95,7 +100,7 @@ def columns(
         F.col("relname").alias("table_name"),
         F.col("relid").alias("objoid"),
     )
-    comments = pg_description.select(
+    comments = _relation_comments(pg_description).select(
         "objoid", F.col("objsubid").alias("ordinal_position"), "description"
     )
     described = relations.join(comments, "objoid").drop("objoid")

@@ -165,13 +165,16 @@ def column_work_group(col_seq: Column) -> Column:
 def primary_key_positions(
     columns: DataFrame, constraints: DataFrame, constraint_columns: DataFrame
 ) -> DataFrame:
-    """Columns with ``pk_col_seq``, their place in the primary key or NULL."""
-    primary = constraints.filter(F.col("cons_type") == "P").select(
-        "owner_nm", "cons_nm", F.col("table_nm").alias("tab_nm")
-    )
+    """Columns with ``pk_col_seq``, their place in the primary key or NULL.
+
+    Keys are found by table and name, since tables may share constraint names.
+    """
+    key = ["owner_nm", "tab_nm", "cons_nm"]
+    named = F.col("table_nm").alias("tab_nm")
+    primary = constraints.filter(F.col("cons_type") == "P").select("owner_nm", named, "cons_nm")
     members = (
-        constraint_columns.select("owner_nm", "cons_nm", "col_nm", "pos")
-        .join(primary, ["owner_nm", "cons_nm"])
+        constraint_columns.select("owner_nm", named, "cons_nm", "col_nm", "pos")
+        .join(primary, key)
         .select("owner_nm", "tab_nm", "col_nm", F.col("pos").alias("pk_col_seq"))
     )
     return columns.join(members, ["owner_nm", "tab_nm", "col_nm"], "left")

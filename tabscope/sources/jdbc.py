@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,7 +26,7 @@ FETCH_ROWS = 10_000
 @dataclass(frozen=True)
 class Credentials:
     user: str
-    password: str
+    password: str = field(repr=False)
 
     @classmethod
     def from_env(cls, user_var: str, password_var: str) -> "Credentials":
@@ -154,7 +154,10 @@ CATALOGS = {
         "pg_namespace": "(SELECT oid, nspname FROM pg_namespace) n",
         "pg_tablespace": "(SELECT oid, spcname FROM pg_tablespace) s",
         "pg_stat": "pg_stat_all_tables",
-        "pg_description": "pg_description",
+        "pg_description": (
+            "(SELECT objoid, classoid::regclass::text AS classname, objsubid, description "
+            "FROM pg_description) d"
+        ),
         "pg_index": "(SELECT indexrelid, indrelid, indisunique, indisvalid FROM pg_index) i",
         "pg_am": "(SELECT oid, amname FROM pg_am) a",
     },
@@ -176,7 +179,7 @@ CATALOGS = {
         "allocation_units": "sys.allocation_units",
         "default_constraints": "sys.default_constraints",
         "extended_properties": (
-            "(SELECT major_id, minor_id, name, CAST(value AS NVARCHAR(4000)) AS value "
+            "(SELECT major_id, minor_id, name, CAST(value AS NVARCHAR(MAX)) AS value "
             "FROM sys.extended_properties) p"
         ),
         "table_constraints": "INFORMATION_SCHEMA.TABLE_CONSTRAINTS",

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tabscope.operators.dictionary import ansi, lake, legacy, mssql, mysql, oracle, postgres, snapshot
 from tabscope.operators.dictionary.common import drop_system_schemas, keep_schemas, shaped, stamped
+from tabscope.operators.registration import primary_key_positions
 
 MB = 1024 * 1024
 TS = dt.datetime(2024, 5, 6, 7, 8, 9)
@@ -125,7 +126,8 @@ def pg(spark):
         "ns": make([(1, "s"), (2, "z")], "oid bigint, nspname string"),
         "space": make([(7, "fast")], "oid bigint, spcname string"),
         "stat": make([("s", "t", 10, 42, TS)], "schemaname string, relname string, relid bigint, n_live_tup bigint, last_analyze timestamp_ntz"),
-        "descr": make([(10, 0, "table"), (10, 2, "second")], "objoid bigint, objsubid int, description string"),
+        "descr": make([(10, "pg_class", 0, "table"), (10, "pg_proc", 0, "function of the same oid"), (10, "pg_class", 2, "second")],
+                      "objoid bigint, classname string, objsubid int, description string"),
     }
 
 
@@ -174,12 +176,24 @@ def test_ansi_constraints(spark, rows):
     constraints = spark.createDataFrame(
         [("s", "t", "pk", "PRIMARY KEY"), ("s", "t", "fk", "FOREIGN KEY"), ("s", "t", "u", "UNIQUE"), ("s", "t", "ck", "CHECK"), ("z", "t", "pk", "PRIMARY KEY")],
         "table_schema string, table_name string, constraint_name string, constraint_type string")
-    usage = spark.createDataFrame([("s", "pk", "a", 1), ("s", "pk", "b", 2), ("s", "ck", "a", 1), ("z", "pk", "a", 1)],
-                                  "table_schema string, constraint_name string, column_name string, ordinal_position int")
+    usage = spark.createDataFrame([("s", "t", "pk", "a", 1), ("s", "t", "pk", "b", 2), ("s", "t", "ck", "a", 1), ("z", "t", "pk", "a", 1)],
+                                  "table_schema string, table_name string, constraint_name string, column_name string, ordinal_position int")
     assert rows(ansi.constraints(constraints, ["s"]), "cons_nm", "cons_type") == [("fk", "R"), ("pk", "P"), ("u", "U")]
     assert rows(ansi.constraint_columns(usage, constraints, ["s"]), "cons_nm", "col_nm", "cons_type", "pos") == [("pk", "a", "P", 1), ("pk", "b", "P", 2)]
 
 
+def test_tables_may_share_constraint_names(spark):
+    """MySQL names every primary key PRIMARY: 200 tables have 200 key columns."""
+    constraints = spark.range(200).selectExpr(
+        "'s' AS table_schema", "concat('t', id) AS table_name", "'PRIMARY' AS constraint_name", "'PRIMARY KEY' AS constraint_type")
+    usage = constraints.selectExpr("table_schema", "table_name", "constraint_name", "'id' AS column_name", "1 AS ordinal_position")
+    members = ansi.constraint_columns(usage, constraints, ["s"])
+    assert members.count() == 200
+    columns = members.selectExpr("owner_nm", "table_nm AS tab_nm", "col_nm")
+    placed = primary_key_positions(columns, ansi.constraints(constraints, ["s"]), members)
+    assert placed.count() == 200 and placed.filter("pk_col_seq = 1").count() == 200
+
+
 @pytest.fixture(scope="module")
 def ms(spark):
     make = spark.createDataFrame

@@ -12,17 +12,14 @@ from verification.tables import TABLES
 QUERIES = {name: f for name, f in contract.queries().items() if name in contract.library()}
 SQL = {name: sql for name, sql in contract.oracle_sql().items() if name in QUERIES}
 
-#: Results that live outside the tables: file sizes of the directory.
-ROWS_ONLY = {"dic_segments_spark"}
-
 
 @pytest.fixture(scope="module")
 def con():
     return connect(SMALL)
 
 
-def test_every_query_but_the_listed_has_sql():
-    assert set(QUERIES) - set(SQL) == ROWS_ONLY
+def test_every_query_has_sql():
+    assert set(QUERIES) == set(SQL)
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
@@ -30,11 +27,6 @@ def test_query(spark, con, name):
     assert difference(QUERIES[name](spark, SMALL), con, SQL[name]) is None
 
 
-@pytest.mark.parametrize("name", sorted(ROWS_ONLY))
-def test_rows_only(spark, name):
-    assert QUERIES[name](spark, SMALL).count() == 14
-
-
 def test_entry(spark):
     columns = sum(len(structured(t)) for t in TABLES)
     assert contract.entry(spark).count() == columns

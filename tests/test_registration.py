@@ -30,7 +30,7 @@ def snapshot(spark, sizes=(("T", 30), ("U", 20), ("V", 10), ("W", 5)), chasu=1,
             "segment_nm string, segment_type string, segment_size bigint",
         ),
         constraints=make([("PK_T", "P", "T"), ("FK_T", "R", "T")], "cons_nm string, cons_type string, table_nm string"),
-        constraint_columns=make([("PK_T", "B", 1), ("FK_T", "A", 1)], "cons_nm string, col_nm string, pos int"),
+        constraint_columns=make([("PK_T", "T", "B", 1), ("FK_T", "T", "A", 1)], "cons_nm string, table_nm string, col_nm string, pos int"),
         indexes=make([("PK_T", "T")], "index_nm string, tab_nm string"),
     )
 

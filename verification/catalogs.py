@@ -141,17 +141,18 @@ ANSI = {
     "info_views": f"""
         SELECT o.o_orderpriority AS table_schema, {_TABLE} AS table_name
         FROM {{orders}} o WHERE o.o_orderstatus = 'O'""",
+    # Constraint names repeat across tables, as MySQL's PRIMARY does.
     "table_constraints": f"""
         SELECT o.o_orderpriority AS table_schema, {_TABLE} AS table_name,
-               'K' || {_KEY} || '_' || {_LINE} AS constraint_name,
+               CASE WHEN l.l_linenumber = 1 THEN 'PRIMARY' ELSE 'K' || {_LINE} END
+                   AS constraint_name,
                CASE WHEN l.l_linenumber = 1 THEN 'PRIMARY KEY' WHEN l.l_linenumber = 2 THEN 'UNIQUE'
                     WHEN l.l_linenumber = 3 THEN 'FOREIGN KEY' ELSE 'CHECK' END AS constraint_type
         {_LINES} {_PER_LINE}""",
     "key_column_usage": f"""
-        SELECT o.o_orderpriority AS table_schema,
-               'K' || {_KEY} || '_'
-                   || CASE WHEN l.l_linenumber <= 3 THEN '1' ELSE CAST(l.l_linenumber - 2 AS STRING) END
-                   AS constraint_name,
+        SELECT o.o_orderpriority AS table_schema, {_TABLE} AS table_name,
+               CASE WHEN l.l_linenumber <= 3 THEN 'PRIMARY'
+                    ELSE 'K' || CAST(l.l_linenumber - 2 AS STRING) END AS constraint_name,
                'C' || {_LINE} AS column_name, l.l_linenumber AS ordinal_position
         {_LINES} {_PER_LINE}""",
     "statistics": f"""
@@ -191,10 +192,14 @@ POSTGRES = {
                o.o_custkey AS n_live_tup, o.o_orderdate AS last_analyze
         FROM {{orders}} o WHERE o.o_totalprice > 50000""",
     "pg_description": f"""
-        SELECT o.o_orderkey * 10 AS objoid, 0 AS objsubid, 'table ' || {_KEY} AS description
+        SELECT o.o_orderkey * 10 AS objoid, 'pg_class' AS classname, 0 AS objsubid,
+               'table ' || {_KEY} AS description
         FROM {{orders}} o WHERE o.o_totalprice >= 100000
         UNION ALL
-        SELECT o.o_orderkey * 10, l.l_linenumber, 'line ' || {_LINE}
+        SELECT o.o_orderkey * 10, 'pg_proc', 0, 'function ' || {_KEY}
+        FROM {{orders}} o WHERE o.o_totalprice >= 150000
+        UNION ALL
+        SELECT o.o_orderkey * 10, 'pg_class', l.l_linenumber, 'line ' || {_LINE}
         {_LINES} {_PER_LINE} HAVING max(l.l_tax) > 0.01""",
     "pg_index": f"""
         SELECT o.o_orderkey * 10 + l.l_linenumber AS indexrelid, o.o_orderkey * 10 AS indrelid,
@@ -278,21 +283,23 @@ DICTIONARY = {
                CASE WHEN l.l_returnflag = 'R' AND l.l_linenumber < 7
                     THEN 'I' || {_KEY} || '_' || {_LINE} ELSE {_TABLE} END AS segment_nm,
                CASE WHEN l.l_returnflag = 'A' THEN 'TABLE'
-                    WHEN l.l_returnflag = 'N' THEN 'TABLE PARTITION' ELSE 'INDEX' END AS segment_type,
+                    WHEN l.l_returnflag = 'N' THEN 'TABLE PARTITION'
+                    WHEN l.l_linestatus = 'F' AND l.l_linenumber % 2 = 0 THEN 'INDEX PARTITION'
+                    ELSE 'INDEX' END AS segment_type,
                {_BYTES} AS segment_size
         {_LINES}""",
     "dic_constraints": f"""
-        SELECT {_SNAP}, 'K' || {_KEY} || '_' || {_LINE} AS cons_nm,
+        SELECT {_SNAP},
+               CASE WHEN l.l_linenumber = 1 THEN 'PRIMARY' ELSE 'K' || {_LINE} END AS cons_nm,
                CASE WHEN l.l_linenumber = 1 THEN 'P' WHEN l.l_linenumber = 2 THEN 'U' ELSE 'R' END
                    AS cons_type,
                {_TABLE} AS table_nm
         {_LINES} {_PER_LINE}""",
     "dic_constraint_columns": f"""
         SELECT {_SNAP},
-               'K' || {_KEY} || '_'
-                   || CASE WHEN l.l_linenumber <= 3 THEN '1' ELSE CAST(l.l_linenumber - 2 AS STRING) END
-                   AS cons_nm,
-               'C' || {_LINE} AS col_nm, l.l_linenumber AS pos
+               CASE WHEN l.l_linenumber <= 3 THEN 'PRIMARY'
+                    ELSE 'K' || CAST(l.l_linenumber - 2 AS STRING) END AS cons_nm,
+               {_TABLE} AS table_nm, 'C' || {_LINE} AS col_nm, l.l_linenumber AS pos
         {_LINES} {_PER_LINE}""",
     "dic_indexes": f"""
         SELECT {_SNAP}, 'I' || {_KEY} || '_' || {_LINE} AS index_nm, {_TABLE} AS tab_nm

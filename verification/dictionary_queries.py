@@ -77,8 +77,7 @@ SELECT owner AS owner_nm, segment_name AS segment_nm,
 FROM dba_segments
 WHERE owner IN {_IN} AND NOT starts_with(segment_name, 'BIN$')
   AND segment_type IN ('TABLE', 'TABLE PARTITION', 'INDEX', 'INDEX PARTITION')"""
-_ANSI_CODE = "CASE left(constraint_type, 1) WHEN 'F' THEN 'R' ELSE left(constraint_type, 1) END"
-_ANSI_KINDS = "('PRIMARY KEY', 'UNIQUE', 'FOREIGN KEY')"
+_ANSI_CODES = "(VALUES ('PRIMARY KEY', 'P'), ('UNIQUE', 'U'), ('FOREIGN KEY', 'R')) c(kind, code)"
 
 
 def _ansi_columns_sql(comment: str, joins: str = "") -> str:
@@ -104,7 +103,7 @@ def _normalisers() -> dict[str, Check]:
         postgres.tables,
         f"""
 WITH relation AS (
-    SELECT ns.nspname, cl.* FROM pg_class cl, pg_namespace ns WHERE cl.relnamespace = ns.oid
+    SELECT ns.nspname, cl.* FROM pg_class cl JOIN pg_namespace ns ON ns.oid = cl.relnamespace
 )
 SELECT i.table_schema AS owner_nm, i.table_name AS tab_nm, ifnull(d.description, '') AS tab_comment,
        sp.spcname AS tablespace_nm, st.n_live_tup AS row_cnt,
@@ -115,7 +114,7 @@ FROM info_tables i
 LEFT JOIN relation r ON r.nspname = i.table_schema AND r.relname = i.table_name
 LEFT JOIN pg_tablespace sp ON sp.oid = r.reltablespace
 LEFT JOIN pg_stat st ON (st.schemaname, st.relname) = (i.table_schema, i.table_name)
-LEFT JOIN pg_description d ON d.objoid = r.oid AND d.objsubid = 0
+LEFT JOIN pg_description d ON d.objoid = r.oid AND d.classname = 'pg_class' AND d.objsubid = 0
 WHERE i.table_type = 'BASE TABLE' AND i.table_schema IN {_IN}""",
     )
     out["dic_tables_mysql"] = _check(
@@ -181,7 +180,8 @@ WHERE c.owner IN {_IN}
         postgres.columns,
         _ansi_columns_sql(
             "d.description",
-            "LEFT JOIN (pg_stat s JOIN pg_description d ON d.objoid = s.relid) "
+            "LEFT JOIN (pg_stat s JOIN pg_description d "
+            "ON d.objoid = s.relid AND d.classname = 'pg_class') "
             "ON s.schemaname = c.table_schema AND s.relname = c.table_name "
             "AND d.objsubid = c.ordinal_position",
         ),
@@ -205,12 +205,14 @@ SELECT s.name AS owner_nm, t.name AS tab_nm, c.name AS col_nm, ifnull(r.value, '
        c.column_id AS col_seq, y.name AS data_type, ifnull(c.max_length, c.precision) AS data_len,
        if(c.is_nullable = 1, 'Y', 'N') AS null_yn, c.precision AS data_precision,
        c.scale AS data_scale, d.definition AS def_value
-FROM sys_schemas s, sys_tables t, sys_types y, sys_columns c
+FROM sys_columns c
+JOIN sys_tables t ON t.object_id = c.object_id
+JOIN sys_schemas s ON s.schema_id = t.schema_id
+JOIN sys_types y ON y.user_type_id = c.user_type_id
 LEFT JOIN remark r ON r.major_id = c.object_id AND r.minor_id = c.column_id
 LEFT JOIN default_constraints d
        ON (d.parent_object_id, d.parent_column_id) = (c.object_id, c.column_id)
-WHERE t.object_id = c.object_id AND t.schema_id = s.schema_id
-  AND y.user_type_id = c.user_type_id AND s.name IN {_IN}""",
+WHERE s.name IN {_IN}""",
     )
     out["dic_segments_oracle"] = _check(
         (*_SEGMENT_COLUMNS, "tablespace_nm"), ("dba_segments",), oracle.segments, _ORACLE_SEGMENTS_SQL
@@ -225,8 +227,10 @@ WITH kind(code, name) AS (
 )
 SELECT ns.nspname AS owner_nm, cl.relname AS segment_nm, 'NOPART' AS partition_nm,
        kind.name AS segment_type, 0 AS head_block_cnt, cl.size_bytes AS segment_size, 0 AS block_cnt
-FROM kind, pg_class cl, pg_namespace ns
-WHERE kind.code = cl.relkind AND ns.oid = cl.relnamespace AND ns.nspname IN {_IN}""",
+FROM pg_class cl
+JOIN kind ON kind.code = cl.relkind
+JOIN pg_namespace ns ON ns.oid = cl.relnamespace
+WHERE ns.nspname IN {_IN}""",
     )
     out["dic_segments_mysql"] = _check(
         _SEGMENT_COLUMNS,
@@ -266,9 +270,10 @@ WHERE owner IN {_IN} AND constraint_type <> 'C' AND status <> 'DISABLED'
         ("table_constraints",),
         ansi.constraints,
         f"""
-SELECT table_schema AS owner_nm, constraint_name AS cons_nm, {_ANSI_CODE} AS cons_type,
+SELECT table_schema AS owner_nm, constraint_name AS cons_nm, c.code AS cons_type,
        table_name AS table_nm
-FROM table_constraints WHERE table_schema IN {_IN} AND constraint_type IN {_ANSI_KINDS}""",
+FROM table_constraints JOIN {_ANSI_CODES} ON c.kind = constraint_type
+WHERE table_schema IN {_IN}""",
     )
     out["dic_cons_cols_oracle"] = _check(
         _CONS_COL_COLUMNS,
@@ -287,9 +292,11 @@ FROM live JOIN all_cons_columns m USING (owner, constraint_name) WHERE owner IN
         ansi.constraint_columns,
         f"""
 SELECT table_schema AS owner_nm, constraint_name AS cons_nm, k.column_name AS col_nm,
-       {_ANSI_CODE} AS cons_type, t.table_name AS table_nm, k.ordinal_position AS pos
-FROM table_constraints t JOIN key_column_usage k USING (table_schema, constraint_name)
-WHERE table_schema IN {_IN} AND constraint_type IN {_ANSI_KINDS}""",
+       c.code AS cons_type, table_name AS table_nm, k.ordinal_position AS pos
+FROM table_constraints t
+JOIN key_column_usage k USING (table_schema, table_name, constraint_name)
+JOIN {_ANSI_CODES} ON c.kind = t.constraint_type
+WHERE table_schema IN {_IN}""",
     )
     out["dic_indexes_oracle"] = _check(
         (*_INDEX_COLUMNS, "tablespace_nm"),
@@ -297,7 +304,7 @@ WHERE table_schema IN {_IN} AND constraint_type IN {_ANSI_KINDS}""",
         oracle.indexes,
         f"""
 SELECT owner AS owner_nm, index_name AS index_nm, table_name AS tab_nm, index_type, uniqueness,
-       left(translate(partitioned, 'YES', 'Y  '), 1) AS part_yn, status,
+       if(partitioned = 'YES', 'Y', 'N') AS part_yn, status,
        tablespace_name AS tablespace_nm
 FROM all_indexes WHERE owner IN {_IN}""",
     )
@@ -309,10 +316,13 @@ FROM all_indexes WHERE owner IN {_IN}""",
 SELECT ns.nspname AS owner_nm, ic.relname AS index_nm, tc.relname AS tab_nm,
        pg_am.amname AS index_type, if(indisunique, 'UNIQUE', 'NONUNIQUE') AS uniqueness,
        'N' AS part_yn, if(indisvalid, 'VALID', 'UNUSABLE') AS status, sp.spcname AS tablespace_nm
-FROM pg_index ix, pg_class tc, pg_namespace ns, pg_am,
-     pg_class ic LEFT JOIN pg_tablespace sp ON sp.oid = ic.reltablespace
-WHERE ic.oid = indexrelid AND tc.oid = indrelid AND ns.oid = tc.relnamespace
-  AND pg_am.oid = ic.relam AND ns.nspname IN {_IN}""",
+FROM pg_index ix
+JOIN pg_class ic ON ic.oid = ix.indexrelid
+JOIN pg_class tc ON tc.oid = ix.indrelid
+JOIN pg_namespace ns ON ns.oid = tc.relnamespace
+JOIN pg_am ON pg_am.oid = ic.relam
+LEFT JOIN pg_tablespace sp ON sp.oid = ic.reltablespace
+WHERE ns.nspname IN {_IN}""",
     )
     out["dic_indexes_mysql"] = _check(
         _INDEX_COLUMNS,
@@ -487,7 +497,6 @@ LEFT JOIN ({sql.union(map(sql.stats, SCHEMAS))}) s
 LEFT JOIN ({counts}) c ON c.tab_nm = i.table_name
 WHERE table_name IN ({names})""",
         ),
-        "dic_segments_spark": Check(lambda frames: comparable(files(frames))),
         "dic_tables_spark": Check(
             lake_tables,
             f"SELECT 'main' AS owner_nm, tab_nm, n AS row_cnt, 'N' AS part_yn FROM ({counts})",

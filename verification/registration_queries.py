@@ -98,7 +98,7 @@ FROM fresh n FULL JOIN old_tables o
 _PK = """
 pk AS (
     SELECT m.owner_nm, k.table_nm AS tab_nm, m.col_nm, m.pos AS pk_col_seq
-    FROM dic_constraints k JOIN dic_constraint_columns m USING (owner_nm, cons_nm)
+    FROM dic_constraints k JOIN dic_constraint_columns m USING (owner_nm, table_nm, cons_nm)
     WHERE k.cons_type = 'P'
 )"""
 
@@ -263,7 +263,8 @@ GROUP BY s.owner_nm, s.segment_nm""",
                 f"""SELECT i.owner_nm, i.tab_nm, count(DISTINCT i.index_nm) AS index_cnt,
        CAST(ifnull(sum(s.segment_size), 0) // 1048576 AS BIGINT) AS ind_size
 FROM dic_indexes i LEFT JOIN dic_segments s
-  ON s.owner_nm = i.owner_nm AND s.segment_nm = i.index_nm AND s.segment_type = 'INDEX'
+  ON s.owner_nm = i.owner_nm AND s.segment_nm = i.index_nm
+  AND s.segment_type IN ('INDEX', 'INDEX PARTITION')
 WHERE i.owner_nm IN {_IN} GROUP BY i.owner_nm, i.tab_nm""",
             ),
         ),
