@@ -56,11 +56,12 @@ def collect_dictionary(
     if chasu is None:
         chasu = next_snapshot(store.read("dic_snapshots"), db_nm).first()["chasu"]
     scope = {"db_nm": db_nm, "chasu": chasu}
-    store.replace_scope("dic_snapshots", snapshot_row(spark, db_nm, chasu, run_ts), scope)
     for kind, frame in parts.items():
         store.replace_scope(
             f"dic_{kind}", stamped(frame, db_nm, chasu, run_ts.date()), scope
         )
+    # The row that makes this snapshot the latest comes last: it is never incomplete.
+    store.replace_scope("dic_snapshots", snapshot_row(spark, db_nm, chasu, run_ts), scope)
     return chasu
 
 

@@ -1,13 +1,17 @@
 """Result store: parquet tables below one root.
 
-Dictionary and histogram tables are laid out by their scope columns, and a load replaces
-exactly its scope, also when it has no rows. Masters are kept as numbered revisions: an
-update reads the newest one and writes the next, never the files it is reading.
+Every load writes a directory of its own, and only when all of it is there a new manifest
+makes it part of the table: a small file that maps each scope (the values of the partition
+columns) to the directories that hold it. Readers follow the newest manifest. A load that
+fails, or runs beside a reader, changes nothing; a load without rows publishes an empty
+scope. Directories the last two manifests no longer name are removed.
 """
 
 from __future__ import annotations
 
+import json
 import re
+import uuid
 from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -43,10 +47,10 @@ TABLES: dict[str, tuple[dict[str, str], tuple[str, ...]]] = {
         },
         PATTERN_SCOPE,
     ),
-    "table_master": (TABLE_MASTER, ("rev",)),
-    "column_master": (COLUMN_MASTER, ("rev",)),
+    "table_master": (TABLE_MASTER, ()),
+    "column_master": (COLUMN_MASTER, ()),
 }
-_SCOPE_TYPES = {"chasu": "int", "rev": "int"}
+_SCOPE_TYPES = {"chasu": "int"}
 
 # Characters Spark escapes in a partition directory name.
 _ESCAPED = re.compile(r"[\x00-\x1f\x7f\"#%'*/:=?\\{\[\]^]")
@@ -78,12 +82,66 @@ class ResultStore:
         path = self._spark._jvm.org.apache.hadoop.fs.Path(location)
         return path.getFileSystem(self._spark._jsc.hadoopConfiguration()), path
 
-    def read(self, table: str) -> DataFrame:
-        """The table, empty if nothing has been written. Scope filters prune files."""
-        fs, path = self._hadoop(self.path(table))
+    # Manifests -------------------------------------------------------------------------
+
+    def _manifests(self, table: str) -> list[int]:
+        """Numbers of the published manifests, oldest first."""
+        fs, path = self._hadoop(f"{self.path(table)}/_manifests")
         if not fs.exists(path):
+            return []
+        names = (status.getPath().getName() for status in fs.listStatus(path))
+        return sorted(int(n.removesuffix(".json")) for n in names if n.endswith(".json"))
+
+    def _manifest(self, table: str, number: int | None) -> dict[str, list[str]]:
+        """Scope to its directories, both below the table's path."""
+        if number is None:
+            return {}
+        fs, path = self._hadoop(f"{self.path(table)}/_manifests/{number:010d}.json")
+        stream = fs.open(path)
+        try:
+            data = self._spark._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)
+        finally:
+            stream.close()
+        return json.loads(bytes(data))
+
+    def _publish(self, table: str, manifest: dict[str, list[str]], number: int) -> None:
+        """Write a manifest beside its place, then rename it: it is there whole or not at all."""
+        fs, draft = self._hadoop(f"{self.path(table)}/_manifests/.{uuid.uuid4().hex}")
+        stream = fs.create(draft)
+        try:
+            stream.write(bytearray(json.dumps(manifest, ensure_ascii=False).encode()))
+        finally:
+            stream.close()
+        _, target = self._hadoop(f"{self.path(table)}/_manifests/{number:010d}.json")
+        if fs.exists(target) or not fs.rename(draft, target):
+            fs.delete(draft, False)
+            raise RuntimeError(f"{table} was changed by another load; repeat this one")
+
+    def _remove_superseded(self, table: str) -> None:
+        """Keep the last two manifests and what they name; readers may still use both."""
+        numbers = self._manifests(table)
+        kept = {d for n in numbers[-2:] for ds in self._manifest(table, n).values() for d in ds}
+        for n in numbers[:-2]:
+            gone = {d for ds in self._manifest(table, n).values() for d in ds} - kept
+            for directory in sorted(gone):
+                fs, path = self._hadoop(f"{self.path(table)}/{directory}")
+                fs.delete(path, True)
+            fs, path = self._hadoop(f"{self.path(table)}/_manifests/{n:010d}.json")
+            fs.delete(path, False)
+
+    # Reading and writing ---------------------------------------------------------------
+
+    def read(self, table: str) -> DataFrame:
+        """The table, empty if nothing has been published. Scope filters prune files."""
+        numbers = self._manifests(table)
+        manifest = self._manifest(table, numbers[-1]) if numbers else {}
+        directories = sorted({d for ds in manifest.values() for d in ds})
+        if not directories:
             return self._spark.createDataFrame([], self.schema(table))
-        return self._spark.read.schema(self.schema(table)).parquet(self.path(table))
+        schema = T.StructType([*self.schema(table).fields, T.StructField("load", T.StringType())])
+        paths = [f"{self.path(table)}/{d}" for d in directories]
+        reader = self._spark.read.schema(schema).option("basePath", self.path(table))
+        return reader.parquet(*paths).drop("load")
 
     def replace_scope(self, table: str, df: DataFrame, scope: Mapping[str, object]) -> None:
         """Replace all rows of one scope by ``df``.
@@ -91,68 +149,105 @@ class ResultStore:
         ``scope`` gives values for a leading part of the table's partition columns; the
         rest are written as partitions below it. No rows means an empty scope.
         """
-        columns, layout = TABLES[table]
+        _, layout = TABLES[table]
         if list(scope) != list(layout[: len(scope)]):
             raise ValueError(f"{table} is laid out by {layout}; got the scope {list(scope)}")
-        below = layout[len(scope):]
-        body = [
-            (F.col(n) if n in df.columns else F.lit(None)).cast(t).alias(n)
-            for n, t in columns.items()
-            if n not in scope
-        ]
-        target = "/".join([self.path(table), *[_directory(c, v) for c, v in scope.items()]])
-        rows = df.select(*body, *[c for c in below if c not in columns])
-        self._write(rows, "overwrite", below, target)
+        self._load(table, df, [scope])
 
     def replace_scopes(
         self, table: str, df: DataFrame, scopes: Iterable[Mapping[str, object]]
     ) -> None:
-        """Replace several full scopes by one write: they are cleared, then appended to."""
-        columns, layout = TABLES[table]
+        """Replace several full scopes by one load."""
+        _, layout = TABLES[table]
+        scopes = list(scopes)
         for scope in scopes:
             if list(scope) != list(layout):
                 raise ValueError(f"{table} is laid out by {layout}; got the scope {list(scope)}")
-            steps = [_directory(c, v) for c, v in scope.items()]
-            fs, path = self._hadoop("/".join([self.path(table), *steps]))
-            fs.delete(path, True)
-        rows = df.select(
-            *[
-                (F.col(n) if n in df.columns else F.lit(None)).cast(t).alias(n)
-                for n, t in columns.items()
-            ],
-            *[c for c in layout if c not in columns],
-        )
-        self._write(rows, "append", layout, self.path(table))
+        self._load(table, df, scopes, fixed={})
 
     def append(self, table: str, df: DataFrame) -> None:
         """Add rows without replacing any."""
-        self.replace_scopes(table, df, ())
+        self._load(table, df, [], fixed={})
+
+    def _load(
+        self,
+        table: str,
+        df: DataFrame,
+        scopes: Sequence[Mapping[str, object]],
+        fixed: Mapping[str, object] | None = None,
+    ) -> None:
+        """Write ``df``, then publish it in place of ``scopes``.
+
+        ``fixed`` gives partition values that ``df`` need not hold; by default those of
+        the only scope.
+        """
+        columns, layout = TABLES[table]
+        fixed = scopes[0] if fixed is None else fixed
+        replaced = ["/".join(_directory(c, v) for c, v in scope.items()) for scope in scopes]
+        below = [c for c in layout if c not in fixed]
+        body = [
+            (F.col(n) if n in df.columns else F.lit(None)).cast(t).alias(n)
+            for n, t in columns.items()
+            if n not in fixed
+        ]
+        load = f"load={uuid.uuid4().hex}"
+        steps = [load, *[_directory(c, v) for c, v in fixed.items()]]
+        target = "/".join([self.path(table), *steps])
+        try:
+            rows = df.select(*body, *[c for c in below if c not in columns])
+            self._write(rows, below, target)
+            found = self._partitions(target, len(below))
+        except BaseException:
+            fs, path = self._hadoop(f"{self.path(table)}/{load}")
+            fs.delete(path, True)
+            raise
+        numbers = self._manifests(table)
+        newest = numbers[-1] if numbers else None
+        manifest = {
+            scope: directories
+            for scope, directories in self._manifest(table, newest).items()
+            if not any(scope == r or not r or scope.startswith(f"{r}/") for r in replaced)
+        }
+        for tail in found:
+            directory = "/".join([*steps, *tail])
+            scope = "/".join([*steps[1:], *tail])
+            manifest[scope] = [*manifest.get(scope, []), directory]
+        self._publish(table, manifest, (newest or 0) + 1)
+        self._remove_superseded(table)
+
+    def _partitions(self, target: str, depth: int) -> list[list[str]]:
+        """Directory names of the partitions below a finished load that hold files."""
+        fs, path = self._hadoop(target)
+        if not fs.exists(path):
+            return []
+        if not depth:
+            return [[]]
+        _, pattern = self._hadoop("/".join([target, *["*=*"] * depth]))
+        return [
+            str(status.getPath().toString()).split("/")[-depth:]
+            for status in fs.globStatus(pattern)
+        ]
 
     @staticmethod
-    def _write(rows: DataFrame, mode: str, partitions: Sequence[str], target: str) -> None:
+    def _write(rows: DataFrame, partitions: Sequence[str], target: str) -> None:
         """Write, with rows of one partition brought together and large ones split.
 
         Without the rebalance every task would leave a file in every partition.
         """
-        if not partitions:
-            rows.write.mode(mode).parquet(target)
-            return
-        rows.hint("rebalance", *partitions).write.mode(mode).option(
-            "partitionOverwriteMode", "static"
-        ).partitionBy(*partitions).parquet(target)
+        if partitions:
+            rows = rows.hint("rebalance", *partitions)
+            rows.write.partitionBy(*partitions).parquet(target)
+        else:
+            rows.write.parquet(target)
 
     def latest_revision(self, table: str) -> int:
-        """The newest revision number, 0 if there is none. Lists one directory."""
-        fs, path = self._hadoop(self.path(table))
-        if not fs.exists(path):
-            return 0
-        names = (status.getPath().getName() for status in fs.listStatus(path))
-        return max((int(n.split("=")[1]) for n in names if n.startswith("rev=")), default=0)
+        """The number of the newest published load, 0 if there is none."""
+        return max(self._manifests(table), default=0)
 
     def master(self, table: str) -> DataFrame:
-        """The newest revision of a master table."""
-        revision = self.latest_revision(table)
-        return self.read(table).filter(F.col("rev") == revision).drop("rev")
+        """A master table as last published."""
+        return self.read(table)
 
     def write_master(self, table: str, df: DataFrame) -> None:
-        self.replace_scope(table, df, {"rev": self.latest_revision(table) + 1})
+        """Publish a new master; ``df`` may read the present one."""
+        self.replace_scope(table, df, {})

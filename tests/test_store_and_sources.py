@@ -96,6 +96,55 @@ def test_append_and_master_revisions(spark, store, rows):
     assert rows(store.master("table_master"), "tab_nm") == [("t1",), ("t2",)]
 
 
+def failing(frame):
+    """The rows of ``frame``, then a task that fails."""
+    return frame.where(F.raise_error(F.lit("lost")).isNull() | F.lit(False))
+
+
+def test_a_load_that_fails_changes_nothing(spark, store, rows):
+    scope = {"db_nm": "db", "prfl_id": "P01", "owner_nm": "A", "tab_nm": "t"}
+    master = spark.createDataFrame([("t1",), ("t2",)], "tab_nm string")
+    store.write_master("table_master", master)
+    store.replace_scopes("column_values", histogram(spark, "t", ("x", 1), owner="A"), [scope])
+    snapshot = {"db_nm": "db", "chasu": 1}
+    store.replace_scope("dic_tables", stamped(dictionary(spark, "a", "b"), "db", 1, RUN.date()), snapshot)
+    for load in (
+        lambda: store.write_master("table_master", failing(store.master("table_master"))),
+        lambda: store.replace_scopes("column_values", failing(histogram(spark, "t", ("y", 2), owner="A")), [scope]),
+        lambda: store.replace_scope("dic_tables", failing(stamped(dictionary(spark, "z"), "db", 1, RUN.date())), snapshot),
+    ):
+        with pytest.raises(Exception, match="lost"):
+            load()
+    assert rows(store.master("table_master"), "tab_nm") == [("t1",), ("t2",)]
+    assert rows(store.read("column_values"), "col_val") == [("x",)]
+    assert rows(store.read("dic_tables"), "tab_nm") == [("a",), ("b",)]
+
+
+def test_an_incomplete_snapshot_is_not_the_latest(spark, store, small):
+    parts = {"tables": lake.tables(lake.segments(spark, small.root)), "columns": lake.columns(spark, {"nation": small["nation"]})}
+    assert collect_dictionary(spark, store, "lake", parts, RUN) == 1
+    with pytest.raises(Exception, match="lost"):
+        collect_dictionary(spark, store, "lake", {**parts, "columns": failing(parts["columns"])}, RUN)
+    assert store.read("dic_snapshots").count() == 1
+    assert collect_dictionary(spark, store, "lake", parts, RUN) == 2
+
+
+def test_superseded_loads_are_removed(spark, store, tmp_path):
+    for n in range(6):
+        store.write_master("table_master", spark.createDataFrame([(f"t{n}",)], "tab_nm string"))
+    held = [p.name for p in (tmp_path / "store" / "table_master").iterdir() if p.name.startswith("load=")]
+    assert len(held) == 2
+    assert store.latest_revision("table_master") == 6
+
+
+def test_a_reader_keeps_its_rows_while_a_load_replaces_them(spark, store, rows):
+    store.write_master("table_master", spark.createDataFrame([("old",)], "tab_nm string"))
+    before = store.master("table_master")
+    store.write_master("table_master", before.withColumn("tab_nm", F.lit("new")))
+    assert rows(before, "tab_nm") == [("old",)]
+    assert rows(store.master("table_master"), "tab_nm") == [("new",)]
+
+
 def test_registry(spark, caplog, small):
     sources = SourceRegistry(spark)
     first = sources.register_files("lake", small.root)
