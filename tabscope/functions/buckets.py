@@ -11,7 +11,7 @@ from tabscope.functions.types import is_numeric
 
 # Bucket labels and widths of the profile tables.
 NULL_MARK = "##"
-VALUE_CHARS = 100
+VALUE_CHARS = 100  # width of values and patterns in the profile tables, for ``value_chars``
 PREFIX_CHARS = 6
 ZERO_LABEL = "0"
 RANGES = (
@@ -52,7 +52,7 @@ def value_bucket(
     mode: str,
     *,
     decimals: int | None = None,
-    value_chars: int | None = VALUE_CHARS,
+    value_chars: int | None = None,
     months: bool = False,
     rounded: bool = False,
 ) -> Column:
@@ -60,7 +60,8 @@ def value_bucket(
 
     ``B`` on a column that is not a number falls back to the prefix of ``A``.
     ``A`` takes the leading characters of the text form; with ``months`` a date or
-    timestamp gives its year and month instead. NULL is a bucket of its own.
+    timestamp gives its year and month instead. NULL is a bucket of its own. Values are
+    kept whole unless ``value_chars`` cuts them.
     """
     if mode not in ("Y", "A", "B"):
         raise ValueError(f"unknown value mode {mode!r}; expected Y, A or B")

@@ -3,9 +3,13 @@
 Numbers, times and booleans are grouped by value first, in their own type, and only
 distinct values are turned into text. One pass over such a column gives all its results.
 
-Text columns take two passes: a keyless aggregate for extremes and lengths, and a hash
-aggregation of keys for the distinct count. In one ``agg``, distinct counts next to
-string extremes would copy every row once per column and sort the copies.
+Text columns take a keyless aggregate for extremes and lengths, and a hash aggregation of
+keys for the distinct count. In one ``agg``, distinct counts next to string extremes would
+copy every row once per column and sort the copies.
+
+What a task sends of an extreme is bounded: the leading characters, cut on the map side.
+Where extremes are wanted whole, a further pass looks at the rows that share the winning
+leading characters only, spread over tasks by a hash of the text.
 """
 
 from __future__ import annotations
@@ -18,19 +22,25 @@ from pyspark.sql import types as T
 
 from tabscope.functions.text import canonical_text, distinct_key
 from tabscope.functions.types import is_character
-from tabscope.operators.shapes import bounded_broadcast, long_form, source_column, union_all
+from tabscope.operators.shapes import (
+    bounded_broadcast,
+    long_form,
+    shuffle_partitions,
+    source_column,
+    union_all,
+)
 from tabscope.plans.spec import ColumnRef, ProfileInput, name_columns, number_columns
 
-# Fixed value: longest text kept for an extreme.
+# Fixed value: width of the extremes in the profile tables, for ``extreme_chars``.
 EXTREME_CHARS = 4000
 
+#: Leading characters that decide which rows can hold a whole extreme.
+LEADING_CHARS = 256
+
 #: Text columns per aggregate. Five results per column stay under the 100-field limit
 #: of whole-stage code generation. Batches read disjoint columns.
 BATCH_COLUMNS = 18
 
-#: Widest row of column statistics: two extremes of up to four bytes a character.
-_STATS_ROW = 2 * 4 * EXTREME_CHARS + 64
-
 _STATS = ("tab_cnt", "notnull_cnt", "col_kind", "max_col_val", "min_col_val", "max_len")
 
 
@@ -38,6 +48,11 @@ def column_numbers(inputs: Sequence[ProfileInput]) -> list[list[ColumnRef]]:
     return number_columns((source, source.stat_columns()) for source in inputs)
 
 
+def _stats_row(chars: int) -> int:
+    """Widest row of statistics: two extremes of up to four bytes a character."""
+    return 2 * 4 * chars + 64
+
+
 def _dtype(r: ColumnRef) -> T.DataType:
     return r.source.dtype(r.column.col_nm)
 
@@ -84,72 +99,133 @@ def distinct_counts(inputs: Sequence[ProfileInput]) -> DataFrame:
     return name_columns(_distinct(groups), groups)
 
 
-def _by_value(rows: DataFrame, decimals: int | None) -> DataFrame:
+def _one_row_stats(one_row: DataFrame, refs: Sequence[str]) -> DataFrame:
+    """A row of structs, one per ref, as a row per ref with the columns of a statistic."""
+    rows, count, kinds, highest, lowest, longest = (F.col(f"stats.col{i}") for i in range(1, 7))
+    return one_row.unpivot([], list(refs), "ref", "stats").select(
+        F.col("ref").cast("int").alias("ref"),
+        rows.alias("tab_cnt"),
+        count.alias("notnull_cnt"),
+        kinds.alias("col_kind"),
+        highest.alias("max_col_val"),
+        lowest.alias("min_col_val"),
+        longest.alias("max_len"),
+    )
+
+
+def _by_value(
+    rows: DataFrame, decimals: int | None, refs: Sequence[str], batch_columns: int
+) -> DataFrame:
     """All statistics of columns that are not text, from their value counts.
 
-    The integer ``ref`` lets the grouped string extremes sort by radix; what they sort
-    is one row per distinct value.
+    The extremes are keyless aggregates with a condition per column: grouped by column,
+    extremes of strings would sort all distinct values. The batches read one exchange.
     """
     counts = rows.groupBy("ref", "key").agg(F.count(F.lit(1)).alias("n"))
     text = canonical_text(F.col("key"), rows.schema["key"].dataType, decimals)
-    shown = counts.select(F.col("ref").cast("int").alias("ref"), "key", "n", text.alias("txt"))
-    return shown.groupBy("ref").agg(
-        F.sum("n").alias("tab_cnt"),
-        F.sum(F.when(F.col("key").isNotNull(), F.col("n"))).alias("notnull_cnt"),
-        F.count("key").alias("col_kind"),
-        F.max("txt").alias("max_col_val"),
-        F.min("txt").alias("min_col_val"),
-        F.max(F.length("txt")).alias("max_len"),
+    shown = counts.select("ref", "key", "n", text.alias("txt"))
+
+    def aggregates(ref: str) -> Column:
+        mine = F.col("ref") == ref
+        own = F.when(mine, F.col("txt"))
+        return F.struct(
+            F.sum(F.when(mine, F.col("n"))),
+            F.sum(F.when(mine & F.col("key").isNotNull(), F.col("n"))),
+            F.count(F.when(mine, F.col("key"))),
+            F.max(own),
+            F.min(own),
+            F.max(F.length(own)),
+        )
+
+    batches = [refs[i : i + batch_columns] for i in range(0, len(refs), batch_columns)]
+    return union_all(
+        _one_row_stats(shown.agg(*[aggregates(r).alias(r) for r in batch]), batch)
+        for batch in batches
     )
 
 
-def _text_batch(batch: Sequence[ColumnRef]) -> DataFrame:
-    """One row per text column: ``ref`` and a struct of its plain aggregates."""
+def _text_batch(batch: Sequence[ColumnRef], chars: int) -> DataFrame:
+    """A row per text column: its plain aggregates, extremes cut to ``chars``."""
 
     def aggregates(r: ColumnRef) -> Column:
         text = source_column(r)
+        leading = F.substring(text, 1, chars)
         return F.struct(
-            F.count(F.lit(1)), F.count(text), F.max(text), F.min(text), F.max(F.length(text))
+            F.count(F.lit(1)),
+            F.count(text),
+            F.lit(None).cast("bigint"),
+            F.max(leading),
+            F.min(leading),
+            F.max(F.length(text)),
         )
 
     one_row = batch[0].source.frame.agg(*[aggregates(r).alias(r.ref) for r in batch])
-    return one_row.unpivot([], [r.ref for r in batch], "ref", "stats")
+    return _one_row_stats(one_row, [r.ref for r in batch])
 
 
-def _plain_text(groups: Sequence[Sequence[ColumnRef]], batch_columns: int) -> DataFrame:
-    batches = [
-        group[i : i + batch_columns]
+def _plain_text(
+    groups: Sequence[Sequence[ColumnRef]], batch_columns: int, chars: int
+) -> DataFrame:
+    return union_all(
+        _text_batch(group[i : i + batch_columns], chars)
         for group in groups
         for i in range(0, len(group), batch_columns)
-    ]
-    rows, count, highest, lowest, longest = (F.col(f"stats.col{i}") for i in range(1, 6))
-    return union_all(_text_batch(batch) for batch in batches).select(
-        F.col("ref").cast("int").alias("ref"),
-        rows.alias("tab_cnt"),
-        count.alias("notnull_cnt"),
-        highest.alias("max_col_val"),
-        lowest.alias("min_col_val"),
-        longest.alias("max_len"),
     )
 
 
-def _text_stats(groups: Sequence[Sequence[ColumnRef]], batch_columns: int) -> DataFrame:
-    kinds = _distinct(groups).select(F.col("ref").cast("int").alias("ref"), "col_kind")
-    return (
-        _plain_text(groups, batch_columns)
-        .join(bounded_broadcast(kinds, sum(map(len, groups))), "ref", "left")
-        .select("ref", *_STATS)
+def _whole_extremes(groups: Sequence[Sequence[ColumnRef]], leading: DataFrame) -> DataFrame:
+    """(ref, highest, lowest): whole texts, from the rows that share the leading part."""
+    texts = union_all(long_form(group, source_column, "txt") for group in groups)
+    winners = leading.select(
+        F.col("ref").cast("string").alias("ref"),
+        F.col("max_col_val").alias("high"),
+        F.col("min_col_val").alias("low"),
+    )
+    n_columns = sum(map(len, groups))
+    start = F.substring("txt", 1, LEADING_CHARS)
+    near = (
+        texts.join(bounded_broadcast(winners, n_columns, _stats_row(LEADING_CHARS)), "ref")
+        .withColumn("in_high", start == F.col("high"))
+        .withColumn("in_low", start == F.col("low"))
+        .where("in_high OR in_low")
     )
+    salt = F.pmod(F.xxhash64("txt"), F.lit(shuffle_partitions(texts.sparkSession))).alias("salt")
+    spread = near.groupBy("ref", salt).agg(
+        F.max(F.when(F.col("in_high"), F.col("txt"))).alias("highest"),
+        F.min(F.when(F.col("in_low"), F.col("txt"))).alias("lowest"),
+    )
+    return spread.groupBy(F.col("ref").cast("int").alias("ref")).agg(
+        F.max("highest").alias("highest"), F.min("lowest").alias("lowest")
+    )
+
+
+def _text_stats(
+    groups: Sequence[Sequence[ColumnRef]], batch_columns: int, chars: int | None
+) -> DataFrame:
+    n_columns = sum(map(len, groups))
+    kinds = _distinct(groups).select(F.col("ref").cast("int").alias("ref"), "col_kind")
+    plain = _plain_text(groups, batch_columns, LEADING_CHARS if chars is None else chars)
+    out = plain.drop("col_kind").join(bounded_broadcast(kinds, n_columns), "ref", "left")
+    if chars is None:
+        whole = _whole_extremes(groups, plain)
+        out = (
+            out.drop("max_col_val", "min_col_val")
+            .join(whole, "ref", "left")
+            .withColumnsRenamed({"highest": "max_col_val", "lowest": "min_col_val"})
+        )
+    return out.select("ref", *_STATS)
 
 
 def column_stats(
     inputs: Sequence[ProfileInput],
     batch_columns: int = BATCH_COLUMNS,
     with_row_count: bool = False,
+    extreme_chars: int | None = None,
 ) -> DataFrame:
     """One row per structured column. Extremes compare as text: '9' is above '10'.
 
-    ``with_row_count`` adds the ``tab_cnt`` of the table, which the same passes count.
+    ``extreme_chars`` cuts the extremes of text, to EXTREME_CHARS for the profile tables;
+    None keeps them whole. ``with_row_count`` adds the ``tab_cnt`` of the table, which the same passes count.
     """
     groups = column_numbers(inputs)
     if not groups:
@@ -157,19 +233,26 @@ def column_stats(
     n_columns = sum(map(len, groups))
     texts = [t for g in groups if (t := [r for r in g if _is_text(r)])]
     others = [o for g in groups if (o := [r for r in g if not _is_text(r)])]
+    families: dict[tuple[str, int | None], list[str]] = {}
+    for group in others:
+        for r in group:
+            key_type, _ = distinct_key(source_column(r), _dtype(r))
+            families.setdefault((key_type, r.column.decimals), []).append(r.ref)
     facts = [
-        _by_value(rows, decimals) for (_, decimals), rows in _keyed_rows(others).items()
+        _by_value(rows, family[1], families[family], batch_columns)
+        for family, rows in _keyed_rows(others).items()
     ]
     if texts:
-        facts.append(_text_stats(texts, batch_columns))
+        facts.append(_text_stats(texts, batch_columns, extreme_chars))
 
     # Every planned column has a row, also in a table without rows.
     planned = inputs[0].frame.sparkSession.range(n_columns).select(
         F.col("id").cast("int").alias("ref")
     )
-    stats = planned.join(
-        bounded_broadcast(union_all(facts), n_columns, _STATS_ROW), "ref", "left"
-    )
+    found = union_all(facts)
+    if extreme_chars is not None:
+        found = bounded_broadcast(found, n_columns, _stats_row(extreme_chars))
+    stats = planned.join(found, "ref", "left")
 
     def counted(name: str) -> Column:
         return F.coalesce(name, F.lit(0).cast("bigint")).alias(name)
@@ -178,8 +261,8 @@ def column_stats(
         "ref",
         counted("notnull_cnt"),
         counted("col_kind"),
-        F.substring("max_col_val", 1, EXTREME_CHARS).alias("max_col_val"),
-        F.substring("min_col_val", 1, EXTREME_CHARS).alias("min_col_val"),
+        "max_col_val",
+        "min_col_val",
         F.coalesce("max_len", F.lit(0)).alias("max_len"),
     ]
     if with_row_count:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabscope.functions.buckets import NULL_MARK, VALUE_CHARS, leading
+from tabscope.functions.buckets import NULL_MARK, leading
 from tabscope.functions.patterns import char_pattern
 from tabscope.functions.text import canonical_text
 from tabscope.operators.shapes import (
@@ -16,15 +16,12 @@ from tabscope.operators.shapes import (
     NUMBER_ROW,
     TEXT_ROW,
     long_form,
+    shuffle_partitions,
     source_column,
     union_all,
 )
 from tabscope.plans.spec import COLUMN_KEY, ColumnRef, ProfileInput, name_columns, number_columns
 
-#: Salts that spread one column's histogram when its total can not be broadcast.
-SHARE_SALTS = 64
-
-
 def share_text(count: Column, total: Column) -> Column:
     """Percentage with two places, rounded half up, as text; NULL for a zero total.
 
@@ -45,7 +42,7 @@ def with_share(
 
     The totals are one row per column (``keys``, ``total``). A window over the column
     would put a whole histogram into one task, so they are joined: broadcast when
-    ``columns`` proves them small, else on the key and a salt.
+    ``columns`` proves them small, else on the key and a salt, one per shuffle partition.
     """
     if totals is None:
         totals = counts.groupBy(*keys).agg(F.sum("col_pat_cnt").alias("total"))
@@ -55,27 +52,33 @@ def with_share(
     else:
         # A salt that could be NULL would make the join filter the tables by it, that is,
         # work out every pattern once more before anything is counted.
-        salt = F.pmod(F.xxhash64("col_pat"), F.lit(SHARE_SALTS)).cast("int")
+        salts = shuffle_partitions(counts.sparkSession)
+        salt = F.pmod(F.xxhash64("col_pat"), F.lit(salts)).cast("int")
         salt = F.coalesce(salt, F.lit(0))
-        spread = totals.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SHARE_SALTS - 1))))
+        spread = totals.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
         joined = counts.withColumn("salt", salt).join(spread, [*keys, "salt"]).drop("salt")
     return joined.withColumn(
         "col_pat_rt", share_text(F.col("col_pat_cnt"), F.col("total"))
     ).drop("total")
 
 
-def pattern_counts_from_values(value_histogram: DataFrame, mode: str = "executed") -> DataFrame:
+def pattern_counts_from_values(
+    value_histogram: DataFrame, mode: str = "executed", keys: Sequence[str] = COLUMN_KEY
+) -> DataFrame:
     """Pattern counts of an existing value histogram; the tables are not read."""
     return (
         value_histogram.filter(F.col("col_val") != NULL_MARK)
-        .select(*COLUMN_KEY, char_pattern(F.col("col_val"), mode).alias("col_pat"), "col_val_cnt")
-        .groupBy(*COLUMN_KEY, "col_pat")
+        .select(*keys, char_pattern(F.col("col_val"), mode).alias("col_pat"), "col_val_cnt")
+        .groupBy(*keys, "col_pat")
         .agg(F.sum("col_val_cnt").alias("col_pat_cnt"))
     )
 
 
 def patterns_from_values(
-    value_histogram: DataFrame, mode: str = "executed", columns: int | None = None
+    value_histogram: DataFrame,
+    mode: str = "executed",
+    columns: int | None = None,
+    keys: Sequence[str] = COLUMN_KEY,
 ) -> DataFrame:
     """Pattern counts and shares of an existing value histogram.
 
@@ -83,11 +86,11 @@ def patterns_from_values(
     """
     totals = (
         value_histogram.filter(F.col("col_val") != NULL_MARK)
-        .groupBy(*COLUMN_KEY)
+        .groupBy(*keys)
         .agg(F.sum("col_val_cnt").alias("total"))
     )
-    counts = pattern_counts_from_values(value_histogram, mode)
-    return with_share(counts, columns=columns, totals=totals)
+    counts = pattern_counts_from_values(value_histogram, mode, keys)
+    return with_share(counts, keys, columns, totals)
 
 
 def _direct(
@@ -113,17 +116,28 @@ def _direct(
     return counts, groups
 
 
+def numbered_pattern_counts(
+    inputs: Sequence[ProfileInput],
+    mode: str = "executed",
+    *,
+    value_chars: int | None = None,
+    two_phase: bool = False,
+) -> tuple[DataFrame, list[list[ColumnRef]]]:
+    """Pattern counts straight from the tables, on the short key ``ref``."""
+    return _direct(inputs, mode, value_chars, two_phase)
+
+
 def pattern_counts_direct(
     inputs: Sequence[ProfileInput],
     mode: str = "executed",
     *,
-    value_chars: int | None = VALUE_CHARS,
+    value_chars: int | None = None,
     two_phase: bool = False,
 ) -> DataFrame:
     """Pattern counts straight from the tables: one scan per table, NULLs left out.
 
     ``two_phase`` counts raw values first and converts each distinct value once; worth
-    it when values repeat a lot. ``value_chars=None`` converts whole texts.
+    it when values repeat a lot. Whole texts are converted unless ``value_chars`` cuts them.
     """
     return name_columns(*_direct(inputs, mode, value_chars, two_phase))
 
@@ -132,7 +146,7 @@ def patterns_direct(
     inputs: Sequence[ProfileInput],
     mode: str = "executed",
     *,
-    value_chars: int | None = VALUE_CHARS,
+    value_chars: int | None = None,
     two_phase: bool = False,
 ) -> DataFrame:
     """Pattern counts and shares straight from the tables; see the counts for options."""
@@ -140,14 +154,14 @@ def patterns_direct(
     return name_columns(with_share(counts, ["ref"], sum(map(len, groups))), groups)
 
 
-def top_pattern(pattern_histogram: DataFrame) -> DataFrame:
+def top_pattern(pattern_histogram: DataFrame, keys: Sequence[str] = COLUMN_KEY) -> DataFrame:
     """``top_col_pat``: the most frequent pattern per column, ties to the smaller."""
-    best_first = Window.partitionBy(*COLUMN_KEY).orderBy(F.desc("col_pat_cnt"), F.asc("col_pat"))
+    best_first = Window.partitionBy(*keys).orderBy(F.desc("col_pat_cnt"), F.asc("col_pat"))
     return (
         pattern_histogram.select(
-            *COLUMN_KEY, F.col("col_pat").alias("top_col_pat"), "col_pat_cnt",
+            *keys, F.col("col_pat").alias("top_col_pat"), "col_pat_cnt",
             F.row_number().over(best_first).alias("rn"),
         )
         .filter(F.col("rn") == 1)
-        .select(*COLUMN_KEY, "top_col_pat")
+        .select(*keys, "top_col_pat")
     )

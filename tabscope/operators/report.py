@@ -8,13 +8,13 @@ from pyspark.sql import DataFrame
 
 from tabscope.operators.column_stats import column_stats
 from tabscope.operators.pattern_dist import (
-    pattern_counts_direct,
+    numbered_pattern_counts,
     pattern_counts_from_values,
     top_pattern,
 )
 from tabscope.operators.shapes import TEXT_ROW, bounded_broadcast
-from tabscope.operators.value_dist import sample_values, value_histogram
-from tabscope.plans.spec import COLUMN_KEY, ProfileInput
+from tabscope.operators.value_dist import numbered_histogram, sample_values
+from tabscope.plans.spec import COLUMN_KEY, ProfileInput, name_columns
 
 
 def profile_report(
@@ -23,7 +23,8 @@ def profile_report(
     levels: Sequence[str] = ("value", "pattern"),
     pattern_source: str = "values",
     pattern_mode: str = "executed",
-    value_chars: int | None = 100,
+    value_chars: int | None = None,
+    extreme_chars: int | None = None,
 ) -> DataFrame:
     """Row count, column statistics, samples and top pattern of every column.
 
@@ -38,18 +39,20 @@ def profile_report(
             facts = bounded_broadcast(facts, n_columns, TEXT_ROW)
         return report.join(facts, list(COLUMN_KEY), "left")
 
-    report = column_stats(inputs, with_row_count=True)
-    histogram = None
+    report = column_stats(inputs, with_row_count=True, extreme_chars=extreme_chars)
+    histogram, groups = None, []
     if any(source.value_columns() for source in inputs):
-        histogram = value_histogram(inputs, value_chars=value_chars)
+        histogram, groups = numbered_histogram(inputs, value_chars=value_chars)
     if "value" in levels and histogram is not None:
-        report = attach(report, sample_values(histogram))
+        report = attach(report, name_columns(sample_values(histogram, keys=["ref"]), groups))
     if "pattern" in levels:
         counts = None
         if pattern_source == "direct" and any(source.pattern_columns() for source in inputs):
-            counts = pattern_counts_direct(inputs, pattern_mode, value_chars=value_chars)
+            counts, groups = numbered_pattern_counts(
+                inputs, pattern_mode, value_chars=value_chars
+            )
         elif pattern_source == "values" and histogram is not None:
-            counts = pattern_counts_from_values(histogram, pattern_mode)
+            counts = pattern_counts_from_values(histogram, pattern_mode, ["ref"])
         if counts is not None:
-            report = attach(report, top_pattern(counts))
+            report = attach(report, name_columns(top_pattern(counts, ["ref"]), groups))
     return report

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabscope.plans.spec import ColumnRef
@@ -22,6 +22,11 @@ TEXT_ROW = 4096
 UNPIVOT_COLUMNS = 90
 
 
+def shuffle_partitions(spark: SparkSession) -> int:
+    """How many tasks a hot column is spread over."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def union_all(frames: Iterable[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabscope.functions.buckets import NULL_MARK, VALUE_CHARS, value_bucket
+from tabscope.functions.buckets import NULL_MARK, value_bucket
 from tabscope.operators.shapes import long_form, source_column, union_all
 from tabscope.plans.spec import COLUMN_KEY, ColumnRef, ProfileInput, name_columns, number_columns
 
@@ -20,11 +20,29 @@ def value_histogram(
     inputs: Sequence[ProfileInput],
     *,
     strategy: str = "unpivot",
-    value_chars: int | None = VALUE_CHARS,
+    value_chars: int | None = None,
     months: bool = False,
     rounded: bool = False,
 ) -> DataFrame:
-    """(column, ``col_val``, ``col_val_cnt``) for every flagged column of every table.
+    """(column, ``col_val``, ``col_val_cnt``); see :func:`numbered_histogram`."""
+    return name_columns(
+        *numbered_histogram(
+            inputs, strategy=strategy, value_chars=value_chars, months=months, rounded=rounded
+        )
+    )
+
+
+def numbered_histogram(
+    inputs: Sequence[ProfileInput],
+    *,
+    strategy: str = "unpivot",
+    value_chars: int | None = None,
+    months: bool = False,
+    rounded: bool = False,
+) -> tuple[DataFrame, list[list[ColumnRef]]]:
+    """(``ref``, ``col_val``, ``col_val_cnt``) for every flagged column of every table.
+
+    What is derived from it can stay on the short key until a row per column is left.
 
     ``unpivot``     one scan per table and one shuffle for all tables; map-side
                     combine absorbs hot values and the NULL bucket.
@@ -32,7 +50,7 @@ def value_histogram(
                     when the combinations are few.
     ``per_column``  one aggregation and one scan per column.
 
-    All three give the same rows. ``value_chars=None`` keeps whole values.
+    All three give the same rows. Values are whole unless ``value_chars`` cuts them.
     """
 
     def bucket(r: ColumnRef) -> Column:
@@ -63,7 +81,7 @@ def value_histogram(
         )
     else:
         raise ValueError(f"unknown strategy {strategy!r}")
-    return name_columns(histogram, groups)
+    return histogram, groups
 
 
 def _joint(group: Sequence[ColumnRef], bucket) -> DataFrame:
@@ -81,20 +99,22 @@ def _joint(group: Sequence[ColumnRef], bucket) -> DataFrame:
     )
 
 
-def sample_values(histogram: DataFrame, top: int = SAMPLE_VALUES) -> DataFrame:
+def sample_values(
+    histogram: DataFrame, top: int = SAMPLE_VALUES, keys: Sequence[str] = COLUMN_KEY
+) -> DataFrame:
     """``sample_data``: the most frequent values of each column, joined in order.
 
     Ties go to the smaller value. The rank limit is applied before the shuffle, so a
     column of any cardinality sends only ``top`` rows per task.
     """
-    best_first = Window.partitionBy(*COLUMN_KEY).orderBy(F.desc("col_val_cnt"), F.asc("col_val"))
+    best_first = Window.partitionBy(*keys).orderBy(F.desc("col_val_cnt"), F.asc("col_val"))
     ranked = (
         histogram.filter(F.col("col_val") != NULL_MARK)
-        .select(*COLUMN_KEY, "col_val", "col_val_cnt", F.row_number().over(best_first).alias("rn"))
+        .select(*keys, "col_val", "col_val_cnt", F.row_number().over(best_first).alias("rn"))
         .filter(F.col("rn") <= top)
     )
     in_order = F.array_sort(F.collect_list(F.struct("rn", "col_val")))
-    return ranked.groupBy(*COLUMN_KEY).agg(
+    return ranked.groupBy(*keys).agg(
         F.array_join(F.transform(in_order, lambda s: s["col_val"]), SAMPLE_SEPARATOR).alias(
             "sample_data"
         )

@@ -8,7 +8,6 @@ from collections.abc import Callable, Iterable, Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabscope.functions.buckets import VALUE_CHARS
 from tabscope.operators import registration
 from tabscope.operators.column_stats import column_stats
 from tabscope.operators.dictionary.common import stamped
@@ -101,7 +100,8 @@ def register_population(
 class Profiler:
     """Runs the profile levels of one database and writes the result tables.
 
-    ``value_chars`` is the width of histogram values and patterns; None keeps whole texts.
+    ``value_chars`` is the width of histogram values and patterns, ``extreme_chars`` that of
+    extremes; None keeps whole texts.
     """
 
     def __init__(
@@ -111,7 +111,8 @@ class Profiler:
         db_nm: str,
         prfl_id: str = DEFAULT_PROFILE,
         decimals: int | None = None,
-        value_chars: int | None = VALUE_CHARS,
+        value_chars: int | None = None,
+        extreme_chars: int | None = None,
         tables_per_job: int = TABLES_PER_JOB,
         clock: Clock = _now,
     ):
@@ -121,6 +122,7 @@ class Profiler:
         self._prfl_id = prfl_id
         self._decimals = decimals
         self._value_chars = value_chars
+        self._extreme_chars = extreme_chars
         self._per_job = tables_per_job
         self._clock = clock
 
@@ -173,7 +175,9 @@ class Profiler:
     def run_column_level(self, inputs: Sequence[ProfileInput] | None = None) -> None:
         for job in self._jobs(self._given(inputs)):
             if any(source.stat_columns() for source in job):
-                self._update_columns(column_stats(job), STAT_COLUMNS)
+                self._update_columns(
+                    column_stats(job, extreme_chars=self._extreme_chars), STAT_COLUMNS
+                )
 
     def run_value_level(
         self, inputs: Sequence[ProfileInput] | None = None, **options

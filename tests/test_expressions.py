@@ -101,11 +101,11 @@ def test_range_mode_on_text_falls_back_to_the_prefix(spark):
     assert df.select(value_bucket(F.col("t"), T.StringType(), "B")).first()[0] == "ECONOM"
 
 
-def test_value_mode_cuts_at_100_unless_told_otherwise(spark):
+def test_values_are_whole_unless_a_width_is_given(spark):
     df = spark.createDataFrame([("x" * 150,)], "t string")
     cut, whole = df.select(
+        F.length(value_bucket(F.col("t"), T.StringType(), "Y", value_chars=100)),
         F.length(value_bucket(F.col("t"), T.StringType(), "Y")),
-        F.length(value_bucket(F.col("t"), T.StringType(), "Y", value_chars=None)),
     ).first()
     assert (cut, whole) == (100, 150)
     with pytest.raises(ValueError):

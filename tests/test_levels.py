@@ -89,12 +89,20 @@ def test_column_stats_by_hand(spark):
     assert got["d"].col_kind == 2
 
 
-def test_extremes_are_cut_after_comparison(spark):
-    source = make(spark, [("x" * 5000,), ("x" * 4500 + "y",)], "s string")
+def test_extremes_are_whole_unless_a_width_is_given(spark):
+    source = make(spark, [("x" * 5000,), ("x" * 4500 + "y",), (None,), ("x" * 4500,)], "s string")
     row = column_stats([source]).first()
+    assert (row.max_col_val, row.min_col_val, row.max_len) == ("x" * 4500 + "y", "x" * 4500, 5000)
+    row = column_stats([source], extreme_chars=4000).first()
     assert (len(row.max_col_val), len(row.min_col_val), row.max_len) == (4000, 4000, 5000)
 
 
+def test_whole_extremes_of_short_empty_and_missing_texts(spark):
+    source = make(spark, [("b", None, ""), ("a", None, "z" * 300), (None, None, "z" * 299 + "é")], "s string, n string, e string")
+    got = {r.col_nm: (r.max_col_val, r.min_col_val) for r in column_stats([source]).collect()}
+    assert got == {"s": ("b", "a"), "n": (None, None), "e": ("z" * 299 + "é", "")}
+
+
 def test_a_table_without_rows_still_has_its_columns(spark):
     source = make(spark, [], "n int, s string, d double")
     got = {tuple(r)[3:] for r in column_stats([source], with_row_count=True).drop("prfl_id").collect()}

@@ -53,7 +53,7 @@ def read_columns(text):
 
 
 def test_plain_text_statistics_neither_expand_rows_nor_sort(small):
-    text = plan(_plain_text(column_numbers([text_only(small)]), 18))
+    text = plan(_plain_text(column_numbers([text_only(small)]), 18, 256))
     below = text[text.index("SortAggregate"):]
     assert "Expand" not in below and not re.search(r"\bSort \[", below)
     assert count("FileScan", text) == 1 and count("Exchange SinglePartition", text) == 1
@@ -78,12 +78,21 @@ def test_statistics_read_text_twice_and_everything_else_once(small):
     no_python(text)
 
 
-def test_statistics_sort_distinct_values_only(small):
-    """Rows are combined by value before any sort, on the map side already."""
+def test_statistics_of_numbers_do_not_sort(small):
+    """Rows are combined by value on the map side; extremes of the values need no sort."""
     numbers = small["lineitem"].select("l_orderkey", "l_partkey")
-    text = plan(column_stats([profile_input(numbers, "lineitem")]))
-    last_sort = text.rindex("Sort [")
-    assert text[last_sort:].count("HashAggregate(keys=[ref") == 2
+    text = plan(column_stats([profile_input(numbers, "lineitem")], extreme_chars=4000))
+    assert "Sort [" not in text
+    assert count(r"HashAggregate\(keys=\[ref", text) == 2
+
+
+def test_extremes_are_cut_before_they_are_exchanged(small):
+    """A task sends leading characters only, also where extremes are wanted whole."""
+    for chars, width in ((4000, 4000), (None, 256)):
+        text = plan(column_stats([text_only(small)], extreme_chars=chars))
+        partial = [line for line in text.splitlines() if "partial_max(substring" in line]
+        assert partial and all(f"1, {width}" in line for line in partial)
+        assert "partial_max(l_returnflag" not in text
 
 
 def test_row_counts_read_no_column(small):
@@ -121,14 +130,15 @@ def test_report_has_no_cross_join_and_no_python(small):
 
 def test_report_reads_each_table_once_per_level(small):
     """A pass per key type over its own columns, the plain text pass, one histogram."""
-    text = plan(profile_report(inputs(small, "customer")), executed=True)
     texts = {"c_name", "c_mktsegment"}
-    expected = [{"c_custkey", "c_nationkey"}, {"c_acctbal"}, texts, texts, texts]
-    assert sorted(map(sorted, read_columns(text))) == sorted(map(sorted, expected))
+    for chars, passes in ((4000, 3), (None, 4)):  # whole extremes take a pass of their own
+        text = plan(profile_report(inputs(small, "customer"), extreme_chars=chars), executed=True)
+        expected = [{"c_custkey", "c_nationkey"}, {"c_acctbal"}, *[texts] * passes]
+        assert sorted(map(sorted, read_columns(text))) == sorted(map(sorted, expected))
 
 
 def test_column_stats_join_is_over_columns_only(small):
-    text = plan(column_stats(inputs(small, "orders")))
+    text = plan(column_stats(inputs(small, "orders"), extreme_chars=4000))
     assert count("BroadcastHashJoin", text) == 2 and "SortMergeJoin" not in text
 
 

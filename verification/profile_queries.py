@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tabscope.functions.patterns import char_pattern
 from tabscope.functions.buckets import VALUE_CHARS
-from tabscope.operators.column_stats import column_stats, distinct_counts
+from tabscope.operators.column_stats import EXTREME_CHARS, column_stats, distinct_counts
 from tabscope.operators.merge import update_by_key
 from tabscope.operators.pattern_dist import (
     pattern_counts_direct,
@@ -23,9 +23,9 @@ from tabscope.operators.report import profile_report
 from tabscope.operators.dictionary import lake
 from tabscope.operators.registration import Snapshot
 from tabscope.operators.table_stats import row_counts
-from tabscope.operators.value_dist import sample_values, value_histogram
+from tabscope.operators.value_dist import numbered_histogram, sample_values, value_histogram
 from tabscope.pipeline import STAT_COLUMNS, Profiler, collect_dictionary, register_population
-from tabscope.plans.spec import COLUMN_KEY
+from tabscope.plans.spec import COLUMN_KEY, name_columns
 from tabscope.sources.registry import SourceRegistry, adhoc_query
 from verification import profile_sql as sql
 from verification.checked import Check
@@ -85,6 +85,12 @@ def _column_checks() -> dict[str, Check]:
         )
     }
     out["column_stats_all"] = _stats(*TABLES)
+    out["column_stats_documents_4000"] = Check(
+        lambda frames: _short(
+            column_stats(inputs(frames, "documents"), extreme_chars=EXTREME_CHARS)
+        ),
+        sql.stats("documents", EXTREME_CHARS),
+    )
     out["column_distinct_counts"] = Check(
         lambda frames: _short(distinct_counts(inputs(frames, *TABLES))),
         f"SELECT tab_nm, col_nm, col_kind FROM ({sql.union(map(sql.stats, TABLES))})",
@@ -150,7 +156,11 @@ def _value_checks() -> dict[str, Check]:
     all_values = sql.union(sql.values(t, m, chars=None) for t, m in all_modes.items())
 
     def every(frames: Frames) -> DataFrame:
-        return value_histogram(inputs(frames, *_TEXT_TABLES), value_chars=None)
+        return value_histogram(inputs(frames, *_TEXT_TABLES))
+
+    def samples(frames: Frames) -> DataFrame:
+        histogram, groups = numbered_histogram(inputs(frames, *_TEXT_TABLES))
+        return _short(name_columns(sample_values(histogram, keys=["ref"]), groups))
 
     return {
         "value_dist_nulls": Check(with_nulls, nulls_sql),
@@ -169,7 +179,7 @@ def _value_checks() -> dict[str, Check]:
         "value_dist_multi_events": _values("events", _EVENT_MODES),
         "value_dist_joint_preagg": _values("lineitem", _LINE_MODES, strategy="joint"),
         "value_dist_all": Check(lambda f: _short(every(f)), all_values),
-        "sample_top3": Check(lambda f: _short(sample_values(every(f))), sql.samples(all_values)),
+        "sample_top3": Check(samples, sql.samples(all_values)),
     }
 
 

@@ -53,7 +53,7 @@ def ranges(col: str, rounded: bool = False) -> str:
     )
 
 
-def bucket(col: str, sql_type: str, mode: str, chars: int | None = 100, rounded: bool = False) -> str:
+def bucket(col: str, sql_type: str, mode: str, chars: int | None = None, rounded: bool = False) -> str:
     if mode == "B" and sql_type in ("DOUBLE", "BIGINT", "INTEGER"):
         return ranges(col, rounded)
     whole = f"ifnull({text(col, sql_type)}, {NULL})"
@@ -74,14 +74,15 @@ def default_modes(table: str) -> dict[str, str]:
     return {c: "Y" for c in text_columns(table)}
 
 
-def stats(table: str) -> str:
+def stats(table: str, chars: int | None = None) -> str:
+    cut = (lambda e: e) if chars is None else (lambda e: f"left({e}, {chars})")
     parts = []
     for c, t in structured(table).items():
         shown = text(c, t)
         parts.append(
             f"SELECT '{table}' AS tab_nm, '{c}' AS col_nm, count({c}) AS notnull_cnt, "
-            f"count(DISTINCT {c}) AS col_kind, left(max({shown}), 4000) AS max_col_val, "
-            f"left(min({shown}), 4000) AS min_col_val, "
+            f"count(DISTINCT {c}) AS col_kind, {cut(f'max({shown})')} AS max_col_val, "
+            f"{cut(f'min({shown})')} AS min_col_val, "
             f"CAST(ifnull(max(length({shown})), 0) AS INTEGER) AS max_len FROM {table}"
         )
     return "\nUNION ALL\n".join(parts)
@@ -90,7 +91,7 @@ def stats(table: str) -> str:
 def values(
     table: str,
     modes: Mapping[str, str] | None = None,
-    chars: int | None = 100,
+    chars: int | None = None,
     rounded: bool = False,
 ) -> str:
     modes = default_modes(table) if modes is None else modes
@@ -103,7 +104,7 @@ def values(
 
 
 def patterns(
-    table: str, columns: Sequence[str] | None = None, chars: int | None = 100, mode: str = "executed"
+    table: str, columns: Sequence[str] | None = None, chars: int | None = None, mode: str = "executed"
 ) -> str:
     """Pattern counts read straight from a table."""
     cut = (lambda c: c) if chars is None else (lambda c: f"left({c}, {chars})")
