@@ -17,11 +17,6 @@ UNSTRUCTURED_NAMES = (
     "BYTEA", "JSON", "JSONB",
 )
 
-# A catalog type name holding one of these counts as a number.
-NUMERIC_MARKS = (
-    "INT", "FLOAT", "DECIMAL", "NUMERIC", "DOUBLE",
-    "MONEY", "NUMBER", "BINARY_FLOAT", "BINARY_DOUBLE",
-)
 
 _UNSTRUCTURED_SPARK = (T.BinaryType, T.ArrayType, T.MapType, T.StructType, T.VariantType)
 
@@ -37,12 +32,6 @@ def is_numeric(dtype: T.DataType) -> bool:
     return isinstance(dtype, T.NumericType)
 
 
-def is_numeric_name(vendor_type: str | None) -> bool:
-    """Catalog-name variant of :func:`is_numeric`: a substring test."""
-    name = (vendor_type or "").upper()
-    return any(mark in name for mark in NUMERIC_MARKS)
-
-
 def is_character(dtype: T.DataType) -> bool:
     return isinstance(dtype, (T.StringType, T.CharType, T.VarcharType))
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -85,8 +86,21 @@ def stamped(
     )
 
 
-def keep_schemas(df: DataFrame, column: str, schemas: Sequence[str]) -> DataFrame:
+@dataclass(frozen=True)
+class AllBut:
+    """In place of a list of schemas: all but the vendor's own and the ones named."""
+
+    vendor: str
+    names: tuple[str, ...] = ()
+
+
+Schemas = Sequence[str] | AllBut
+
+
+def keep_schemas(df: DataFrame, column: str, schemas: Schemas) -> DataFrame:
     """Rows of the listed schemas; an empty list keeps nothing."""
+    if isinstance(schemas, AllBut):
+        return drop_system_schemas(df, column, schemas.vendor, schemas.names)
     return df.filter(F.col(column).isin(*schemas) if schemas else F.lit(False))
 
 

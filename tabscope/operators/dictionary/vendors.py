@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame
 
 from tabscope.operators.dictionary import ansi, mssql, mysql, oracle, postgres
+from tabscope.operators.dictionary.common import Schemas
 
 #: Per vendor and dictionary part: the normaliser and the extracts it takes, in order.
 NORMALISERS: dict[str, dict[str, tuple[Callable[..., DataFrame], tuple[str, ...]]]] = {
@@ -85,9 +86,12 @@ def extract_names(vendor: str) -> list[str]:
 
 
 def dictionary_parts(
-    vendor: str, extracts: Mapping[str, DataFrame], schemas: Sequence[str]
+    vendor: str, extracts: Mapping[str, DataFrame], schemas: Schemas
 ) -> dict[str, DataFrame]:
-    """All dictionary parts of one source, ready for a snapshot."""
+    """All dictionary parts of one source, ready for a snapshot.
+
+    ``schemas`` lists those to collect, or is an ``AllBut`` of those to leave out.
+    """
     return {
         part: normalise(*[extracts[n] for n in takes], schemas)
         for part, (normalise, takes) in NORMALISERS[vendor].items()

@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Iterable, Mapping, Sequence
+import logging
+import threading
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from itertools import islice
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,6 +36,11 @@ STAT_COLUMNS = ("notnull_cnt", "col_kind", "max_col_val", "min_col_val", "max_le
 #: Tables profiled by one Spark job. Keeps the plan of a large estate bounded.
 TABLES_PER_JOB = 50
 
+#: Row counts that run side by side. Each is a job of its own, for a time window of its own.
+COUNTS_AT_ONCE = 8
+
+log = logging.getLogger(__name__)
+
 Clock = Callable[[], dt.datetime]
 
 
@@ -100,8 +109,10 @@ def register_population(
 class Profiler:
     """Runs the profile levels of one database and writes the result tables.
 
-    ``value_chars`` is the width of histogram values and patterns, ``extreme_chars`` that of
-    extremes; None keeps whole texts.
+    The population is read and its tables are opened job by job, so neither the driver nor
+    a plan grows with the estate. What the jobs of a level find is staged and merged into
+    the master once. ``value_chars`` is the width of histogram values and patterns,
+    ``extreme_chars`` that of extremes; None keeps whole texts.
     """
 
     def __init__(
@@ -114,6 +125,7 @@ class Profiler:
         value_chars: int | None = None,
         extreme_chars: int | None = None,
         tables_per_job: int = TABLES_PER_JOB,
+        counts_at_once: int = COUNTS_AT_ONCE,
         clock: Clock = _now,
     ):
         self._store = store
@@ -124,9 +136,11 @@ class Profiler:
         self._value_chars = value_chars
         self._extreme_chars = extreme_chars
         self._per_job = tables_per_job
+        self._at_once = counts_at_once
         self._clock = clock
+        self._clock_lock = threading.Lock()
 
-    def specs(self) -> list[TableSpec]:
+    def specs(self) -> Iterator[TableSpec]:
         return specs_from_masters(
             self._store.master("table_master"),
             self._store.master("column_master"),
@@ -135,15 +149,26 @@ class Profiler:
             self._decimals,
         )
 
-    def inputs(self) -> list[ProfileInput]:
-        return [ProfileInput(s, self._read(s.owner_nm, s.tab_nm)) for s in self.specs()]
-
-    def _given(self, inputs: Sequence[ProfileInput] | None) -> Sequence[ProfileInput]:
-        return self.inputs() if inputs is None else inputs
+    def inputs(self) -> Iterator[ProfileInput]:
+        """The population, each table opened when it is reached."""
+        for spec in self.specs():
+            source = ProfileInput(spec, self._read(spec.owner_nm, spec.tab_nm))
+            if missing := source.missing_columns():
+                log.warning(
+                    "%s.%s no longer has the registered columns %s",
+                    spec.owner_nm, spec.tab_nm, ", ".join(missing),
+                )
+            yield source
 
-    def _jobs(self, inputs: Sequence[ProfileInput]) -> Iterable[Sequence[ProfileInput]]:
-        for start in range(0, len(inputs), self._per_job):
-            yield inputs[start : start + self._per_job]
+    def _jobs(
+        self,
+        inputs: Iterable[ProfileInput] | None,
+        wanted: Callable[[ProfileInput], object] = lambda source: True,
+    ) -> Iterator[list[ProfileInput]]:
+        """The wanted tables, some at a time."""
+        tables = filter(wanted, self.inputs() if inputs is None else inputs)
+        while job := list(islice(tables, self._per_job)):
+            yield job
 
     def _update_columns(self, facts: DataFrame, columns: Sequence[str]) -> None:
         stamp = F.lit(self._clock()).cast("timestamp_ntz")
@@ -152,73 +177,84 @@ class Profiler:
             "column_master", update_by_key(master, facts, COLUMN_KEY, columns, stamp)
         )
 
-    def run_table_level(self, inputs: Sequence[ProfileInput] | None = None) -> None:
-        """Row counts, with the wall-clock window of the job that took them."""
-        for job in self._jobs(self._given(inputs)):
+    def _counted(self, source: ProfileInput) -> tuple:
+        """Row count of one table, with the time it began and ended."""
+        with self._clock_lock:
             started = self._clock()
-            # One row per table of the job: bounded by ``tables_per_job``.
-            counted = row_counts(job).collect()
-            window = {"tabcnt_str_dt": started, "tabcnt_end_dt": self._clock()}
-            master = self._store.master("table_master")
-            facts = master.sparkSession.createDataFrame(
-                counted,
-                "db_nm string, owner_nm string, tab_nm string, prfl_id string, tab_cnt bigint",
-            ).withColumns(
-                {name: F.lit(at).cast("timestamp_ntz") for name, at in window.items()}
-            )
-            stamp = F.lit(self._clock()).cast("timestamp_ntz")
-            self._store.write_master(
-                "table_master",
-                update_by_key(master, facts, TABLE_KEY, ["tab_cnt", *window], stamp),
-            )
-
-    def run_column_level(self, inputs: Sequence[ProfileInput] | None = None) -> None:
-        for job in self._jobs(self._given(inputs)):
-            if any(source.stat_columns() for source in job):
-                self._update_columns(
-                    column_stats(job, extreme_chars=self._extreme_chars), STAT_COLUMNS
+        row = row_counts([source]).first()
+        with self._clock_lock:
+            return (*(row[c] for c in (*TABLE_KEY, "tab_cnt")), started, self._clock())
+
+    def run_table_level(self, inputs: Iterable[ProfileInput] | None = None) -> None:
+        """Row counts, each with its own wall-clock window; several tables at once."""
+        types = "db_nm string, owner_nm string, tab_nm string, prfl_id string, tab_cnt bigint"
+        window = ["tabcnt_str_dt", "tabcnt_end_dt"]
+        fields = ", ".join([types, *[f"{w} timestamp_ntz" for w in window]])
+        spark = self._store.spark
+        with self._store.staging() as stage, ThreadPoolExecutor(self._at_once) as pool:
+            for job in self._jobs(inputs):
+                # One row per table of the job: bounded by ``tables_per_job``.
+                stage.add(spark.createDataFrame(list(pool.map(self._counted, job)), fields))
+            if stage.parts:
+                stamp = F.lit(self._clock()).cast("timestamp_ntz")
+                master = self._store.master("table_master")
+                self._store.write_master(
+                    "table_master",
+                    update_by_key(master, stage.rows(), TABLE_KEY, ["tab_cnt", *window], stamp),
                 )
 
+    def run_column_level(self, inputs: Iterable[ProfileInput] | None = None) -> None:
+        with self._store.staging() as stage:
+            for job in self._jobs(inputs, ProfileInput.stat_columns):
+                stage.add(column_stats(job, extreme_chars=self._extreme_chars))
+            if stage.parts:
+                self._update_columns(stage.rows(), STAT_COLUMNS)
+
     def run_value_level(
-        self, inputs: Sequence[ProfileInput] | None = None, **options
+        self, inputs: Iterable[ProfileInput] | None = None, **options
     ) -> None:
         """Replace the histogram of every flagged table, then refresh the samples.
 
         Histograms are written first and the samples read the written table, so the
         source is scanned once.
         """
-        flagged = [source for source in self._given(inputs) if source.value_columns()]
-        for job in self._jobs(flagged):
+        done = False
+        for job in self._jobs(inputs, ProfileInput.value_columns):
             self._store.replace_scopes(
                 "column_values",
                 value_histogram(job, value_chars=self._value_chars, **options),
                 [{c: getattr(source.spec, c) for c in VALUE_SCOPE} for source in job],
             )
-        if flagged:
+            done = True
+        if done:
             self._update_columns(sample_values(self.values()), ["sample_data"])
 
     def run_pattern_level(
         self,
         source: str = "values",
         mode: str = "executed",
-        inputs: Sequence[ProfileInput] | None = None,
+        inputs: Iterable[ProfileInput] | None = None,
         **options,
     ) -> None:
         """Replace all patterns of the profile, from the value histograms or the tables."""
+        scope = {"db_nm": self._db_nm, "prfl_id": self._prfl_id}
         if source == "values":
-            patterns = patterns_from_values(self.values(), mode)
-        elif source == "direct":
-            flagged = [i for i in self._given(inputs) if i.pattern_columns()]
-            if not flagged:
-                return
-            patterns = patterns_direct(
-                flagged, mode, value_chars=self._value_chars, **options
+            columns = self._store.master("column_master").filter(
+                (F.col("db_nm") == self._db_nm) & (F.col("prfl_id") == self._prfl_id)
             )
+            patterns = patterns_from_values(self.values(), mode, columns.count())
+            self._store.replace_scope("column_patterns", patterns, scope)
+        elif source == "direct":
+            with self._store.staging() as stage:
+                for job in self._jobs(inputs, ProfileInput.pattern_columns):
+                    stage.add(
+                        patterns_direct(job, mode, value_chars=self._value_chars, **options)
+                    )
+                if not stage.parts:
+                    return
+                self._store.replace_scope("column_patterns", stage.rows(), scope)
         else:
             raise ValueError(f"unknown pattern source {source!r}; expected values or direct")
-        self._store.replace_scope(
-            "column_patterns", patterns, {"db_nm": self._db_nm, "prfl_id": self._prfl_id}
-        )
         self._update_columns(top_pattern(self.patterns()), ["top_col_pat"])
 
     def run(
@@ -228,12 +264,11 @@ class Profiler:
         unknown = set(levels) - set(LEVELS)
         if unknown:
             raise ValueError(f"unknown levels {sorted(unknown)}; expected some of {LEVELS}")
-        inputs = self.inputs()
         steps = {
-            "table": lambda: self.run_table_level(inputs),
-            "column": lambda: self.run_column_level(inputs),
-            "value": lambda: self.run_value_level(inputs),
-            "pattern": lambda: self.run_pattern_level(pattern_source, inputs=inputs),
+            "table": self.run_table_level,
+            "column": self.run_column_level,
+            "value": self.run_value_level,
+            "pattern": lambda: self.run_pattern_level(pattern_source),
         }
         for level in LEVELS:
             if level in levels:

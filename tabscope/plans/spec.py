@@ -6,8 +6,9 @@ size is that of the catalog, not of the tables.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Iterable, Iterator, Mapping, Sequence
 from dataclasses import dataclass, field, replace
+from itertools import groupby
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -59,11 +60,19 @@ class ProfileInput:
     def dtype(self, col_nm: str) -> T.DataType:
         return self.frame.schema[col_nm].dataType
 
+    def missing_columns(self) -> list[str]:
+        """Registered columns the table no longer has."""
+        held = set(self.frame.columns)
+        return [c.col_nm for c in self.spec.columns if c.use and c.col_nm not in held]
+
     def _structured(self) -> list[ColumnSpec]:
+        held = set(self.frame.columns)
         return [
             c
             for c in self.spec.columns
-            if c.use and not is_unstructured(self.dtype(c.col_nm), c.vendor_type)
+            if c.use
+            and c.col_nm in held
+            and not is_unstructured(self.dtype(c.col_nm), c.vendor_type)
         ]
 
     def stat_columns(self) -> list[ColumnSpec]:
@@ -112,21 +121,14 @@ def profile_targets(table_master: DataFrame, db_nm: str, prfl_id: str) -> DataFr
     )
 
 
-def value_targets(column_master: DataFrame) -> DataFrame:
-    """Columns flagged for a value histogram."""
-    return column_master.filter(
-        F.col("colval_exec_typ").isin("Y", "A", "B") & (F.col("use_yn") == "Y")
-    )
-
-
 def specs_from_masters(
     table_master: DataFrame,
     column_master: DataFrame,
     db_nm: str,
     prfl_id: str = DEFAULT_PROFILE,
     decimals: int | None = None,
-) -> list[TableSpec]:
-    """Read the registered population into a plan (one driver row per column)."""
+) -> Iterator[TableSpec]:
+    """The registered population, table by table; the driver holds one table's columns."""
     key = ["owner_nm", "tab_nm"]
     columns = column_master.filter(
         (F.col("db_nm") == db_nm) & (F.col("prfl_id") == prfl_id)
@@ -139,24 +141,20 @@ def specs_from_masters(
         .orderBy(*key, "col_seq", "col_nm")
         .toLocalIterator()
     )
-    tables: dict[tuple[str, str], list[ColumnSpec]] = {}
-    for row in rows:
-        specs = tables.setdefault((row["owner_nm"], row["tab_nm"]), [])
-        if row["col_nm"] is not None:
-            specs.append(
-                ColumnSpec(
-                    row["col_nm"],
-                    value_mode=row["colval_exec_typ"],
-                    pattern=row["colpat_exec_typ"] == "Y",
-                    use=row["use_yn"] == "Y",
-                    vendor_type=row["col_data_type"],
-                    decimals=decimals,
-                )
+    for (owner, tab), members in groupby(rows, lambda r: (r["owner_nm"], r["tab_nm"])):
+        specs = tuple(
+            ColumnSpec(
+                row["col_nm"],
+                value_mode=row["colval_exec_typ"],
+                pattern=row["colpat_exec_typ"] == "Y",
+                use=row["use_yn"] == "Y",
+                vendor_type=row["col_data_type"],
+                decimals=decimals,
             )
-    return [
-        TableSpec(db_nm, owner, tab, tuple(specs), prfl_id)
-        for (owner, tab), specs in tables.items()
-    ]
+            for row in members
+            if row["col_nm"] is not None
+        )
+        yield TableSpec(db_nm, owner, tab, specs, prfl_id)
 
 
 @dataclass(frozen=True)

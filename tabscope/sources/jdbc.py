@@ -7,7 +7,7 @@ by the caller or taken from environment variables the caller names; none live he
 from __future__ import annotations
 
 import os
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -110,6 +110,51 @@ def split_read(
     }
 
 
+# What each vendor puts around a name.
+QUOTES = {"oracle": '""', "postgres": '""', "mssql": "[]", "mysql": "``"}
+
+
+def quoted(vendor: str, *names: str) -> str:
+    """A qualified name as the vendor reads it, whatever case or characters it holds."""
+    first, last = QUOTES[vendor]
+    return ".".join(f"{first}{name.replace(last, last * 2)}{last}" for name in names)
+
+
+def bounds_query(vendor: str, owner: str, table: str, column: str) -> str:
+    """The SELECT that asks a source for the range of a split column."""
+    key = quoted(vendor, column)
+    source = quoted(vendor, owner, table)
+    return f"SELECT MIN({key}) AS lower_bound, MAX({key}) AS upper_bound FROM {source}"
+
+
+def count_query(vendor: str, owner: str, table: str) -> str:
+    """The SELECT that has the source count its rows."""
+    return f"SELECT COUNT(*) AS tab_cnt FROM {quoted(vendor, owner, table)}"
+
+
+def split_by_key(
+    spark: SparkSession,
+    options: Mapping[str, str],
+    vendor: str,
+    owner: str,
+    table: str,
+    column: str,
+    partitions: int,
+) -> dict[str, str]:
+    """Split options with the bounds the source gives; none for a table without rows."""
+    query = bounds_query(vendor, owner, table, column)
+    row = read_query(spark, options, query).first()
+    low, high = row[0], row[1]
+    if low is None:
+        return {}
+    return split_read(quoted(vendor, column), str(low), str(high), partitions)
+
+
+def schema_predicates(column: str, schemas: Sequence[str]) -> list[str]:
+    """One condition per schema: each is a partition the source filters by itself."""
+    return ["{} = '{}'".format(column, s.replace("'", "''")) for s in schemas]
+
+
 def read_table(
     spark: SparkSession,
     options: Mapping[str, str],
@@ -188,10 +233,37 @@ CATALOGS = {
 }
 
 
+# The column of an extract that holds the schema, where it has one.
+SCHEMA_COLUMNS = {
+    "oracle": {name: "OWNER" for name in CATALOGS["oracle"]},
+    "postgres": {
+        **{n: "table_schema" for n in ("info_tables", "info_columns", "info_views")},
+        **{n: "table_schema" for n in ("table_constraints", "key_column_usage")},
+        "pg_stat": "schemaname",
+    },
+    "mysql": {name: "TABLE_SCHEMA" for name in CATALOGS["mysql"]},
+    "mssql": {n: "TABLE_SCHEMA" for n in ("table_constraints", "key_column_usage")},
+}
+
+
 def catalog_extracts(
-    spark: SparkSession, options: Mapping[str, str], vendor: str
+    spark: SparkSession,
+    options: Mapping[str, str],
+    vendor: str,
+    schemas: Sequence[str] = (),
 ) -> dict[str, DataFrame]:
-    """A vendor's catalog extracts, ready for the dictionary normalisers."""
-    return {
-        name: read_table(spark, options, source) for name, source in CATALOGS[vendor].items()
-    }
+    """A vendor's catalog extracts, ready for the dictionary normalisers.
+
+    With ``schemas`` the extracts that name a schema are read by one task per schema and
+    filtered by the source; without, and for the others, one task reads all.
+    """
+
+    def read(name: str, source: str) -> DataFrame:
+        column = SCHEMA_COLUMNS[vendor].get(name)
+        if not schemas or column is None:
+            return read_table(spark, options, source)
+        rest = {k: v for k, v in options.items() if k != "url"}
+        conditions = schema_predicates(column, schemas)
+        return spark.read.jdbc(options["url"], source, predicates=conditions, properties=rest)
+
+    return {name: read(name, source) for name, source in CATALOGS[vendor].items()}

@@ -48,14 +48,20 @@ class SourceRegistry:
         self,
         source_id: str,
         options: Mapping[str, str],
+        vendor: str,
         splits: Mapping[str, Mapping[str, str]] | None = None,
     ) -> Reader:
-        """Tables of a relational source; ``splits`` gives parallel reads per table."""
+        """Tables ``owner.table`` of a relational source, quoted as the vendor does.
+
+        ``splits`` gives parallel reads per table.
+        """
         splits = splits or {}
-        return self.register(
-            source_id,
-            lambda table: jdbc.read_table(self._spark, options, table, splits.get(table)),
-        )
+
+        def read(table: str) -> DataFrame:
+            name = jdbc.quoted(vendor, *table.split(".", 1))
+            return jdbc.read_table(self._spark, options, name, splits.get(table))
+
+        return self.register(source_id, read)
 
     def get(self, source_id: str) -> Reader:
         if source_id not in self._readers:

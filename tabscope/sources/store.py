@@ -12,7 +12,8 @@ from __future__ import annotations
 import json
 import re
 import uuid
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Iterable, Iterator, Mapping, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -63,11 +64,29 @@ def _directory(column: str, value: object) -> str:
     return f"{column}=" + _ESCAPED.sub(lambda m: f"%{ord(m.group()):02X}", text)
 
 
+class Stage:
+    """Rows of several jobs, written one after the other and read back together."""
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark, self._folder = spark, folder
+        self.parts: list[str] = []
+        self._schema: T.StructType | None = None
+
+    def add(self, rows: DataFrame) -> None:
+        part = f"{self._folder}/part-{len(self.parts):06d}"
+        rows.write.parquet(part)
+        self._schema = rows.schema
+        self.parts.append(part)
+
+    def rows(self) -> DataFrame:
+        return self.spark.read.schema(self._schema).parquet(*self.parts)
+
+
 class ResultStore:
     """The profile tables of a project."""
 
     def __init__(self, spark: SparkSession, root: str):
-        self._spark = spark
+        self.spark = spark
         self._root = root.rstrip("/")
 
     def path(self, table: str) -> str:
@@ -79,8 +98,18 @@ class ResultStore:
         return T.StructType.fromDDL(", ".join(f"{n} {t}" for n, t in fields.items()))
 
     def _hadoop(self, location: str):
-        path = self._spark._jvm.org.apache.hadoop.fs.Path(location)
-        return path.getFileSystem(self._spark._jsc.hadoopConfiguration()), path
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(location)
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
+
+    @contextmanager
+    def staging(self) -> Iterator[Stage]:
+        """A folder for what the jobs of a level find, removed at the end."""
+        folder = f"{self._root}/_staging/{uuid.uuid4().hex}"
+        try:
+            yield Stage(self.spark, folder)
+        finally:
+            fs, path = self._hadoop(folder)
+            fs.delete(path, True)
 
     # Manifests -------------------------------------------------------------------------
 
@@ -99,7 +128,7 @@ class ResultStore:
         fs, path = self._hadoop(f"{self.path(table)}/_manifests/{number:010d}.json")
         stream = fs.open(path)
         try:
-            data = self._spark._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)
+            data = self.spark._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)
         finally:
             stream.close()
         return json.loads(bytes(data))
@@ -137,10 +166,10 @@ class ResultStore:
         manifest = self._manifest(table, numbers[-1]) if numbers else {}
         directories = sorted({d for ds in manifest.values() for d in ds})
         if not directories:
-            return self._spark.createDataFrame([], self.schema(table))
+            return self.spark.createDataFrame([], self.schema(table))
         schema = T.StructType([*self.schema(table).fields, T.StructField("load", T.StringType())])
         paths = [f"{self.path(table)}/{d}" for d in directories]
-        reader = self._spark.read.schema(schema).option("basePath", self.path(table))
+        reader = self.spark.read.schema(schema).option("basePath", self.path(table))
         return reader.parquet(*paths).drop("load")
 
     def replace_scope(self, table: str, df: DataFrame, scope: Mapping[str, object]) -> None:

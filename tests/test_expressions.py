@@ -12,11 +12,7 @@ from pyspark.sql import types as T
 from tabscope.functions.buckets import range_label, value_bucket
 from tabscope.functions.patterns import char_pattern
 from tabscope.functions.text import canonical_text, distinct_key
-from tabscope.functions.types import (
-    character_type_name,
-    is_numeric_name,
-    is_unstructured,
-)
+from tabscope.functions.types import character_type_name, is_unstructured
 from tabscope.operators.pattern_dist import share_text
 
 PATTERNS = [
@@ -131,7 +127,6 @@ def test_distinct_keys_fold_only_equal_values(spark):
 def test_type_classes(spark):
     assert is_unstructured(T.ArrayType(T.FloatType()))
     assert is_unstructured(T.StringType(), "clob") and not is_unstructured(T.StringType(), "CLOB2")
-    assert is_numeric_name("NUMBER(10)") and is_numeric_name("interval day") and not is_numeric_name(None)
     df = spark.createDataFrame([("varchar2", True), ("number", False), ("string", True), ("nchar", True), ("strings", False)], "t string, want boolean")
     assert all(r[0] == r[1] for r in df.select("want", character_type_name(F.col("t"))).collect())
 

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tabscope.operators.dictionary import lake
-from tabscope.operators.dictionary.common import stamped
+from tabscope.operators.dictionary.common import AllBut, stamped
 from tabscope.operators.dictionary.vendors import NORMALISERS, dictionary_parts, extract_names
 from tabscope.pipeline import Profiler, collect_dictionary, register_population
 from tabscope.session import shared_dir
@@ -184,10 +184,46 @@ def test_jdbc_options(monkeypatch):
     assert jdbc.split_read("id", 1, 100, 8) == {"partitionColumn": "id", "lowerBound": "1", "upperBound": "100", "numPartitions": "8"}
     with pytest.raises(ValueError):
         jdbc.split_read("id", 1, 100, 0)
+    assert "secret" not in repr(jdbc.Credentials("u", "secret"))
     monkeypatch.setenv("DB_USER", "a"); monkeypatch.setenv("DB_PASS", "b")
     assert jdbc.Credentials.from_env("DB_USER", "DB_PASS") == jdbc.Credentials("a", "b")
 
 
+def test_jdbc_names_and_pushed_queries(spark, monkeypatch):
+    assert jdbc.quoted("oracle", "Sales", "order lines") == '"Sales"."order lines"'
+    assert jdbc.quoted("mssql", "dbo", "a]b") == "[dbo].[a]]b]"
+    assert jdbc.quoted("mysql", "s", "gr`oup") == "`s`.`gr``oup`"
+    assert jdbc.bounds_query("postgres", "s", "t", "Id") == 'SELECT MIN("Id") AS lower_bound, MAX("Id") AS upper_bound FROM "s"."t"'
+    assert jdbc.count_query("mysql", "s", "t") == "SELECT COUNT(*) AS tab_cnt FROM `s`.`t`"
+    assert jdbc.schema_predicates("OWNER", ["A", "O'B"]) == ["OWNER = 'A'", "OWNER = 'O''B'"]
+    asked = []
+    answer = spark.createDataFrame([(3, 99)], "lower_bound int, upper_bound int")
+    monkeypatch.setattr(jdbc, "read_query", lambda s, o, q: asked.append(q) or answer)
+    split = jdbc.split_by_key(spark, {}, "oracle", "A", "T", "ID", 7)
+    assert split == {"partitionColumn": '"ID"', "lowerBound": "3", "upperBound": "99", "numPartitions": "7"}
+    assert asked == ['SELECT MIN("ID") AS lower_bound, MAX("ID") AS upper_bound FROM "A"."T"']
+    monkeypatch.setattr(jdbc, "read_query", lambda s, o, q: answer.selectExpr("null", "null"))
+    assert jdbc.split_by_key(spark, {}, "oracle", "A", "T", "ID", 7) == {}
+    opened = []
+    monkeypatch.setattr(jdbc, "read_table", lambda s, o, t, split=None: opened.append((t, split)))
+    sources = SourceRegistry(spark)
+    sources.register_jdbc("erp", {"url": "u"}, "mssql", {"dbo.My Table": split})
+    sources.table("erp", "dbo.My Table")
+    assert opened == [("[dbo].[My Table]", split)]
+
+
+def test_schema_columns_belong_to_extracts():
+    for vendor, columns in jdbc.SCHEMA_COLUMNS.items():
+        assert set(columns) <= set(jdbc.CATALOGS[vendor])
+
+
+def test_collection_by_exclusion(small):
+    extracts = {n: extract(small, n) for n in extract_names("oracle")}
+    parts = dictionary_parts("oracle", extracts, AllBut("oracle", (KEPT[0],)))
+    for part in parts.values():
+        assert {r.owner_nm for r in part.select("owner_nm").distinct().collect()} == set(KEPT[1:])
+
+
 @pytest.mark.parametrize("vendor", sorted(NORMALISERS))
 def test_every_extract_of_a_vendor_has_a_source(vendor):
     assert set(extract_names(vendor)) == set(jdbc.CATALOGS[vendor])
@@ -266,3 +302,43 @@ def test_pipeline_levels_can_run_alone(profiled, rows):
         profiler.run(levels=("rows",))
     with pytest.raises(ValueError):
         profiler.run_pattern_level("nowhere")
+
+
+def test_a_level_of_many_jobs_writes_the_master_once(spark, small, tmp_path, monkeypatch, caplog):
+    """Seven tables, two a job: lazy opening, one master write a level, a window a table."""
+    store = ResultStore(spark, str(tmp_path / "many"))
+    names = [f"n{i}" for i in range(7)]
+    frames = {n: small["nation"] for n in names}
+    files = lake.segments(spark, small.root).filter("segment_nm = 'nation'")
+    files = files.drop("segment_nm").join(spark.createDataFrame([(n,) for n in names], "segment_nm string")).select(*files.columns)
+    parts = {
+        "tables": lake.tables(files), "columns": lake.columns(spark, frames), "segments": files,
+        **{k: lake.empty(spark, k) for k in ("constraints", "constraint_columns", "indexes")},
+    }
+    collect_dictionary(spark, store, "lake", parts, RUN)
+    register_population(store, "lake", ["main"], RUN)
+    opened, written = [], []
+    write = store.write_master
+    monkeypatch.setattr(store, "write_master", lambda name, df: (written.append((name, len(opened))), write(name, df)))
+
+    def read(_owner, tab):
+        opened.append(tab)
+        return frames[tab].drop("n_regionkey") if tab == "n3" else frames[tab]
+
+    ticks = iter(RUN + dt.timedelta(seconds=i) for i in range(1000))
+    profiler = Profiler(store, read, "lake", tables_per_job=2, counts_at_once=1, clock=lambda: next(ticks))
+    jobs = profiler._jobs(None)
+    assert [len(next(jobs)), len(opened)] == [2, 2]
+    opened.clear()
+    profiler.run(levels=("table", "column"))
+    assert written == [("table_master", 7), ("column_master", 14)]
+    assert "n3 no longer has the registered columns n_regionkey" in caplog.text
+    tables = store.master("table_master").collect()
+    assert {r.tab_cnt for r in tables} == {25}
+    assert len({(r.tabcnt_str_dt, r.tabcnt_end_dt) for r in tables}) == 7
+    assert all(r.tabcnt_str_dt < r.tabcnt_end_dt for r in tables)
+    columns = {(r.tab_nm, r.col_nm): r.notnull_cnt for r in store.master("column_master").collect()}
+    assert columns["n3", "n_regionkey"] is None and columns["n4", "n_regionkey"] == 25
+    profiler.run_pattern_level("direct")
+    assert store.read("column_patterns").select("tab_nm").distinct().count() == 7
+    assert not list((tmp_path / "many" / "_staging").iterdir())
