@@ -97,6 +97,33 @@ def appended(
     return map_batches(df, run, schema)
 
 
+def runs(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Table]:
+    """Batches put together until they hold ``size`` bytes: what repeats is worked on once."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(b.nbytes for b in held) >= size:
+            yield pa.Table.from_batches(held)
+            held = []
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+_claimed: list = []
+
+
+def claim(owner: object, forget: Callable[[], None]) -> None:
+    """Let only one operator keep a cache in this worker: another one's is emptied.
+
+    Workers outlive a stage, and the caches of several stages would add up.
+    """
+    if _claimed and _claimed[0] is owner:
+        return
+    if _claimed:
+        _claimed[1]()
+    _claimed[:] = [owner, forget]
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A new folder under the shared checkpoint folder, deleted when the session ends."""
     ensure_checkpoint_dir(spark)

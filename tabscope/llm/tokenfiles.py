@@ -13,11 +13,11 @@ the outliers: their places and full differences. Little-endian throughout:
     tail:    blocks u64, documents u64, ids u64, start of the index u64, b"PFOR0001"
 
 Documents are dealt over shards by ranges of doc_id, so that shard after shard and
-document after document the ids ascend; a shard is some 16 MB of text.
+document after document the ids ascend; a shard is some 12 MB of text.
 
 Texts are encoded with a file of the tokenizers library. Where the tokenizer is a plain
 byte-level one, a text is cut before each single space that precedes a word, where its
-pieces never join, and a worker encodes every such chunk only once.
+pieces never join, and of the chunks of a shard each distinct one is encoded once.
 
 Defined results: a null or empty text is the end id alone; null ids come last; documents
 with equal ids keep the order of their text's hash; empty tables give no shard.
@@ -35,20 +35,32 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.fs as pafs
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabscope.llm.common import files_at, identified, map_batches, scratch_dir, scratch_table, small_side
+from tabscope.llm.common import (
+    claim,
+    files_at,
+    identified,
+    map_batches,
+    runs,
+    scratch_dir,
+    scratch_table,
+    small_side,
+)
 
 MAGIC = b"PFOR0001"
 BLOCK = 256
 #: The packed width fits this share of a block's differences; the others are outliers.
 FITS = 0.98
-SHARD_BYTES = 16 << 20
+SHARD_BYTES = 12 << 20
+#: Texts encoded at once: a chunk that comes twice in them is encoded once.
+ENCODE_BYTES = 16 << 20
+#: Words a worker remembers the ids of, some 40 bytes each.
+KNOWN_WORDS = 1_000_000
 END_ID = 2
-CACHE_CHUNKS = 700_000
 ROW = "_tabscope_row"
 _HEAD = struct.Struct("<IBH")
 _TAIL = struct.Struct("<QQQQ8s")
@@ -85,15 +97,16 @@ def _unpack(raw: np.ndarray, width: int) -> np.ndarray:
 
 def encode_blocks(ids: np.ndarray) -> list[bytes]:
     """One byte string per block; ``ids`` fill whole blocks."""
-    rows = ids.reshape(-1, BLOCK).astype(np.uint64)
+    rows = ids.reshape(-1, BLOCK)
     least = rows.min(axis=1)
     rows = rows - least[:, None]
-    nth = np.partition(rows, int(np.ceil(FITS * BLOCK)) - 1, axis=1)[:, int(np.ceil(FITS * BLOCK)) - 1]
+    last = int(np.ceil(FITS * BLOCK)) - 1
+    nth = np.partition(rows, last, axis=1)[:, last]
     widths = np.ceil(np.log2(nth.astype(np.float64) + 1)).astype(np.int64)
     out: list[bytes] = [b""] * len(rows)
     for width in np.unique(widths):
         which = np.flatnonzero(widths == width)
-        mine = rows[which]
+        mine = rows[which].astype(np.uint64)
         outlier = mine >> np.uint64(width) > 0
         packed = _pack(np.where(outlier, np.uint64(0), mine), int(width))
         counts = outlier.sum(axis=1)
@@ -107,20 +120,27 @@ def encode_blocks(ids: np.ndarray) -> list[bytes]:
     return out
 
 
-def decode_blocks(raw: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """Ids of the blocks that begin at ``starts`` in the bytes ``raw``."""
+def _slices(data: bytes, starts: np.ndarray, size: int) -> np.ndarray:
+    """(starts, size) bytes of ``data``."""
+    parts = [data[a : a + size] for a in starts.tolist()]
+    return np.frombuffer(b"".join(parts), np.uint8).reshape(len(starts), size)
+
+
+def decode_blocks(data: bytes, starts: np.ndarray) -> np.ndarray:
+    """Ids of the blocks that begin at ``starts`` in ``data``."""
     if not len(starts):
         return np.empty(0, np.uint32)
+    raw = np.frombuffer(data, np.uint8)
     starts = starts.astype(np.int64)
-    head = raw[starts[:, None] + np.arange(_HEAD.size)]
+    head = _slices(data, starts, _HEAD.size)
     least = np.ascontiguousarray(head[:, :4]).view("<u4")[:, 0]
     widths = head[:, 4].astype(np.int64)
     counts = np.ascontiguousarray(head[:, 5:7]).view("<u2")[:, 0].astype(np.int64)
-    out = np.zeros((len(starts), BLOCK), np.uint64)
+    out = np.zeros((len(starts), BLOCK), np.uint32)
     for width in np.unique(widths):
         which = np.flatnonzero(widths == width)
-        body = starts[which][:, None] + _HEAD.size + np.arange(32 * width)
-        out[which] = _unpack(raw[body], int(width))
+        body = _slices(data, starts[which] + _HEAD.size, 32 * int(width))
+        out[which] = _unpack(body, int(width))
     if counts.any():
         after = starts + _HEAD.size + 32 * widths
         block = np.repeat(np.arange(len(starts)), counts)
@@ -129,17 +149,28 @@ def decode_blocks(raw: np.ndarray, starts: np.ndarray) -> np.ndarray:
         at = after[block] + counts[block] + 4 * nth
         value = np.ascontiguousarray(raw[at[:, None] + np.arange(4)]).view("<u4")[:, 0]
         out[block, place] = value
-    return (out + least[:, None]).astype(np.uint32).reshape(-1)
+    out += least[:, None]
+    return out.reshape(-1)
 
 
 # Encoding ------------------------------------------------------------------------------
 
-_LOOSE = re.compile(r" (?=\s|$)")
+#: All that any library here takes for white space.
+_BLANK = r"\s\x0B\x1C-\x1F\x{85}\p{Z}"
+_SPACE = rf"[{_BLANK}]"
+_LOOSE = rf" (?:[{_BLANK}]|\z)"
+_ENDED = r"[\p{L}\p{N}][,.]\z"
 _CUT = re.compile(r" (?=\S)")
+#: Words of one call of the tokenizer.
+_RUN = 64
 
 
 class Encoder:
-    """Token ids of texts as little-endian 32-bit bytes."""
+    """Token ids of texts.
+
+    A plain byte-level tokenizer is asked for every distinct chunk of the texts once; the
+    chunks never become Python objects.
+    """
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
@@ -147,43 +178,121 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         made = json.loads(self.tokenizer.to_str())
         before = made["pre_tokenizer"] or {}
+        bound = ("lstrip", "rstrip", "single_word", "normalized")
+        marks = [ids.tolist() for ids in self._ids([",", ".", "\n"])]
         self.chunked = (
             before.get("type") == "ByteLevel"
             and before.get("use_regex", False)
             and not before.get("add_prefix_space", True)
             and made["normalizer"] is None
             and not made["truncation"]
+            and not any(token[b] for token in made["added_tokens"] for b in bound)
+            and all(len(ids) == 1 for ids in marks)
         )
-        self.known: dict[str, bytes] = {}
-
-    def _encoded(self, texts: list[str]) -> list[bytes]:
-        done = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in done]
-
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        if not self.chunked:
-            return self._encoded(texts)
-        if len(self.known) > CACHE_CHUNKS:
-            self.known.clear()
-        cut = [_CUT.split(t) if _LOOSE.search(t) else t.split(" ") for t in texts]
-        wanted: set[str] = set()
-        for chunks in cut:
-            wanted.update(chunks[1:])
-        known = self.known
-        missing = [w for w in wanted if w not in known]
+        self.comma, self.stop, self.newline = (ids[0] if ids else -1 for ids in marks)
+        self.forget()
+
+    def forget(self) -> None:
+        """Words met before, the first KNOWN_WORDS of them, and where their ids are: none."""
+        self.known = pa.array([], pa.string())
+        self.ids = np.empty(0, "<u4")
+        self.starts = self.lengths = np.empty(0, np.int64)
+
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
+        out = []
+        for i in range(0, len(texts), _RUN):  # what the tokenizer returns is bulky
+            done = self.tokenizer.encode_batch_fast(texts[i : i + _RUN], add_special_tokens=False)
+            out += [np.array(e.ids, "<u4") for e in done]
+        return out
+
+    def _words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, starts, lengths) of distinct words, each as it stands after a space."""
+        at = pc.index_in(words, value_set=self.known)
+        fresh = at.is_null()
+        new = words.filter(fresh)
+        ids, starts, lengths = self._new_words(new)
+        ids = np.concatenate([self.ids, ids])
+        starts += len(self.ids)
+        where = pc.fill_null(at, 0).to_numpy()
+        all_starts = np.empty(len(words), np.int64)
+        all_lengths = np.empty(len(words), np.int64)
+        is_new = fresh.to_numpy(zero_copy_only=False)
+        all_starts[is_new], all_lengths[is_new] = starts, lengths
+        all_starts[~is_new] = self.starts[where[~is_new]]
+        all_lengths[~is_new] = self.lengths[where[~is_new]]
+        if len(self.known) + len(new) <= KNOWN_WORDS:
+            self.known = pa.concat_arrays([self.known, new])
+            self.ids = ids
+            self.starts = np.concatenate([self.starts, starts])
+            self.lengths = np.concatenate([self.lengths, lengths])
+        return ids, all_starts, all_lengths
+
+    def _new_words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, starts, lengths) of words the tokenizer is asked for.
+
+        A line end between a word and the next space is a piece of its own, so that one
+        call of the tokenizer takes many words; words with white space go alone.
+        """
+        odd = pc.or_(pc.match_substring_regex(words, _SPACE), pc.equal(words, ""))
+        plain = words.filter(pc.invert(odd))
+        cuts = np.append(np.arange(0, len(plain), _RUN), len(plain)).astype(np.int32)
+        runs = pc.binary_join(pa.ListArray.from_arrays(cuts, plain), "\n ").to_pylist()
+        ids = np.concatenate([np.empty(0, "<u4"), *self._ids([f" {run}\n" for run in runs])])
+        ends = np.flatnonzero(ids == self.newline)
+        alone = self._ids([f" {w}" if w else "" for w in words.filter(odd).to_pylist()])
+        starts = np.empty(len(words), np.int64)
+        lengths = np.empty(len(words), np.int64)
+        which = odd.to_numpy(zero_copy_only=False)
+        starts[~which] = np.append(0, ends + 1)[: len(ends)]
+        lengths[~which] = ends - starts[~which]
+        lengths[which] = [len(a) for a in alone]
+        starts[which] = len(ids) + np.cumsum(lengths[which]) - lengths[which]
+        return np.concatenate([ids, *alone]), starts, lengths
+
+    def __call__(self, texts: pa.Array) -> list[np.ndarray]:
+        """Ids of every text."""
+        if not self.chunked or not len(texts):
+            return self._ids(texts.to_pylist())
+        claim(self, self.forget)
+        is_loose = pc.match_substring_regex(texts, _LOOSE)
+        split = pc.split_pattern(texts.filter(pc.invert(is_loose)), " ")
+        cut = [_CUT.split(t) for t in texts.filter(is_loose).to_pylist()]
+        lists = pa.concat_arrays([split, pa.array(cut, split.type)])
+        offsets = lists.offsets.to_numpy().astype(np.int64)
+        coded = lists.flatten().dictionary_encode()
+        places = coded.indices.to_numpy().copy()
+        chunks = coded.dictionary
         # A comma or full stop after a letter or digit is a piece of its own.
-        ended = [w for w in missing if len(w) > 1 and w[-1] in ",." and w[-2].isalnum()]
-        whole = set(missing).difference(ended)
-        whole.update(w for w in (e[:-1] for e in ended) if w not in known)
-        ordered = list(whole)
-        known.update(zip(ordered, self._encoded([" " + w for w in ordered]), strict=True))
-        if ended:
-            marks = dict(zip(",.", self._encoded([",", "."]), strict=True))
-            for w in ended:
-                known[w] = known[w[:-1]] + marks[w[-1]]
-        first = self._encoded([chunks[0] for chunks in cut])
-        get = known.__getitem__
-        return [a + b"".join(map(get, c[1:])) for a, c in zip(first, cut, strict=True)]
+        ended = pc.match_substring_regex(chunks, _ENDED)
+        bases = pc.if_else(ended, pc.utf8_slice_codeunits(chunks, 0, -1), chunks).dictionary_encode()
+        ids, starts, lengths = self._words(bases.dictionary)
+        base = bases.indices.to_numpy()
+        marked = ended.to_numpy(zero_copy_only=False)
+        mark = np.where(pc.ends_with(chunks, ",").to_numpy(zero_copy_only=False), self.comma, self.stop)
+        # The first chunk of a text has no space before it.
+        heads, head = np.unique(places[offsets[:-1]], return_inverse=True)
+        first = self._ids(chunks.take(pa.array(heads)).to_pylist())
+        places[offsets[:-1]] = len(chunks) + head
+        sizes = np.array([len(f) for f in first], np.int64)
+        starts = np.concatenate([starts[base], len(ids) + np.cumsum(sizes) - sizes]).astype(np.int32)
+        lengths = np.concatenate([lengths[base] + marked, sizes]).astype(np.int32)
+        marked = np.concatenate([marked, np.zeros(len(first), bool)])
+        ids = np.concatenate([ids, *first, ids[:0], [0]]).astype("<u4", copy=False)
+        # Chunk after chunk; the place of a mark is filled afterwards.
+        each = lengths[places]
+        ends = np.cumsum(each, dtype=np.int64)
+        at = np.repeat(starts[places] - (ends - each).astype(np.int32), each)
+        at += np.arange(len(at), dtype=np.int32)
+        out = ids[at]
+        del at
+        with_mark = np.flatnonzero(marked[places])
+        out[ends[with_mark] - 1] = mark[places[with_mark]]
+        bounds = np.append(0, ends)[offsets]
+        order = np.argsort(is_loose.to_numpy(zero_copy_only=False), kind="stable")
+        found: list[np.ndarray] = [out[:0]] * len(texts)
+        for n, i in enumerate(order.tolist()):
+            found[i] = out[bounds[n] : bounds[n + 1]]
+        return found
 
 
 @cache
@@ -238,7 +347,6 @@ def _write_shard(out: pa.NativeFile, documents: Iterator[tuple[int | None, bytes
 
 def read_shard(data: bytes) -> Iterator[tuple[int | None, int, np.ndarray]]:
     """(doc_id, ids before it in the shard, ids) of every document of a shard file."""
-    raw = np.frombuffer(data, np.uint8)
     blocks, documents, total, at, magic = _TAIL.unpack(data[-_TAIL.size :])
     if magic != MAGIC or data[: len(MAGIC)] != MAGIC:
         raise ValueError("not a token file")
@@ -248,7 +356,7 @@ def read_shard(data: bytes) -> Iterator[tuple[int | None, int, np.ndarray]]:
     at += 8 * (documents + 1)
     doc_ids = np.frombuffer(data, "<i8", documents, at)
     known = np.frombuffer(data, np.uint8, documents, at + 8 * documents)
-    ids = decode_blocks(raw, starts)[:total]
+    ids = decode_blocks(data, starts)[:total]
     for i in range(documents):
         yield (int(doc_ids[i]) if known[i] else None), int(before[i]), ids[before[i] : before[i + 1]]
 
@@ -271,10 +379,10 @@ def write_token_files(
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def encoded() -> Iterator[tuple[int | None, bytes]]:
             encode = encoder(tokenizer)
-            for batch in batches:
-                ids = batch.column(0).to_pylist()
-                for doc_id, tokens in zip(ids, encode(batch.column(1).to_pylist()), strict=True):
-                    yield doc_id, tokens + end
+            for run in runs(batches, ENCODE_BYTES):
+                ids = run.column(0).to_pylist()
+                for doc_id, tokens in zip(ids, encode(run.column(1).combine_chunks()), strict=True):
+                    yield doc_id, tokens.tobytes() + end
 
         found = encoded()
         head = next(found, None)
@@ -306,7 +414,7 @@ def read_token_files(shards: DataFrame) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 of every document, read from the shard files."""
     count = shards.count()
     earlier = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    # One narrow row per 16 MB of text.
+    # One narrow row per 12 MB of text.
     offsets = shards.select(
         "shard", "file", F.coalesce(F.sum("ids").over(earlier), F.lit(0)).alias("before")
     )
@@ -318,7 +426,7 @@ def read_token_files(shards: DataFrame) -> DataFrame:
                 with fs.open_input_stream(path) as stream:
                     data = stream.read()
                 made = [
-                    (doc_id, before + at, len(ids), zlib.crc32(ids.astype("<u4").tobytes()))
+                    (doc_id, before + at, len(ids), zlib.crc32(ids.astype("<u4", copy=False)))
                     for doc_id, at, ids in read_shard(data)
                 ]
                 columns = [pa.array(list(c), pa.int64()) for c in zip(*made, strict=True)]
