@@ -3,9 +3,9 @@
 A text becomes a template: numbers, names and units turn into typed placeholders, all
 other words are lower-cased. Windows of five template tokens that hold at least three
 plain words are hashed. A document holds an item if at least 0.8 of the item's windows
-occur in it with consistent slots: along one alignment of the two texts, a value that
-fills a slot of the item always stands for the same value of the document, and the other
-way round. So "Tom has 3 apples and eats 3" is found as "Ann has 5 apples and eats 5",
+occur in it with consistent slots, and 0.8 of the slots they cover are consistent: along
+one alignment of the two texts, a value that fills a slot of the item always stands for
+the same value of the document, and the other way round. So "Tom has 3 apples and eats 3" is found as "Ann has 5 apples and eats 5",
 and "Ann has 5 apples and eats 7" is not.
 
 Tasks drop windows that a Bloom filter of the benchmark's windows rules out; its size is
@@ -21,16 +21,26 @@ found; repeated rows are judged alike; an empty table gives no rows.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabscope.llm.common import dense_arrays, identified, map_batches, scratch_table, small_side
+from tabscope.llm.common import (
+    claim,
+    dense_arrays,
+    identified,
+    map_batches,
+    runs,
+    scratch_table,
+    small_side,
+)
 
 WINDOW = 5
 PLAIN_WORDS = 3
@@ -38,7 +48,9 @@ COVERAGE = 0.8
 #: Bloom filter: bits for each window of the benchmark, three probes, 64 MB at most.
 BLOOM_BITS_EACH = 32
 BLOOM_MOST_BITS = 29
-CACHE_WORDS = 400_000
+#: A worker forgets its chunks beyond so many, some 200 bytes each.
+CACHE_CHUNKS = 700_000
+RUN_BYTES = 8 << 20
 ROW = "_tabscope_row"
 
 NUMBER_WORDS = frozenset(
@@ -62,41 +74,65 @@ _NAME_SLOT, _NUMBER_SLOT, _UNIT_SLOT = 1, 2, 3
 _PRIME = np.uint64(0x9FB21C651E98DF25)
 
 
-class _Words(dict):
-    """Token to its 61-bit hash and kind, packed; the hash is that of the lower-cased token."""
+_KINDS = dict.fromkeys(UNITS, _UNIT) | dict.fromkeys(NUMBER_WORDS, _NUMBER)
+_KINDS |= dict.fromkeys(".!?\n", _STOP)
+
 
-    def __missing__(self, token: str) -> int:
-        low = token.lower()
-        if token in ".!?\n":
-            kind = _STOP
-        elif token[0].isdigit() or low in NUMBER_WORDS:
+def _key(token: str) -> bytes:
+    """61-bit hash of the lower-cased token, and its kind, in eight bytes."""
+    low = token.lower()
+    kind = _KINDS.get(low)
+    if kind is None:
+        if token[0].isdigit():
             kind = _NUMBER
-        elif low in UNITS:
-            kind = _UNIT
-        elif token[0].isupper() and not token.isupper() and len(token) > 1:
+        elif token[0].isupper() and len(token) > 1 and not token.isupper():
             kind = _CAPITAL
         else:
             kind = _PLAIN
-        key = xxhash.xxh3_64_intdigest(low.encode("utf-8", "surrogatepass")) >> 3 << 3 | kind
-        self[token] = key
-        return key
+    return (xxhash.xxh3_64_intdigest(low.encode()) >> 3 << 3 | kind).to_bytes(8, "little")
+
+
+class _Chunks(dict):
+    """What stands between two spaces, to the keys of its tokens."""
+
+    def __missing__(self, chunk: str) -> bytes:
+        keys = _key(chunk) if chunk.isalpha() else b"".join(map(_key, _TOKEN.findall(chunk)))
+        self[chunk] = keys
+        return keys
+
 
+_CHUNKS = _Chunks()
 
-_WORDS = _Words()
 
+def token_keys(texts: pa.Array) -> list[np.ndarray]:
+    """Keys of the tokens of every text; a chunk that repeats is looked at once."""
+    if not len(texts):
+        return []
+    claim(_CHUNKS, _CHUNKS.clear)
+    if len(_CHUNKS) > CACHE_CHUNKS:
+        _CHUNKS.clear()
+    lists = pc.split_pattern(pc.fill_null(texts, ""), " ")
+    coded = lists.flatten().dictionary_encode()
+    chunks = list(map(_CHUNKS.__getitem__, coded.dictionary.to_pylist()))
+    sizes = np.fromiter(map(len, chunks), np.int64, len(chunks)) // 8
+    every = np.frombuffer(b"".join(chunks), np.uint64)
+    places = coded.indices.to_numpy()
+    each = sizes[places]
+    ends = np.cumsum(each)
+    at = np.repeat((np.cumsum(sizes) - sizes)[places] - (ends - each), each)
+    keys = every[at + np.arange(len(at))]
+    bounds = np.append(0, ends)[lists.offsets.to_numpy()]
+    return [keys[a:b] for a, b in zip(bounds, bounds[1:], strict=False)]
 
-def template(text: str | None) -> tuple[np.ndarray, np.ndarray]:
+
+def template(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(codes, values) of a text's template; the value is 0 where the token is plain.
 
     A capitalised word that does not open a sentence is a name, and a run of names is one
     slot. A unit counts as one right after a number.
     """
-    if not text:
+    if not len(keys):
         return np.empty(0, np.uint64), np.empty(0, np.uint64)
-    if len(_WORDS) > CACHE_WORDS:
-        _WORDS.clear()
-    tokens = _TOKEN.findall(text)
-    keys = np.fromiter(map(_WORDS.__getitem__, tokens), np.uint64, len(tokens))
     kind = (keys & np.uint64(7)).astype(np.int8)
     opens = np.ones(len(kind), bool)
     opens[1:] = kind[:-1] == _STOP
@@ -119,20 +155,29 @@ def template(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     return codes, values
 
 
-def windows(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(hash, place, slot values of five tokens) of the windows with enough plain words."""
-    codes, values = template(text)
+def windows(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, place) of the windows with enough plain words, and the template's values."""
+    codes, values = template(keys)
     n = len(codes) - WINDOW + 1
     if n < 1:
-        return np.empty(0, np.uint64), np.empty(0, np.int64), np.empty((0, WINDOW), np.uint64)
-    h = np.zeros(n, np.uint64)
-    plain = np.zeros(n, np.int8)
-    for j in range(WINDOW):
-        h = (h ^ codes[j : j + n]) * _PRIME
+        return np.empty(0, np.uint64), np.empty(0, np.int64), values
+    h = codes[:n] * _PRIME
+    for j in range(1, WINDOW):
         h ^= h >> np.uint64(29)
-        plain += values[j : j + n] == 0
-    at = np.flatnonzero(plain >= PLAIN_WORDS)
-    return h[at], at, np.lib.stride_tricks.sliding_window_view(values, WINDOW)[at]
+        h ^= codes[j : j + n]
+        h *= _PRIME
+    h ^= h >> np.uint64(29)
+    filled = values != 0
+    if not filled.any():
+        return h, np.arange(n), values
+    upto = np.concatenate([[0], np.cumsum(filled)])
+    at = np.flatnonzero(upto[WINDOW:] - upto[:-WINDOW] <= WINDOW - PLAIN_WORDS)
+    return h[at], at, values
+
+
+def slots_of(values: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The values in each of the windows ``at``."""
+    return values[at[:, None] + np.arange(WINDOW)]
 
 
 _SCHEMA = "h long, place int, slots array<long>"
@@ -149,9 +194,10 @@ def benchmark_windows(benchmark: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for item, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                h, at, slots = windows(text)
-                fixed = [pa.array([item] * len(h), pa.int64()), *_rows(h, at, slots)]
+            for item, keys in zip(batch.column(0).to_pylist(), token_keys(batch.column(1)), strict=True):
+                h, at, values = windows(keys)
+                rows = _rows(h, at, slots_of(values, at))
+                fixed = [pa.array([item] * len(h), pa.int64()), *rows]
                 fixed.append(pa.array(np.full(len(h), len(h), np.int32)))
                 yield pa.RecordBatch.from_arrays(fixed, names=["item", "h", "place", "slots", "n"])
 
@@ -173,32 +219,47 @@ def _bloom(hashes: DataFrame, count: int) -> np.ndarray:
 
 
 def _maybe(bloom: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """Places of the hashes that the filter may hold; a later probe sees what is left."""
     limit = np.uint64(len(bloom) * 64 - 1)
-    out = np.ones(len(h), bool)
+    left = np.arange(len(h))
     for j in range(3):
-        p = h >> np.uint64(17 * j) & limit
-        out &= bloom[p >> np.uint64(6)] >> (p & np.uint64(63)) & np.uint64(1) > 0
-    return out
+        p = h[left] >> np.uint64(17 * j) & limit
+        left = left[bloom[p >> np.uint64(6)] >> (p & np.uint64(63)) & np.uint64(1) > 0]
+    return left
 
 
 def _consistent(pair: pd.DataFrame) -> pd.DataFrame:
-    """Windows of one document and item whose slots agree along their alignment."""
-    places: set[int] = set()
-    for _, run in pair.groupby(pair["place"] - pair["item_place"]):
-        seen = np.stack(run["slots"].to_numpy())
-        due = np.stack(run["item_slots"].to_numpy())
-        filled = due != 0
-        links = pd.DataFrame({"due": due[filled], "seen": seen[filled]})
-        links = links.value_counts().reset_index(name="n").sort_values(
-            ["n", "due", "seen"], ascending=[False, True, True]
-        )
-        links = links.drop_duplicates("due").drop_duplicates("seen")
-        good = dict(zip(links["due"], links["seen"], strict=True))
-        for place, d, s in zip(run["item_place"], due, seen, strict=True):
-            if all(not a or good.get(a) == b for a, b in zip(d, s, strict=True)):
-                places.add(int(place))
+    """Windows and slots of one document and item that agree along their alignment."""
     head = pair[["row", "doc_id", "item", "n"]].iloc[:1]
-    return head.assign(found=len(places))
+    item_place = pair["item_place"].to_numpy()
+    due = np.stack(pair["item_slots"].to_numpy())
+    if not due.any():
+        return head.assign(found=len(np.unique(item_place)), slots=0, agreed=0)
+    seen = np.stack(pair["slots"].to_numpy())
+    shift = pair["place"].to_numpy() - item_place
+    places: set[int] = set()
+    slots: set[int] = set()
+    agreed: set[int] = set()
+    for run in np.unique(shift):
+        mine = shift == run
+        at = item_place[mine][:, None] + np.arange(WINDOW)
+        d, s = due[mine], seen[mine]
+        filled = d != 0
+        each = set(zip(at[filled].tolist(), d[filled].tolist(), s[filled].tolist(), strict=True))
+        # The pairs seen most often first; a value keeps its first partner on either side.
+        good: dict[int, int] = {}
+        taken: set[int] = set()
+        often = Counter((a, b) for _, a, b in each)
+        for (a, b), _ in sorted(often.items(), key=lambda x: (-x[1], x[0])):
+            if a not in good and b not in taken:
+                good[a] = b
+                taken.add(b)
+        slots.update(p for p, _, _ in each)
+        agreed.update(p for p, a, b in each if good.get(a) == b)
+        for place, ds, ss in zip(at[:, 0].tolist(), d.tolist(), s.tolist(), strict=True):
+            if all(not a or good.get(a) == b for a, b in zip(ds, ss, strict=True)):
+                places.add(place)
+    return head.assign(found=len(places), slots=len(slots), agreed=len(agreed))
 
 
 def matches(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -211,17 +272,20 @@ def matches(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     filter_ = documents.sparkSession.sparkContext.broadcast(_bloom(due.select("h"), count))
 
     def hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for run in runs(batches, RUN_BYTES):
             out = []
-            for row, doc, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                h, at, slots = windows(text)
+            ids = (c.to_pylist() for c in run.columns[:2])
+            texts = run.column(2).combine_chunks()
+            for row, doc, keys in zip(*ids, token_keys(texts), strict=True):
+                h, at, values = windows(keys)
                 some = _maybe(filter_.value, h)
-                if some.any():
-                    h, at, slots = h[some], at[some], slots[some]
-                    fixed = [pa.array([row] * len(h), pa.int64()), pa.array([doc] * len(h), pa.int64())]
+                if len(some):
+                    h, at = h[some], at[some]
+                    fixed = [pa.array([x] * len(h), pa.int64()) for x in (row, doc)]
                     out.append(
                         pa.RecordBatch.from_arrays(
-                            fixed + _rows(h, at, slots), names=["row", "doc_id", "h", "place", "slots"]
+                            fixed + _rows(h, at, slots_of(values, at)),
+                            names=["row", "doc_id", "h", "place", "slots"],
                         )
                     )
             yield from pa.Table.from_batches(out).combine_chunks().to_batches() if out else ()
@@ -254,9 +318,10 @@ def matches(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     checked = (
         joined.join(enough, ["row", "item"], "left_semi")
         .groupBy("row", "item")
-        .applyInPandas(_consistent, "row long, doc_id long, item long, n int, found int")
+        .applyInPandas(_consistent, "row long, doc_id long, item long, n int, found int, slots int, agreed int")
     )
-    return checked.where(F.col("found") >= F.col("n") * COVERAGE).select(
+    whole = F.col("found") >= F.col("n") * COVERAGE
+    return checked.where(whole & (F.col("agreed") >= F.col("slots") * COVERAGE)).select(
         F.col("row").alias(ROW), "doc_id", "item", "found", "n"
     )
 

@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tabscope.llm import decontamination as dc
@@ -46,12 +47,13 @@ def test_inconsistent_slots_and_clean_texts_are_left_alone(spark, benchmark):
 
 
 def test_template_types():
-    codes, values = dc.template("He paid 3,000 dollars. Then Mary Ann Smith left two hours later.")
+    of = lambda text: dc.template(dc.token_keys(pa.array([text]))[0])
+    codes, values = of("He paid 3,000 dollars. Then Mary Ann Smith left two hours later.")
     filled = [int(c) for c, v in zip(codes, values, strict=True) if v]
     kinds = [int(dc._TYPES[k]) for k in (dc._NUMBER_SLOT, dc._UNIT_SLOT, dc._NAME_SLOT)]
     assert filled == [kinds[0], kinds[1], kinds[2], kinds[0], kinds[1]]
     assert len(codes) == 10  # he paid N U then NAME left N U later
-    same, _ = dc.template("he paid 7 euros. then Bob left 9 minutes later")
+    same, _ = of("he paid 7 euros. then Bob left 9 minutes later")
     assert np.array_equal(codes[:6], same[:6])
 
 
