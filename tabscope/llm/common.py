@@ -6,12 +6,13 @@ import io
 import re
 import uuid
 import zipfile
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
+import pyarrow.parquet as pq
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,6 +43,7 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(key, str(BATCH_ROWS))
 
 
+_BLOCK_BITS = 15
 _SHIPPED: set[str] = set()
 
 
@@ -136,10 +138,16 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return str(fs.makeQualified(target).toString())
 
 
-def scratch_table(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to the shared folder and read back: later reads need no lineage."""
+def scratch_path(df: DataFrame, name: str) -> str:
+    """``df`` written to the shared folder; the URI of the table."""
     path = f"{scratch_dir(df.sparkSession, name)}/table"
     df.write.parquet(path)
+    return path
+
+
+def scratch_table(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read back: later reads need no lineage."""
+    path = scratch_path(df, name)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -161,12 +169,14 @@ def identified(df: DataFrame, name: str) -> DataFrame:
         return identified(scratch_table(df, "rows"), name)
 
 
-def dense_arrays(table: DataFrame, bits: int, columns: list[str]) -> list[np.ndarray]:
+def dense_blocks(
+    table: DataFrame, bits: int, columns: list[str], kind: type = np.int64
+) -> DataFrame:
     """Columns of ``table(at, ...)`` as arrays of 2**bits entries, 0 where ``at`` is absent.
 
-    Their size is fixed by ``bits``; they are packed on the executors, 64k entries a row.
+    Their size is fixed by ``bits``; they are packed on the executors, 32k entries a row.
     """
-    block = min(bits, 16)
+    block = min(bits, _BLOCK_BITS)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         blocks: dict[int, np.ndarray] = {}
@@ -174,7 +184,7 @@ def dense_arrays(table: DataFrame, bits: int, columns: list[str]) -> list[np.nda
             at = batch.column(0).to_numpy(zero_copy_only=False)
             for b in np.unique(at >> block):
                 mine = at >> block == b
-                full = blocks.setdefault(int(b), np.zeros((len(columns), 1 << block), np.int64))
+                full = blocks.setdefault(int(b), np.zeros((len(columns), 1 << block), kind))
                 for i in range(len(columns)):
                     values = batch.column(i + 1).to_numpy(zero_copy_only=False)
                     full[i][at[mine] & ((1 << block) - 1)] = values[mine]
@@ -185,13 +195,30 @@ def dense_arrays(table: DataFrame, bits: int, columns: list[str]) -> list[np.nda
             )
 
     spread = table.select("at", *columns).repartition(F.shiftright("at", block))
-    out = np.zeros((len(columns), 1 << bits), np.int64)
-    for row in spread.mapInArrow(pack, "block long, counts binary").collect():
-        part = np.frombuffer(row.counts, np.int64).reshape(len(columns), -1)
-        out[:, row.block << block : (row.block + 1) << block] = part
+    return spread.mapInArrow(pack, "block long, counts binary")
+
+
+def joined_blocks(
+    rows: Iterable[tuple[int, bytes]], bits: int, columns: int, kind: type = np.int64
+) -> list[np.ndarray]:
+    """The arrays whose blocks are ``rows``."""
+    block = min(bits, _BLOCK_BITS)
+    out = np.zeros((columns, 1 << bits), kind)
+    for number, counts in rows:
+        part = np.frombuffer(counts, kind).reshape(columns, -1)
+        out[:, number << block : (number + 1) << block] = part
     return list(out)
 
 
+def parquet_rows(uri: str) -> Iterator[tuple]:
+    """Rows of a small Parquet table on shared storage, read inside a task."""
+    fs, path = files_at(uri)
+    for info in fs.get_file_info(pafs.FileSelector(path)):
+        if info.base_name.endswith(".parquet"):
+            table = pq.read_table(info.path, filesystem=fs)
+            yield from zip(*(c.to_pylist() for c in table.columns), strict=True)
+
+
 def files_at(uri: str) -> tuple[pafs.FileSystem, str]:
     """File system and path of a URI on any store pyarrow reaches (file, hdfs, s3, gs)."""
     if uri.startswith("file:/") and not uri.startswith("file:///"):
@@ -199,6 +226,13 @@ def files_at(uri: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(uri)
 
 
+def measured_bytes(df: DataFrame, *texts: str) -> int:
+    """Bytes of a frame of numbers and the named texts, counted: 128 a row and the texts."""
+    sizes = [F.coalesce(F.octet_length(t), F.lit(0)) for t in texts]
+    total = F.sum(sum(sizes, F.lit(128)).cast("long"))
+    return df.agg(total).first()[0] or 0
+
+
 def words_of(text: str | None) -> list[bytes]:
     """Words of a text in UTF-8; bytes.split() cuts at exactly the six characters of WORD."""
     return text.encode().split() if text else []

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabscope.llm.common import WORD_PATTERN, appended, map_batches, small_side
+from tabscope.llm.common import WORD_PATTERN, appended, claim, map_batches, small_side
 from tabscope.llm.toxicity import Logistic, held_out
 
 #: Labelled documents the views are fitted on, and pool documents of a round, about.
@@ -77,6 +77,7 @@ def text_view(text: str | None) -> np.ndarray:
     n = len(words)
     if not n:
         return out
+    claim(_SHAPES, _SHAPES.clear)
     if len(_SHAPES) > CACHE_WORDS:
         _SHAPES.clear()
     shapes = np.fromiter(map(_SHAPES.__getitem__, words), np.int64, n)

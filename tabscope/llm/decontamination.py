@@ -5,8 +5,8 @@ other words are lower-cased. Windows of five template tokens that hold at least
 plain words are hashed. A document holds an item if at least 0.8 of the item's windows
 occur in it with consistent slots, and 0.8 of the slots they cover are consistent: along
 one alignment of the two texts, a value that fills a slot of the item always stands for
-the same value of the document, and the other way round. So "Tom has 3 apples and eats 3" is found as "Ann has 5 apples and eats 5",
-and "Ann has 5 apples and eats 7" is not.
+the same value of the document, and the other way round. A question that counts 9 apples,
+9 pears and 9 plums is found with 4 of each, and not with 4, 5 and 6.
 
 Tasks drop windows that a Bloom filter of the benchmark's windows rules out; its size is
 capped, and the hash join that follows removes what it lets through by mistake. An item
@@ -34,8 +34,9 @@ from pyspark.sql import functions as F
 
 from tabscope.llm.common import (
     claim,
-    dense_arrays,
+    dense_blocks,
     identified,
+    joined_blocks,
     map_batches,
     runs,
     scratch_table,
@@ -49,7 +50,7 @@ COVERAGE = 0.8
 BLOOM_BITS_EACH = 32
 BLOOM_MOST_BITS = 29
 #: A worker forgets its chunks beyond so many, some 200 bytes each.
-CACHE_CHUNKS = 700_000
+CACHE_CHUNKS = 300_000
 RUN_BYTES = 8 << 20
 ROW = "_tabscope_row"
 
@@ -215,7 +216,9 @@ def _bloom(hashes: DataFrame, count: int) -> np.ndarray:
     words = places.groupBy(F.shiftright("p", 6).alias("at")).agg(
         F.bit_or(F.expr("shiftleft(1L, int(p & 63))")).alias("mask")
     )
-    return dense_arrays(words, bits - 6, ["mask"])[0].view(np.uint64)
+    blocks = dense_blocks(words, bits - 6, ["mask"]).toArrow()
+    rows = zip(*(c.to_pylist() for c in blocks.columns), strict=True)
+    return joined_blocks(rows, bits - 6, 1)[0].view(np.uint64)
 
 
 def _maybe(bloom: np.ndarray, h: np.ndarray) -> np.ndarray:

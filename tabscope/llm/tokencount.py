@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from tabscope.llm.common import appended
+from tabscope.llm.common import appended, claim
 
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
@@ -96,6 +96,7 @@ class Counter(dict):
     def of(self, text: str | None) -> int:
         if not text:
             return 0
+        claim(self, self.clear)
         if len(self) > CACHE_WORDS:
             self.clear()
         words = text.replace(MARK, " ").split(" ")

@@ -22,6 +22,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -32,15 +33,21 @@ from pyspark.sql import types as T
 
 from tabscope.llm.common import (
     appended,
-    dense_arrays,
+    claim,
+    dense_blocks,
+    joined_blocks,
     map_batches,
+    parquet_rows,
+    scratch_path,
     scratch_table,
     small_side,
 )
 
-#: Words are counted in this many buckets, whatever the corpus: the models that are
-#: broadcast have a fixed size (two counts of 4 bytes each: 32 MB).
-WORD_BITS = 22
+#: Words are counted in two tables of 2^21 buckets with hashes of their own, whatever the
+#: corpus, and a word's count is the lower of the two: the model has a fixed size (two
+#: counts of 4 bytes a bucket: 32 MB). Workers read it from the shared folder; it never
+#: passes through the driver.
+WORD_BITS = 21
 STEM_BITS = 18
 STEM_LETTERS = 4
 DISCOUNT = 0.75
@@ -48,7 +55,7 @@ DISCOUNT = 0.75
 FIT_ROWS = 20_000
 THRESHOLD = 0.3
 #: A worker forgets its word cache beyond this many words.
-CACHE_WORDS = 600_000
+CACHE_WORDS = 300_000
 
 _WORD = re.compile(r"[^\W_]+")
 _WORDS = 1 << WORD_BITS
@@ -58,13 +65,13 @@ TOP = 2
 
 
 class _Keys(dict):
-    """Word to (stem bucket, word bucket) in one integer."""
+    """Word to its stem's bucket and its own bucket in either table, in one integer."""
 
     def __missing__(self, word: str) -> int:
         data = word.encode("utf-8", "surrogatepass")
         stem = word[:STEM_LETTERS].encode("utf-8", "surrogatepass")
-        key = (xxhash.xxh3_64_intdigest(stem) % _STEMS) << WORD_BITS
-        key |= xxhash.xxh3_64_intdigest(data) % _WORDS
+        key = (xxhash.xxh3_64_intdigest(stem) % _STEMS) << 2 * WORD_BITS
+        key |= xxhash.xxh3_64_intdigest(data) % (1 << 2 * WORD_BITS)
         self[word] = key
         return key
 
@@ -75,6 +82,7 @@ _KEYS = _Keys()
 def _keys(text: str | None) -> np.ndarray:
     if not text:
         return np.empty(0, np.int64)
+    claim(_KEYS, _forget)
     if len(_KEYS) > CACHE_WORDS:
         _KEYS.clear()
     words = _WORD.findall(text.lower())
@@ -136,13 +144,13 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 @dataclass
 class Counts:
-    """Per bucket: class counts of words, class type counts and tokens of stems."""
+    """Per bucket: class counts of words in both tables, type counts and tokens of stems."""
 
-    words: list[np.ndarray]
+    words: list[list[np.ndarray]]
     stems: list[np.ndarray]
 
     def finish(self) -> Counts:
-        self.tokens = [float(c.sum()) for c in self.words]
+        self.tokens = [float(c.sum(dtype=np.float64)) for c in self.words[0]]
         types = [float(k.sum()) for k in self.stems[:2]]
         shared = self.stems[0] + self.stems[1] + 1.0
         shared = shared / shared.sum()
@@ -155,15 +163,18 @@ class Counts:
             stem = np.maximum(k - DISCOUNT, 0) / total + freed * shared
             # The weight that discounted words of the class leave to their stems.
             self.lower.append(stem * (DISCOUNT * total / n))
-        self.words = [c.astype(np.float32) for c in self.words]
         return self
 
     def ratios(self, keys: np.ndarray, own: np.ndarray | None = None, label: int = 0):
         """Log-likelihood ratio of each key; ``own``: counts to leave out of ``label``."""
         if not self.tokens[0] or not self.tokens[1]:
             return np.zeros(len(keys))
-        word, stem = keys & (_WORDS - 1), keys >> WORD_BITS
-        pair = [self.words[c][word].astype(np.float64) for c in (0, 1)]
+        at = keys & (_WORDS - 1), keys >> WORD_BITS & (_WORDS - 1)
+        stem = keys >> 2 * WORD_BITS
+        pair = [
+            np.minimum(*(table[c][i] for table, i in zip(self.words, at, strict=True))).astype(float)
+            for c in (0, 1)
+        ]
         seen = pair[0] + pair[1]
         within = (seen + 0.5) / (self.stems[2][stem] + 1.0)
         if own is not None:
@@ -175,6 +186,19 @@ class Counts:
         return np.log(p[1] / p[0])
 
 
+@lru_cache(maxsize=1)
+def _loaded(stored: tuple[str, ...]) -> Counts:
+    """The model, as a worker reads it from the shared folder."""
+    first, second, stems = map(parquet_rows, stored)
+    words = [joined_blocks(t, WORD_BITS, 2, np.float32) for t in (first, second)]
+    return Counts(words, joined_blocks(stems, STEM_BITS, 3, np.float32)).finish()
+
+
+def _forget() -> None:
+    _KEYS.clear()
+    _loaded.cache_clear()
+
+
 def features(ratios: np.ndarray) -> list[float]:
     """Length-normalised ratio of all words, and of the most telling one and two words."""
     n = len(ratios)
@@ -213,7 +237,7 @@ class Logistic:
 
 @dataclass
 class Model:
-    counts: Counts
+    stored: tuple[str, ...]
     fit: Logistic | None
     share: float
 
@@ -221,10 +245,9 @@ class Model:
 def train(documents: DataFrame, labels: DataFrame) -> Model:
     """Counts over all labelled documents outside the held-out quarter, then the fit.
 
-    Only the bucket counts (a fixed size) and the features of FIT_ROWS documents reach
-    the driver. Features of the fit leave a document's own words out of its class.
+    Only the features of FIT_ROWS documents reach the driver; they leave a document's own
+    words out of its class.
     """
-    spark = documents.sparkSession
     known = training_labels(labels)
     n = known.count()
     rows = labelled(documents, known, n)
@@ -232,33 +255,34 @@ def train(documents: DataFrame, labels: DataFrame) -> Model:
     counted = scratch_table(
         parts.groupBy("key").agg(F.sum("c0").alias("c0"), F.sum("c1").alias("c1")), "toxicity"
     )
-    words = counted.groupBy(F.col("key").bitwiseAND(F.lit(_WORDS - 1)).alias("at")).agg(
-        F.sum("c0").alias("c0"), F.sum("c1").alias("c1")
-    )
-    stems = counted.groupBy(F.shiftright("key", WORD_BITS).alias("at")).agg(
+    uris = []
+    for table in (0, 1):
+        place = F.shiftright("key", table * WORD_BITS).bitwiseAND(F.lit(_WORDS - 1))
+        sums = counted.groupBy(place.alias("at")).agg(
+            F.sum("c0").alias("c0"), F.sum("c1").alias("c1")
+        )
+        packed = dense_blocks(sums, WORD_BITS, ["c0", "c1"], np.float32)
+        uris.append(scratch_path(packed, "toxicity-words"))
+    stems = counted.groupBy(F.shiftright("key", 2 * WORD_BITS).alias("at")).agg(
         F.count_if(F.col("c0") > 0).alias("k0"),
         F.count_if(F.col("c1") > 0).alias("k1"),
         F.sum(F.col("c0") + F.col("c1")).alias("tokens"),
     )
-    counts = Counts(
-        dense_arrays(words, WORD_BITS, ["c0", "c1"]),
-        dense_arrays(stems, STEM_BITS, ["k0", "k1", "tokens"]),
-    ).finish()
+    packed = dense_blocks(stems, STEM_BITS, ["k0", "k1", "tokens"], np.float32)
+    stored = (*uris, scratch_path(packed, "toxicity-stems"))
     share = int(_SLOTS * min(1.0, FIT_ROWS / max(n, 1)))
     drawn_ids = known.where(F.pmod(F.xxhash64("_id"), F.lit(_SLOTS)) < share)
     sample = labelled(documents, drawn_ids, min(n, 2 * FIT_ROWS))
-    held = spark.sparkContext.broadcast(counts)
 
     def left_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = _loaded(stored)
         for batch in batches:
             out = []
             labels = batch.column(1).to_pylist()
             for text, label in zip(batch.column(0).to_pylist(), labels, strict=True):
                 keys = _keys(text)
-                _, place, own = np.unique(
-                    keys & (_WORDS - 1), return_inverse=True, return_counts=True
-                )
-                out.append([*features(held.value.ratios(keys, own[place], label)), label])
+                _, place, own = np.unique(keys, return_inverse=True, return_counts=True)
+                out.append([*features(counts.ratios(keys, own[place], label)), label])
             columns = [pa.array(list(c), pa.float64()) for c in zip(*out, strict=True)]
             yield pa.RecordBatch.from_arrays(columns, names=["f0", "f1", "f2", "f3", "y"])
 
@@ -268,19 +292,19 @@ def train(documents: DataFrame, labels: DataFrame) -> Model:
     y = seen[:, 4]
     both = 0 < y.sum() < len(y)
     fit = Logistic.fit(seen[:, :4], y) if both else None
-    return Model(counts, fit, float(y.mean()) if len(y) else 0.0)
+    return Model(stored, fit, float(y.mean()) if len(y) else 0.0)
 
 
 def with_scores(documents: DataFrame, model: Model, name: str = "score") -> DataFrame:
     """``documents`` with a double column ``name``; reads the column ``text`` only."""
-    held = documents.sparkSession.sparkContext.broadcast(model)
+    stored, fit, share = model.stored, model.fit, model.share
 
     def score(texts: pa.Array) -> list:
-        m = held.value
-        rows = np.array([features(m.counts.ratios(_keys(t))) for t in texts.to_pylist()])
-        if m.fit is None:
-            return [np.full(len(rows), m.share)]
-        return [m.fit(rows) if len(rows) else np.empty(0)]
+        counts = _loaded(stored)
+        rows = np.array([features(counts.ratios(_keys(t))) for t in texts.to_pylist()])
+        if fit is None:
+            return [np.full(len(rows), share)]
+        return [fit(rows) if len(rows) else np.empty(0)]
 
     return appended(documents, ["text"], score, [T.StructField(name, T.DoubleType())])
 

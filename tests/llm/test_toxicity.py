@@ -49,14 +49,15 @@ def test_without_labels_and_without_documents(awkward, nothing, labels):
 def test_shared_backoff_makes_unseen_words_say_little():
     import numpy as np
 
-    words = [np.zeros(toxicity._WORDS) for _ in range(2)]
+    words = [[np.zeros(toxicity._WORDS) for _ in range(2)] for _ in range(2)]
     stems = [np.zeros(toxicity._STEMS) for _ in range(3)]
     for c, text in enumerate(["calm calm river river river boat", "scum scum scum river boat boat"]):
         keys = toxicity._keys(text)
-        np.add.at(words[c], keys & (toxicity._WORDS - 1), 1)
-        kinds = np.unique(keys)
-        np.add.at(stems[c], kinds >> toxicity.WORD_BITS, 1)
-        np.add.at(stems[2], keys >> toxicity.WORD_BITS, 1)
+        for table in (0, 1):
+            place = keys >> table * toxicity.WORD_BITS & (toxicity._WORDS - 1)
+            np.add.at(words[table][c], place, 1)
+        np.add.at(stems[c], np.unique(keys) >> 2 * toxicity.WORD_BITS, 1)
+        np.add.at(stems[2], keys >> 2 * toxicity.WORD_BITS, 1)
     model = toxicity.Counts(words, stems).finish()
     unseen, scum, calm, scummy = model.ratios(toxicity._keys("zebra scum calm scumminess"))
     assert scum > 1 and calm < -1
