@@ -30,7 +30,8 @@ def _small_star(edges: DataFrame) -> DataFrame:
         F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")
     ).where("u > v")
     least = _min_neighbour(down)
-    linked = down.join(least, "u").where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    linked = down.join(least, "u").where("v > m")
+    linked = linked.select(F.col("v").alias("u"), F.col("m").alias("v"))
     return linked.unionAll(least.select("u", F.col("m").alias("v")))
 
 
@@ -52,10 +53,15 @@ def components(links: DataFrame) -> DataFrame:
     for _ in range(MAX_ROUNDS):
         edges = _small_star(_large_star(edges)).distinct().checkpoint()
         now = edges.agg(
-            F.count(F.lit(1)), F.sum(F.xxhash64("u", "v") % 1_000_003), F.sum(F.crc32(F.concat_ws(",", "u", "v")))
+            F.count(F.lit(1)),
+            F.sum(F.xxhash64("u", "v") % 1_000_003),
+            F.sum(F.crc32(F.concat_ws(",", "u", "v"))),
         ).first()
         if now == before:
             break
         before = now
+    else:
+        raise RuntimeError("components did not settle")
     roots = edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
-    return roots.unionAll(edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
+    own = edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
+    return roots.unionAll(own)

@@ -26,7 +26,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabscope.llm.common import WORD, identified, scratch_table, small_side
+from tabscope.llm.common import WORD, identified, measured_bytes, scratch_table, small_side
 from tabscope.operators.ranking import global_row_number
 
 #: Weights of the sources in code point order, repeating.
@@ -122,13 +122,14 @@ def plan(
     )
     every = scratch_table(targets(rows, weights), "mixing-plan")
     count = every.count()
+    width = measured_bytes(every, "source")
     source = every.select(
         F.col("source").alias("_source"), "place", "docs", "kind", "source_size", "target"
     )
     order = F.xxhash64("doc_id", ROW, F.lit(SEED))
     buckets = F.greatest(F.ceil(F.col("docs") / BUCKET_ROWS), F.lit(1))
     dealt = (
-        rows.join(small_side(source, count, 256), F.col("source").eqNullSafe(F.col("_source")))
+        rows.join(small_side(source, 1, width), F.col("source").eqNullSafe(F.col("_source")))
         .drop("source", "_source")
         .withColumn("order", order)
         .withColumn("bucket", F.pmod("order", buckets))

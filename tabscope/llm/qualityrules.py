@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabscope.llm.common import map_batches, scratch_table, small_side
+from tabscope.llm.common import map_batches, measured_bytes, scratch_table, small_side
 
 #: Characters that running text rarely has.
 SYMBOLS = "#*$%&|<>"
@@ -194,6 +194,7 @@ def judged(documents: DataFrame) -> DataFrame:
     bounds = scratch_table(thresholds(rows), "quality-thresholds").select(
         F.col("lang").alias("_lang"), F.col("source").alias("_source"), *[f"_{r}" for r in RATES]
     )
+    width = measured_bytes(bounds, "_lang", "_source")
     same = F.col("lang").eqNullSafe(F.col("_lang")) & F.col("source").eqNullSafe(F.col("_source"))
     failed = (F.col("n_words") < LEAST_WORDS) | (
         100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words")
@@ -201,7 +202,7 @@ def judged(documents: DataFrame) -> DataFrame:
     beyond = F.lit(False)
     for r in RATES:
         beyond = beyond | F.coalesce(rate(r) > F.col(f"_{r}"), F.lit(False))
-    return rows.join(small_side(bounds, bounds.count(), 128), same, "left").select(
+    return rows.join(small_side(bounds, 1, width), same, "left").select(
         "doc_id",
         *_COUNTS[:5],
         failed.alias("base_failed"),

@@ -332,10 +332,11 @@ def one_of_each(
     tagged = identified(documents, ROW)
     prints = with_fingerprints(tagged.select("doc_id", "text", ROW), "fp", width).drop("text")
     rows = scratch_table(prints, "simhash-fingerprints")
-    several = rows.join(classes(rows, bits), "fp")
+    found = scratch_table(classes(rows, bits).select("fp", "root"), "simhash-classes")
+    several = rows.join(found, "fp")
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", ROW)
-    # Copies combine per fingerprint first, so that no component meets in one task.
-    kept = several.groupBy("fp", "root").agg(F.min(order).alias("least"))
+    # Copies combine on the map side, per fingerprint, before their component is known.
+    kept = rows.groupBy("fp").agg(F.min(order).alias("least")).join(found, "fp")
     kept = kept.groupBy("root").agg(F.min("least").alias("least"))
     stay = kept.select(F.col(f"least.{ROW}").alias(ROW))
     gone = scratch_table(several.select(ROW).join(stay, ROW, "left_anti"), "simhash-gone")

@@ -22,7 +22,7 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabscope.llm.common import scratch_table, small_side
+from tabscope.llm.common import measured_bytes, scratch_table, small_side
 
 DEFAULT = "allow"
 #: Sixteen bits for each rule: one in some thousand other keys passes.
@@ -53,7 +53,10 @@ def _bit(key: Column, word: int) -> Column:
 def bloom_blocks(keys: DataFrame, blocks: int) -> DataFrame:
     """(block, w0..w7) of the keys ``rule``."""
     key = F.col("rule")
-    masks = [F.call_function("shiftleft", F.lit(1).cast("long"), _bit(key, w)).alias(f"w{w}") for w in range(WORDS)]
+    one = F.lit(1).cast("long")
+    masks = [
+        F.call_function("shiftleft", one, _bit(key, w)).alias(f"w{w}") for w in range(WORDS)
+    ]
     return keys.select(_block(key, blocks), *masks).groupBy("block").agg(
         *[F.bit_or(f"w{w}").alias(f"w{w}") for w in range(WORDS)]
     )
@@ -94,7 +97,8 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = DEFAULT) -> DataFra
     host, path = host_and_path(F.col("url"))
     parts = pages.select("page_id", host.alias("host"), path.alias("path"))
     if not shape.n:
-        return parts.select("*", F.lit(None).cast("string").alias("rule"), F.lit(default).alias("verdict"))
+        none = F.lit(None).cast("string").alias("rule")
+        return parts.select("*", none, F.lit(default).alias("verdict"))
     blocks = shape.n // RULES_A_BLOCK + 1
     bloom = small_side(bloom_blocks(listed, blocks), blocks, 96)
     keys = keys_of(F.col("host"), F.col("path"), sorted(shape.lengths))
@@ -118,7 +122,7 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = DEFAULT) -> DataFra
     # A rule that a third of all URLs fit meets them in several tasks, or in none: broadcast.
     salted = listed.withColumn("salt", F.explode(F.array(*map(F.lit, range(SALTS)))))
     exact = possible.join(
-        small_side(salted, shape.n * SALTS, 256),
+        small_side(salted, SALTS, measured_bytes(listed, "rule", "verdict")),
         (possible["key"] == salted["rule"]) & (possible["salt"] == salted["salt"]),
     )
     best = exact.groupBy("host", "path").agg(
