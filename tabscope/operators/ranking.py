@@ -23,8 +23,12 @@ def global_row_number(df: DataFrame, order: Sequence[Column], name: str) -> Data
     the upper bits, position in the lower 33.
     """
     ensure_checkpoint_dir(df.sparkSession)
+    # A range sort reads its input twice, to sample and to sort: work it out once before.
     tagged = (
-        df.orderBy(*order).withColumn("_tag", F.monotonically_increasing_id()).checkpoint()
+        df.checkpoint()
+        .orderBy(*order)
+        .withColumn("_tag", F.monotonically_increasing_id())
+        .checkpoint()
     )
     part = F.shiftright("_tag", _PARTITION_BITS).alias("_part")
     position = F.col("_tag") - F.shiftleft(F.col("_part"), _PARTITION_BITS)
@@ -34,8 +38,8 @@ def global_row_number(df: DataFrame, order: Sequence[Column], name: str) -> Data
     offsets = sizes.select(
         "_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset")
     )
-    # One offset row per task of the sort: bounded by the shuffle partitions.
-    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # One offset row per task of the sort.
+    tasks = tagged.rdd.getNumPartitions()
     return (
         tagged.join(bounded_broadcast(offsets, tasks), "_part")
         .withColumn(name, F.col("_offset") + position + 1)
