@@ -15,7 +15,7 @@ from its entry on.
 
 Defined results: a null html is an empty payload; a null page_id comes after all others
 and is written without an id; of equal pages with equal ids one is the response; null and
-odd URLs are escaped; payloads below ``least_bytes`` are never revisits; an empty table
+odd URLs are escaped, of any length; payloads below ``least_bytes`` are never revisits; an empty table
 gives no archive. A chain that breaks (a damaged file) raises an error.
 """
 
@@ -25,7 +25,8 @@ import base64
 import hashlib
 import re
 import uuid
-from collections.abc import Iterator
+from bisect import bisect_left
+from collections.abc import Callable, Iterator
 from urllib.parse import quote
 
 import pyarrow as pa
@@ -44,14 +45,16 @@ from tabscope.llm.common import (
 
 ARCHIVE_BYTES = 64 << 20
 RANGE_BYTES = 8 << 20
-#: A record header is looked for in so many bytes; longer ones are not headers.
+#: The first step in which a record header is read; longer headers are read on.
 HEADER_BYTES = 1 << 16
 DATE = "2000-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 ROW = "_tabscope_row"
 
 _MAGIC = b"WARC/1."
-_HEADER = re.compile(rb"WARC/1\.[01]\r\n((?:[!-9;-~]+:[^\r\n]*\r\n)+)\r\n")
+_START = re.compile(rb"WARC/1\.[01]\r\n")
+_LINES = re.compile(rb"(?:[!-9;-~]+:[^\r\n]*\r\n)*+")
+_UNFINISHED = re.compile(rb"(?:[!-9;-~]+(?::[^\r\n]*\r?)?|\r)?\Z")
 _LENGTH = re.compile(rb"^content-length:[ \t]*(\d{1,18})[ \t]*\r$", re.I | re.M)
 _END = b"\r\n\r\n"
 _BROKEN = -1
@@ -161,15 +164,41 @@ def write_archives(pages: DataFrame, folder: str, least_bytes: int = 0) -> DataF
 # Reading -------------------------------------------------------------------------------
 
 
-def candidates(data: bytes, base: int, limit: int) -> list[tuple[int, int]]:
-    """(place, successor) of the candidates that start before ``limit``; places from ``base``."""
+def header_lines(data: bytes, at: int, more: Callable[[int], bytes]) -> tuple[bytes, int]:
+    """``data``, read on as far as needed, and the end of the header lines from ``at`` on.
+
+    ``more(n)`` gives what follows the first ``n`` bytes: as many again, or none at the end.
+    """
+    while True:
+        at = _LINES.match(data, at).end()
+        further = more(len(data)) if _UNFINISHED.match(data, at) else b""
+        if not further:
+            return data, at
+        data += further
+
+
+def candidates(
+    data: bytes, base: int, limit: int, more: Callable[[int], bytes] = lambda n: b""
+) -> list[tuple[int, int]]:
+    """(place, successor) of the candidates that start before ``limit``; places from ``base``.
+
+    A candidate inside the header lines of another one ends where that one ends, so lines
+    are looked at once.
+    """
     found = []
+    begin = end = 0
+    lengths: list[tuple[int, int]] = []
     at = data.find(_MAGIC)
     while at >= 0 and base + at < limit:
-        head = _HEADER.match(data, at, at + HEADER_BYTES)
-        length = _LENGTH.search(head[1]) if head else None
-        if length:
-            found.append((base + at, base + head.end() + int(length[1]) + len(_END)))
+        start = _START.match(data, at)
+        if start:
+            first = start.end()
+            if not begin <= first < end:
+                begin, (data, end) = first, header_lines(data, first, more)
+                lengths = [(m.start(), int(m[1])) for m in _LENGTH.finditer(data, begin, end)]
+            nth = bisect_left(lengths, (first,))
+            if first < end and data[end : end + 2] == b"\r\n" and nth < len(lengths):
+                found.append((base + at, base + end + 2 + lengths[nth][1] + len(_END)))
         at = data.find(_MAGIC, at + 1)
     return found
 
@@ -190,8 +219,10 @@ def _exits(step: int):
                 fs, path = files_at(file)
                 with fs.open_input_file(path) as stream:
                     data = stream.read_at(min(limit + HEADER_BYTES, size) - start, start)
+                    more = lambda n: stream.read_at(min(n, size - start - n), start + n)  # noqa: B023, E731
+                    links = candidates(data, start, limit, more)
                 leave: dict[int, int] = {}
-                for place, successor in reversed(candidates(data, start, limit)):
+                for place, successor in reversed(links):
                     leave[place] = successor if successor >= limit else leave.get(successor, _BROKEN)
                 n = len(leave)
                 yield pa.RecordBatch.from_arrays(
@@ -267,15 +298,19 @@ def _fields(head: bytes) -> dict[str, str]:
 def records(reader: _Reader, at: int, limit: int) -> Iterator[tuple[dict[str, str], bytes]]:
     """(fields, block) of the records that start from ``at`` on and before ``limit``."""
     while at < limit:
-        head = _HEADER.match(reader.upto(at, HEADER_BYTES))
-        length = _LENGTH.search(head[1]) if head else None
-        if not length:
+        data, lines, end = reader.upto(at, HEADER_BYTES), b"", 0
+        start = _START.match(data)
+        if start:
+            data, end = header_lines(data, start.end(), lambda n: reader.upto(at + n, n))  # noqa: B023
+            lines = data[start.end() : end]
+        length = _LENGTH.search(lines)
+        if not length or data[end : end + 2] != b"\r\n":
             raise ValueError(f"{reader.file}: no record at {at}")
-        begin, n = at + head.end(), int(length[1])
+        begin, n = at + end + 2, int(length[1])
         body = reader.upto(begin, n + len(_END))
         if body[n:] != _END:
             raise ValueError(f"{reader.file}: the record at {at} does not end at {begin + n}")
-        yield _fields(head[1]), body[:n]
+        yield _fields(lines), body[:n]
         at = begin + n + len(_END)
 
 

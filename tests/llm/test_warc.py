@@ -81,3 +81,20 @@ def test_damage_is_an_error(spark, pages):
         stream.write(data.replace(b"Content-Length: ", b"Content-Length: 1", 1))
     with pytest.raises(Exception, match="does not end at|no record at"):
         warc.read_archives(written).collect()
+
+
+@pytest.mark.parametrize("step", [1 << 23, 1 << 16, 777])
+def test_urls_of_any_length(spark, rows, step):
+    magic = "WARC/1.1\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n"
+    made = [
+        (1, "http://a/", "before"),
+        (2, "http://a/" + "漢" * 30_000, "a long one"),
+        (3, "data:" + "x" * 65_536, magic * 3),
+        (4, "http://a/?" + "WARC/1.1" * 50_000, magic),
+        (5, "http://a/", "A: WARC/1.1\r\n" * 20_000),
+        (6, "u", "WARC/1.1\r\nA: " + "y" * 300_000),
+        (7, "u", "after"),
+    ]
+    pages = spark.createDataFrame(made, "page_id long, url string, html string").coalesce(1)
+    written = warc.write_archives(pages, scratch_dir(spark, "warc-long"))
+    assert rows(warc.read_archives(written, step)) == plain(made)
