@@ -2,8 +2,9 @@
 
 Every source gets a target in words: its share, by weight, of a budget; a target stops at
 a multiple of the source's size and the excess is shared again by weight. A source's
-documents are taken whole, in hashed order, pass after pass, as long as they fit its
-target; what the last pass leaves open goes to the one other document nearest in size.
+documents are taken whole, in hashed order, pass after pass. The last pass passes over
+documents that are longer than what is open of the target; when no other one fits, what
+it leaves open goes to the one document nearest in size.
 
 When they are taken follows the source's weight schedule, a weight that changes along
 training time from 0 to 1. Its integral, scaled to the target, is the source's cumulative
@@ -110,6 +111,70 @@ def schedule_time(share: Column, kind: Column, schedules: Sequence[Sequence[floa
     return F.least(F.greatest(out, F.lit(0.0)), F.lit(1.0))
 
 
+def running_sums(dealt: DataFrame) -> DataFrame:
+    """``dealt(place, bucket, order, ROW, size, ...)`` with the words ``before`` each document."""
+    sums = dealt.groupBy("place", "bucket").agg(F.sum("size").alias("words"))
+    earlier = Window.partitionBy("place").orderBy("bucket").rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    offsets = sums.select(
+        "place", "bucket", F.coalesce(F.sum("words").over(earlier), F.lit(0)).alias("offset")
+    )
+    within = (
+        Window.partitionBy("place", "bucket")
+        .orderBy("order", ROW)
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    before = F.col("offset") + F.coalesce(F.sum("size").over(within), F.lit(0))
+    return dealt.join(offsets, ["place", "bucket"]).withColumn("before", before).drop("offset")
+
+
+def last_pass(summed: DataFrame, count: int) -> DataFrame:
+    """(ROW, within): what the last pass takes, and the words it takes from a source before.
+
+    A round takes documents in hashed order up to the first that does not fit. That one and
+    all others longer than the gap are set aside, and the next round goes on behind it with
+    new sums, until no document is left that fits; a round halves what is left, about. The
+    gap that remains goes to the one document nearest to it in size.
+    """
+    narrow = ["place", "bucket", "order", ROW, "size"]
+    gap, ended = F.col("rest").alias("gap"), F.lit(0).cast("long").alias("ended")
+    others = summed.where("rest > 0")
+    ends = scratch_table(others.select("place", gap, ended).distinct(), "mixing-ends")
+    left = running_sums(others.where("size <= rest").select(*narrow, gap, ended))
+    taken = None
+    while True:
+        fits = F.col("before") + F.col("size") <= F.col("gap")
+        step = scratch_table(left.withColumn("fits", fits), "mixing-round")
+        some = step.where("fits").select(ROW, (F.col("ended") + F.col("before")).alias("within"))
+        taken = some if taken is None else taken.unionAll(some)
+        given = step.where("fits").groupBy("place").agg(F.sum("size").alias("given"))
+        ends = scratch_table(
+            ends.join(small_side(given, count, 32), "place", "left").select(
+                "place",
+                (F.col("gap") - F.coalesce("given", F.lit(0))).alias("gap"),
+                (F.col("ended") + F.coalesce("given", F.lit(0))).alias("ended"),
+            ),
+            "mixing-ends",
+        )
+        rest = step.where("not fits").select(*narrow)
+        rest = rest.join(small_side(ends, count, 64), "place").where("size <= gap")
+        if rest.isEmpty():
+            break
+        left = running_sums(rest)
+    nearest = F.min(F.struct(F.abs(F.col("size") - F.col("gap")).alias("miss"), "order", ROW))
+    closing = (
+        others.where("size > 0")
+        .join(taken.select(ROW), ROW, "left_anti")
+        .join(small_side(ends, count, 64), "place")
+        .where("abs(size - gap) < gap")
+        .groupBy("place", "ended")
+        .agg(nearest.alias("nearest"))
+        .select(F.col(f"nearest.{ROW}").alias(ROW), F.col("ended").alias("within"))
+    )
+    return taken.unionAll(closing)
+
+
 def plan(
     documents: DataFrame,
     weights: Sequence[int] = WEIGHTS,
@@ -128,62 +193,24 @@ def plan(
     )
     order = F.xxhash64("doc_id", ROW, F.lit(SEED))
     buckets = F.greatest(F.ceil(F.col("docs") / BUCKET_ROWS), F.lit(1))
+    whole = F.when(
+        F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))
+    ).otherwise(0)
     dealt = (
         rows.join(small_side(source, 1, width), F.col("source").eqNullSafe(F.col("_source")))
         .drop("source", "_source")
         .withColumn("order", order)
         .withColumn("bucket", F.pmod("order", buckets))
-    )
-    sums = dealt.groupBy("place", "bucket").agg(F.sum("size").alias("words"))
-    earlier = Window.partitionBy("place").orderBy("bucket").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    offsets = sums.select(
-        "place", "bucket", F.coalesce(F.sum("words").over(earlier), F.lit(0)).alias("offset")
-    )
-    within = (
-        Window.partitionBy("place", "bucket")
-        .orderBy("order", ROW)
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    before = F.col("offset") + F.coalesce(F.sum("size").over(within), F.lit(0))
-    whole = F.when(
-        F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))
-    ).otherwise(0)
-    summed = scratch_table(
-        dealt.join(offsets, ["place", "bucket"])
-        .withColumn("before", before)
         .withColumn("whole", whole)
         .withColumn("rest", F.col("target") - F.col("whole") * F.col("source_size"))
-        .withColumn("last", F.col("before") + F.col("size") <= F.col("rest"))
-        .drop("offset", "bucket", "docs"),
-        "mixing-sums",
-    )
-    # What the last pass leaves open goes to the one other document nearest to it in size.
-    ended = F.coalesce(F.max(F.when(F.col("last"), F.col("before") + F.col("size"))), F.lit(0))
-    gaps = (
-        summed.where("rest > 0")
-        .groupBy("place", "rest")
-        .agg(ended.alias("ended"))
-        .withColumn("gap", F.col("rest") - F.col("ended"))
-    )
-    nearest = F.min(F.struct(F.abs(F.col("size") - F.col("gap")).alias("miss"), "order", ROW))
-    closing = (
-        summed.where("not last and size > 0")
-        .select("place", "size", "order", ROW)
-        .join(small_side(gaps.drop("rest"), count, 64), "place")
-        .where("abs(size - gap) < gap")
-        .groupBy("place", "ended")
-        .agg(nearest.alias("nearest"))
-        .select(F.col("place").alias("_place"), "ended", F.col(f"nearest.{ROW}").alias("_row"))
-    )
-    closes = (F.col("place") == F.col("_place")) & (F.col(ROW) == F.col("_row"))
-    summed = summed.join(small_side(closing, count, 64), closes, "left").withColumn(
-        "before", F.coalesce("ended", "before")
-    )
-    taken_last = (F.col("rest") > 0) & (F.col("last") | F.col("_row").isNotNull())
-    copies = F.least(F.col("whole") + taken_last.cast("long"), F.lit(MOST_TIMES))
-    middle = lambda c: c * F.col("source_size") + F.col("before") + F.col("size") / 2
+        .drop("docs")
+    )
+    summed = scratch_table(running_sums(dealt), "mixing-sums")
+    last = scratch_table(last_pass(summed, count), "mixing-last")
+    summed = summed.join(last, ROW, "left")
+    copies = F.least(F.col("whole") + F.col("within").isNotNull().cast("long"), F.lit(MOST_TIMES))
+    begun = lambda c: F.when(F.col("whole") > c, F.col("before")).otherwise(F.col("within"))
+    middle = lambda c: c * F.col("source_size") + begun(c) + F.col("size") / 2
     share = lambda c: F.least(middle(c) / F.col("target"), F.lit(1.0))
     times = [
         F.when(F.col("copies") > c, schedule_time(share(F.lit(c)), F.col("kind"), schedules))

@@ -104,3 +104,19 @@ def test_schedules_are_inverted(spark, kind):
 def test_no_python_on_the_main_path(documents):
     plan = mixing.mixed(documents)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_long_documents_do_not_end_a_pass(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "BUCKET_ROWS", 40)
+    rows = []
+    for source in range(12):
+        sizes = [10] * 100 + [1000] + [0] * 3
+        rows += [(1000 * source + i, "w " * n, f"s{source:02}") for i, n in enumerate(sizes)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    taken, places = {}, {}
+    for r in mixing.mix(frame, weights=(1,)).collect():
+        taken[r.doc_id // 1000] = taken.get(r.doc_id // 1000, 0) + r.taken
+        places.setdefault(r.doc_id // 1000, []).append(r.position)
+        assert r.target == 3000
+    assert set(taken.values()) == {3000}
+    assert all(None not in p and max(p) <= 1 for p in places.values())
