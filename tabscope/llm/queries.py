@@ -19,6 +19,7 @@ from tabscope.llm import (
     toxicity,
     urlfilter,
     warc,
+    whitening,
 )
 from tabscope.llm.common import table
 
@@ -112,6 +113,10 @@ def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.token_counts(table(spark, sf_dir, "documents"), path)
 
 
+def whitened_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "pipeline": corpus_pipeline.run,
@@ -125,6 +130,7 @@ def queries() -> dict[str, Query]:
         "op8_url_verdicts": url_verdicts,
         "op9_quality_rules": quality_rules,
         "op10_token_counts": token_counts,
+        "op11_whitened_embeddings": whitened_embeddings,
     }
 
 
