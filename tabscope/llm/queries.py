@@ -9,8 +9,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tabscope.llm import (
+    collocations,
     cotraining,
     decontamination,
+    licenses,
     mixing,
     qualityrules,
     simhash,
@@ -117,6 +119,72 @@ def whitened_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whitened(table(spark, sf_dir, "embeddings"))
 
 
+def collocation_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+COLLOCATION_SQL = r"""
+WITH piece AS (
+  SELECT coalesce(lang, 'und') AS lang,
+    unnest(regexp_split_to_array(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+),
+words AS (
+  SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda w: w <> '') AS w
+  FROM piece
+),
+total AS (SELECT lang, sum(len(w))::BIGINT AS n FROM words GROUP BY lang),
+gram AS (
+  SELECT lang, size, array_to_string(w[i:i + size - 1], ' ') AS phrase
+  FROM (
+    SELECT lang, w, size, unnest(range(1, len(w) - size + 2)) AS i
+    FROM words, (VALUES (1), (2), (3), (4)) AS sizes(size)
+  )
+),
+f AS (
+  SELECT lang, size, phrase, count(*) AS f FROM gram GROUP BY lang, size, phrase HAVING count(*) >= 30
+),
+cut AS (
+  SELECT lang, size, phrase, f AS a, string_split(phrase, ' ') AS w, unnest(range(1, size)) AS k
+  FROM f WHERE size > 1
+),
+sized AS (
+  SELECT cut.lang, cut.phrase, cut.a, cut.k, x.f AS l, y.f AS r,
+    (2000000 * cut.a::HUGEINT // (x.f::HUGEINT + y.f))::BIGINT AS score
+  FROM cut
+  JOIN f AS x ON x.lang = cut.lang AND x.phrase = array_to_string(cut.w[1:cut.k], ' ')
+  JOIN f AS y ON y.lang = cut.lang AND y.phrase = array_to_string(cut.w[cut.k + 1:], ' ')
+),
+best AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS nr FROM sized
+),
+inside AS (
+  SELECT lang, f, array_to_string(w[i:i + part - 1], ' ') AS phrase
+  FROM (
+    SELECT lang, f, w, part, unnest(range(1, size - part + 2)) AS i
+    FROM (SELECT *, string_split(phrase, ' ') AS w, unnest(range(2, size)) AS part FROM f WHERE size > 2)
+  )
+),
+longer AS (SELECT lang, phrase, max(f) AS longer FROM inside GROUP BY lang, phrase),
+kept AS (
+  SELECT best.* FROM best LEFT JOIN longer USING (lang, phrase)
+  WHERE nr = 1 AND coalesce(100 * longer::HUGEINT < 80 * a::HUGEINT, true)
+),
+placed AS (
+  SELECT lang, row_number() OVER (
+      PARTITION BY lang ORDER BY score DESC, a DESC, phrase::BLOB) AS rank, phrase, a, l, r, score
+  FROM kept
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM placed JOIN total USING (lang) WHERE rank <= 2000
+"""
+
+
+def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scanned(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "pipeline": corpus_pipeline.run,
@@ -131,8 +199,10 @@ def queries() -> dict[str, Query]:
         "op9_quality_rules": quality_rules,
         "op10_token_counts": token_counts,
         "op11_whitened_embeddings": whitened_embeddings,
+        "op12_collocations": collocation_ranks,
+        "op13_license_scan": license_scan,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_url_verdicts": URL_SQL}
+    return {"op8_url_verdicts": URL_SQL, "op12_collocations": COLLOCATION_SQL}
