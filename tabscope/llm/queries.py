@@ -174,7 +174,7 @@ kept AS (
 ),
 placed AS (
   SELECT lang, row_number() OVER (
-      PARTITION BY lang ORDER BY score DESC, a DESC, phrase::BLOB) AS rank, phrase, a, l, r, score
+      PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, score
   FROM kept
 )
 SELECT lang, rank, phrase, a, l, r, n, score FROM placed JOIN total USING (lang) WHERE rank <= 2000
