@@ -7,6 +7,7 @@ import logging
 import threading
 from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from itertools import islice
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,6 +29,7 @@ from tabscope.plans.spec import (
     TableSpec,
     specs_from_masters,
 )
+from tabscope.sources.ledger import Ledger, plan_id, table_id
 from tabscope.sources.store import VALUE_SCOPE, ResultStore
 
 LEVELS = ("table", "column", "value", "pattern")
@@ -36,6 +38,9 @@ STAT_COLUMNS = ("notnull_cnt", "col_kind", "max_col_val", "min_col_val", "max_le
 #: Tables profiled by one Spark job. Keeps the plan of a large estate bounded.
 TABLES_PER_JOB = 50
 
+#: A level that failed longer ago starts over: its tables may have changed.
+RESUME_WITHIN = dt.timedelta(hours=24)
+
 #: Row counts that run side by side. Each is a job of its own, for a time window of its own.
 COUNTS_AT_ONCE = 8
 
@@ -111,7 +116,9 @@ class Profiler:
 
     The population is read and its tables are opened job by job, so neither the driver nor
     a plan grows with the estate. What the jobs of a level find is staged and merged into
-    the master once. ``value_chars`` is the width of histogram values and patterns,
+    the master once. A level that fails keeps what its finished jobs have found: run again
+    within ``resume_within``, it opens only the tables that are left (None: always starts
+    over). ``value_chars`` is the width of histogram values and patterns,
     ``extreme_chars`` that of extremes; None keeps whole texts.
     """
 
@@ -127,6 +134,7 @@ class Profiler:
         tables_per_job: int = TABLES_PER_JOB,
         counts_at_once: int = COUNTS_AT_ONCE,
         clock: Clock = _now,
+        resume_within: dt.timedelta | None = RESUME_WITHIN,
     ):
         self._store = store
         self._read = read_table
@@ -139,6 +147,7 @@ class Profiler:
         self._at_once = counts_at_once
         self._clock = clock
         self._clock_lock = threading.Lock()
+        self._resume_within = resume_within
 
     def specs(self) -> Iterator[TableSpec]:
         return specs_from_masters(
@@ -149,32 +158,70 @@ class Profiler:
             self._decimals,
         )
 
+    def _opened(self, spec: TableSpec) -> ProfileInput:
+        source = ProfileInput(spec, self._read(spec.owner_nm, spec.tab_nm))
+        if missing := source.missing_columns():
+            log.warning(
+                "%s.%s no longer has the registered columns %s",
+                spec.owner_nm, spec.tab_nm, ", ".join(missing),
+            )
+        return source
+
     def inputs(self) -> Iterator[ProfileInput]:
         """The population, each table opened when it is reached."""
-        for spec in self.specs():
-            source = ProfileInput(spec, self._read(spec.owner_nm, spec.tab_nm))
-            if missing := source.missing_columns():
-                log.warning(
-                    "%s.%s no longer has the registered columns %s",
-                    spec.owner_nm, spec.tab_nm, ", ".join(missing),
-                )
-            yield source
+        return map(self._opened, self.specs())
 
     def _jobs(
         self,
         inputs: Iterable[ProfileInput] | None,
         wanted: Callable[[ProfileInput], object] = lambda source: True,
+        done: Callable[[TableSpec], bool] = lambda spec: False,
     ) -> Iterator[list[ProfileInput]]:
-        """The wanted tables, some at a time."""
-        tables = filter(wanted, self.inputs() if inputs is None else inputs)
+        """The wanted tables, some at a time; those that are ``done`` are not opened."""
+        if inputs is None:
+            left = (self._opened(spec) for spec in self.specs() if not done(spec))
+        else:
+            left = (source for source in inputs if not done(source.spec))
+        tables = filter(wanted, left)
         while job := list(islice(tables, self._per_job)):
             yield job
 
+    @contextmanager
+    def _level(
+        self,
+        name: str,
+        inputs: Iterable[ProfileInput] | None,
+        wanted: Callable[[ProfileInput], object] = lambda source: True,
+        options: Mapping[str, object] | None = None,
+    ) -> Iterator[tuple[Ledger, Iterator[tuple[list[ProfileInput], dict[str, str]]]]]:
+        """The ledger of a level, and the jobs it does not hold yet with what to note."""
+        how = (name, sorted((options or {}).items()))
+        max_age = self._resume_within or dt.timedelta(0)
+        level = f"{self._db_nm}/{self._prfl_id}/{how!r}"
+        now = self._clock()
+        with self._store.resumable(level, now, max_age) as ledger:
+            if self._resume_within is None and ledger:
+                ledger.discard()
+            if ledger:
+                log.warning("taking up the %s level where it failed", name)
+
+            def plan(spec: TableSpec) -> str:
+                return plan_id(spec, how)
+
+            def done(spec: TableSpec) -> bool:
+                return ledger.finished(table_id(spec), plan(spec))
+
+            jobs = (
+                (job, {table_id(source.spec): plan(source.spec) for source in job})
+                for job in self._jobs(inputs, wanted, done)
+            )
+            yield ledger, jobs
+
     def _update_columns(self, facts: DataFrame, columns: Sequence[str]) -> None:
         stamp = F.lit(self._clock()).cast("timestamp_ntz")
-        master = self._store.master("column_master")
-        self._store.write_master(
-            "column_master", update_by_key(master, facts, COLUMN_KEY, columns, stamp)
+        self._store.update_master(
+            "column_master",
+            lambda master: update_by_key(master, facts, COLUMN_KEY, columns, stamp),
         )
 
     def _counted(self, source: ProfileInput) -> tuple:
@@ -191,24 +238,30 @@ class Profiler:
         window = ["tabcnt_str_dt", "tabcnt_end_dt"]
         fields = ", ".join([types, *[f"{w} timestamp_ntz" for w in window]])
         spark = self._store.spark
-        with self._store.staging() as stage, ThreadPoolExecutor(self._at_once) as pool:
-            for job in self._jobs(inputs):
+        with (
+            self._level("table", inputs) as (ledger, jobs),
+            ThreadPoolExecutor(self._at_once) as pool,
+        ):
+            for job, tables in jobs:
                 # One row per table of the job: bounded by ``tables_per_job``.
-                stage.add(spark.createDataFrame(list(pool.map(self._counted, job)), fields))
-            if stage.parts:
+                counted = spark.createDataFrame(list(pool.map(self._counted, job)), fields)
+                ledger.add(counted, tables)
+            if ledger:
                 stamp = F.lit(self._clock()).cast("timestamp_ntz")
-                master = self._store.master("table_master")
-                self._store.write_master(
+                self._store.update_master(
                     "table_master",
-                    update_by_key(master, stage.rows(), TABLE_KEY, ["tab_cnt", *window], stamp),
+                    lambda master: update_by_key(
+                        master, ledger.rows(), TABLE_KEY, ["tab_cnt", *window], stamp
+                    ),
                 )
 
     def run_column_level(self, inputs: Iterable[ProfileInput] | None = None) -> None:
-        with self._store.staging() as stage:
-            for job in self._jobs(inputs, ProfileInput.stat_columns):
-                stage.add(column_stats(job, extreme_chars=self._extreme_chars))
-            if stage.parts:
-                self._update_columns(stage.rows(), STAT_COLUMNS)
+        options = {"extreme_chars": self._extreme_chars}
+        with self._level("column", inputs, ProfileInput.stat_columns, options) as (ledger, jobs):
+            for job, tables in jobs:
+                ledger.add(column_stats(job, **options), tables)
+            if ledger:
+                self._update_columns(ledger.rows(), STAT_COLUMNS)
 
     def run_value_level(
         self, inputs: Iterable[ProfileInput] | None = None, **options
@@ -218,16 +271,17 @@ class Profiler:
         Histograms are written first and the samples read the written table, so the
         source is scanned once.
         """
-        done = False
-        for job in self._jobs(inputs, ProfileInput.value_columns):
-            self._store.replace_scopes(
-                "column_values",
-                value_histogram(job, value_chars=self._value_chars, **options),
-                [{c: getattr(source.spec, c) for c in VALUE_SCOPE} for source in job],
-            )
-            done = True
-        if done:
-            self._update_columns(sample_values(self.values()), ["sample_data"])
+        options = {"value_chars": self._value_chars, **options}
+        with self._level("value", inputs, ProfileInput.value_columns, options) as (ledger, jobs):
+            for job, tables in jobs:
+                self._store.replace_scopes(
+                    "column_values",
+                    value_histogram(job, **options),
+                    [{c: getattr(source.spec, c) for c in VALUE_SCOPE} for source in job],
+                )
+                ledger.add(None, tables)
+            if ledger:
+                self._update_columns(sample_values(self.values()), ["sample_data"])
 
     def run_pattern_level(
         self,
@@ -245,14 +299,14 @@ class Profiler:
             patterns = patterns_from_values(self.values(), mode, columns.count())
             self._store.replace_scope("column_patterns", patterns, scope)
         elif source == "direct":
-            with self._store.staging() as stage:
-                for job in self._jobs(inputs, ProfileInput.pattern_columns):
-                    stage.add(
-                        patterns_direct(job, mode, value_chars=self._value_chars, **options)
-                    )
-                if not stage.parts:
+            options = {"mode": mode, "value_chars": self._value_chars, **options}
+            level = self._level("pattern", inputs, ProfileInput.pattern_columns, options)
+            with level as (ledger, jobs):
+                for job, tables in jobs:
+                    ledger.add(patterns_direct(job, **options), tables)
+                if not ledger:
                     return
-                self._store.replace_scope("column_patterns", stage.rows(), scope)
+                self._store.replace_scope("column_patterns", ledger.rows(), scope)
         else:
             raise ValueError(f"unknown pattern source {source!r}; expected values or direct")
         self._update_columns(top_pattern(self.patterns()), ["top_col_pat"])
@@ -275,9 +329,7 @@ class Profiler:
                 steps[level]()
 
     def _of_profile(self, table: str) -> DataFrame:
-        return self._store.read(table).filter(
-            (F.col("db_nm") == self._db_nm) & (F.col("prfl_id") == self._prfl_id)
-        )
+        return self._store.read(table, {"db_nm": self._db_nm, "prfl_id": self._prfl_id})
 
     def values(self) -> DataFrame:
         return self._of_profile("column_values")

@@ -1,18 +1,23 @@
 """Result store: parquet tables below one root.
 
-Every load writes a directory of its own, and only when all of it is there a new manifest
-makes it part of the table: a small file that maps each scope (the values of the partition
-columns) to the directories that hold it. Readers follow the newest manifest. A load that
-fails, or runs beside a reader, changes nothing; a load without rows publishes an empty
-scope. Directories the last two manifests no longer name are removed.
+Every load writes a directory of its own, and only when all of it is there an entry in the
+table's log makes it part of the table: which scopes (values of the partition columns) it
+replaces, and the directories that hold them now. Readers follow the log. A load that
+fails, or runs beside a reader, changes nothing and leaves nothing; a load without rows
+publishes an empty scope. Loads of different scopes may run at once; of two that change
+the same scope the later one fails. Directories no longer named are removed one load
+later, so that readers who have opened the table before keep their rows.
 """
 
 from __future__ import annotations
 
-import json
+import datetime as dt
+import hashlib
 import re
+import threading
+import time
 import uuid
-from collections.abc import Iterable, Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,6 +26,9 @@ from pyspark.sql import types as T
 
 from tabscope.operators.dictionary.common import DICTIONARY_TYPES
 from tabscope.operators.registration import COLUMN_MASTER, TABLE_MASTER
+from tabscope.sources.files import SmallFiles
+from tabscope.sources.ledger import Ledger
+from tabscope.sources.scopelog import Changed, ScopeLog, View
 
 SNAPSHOT_SCOPE = ("db_nm", "chasu")
 VALUE_SCOPE = ("db_nm", "prfl_id", "owner_nm", "tab_nm")
@@ -53,6 +61,9 @@ TABLES: dict[str, tuple[dict[str, str], tuple[str, ...]]] = {
 }
 _SCOPE_TYPES = {"chasu": "int"}
 
+#: Times an update of a master is made anew because another load came first.
+UPDATE_ATTEMPTS = 10
+
 # Characters Spark escapes in a partition directory name.
 _ESCAPED = re.compile(r"[\x00-\x1f\x7f\"#%'*/:=?\\{\[\]^]")
 
@@ -64,30 +75,15 @@ def _directory(column: str, value: object) -> str:
     return f"{column}=" + _ESCAPED.sub(lambda m: f"%{ord(m.group()):02X}", text)
 
 
-class Stage:
-    """Rows of several jobs, written one after the other and read back together."""
-
-    def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self._folder = spark, folder
-        self.parts: list[str] = []
-        self._schema: T.StructType | None = None
-
-    def add(self, rows: DataFrame) -> None:
-        part = f"{self._folder}/part-{len(self.parts):06d}"
-        rows.write.parquet(part)
-        self._schema = rows.schema
-        self.parts.append(part)
-
-    def rows(self) -> DataFrame:
-        return self.spark.read.schema(self._schema).parquet(*self.parts)
-
-
 class ResultStore:
     """The profile tables of a project."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self._root = root.rstrip("/")
+        self._files = SmallFiles(spark)
+        self._logs: dict[str, ScopeLog] = {}
+        self._opened = threading.local()
 
     def path(self, table: str) -> str:
         return f"{self._root}/{table}"
@@ -97,74 +93,45 @@ class ResultStore:
         fields = {c: columns.get(c, _SCOPE_TYPES.get(c, "string")) for c in (*columns, *scope)}
         return T.StructType.fromDDL(", ".join(f"{n} {t}" for n, t in fields.items()))
 
-    def _hadoop(self, location: str):
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(location)
-        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
+    def _log(self, table: str) -> ScopeLog:
+        return self._logs.setdefault(table, ScopeLog(self._files, self.path(table)))
 
     @contextmanager
-    def staging(self) -> Iterator[Stage]:
-        """A folder for what the jobs of a level find, removed at the end."""
-        folder = f"{self._root}/_staging/{uuid.uuid4().hex}"
-        try:
-            yield Stage(self.spark, folder)
-        finally:
-            fs, path = self._hadoop(folder)
-            fs.delete(path, True)
+    def resumable(
+        self, level: str, now: dt.datetime, max_age: dt.timedelta | None = None
+    ) -> Iterator[Ledger]:
+        """The ledger of a level: removed when the level ends well, kept when it fails.
 
-    # Manifests -------------------------------------------------------------------------
-
-    def _manifests(self, table: str) -> list[int]:
-        """Numbers of the published manifests, oldest first."""
-        fs, path = self._hadoop(f"{self.path(table)}/_manifests")
-        if not fs.exists(path):
-            return []
-        names = (status.getPath().getName() for status in fs.listStatus(path))
-        return sorted(int(n.removesuffix(".json")) for n in names if n.endswith(".json"))
-
-    def _manifest(self, table: str, number: int | None) -> dict[str, list[str]]:
-        """Scope to its directories, both below the table's path."""
-        if number is None:
-            return {}
-        fs, path = self._hadoop(f"{self.path(table)}/_manifests/{number:010d}.json")
-        stream = fs.open(path)
-        try:
-            data = self.spark._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)
-        finally:
-            stream.close()
-        return json.loads(bytes(data))
-
-    def _publish(self, table: str, manifest: dict[str, list[str]], number: int) -> None:
-        """Write a manifest beside its place, then rename it: it is there whole or not at all."""
-        fs, draft = self._hadoop(f"{self.path(table)}/_manifests/.{uuid.uuid4().hex}")
-        stream = fs.create(draft)
-        try:
-            stream.write(bytearray(json.dumps(manifest, ensure_ascii=False).encode()))
-        finally:
-            stream.close()
-        _, target = self._hadoop(f"{self.path(table)}/_manifests/{number:010d}.json")
-        if fs.exists(target) or not fs.rename(draft, target):
-            fs.delete(draft, False)
-            raise RuntimeError(f"{table} was changed by another load; repeat this one")
-
-    def _remove_superseded(self, table: str) -> None:
-        """Keep the last two manifests and what they name; readers may still use both."""
-        numbers = self._manifests(table)
-        kept = {d for n in numbers[-2:] for ds in self._manifest(table, n).values() for d in ds}
-        for n in numbers[:-2]:
-            gone = {d for ds in self._manifest(table, n).values() for d in ds} - kept
-            for directory in sorted(gone):
-                fs, path = self._hadoop(f"{self.path(table)}/{directory}")
-                fs.delete(path, True)
-            fs, path = self._hadoop(f"{self.path(table)}/_manifests/{n:010d}.json")
-            fs.delete(path, False)
+        One that a failed run has left is taken up again unless it is older than
+        ``max_age``.
+        """
+        name = hashlib.sha256(level.encode()).hexdigest()[:24]
+        folder = f"{self._root}/_staging/{name}"
+        ledger = Ledger(self.spark, self._files, folder, now, max_age)
+        yield ledger
+        ledger.discard()
 
     # Reading and writing ---------------------------------------------------------------
 
-    def read(self, table: str) -> DataFrame:
-        """The table, empty if nothing has been published. Scope filters prune files."""
-        numbers = self._manifests(table)
-        manifest = self._manifest(table, numbers[-1]) if numbers else {}
-        directories = sorted({d for ds in manifest.values() for d in ds})
+    def view(self, table: str) -> View:
+        """The table as it is now; what a later load is compared with."""
+        return self._log(table).view()
+
+    def read(
+        self,
+        table: str,
+        scope: Mapping[str, object] | None = None,
+        view: View | None = None,
+    ) -> DataFrame:
+        """The table, empty if nothing has been published.
+
+        ``scope`` gives values for a leading part of the partition columns: only
+        directories inside it are opened, and only its rows are returned.
+        """
+        view = view or self.view(table)
+        scope = self._leading(table, scope or {})
+        inside = view.within(["/".join(_directory(c, v) for c, v in scope.items())])
+        directories = sorted({d for ds in inside.values() for d in ds})
         if not directories:
             return self.spark.createDataFrame([], self.schema(table))
         schema = T.StructType([*self.schema(table).fields, T.StructField("load", T.StringType())])
@@ -172,16 +139,28 @@ class ResultStore:
         reader = self.spark.read.schema(schema).option("basePath", self.path(table))
         return reader.parquet(*paths).drop("load")
 
-    def replace_scope(self, table: str, df: DataFrame, scope: Mapping[str, object]) -> None:
+    @staticmethod
+    def _leading(table: str, scope: Mapping[str, object]) -> Mapping[str, object]:
+        _, layout = TABLES[table]
+        if list(scope) != list(layout[: len(scope)]):
+            raise ValueError(f"{table} is laid out by {layout}; got the scope {list(scope)}")
+        return scope
+
+    def replace_scope(
+        self,
+        table: str,
+        df: DataFrame,
+        scope: Mapping[str, object],
+        since: View | None = None,
+    ) -> None:
         """Replace all rows of one scope by ``df``.
 
+        ``since`` is the table as ``df`` was made from it; by default as it is now.
+
         ``scope`` gives values for a leading part of the table's partition columns; the
         rest are written as partitions below it. No rows means an empty scope.
         """
-        _, layout = TABLES[table]
-        if list(scope) != list(layout[: len(scope)]):
-            raise ValueError(f"{table} is laid out by {layout}; got the scope {list(scope)}")
-        self._load(table, df, [scope])
+        self._load(table, df, [self._leading(table, scope)], since=since)
 
     def replace_scopes(
         self, table: str, df: DataFrame, scopes: Iterable[Mapping[str, object]]
@@ -204,6 +183,7 @@ class ResultStore:
         df: DataFrame,
         scopes: Sequence[Mapping[str, object]],
         fixed: Mapping[str, object] | None = None,
+        since: View | None = None,
     ) -> None:
         """Write ``df``, then publish it in place of ``scopes``.
 
@@ -219,39 +199,30 @@ class ResultStore:
             for n, t in columns.items()
             if n not in fixed
         ]
+        since = since or self.view(table)
         load = f"load={uuid.uuid4().hex}"
         steps = [load, *[_directory(c, v) for c, v in fixed.items()]]
         target = "/".join([self.path(table), *steps])
         try:
             rows = df.select(*body, *[c for c in below if c not in columns])
             self._write(rows, below, target)
-            found = self._partitions(target, len(below))
+            added = {
+                "/".join([*steps[1:], *tail]): ["/".join([*steps, *tail])]
+                for tail in self._partitions(target, len(below))
+            }
+            self._log(table).commit(replaced, added, since)
         except BaseException:
-            fs, path = self._hadoop(f"{self.path(table)}/{load}")
-            fs.delete(path, True)
+            self._files.delete(f"{self.path(table)}/{load}")
             raise
-        numbers = self._manifests(table)
-        newest = numbers[-1] if numbers else None
-        manifest = {
-            scope: directories
-            for scope, directories in self._manifest(table, newest).items()
-            if not any(scope == r or not r or scope.startswith(f"{r}/") for r in replaced)
-        }
-        for tail in found:
-            directory = "/".join([*steps, *tail])
-            scope = "/".join([*steps[1:], *tail])
-            manifest[scope] = [*manifest.get(scope, []), directory]
-        self._publish(table, manifest, (newest or 0) + 1)
-        self._remove_superseded(table)
 
     def _partitions(self, target: str, depth: int) -> list[list[str]]:
         """Directory names of the partitions below a finished load that hold files."""
-        fs, path = self._hadoop(target)
+        fs, path = self._files.at(target)
         if not fs.exists(path):
             return []
         if not depth:
             return [[]]
-        _, pattern = self._hadoop("/".join([target, *["*=*"] * depth]))
+        _, pattern = self._files.at("/".join([target, *["*=*"] * depth]))
         return [
             str(status.getPath().toString()).split("/")[-depth:]
             for status in fs.globStatus(pattern)
@@ -271,12 +242,35 @@ class ResultStore:
 
     def latest_revision(self, table: str) -> int:
         """The number of the newest published load, 0 if there is none."""
-        return max(self._manifests(table), default=0)
+        return self.view(table).number
+
+    def vacuum(self, table: str, hours: float = 24.0) -> list[str]:
+        """Remove what loads that were killed have left, if last changed before ``hours``."""
+        found = self._log(table).unknown(int((time.time() - 3600 * hours) * 1000))
+        for name in found:
+            self._files.delete(f"{self.path(table)}/{name}")
+        return found
 
     def master(self, table: str) -> DataFrame:
         """A master table as last published."""
-        return self.read(table)
+        view = self.view(table)
+        self._opened.__dict__[table] = view
+        return self.read(table, view=view)
 
     def write_master(self, table: str, df: DataFrame) -> None:
-        """Publish a new master; ``df`` may read the present one."""
-        self.replace_scope(table, df, {})
+        """Publish a new master; ``df`` may read the present one.
+
+        If this thread opened the master by :meth:`master` before, and it has been changed
+        since, it is not overwritten.
+        """
+        self.replace_scope(table, df, {}, self._opened.__dict__.pop(table, None))
+
+    def update_master(self, table: str, change: Callable[[DataFrame], DataFrame]) -> None:
+        """Publish ``change(master)``; made anew if another load comes first."""
+        for attempt in range(UPDATE_ATTEMPTS):
+            try:
+                self.write_master(table, change(self.master(table)))
+                return
+            except Changed:
+                if attempt == UPDATE_ATTEMPTS - 1:
+                    raise
