@@ -13,14 +13,13 @@ from itertools import islice
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabscope.operators import registration
-from tabscope.operators.column_stats import column_stats
+from tabscope.operators import registration, remote
 from tabscope.operators.dictionary.common import stamped
 from tabscope.operators.dictionary.snapshot import next_snapshot, require_snapshot, snapshot_row
 from tabscope.operators.merge import update_by_key
 from tabscope.operators.pattern_dist import patterns_direct, patterns_from_values, top_pattern
-from tabscope.operators.table_stats import row_counts
-from tabscope.operators.value_dist import sample_values, value_histogram
+from tabscope.operators.remote import RemoteInput, RemoteTable
+from tabscope.operators.value_dist import sample_values
 from tabscope.plans.spec import (
     COLUMN_KEY,
     DEFAULT_PROFILE,
@@ -118,14 +117,15 @@ class Profiler:
     a plan grows with the estate. What the jobs of a level find is staged and merged into
     the master once. A level that fails keeps what its finished jobs have found: run again
     within ``resume_within``, it opens only the tables that are left (None: always starts
-    over). ``value_chars`` is the width of histogram values and patterns,
+    over). ``read_table`` gives a DataFrame, or a :class:`RemoteTable` whose source then
+    counts and groups by itself. ``value_chars`` is the width of histogram values and patterns,
     ``extreme_chars`` that of extremes; None keeps whole texts.
     """
 
     def __init__(
         self,
         store: ResultStore,
-        read_table: Callable[[str, str], DataFrame],
+        read_table: Callable[[str, str], DataFrame | RemoteTable],
         db_nm: str,
         prfl_id: str = DEFAULT_PROFILE,
         decimals: int | None = None,
@@ -159,7 +159,10 @@ class Profiler:
         )
 
     def _opened(self, spec: TableSpec) -> ProfileInput:
-        source = ProfileInput(spec, self._read(spec.owner_nm, spec.tab_nm))
+        table = self._read(spec.owner_nm, spec.tab_nm)
+        if isinstance(table, RemoteTable):
+            return RemoteInput(spec, table)
+        source = ProfileInput(spec, table)
         if missing := source.missing_columns():
             log.warning(
                 "%s.%s no longer has the registered columns %s",
@@ -228,7 +231,7 @@ class Profiler:
         """Row count of one table, with the time it began and ended."""
         with self._clock_lock:
             started = self._clock()
-        row = row_counts([source]).first()
+        row = remote.counts([source]).first()
         with self._clock_lock:
             return (*(row[c] for c in (*TABLE_KEY, "tab_cnt")), started, self._clock())
 
@@ -259,7 +262,7 @@ class Profiler:
         options = {"extreme_chars": self._extreme_chars}
         with self._level("column", inputs, ProfileInput.stat_columns, options) as (ledger, jobs):
             for job, tables in jobs:
-                ledger.add(column_stats(job, **options), tables)
+                ledger.add(remote.stats(job, **options), tables)
             if ledger:
                 self._update_columns(ledger.rows(), STAT_COLUMNS)
 
@@ -276,7 +279,7 @@ class Profiler:
             for job, tables in jobs:
                 self._store.replace_scopes(
                     "column_values",
-                    value_histogram(job, **options),
+                    remote.histogram(job, **options),
                     [{c: getattr(source.spec, c) for c in VALUE_SCOPE} for source in job],
                 )
                 ledger.add(None, tables)

@@ -5,9 +5,11 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Mapping
+from dataclasses import replace
 
 from pyspark.sql import DataFrame
 
+from tabscope.operators.remote import RemoteInput, RemoteTable
 from tabscope.plans.spec import ProfileInput, spec_from_schema
 from tabscope.session import shared_dir
 from tabscope.sources.store import ResultStore
@@ -32,6 +34,19 @@ def inputs(frames: Frames, *names: str) -> list[ProfileInput]:
     return [profile_input(frames[n], n) for n in names]
 
 
+def remote_input(
+    frames: Frames, tab_nm: str, modes: Mapping[str, str] | None = None
+) -> RemoteInput:
+    """A table that Spark SQL groups by itself, as a relational source would."""
+    local = profile_input(frames[tab_nm], tab_nm, modes)
+    view = f"{tab_nm}_{uuid.uuid4().hex}"
+    local.frame.createOrReplaceTempView(view)
+    types = {f.name: f.dataType.simpleString() for f in local.frame.schema.fields}
+    columns = tuple(replace(c, vendor_type=types[c.col_nm]) for c in local.spec.columns)
+    source = RemoteTable("spark", (view,), frames.spark.sql, lambda: local.frame)
+    return RemoteInput(replace(local.spec, columns=columns), source)
+
+
 def scratch_store(frames: Frames) -> ResultStore:
     """A store of its own below the shared folder."""
     return ResultStore(frames.spark, f"{shared_dir(frames.spark)}/store-{uuid.uuid4().hex}")

@@ -18,6 +18,7 @@ from tabscope.operators.pattern_dist import (
     patterns_from_values,
     top_pattern,
 )
+from tabscope.operators import remote
 from tabscope.operators.registration import column_population
 from tabscope.operators.report import profile_report
 from tabscope.operators.dictionary import lake
@@ -29,7 +30,9 @@ from tabscope.plans.spec import COLUMN_KEY, name_columns
 from tabscope.sources.registry import SourceRegistry, adhoc_query
 from verification import profile_sql as sql
 from verification.checked import Check
-from verification.inputs import DECIMALS, RUN_TS, inputs, profile_input, scratch_store
+from verification.inputs import (
+    DECIMALS, RUN_TS, inputs, profile_input, remote_input, scratch_store,
+)
 from verification.tables import SCHEMAS, TABLES, Frames
 
 def _short(df: DataFrame) -> DataFrame:
@@ -397,9 +400,46 @@ USING (tab_nm)"""
     }
 
 
+def _remote_checks() -> dict[str, Check]:
+    """Tables grouped by SELECTs, some of them beside tables read from files."""
+    there = ("nation", "customer", "orders", "documents")
+    here = ("part", "events")
+    every = (*there, *here)
+
+    def mixed(frames: Frames, modes: Mapping[str, Mapping[str, str]] | None = None):
+        own = modes or {}
+        far = [remote_input(frames, t, own.get(t)) for t in there if not modes or t in own]
+        return far + [profile_input(frames[t], t, own.get(t)) for t in here if not modes or t in own]
+
+    modes = {
+        "orders": _ORDER_MODES, "customer": {"c_acctbal": "B", "c_mktsegment": "Y", "c_name": "A"},
+        "events": _EVENT_MODES,
+    }
+    return {
+        "remote_row_counts": Check(
+            lambda f: _short(remote.counts(mixed(f))),
+            sql.union(f"SELECT '{t}' AS tab_nm, count(*) AS tab_cnt FROM {t}" for t in every),
+        ),
+        "remote_column_stats": Check(
+            lambda f: _short(remote.stats(mixed(f))), sql.union(map(sql.stats, every))
+        ),
+        "remote_value_dist": Check(
+            lambda f: _short(remote.histogram(mixed(f, modes))),
+            sql.union(sql.values(t, m) for t, m in modes.items()),
+        ),
+        "remote_value_dist_batches": Check(
+            lambda f: _short(
+                remote.histogram([remote_input(f, "lineitem", _LINE_MODES)], batch_columns=2)
+            ),
+            sql.values("lineitem", _LINE_MODES),
+        ),
+    }
+
+
 def checks() -> dict[str, Check]:
     return (
         _column_checks()
+        | _remote_checks()
         | _value_checks()
         | _pattern_checks()
         | _writeback_checks()
