@@ -40,22 +40,26 @@ def long_form(
     group: Sequence[ColumnRef],
     expr: Callable[[ColumnRef], Column],
     value_name: str,
+    with_columns: Sequence[str] = (),
 ) -> DataFrame:
     """One row per (row, planned column): ``ref`` and the column's expression.
 
+    ``with_columns`` of the table are repeated in every row.
+
     Spark plans the unpivot as an Expand over a pruned scan. Very wide tables are cut
     into runs of columns; the runs read disjoint columns.
     """
     if len(group) > UNPIVOT_COLUMNS:
         return union_all(
-            long_form(group[i : i + UNPIVOT_COLUMNS], expr, value_name)
+            long_form(group[i : i + UNPIVOT_COLUMNS], expr, value_name, with_columns)
             for i in range(0, len(group), UNPIVOT_COLUMNS)
         )
-    wide = group[0].source.frame.select(*[expr(r).alias(r.ref) for r in group])
+    kept = list(with_columns)
+    wide = group[0].source.frame.select(*kept, *[expr(r).alias(r.ref) for r in group])
     if len(group) == 1:
         only = group[0].ref
-        return wide.select(F.lit(only).alias("ref"), F.col(only).alias(value_name))
-    return wide.unpivot([], [r.ref for r in group], "ref", value_name)
+        return wide.select(*kept, F.lit(only).alias("ref"), F.col(only).alias(value_name))
+    return wide.unpivot(kept, [r.ref for r in group], "ref", value_name)
 
 
 def source_column(ref: ColumnRef) -> Column:

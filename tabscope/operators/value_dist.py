@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -53,17 +53,7 @@ def numbered_histogram(
     All three give the same rows. Values are whole unless ``value_chars`` cuts them.
     """
 
-    def bucket(r: ColumnRef) -> Column:
-        return value_bucket(
-            source_column(r),
-            r.source.dtype(r.column.col_nm),
-            r.column.value_mode,
-            decimals=r.column.decimals,
-            value_chars=value_chars,
-            months=months,
-            rounded=rounded,
-        )
-
+    bucket = _bucket_of(value_chars, months, rounded)
     groups = number_columns((source, source.value_columns()) for source in inputs)
     if not groups:
         raise ValueError("no column is flagged for a value histogram")
@@ -84,6 +74,36 @@ def numbered_histogram(
     return histogram, groups
 
 
+def _bucket_of(
+    value_chars: int | None, months: bool, rounded: bool
+) -> Callable[[ColumnRef], Column]:
+    def bucket(r: ColumnRef) -> Column:
+        return value_bucket(
+            source_column(r),
+            r.source.dtype(r.column.col_nm),
+            r.column.value_mode,
+            decimals=r.column.decimals,
+            value_chars=value_chars,
+            months=months,
+            rounded=rounded,
+        )
+
+    return bucket
+
+
+def bucket_rows(
+    groups: Sequence[Sequence[ColumnRef]],
+    with_columns: Sequence[str] = (),
+    *,
+    value_chars: int | None = None,
+    months: bool = False,
+    rounded: bool = False,
+) -> DataFrame:
+    """(``ref``, ``col_val``, ``with_columns``): the buckets of all rows, not yet counted."""
+    bucket = _bucket_of(value_chars, months, rounded)
+    return union_all(long_form(group, bucket, "col_val", with_columns) for group in groups)
+
+
 def _joint(group: Sequence[ColumnRef], bucket) -> DataFrame:
     """Group by every bucket at once, then unpivot the far smaller result."""
     refs = [r.ref for r in group]

@@ -6,20 +6,21 @@ import datetime as dt
 import logging
 import threading
 from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import FIRST_COMPLETED, Future, ThreadPoolExecutor, wait
 from contextlib import contextmanager
-from itertools import islice
+from itertools import groupby, islice
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabscope.operators import registration, remote
+from tabscope.operators import incremental, registration, remote
 from tabscope.operators.dictionary.common import stamped
 from tabscope.operators.dictionary.snapshot import next_snapshot, require_snapshot, snapshot_row
 from tabscope.operators.merge import update_by_key
 from tabscope.operators.pattern_dist import patterns_direct, patterns_from_values, top_pattern
 from tabscope.operators.remote import RemoteInput, RemoteTable
 from tabscope.operators.value_dist import sample_values
+from tabscope.plans import packing
 from tabscope.plans.spec import (
     COLUMN_KEY,
     DEFAULT_PROFILE,
@@ -28,6 +29,7 @@ from tabscope.plans.spec import (
     TableSpec,
     specs_from_masters,
 )
+from tabscope.sources.lake_files import LakeTable
 from tabscope.sources.ledger import Ledger, plan_id, table_id
 from tabscope.sources.store import VALUE_SCOPE, ResultStore
 
@@ -117,7 +119,9 @@ class Profiler:
     a plan grows with the estate. What the jobs of a level find is staged and merged into
     the master once. A level that fails keeps what its finished jobs have found: run again
     within ``resume_within``, it opens only the tables that are left (None: always starts
-    over). ``read_table`` gives a DataFrame, or a :class:`RemoteTable` whose source then
+    over). With ``job_mb`` tables are packed into jobs by size instead of by name, and
+    ``jobs_at_once`` of them run side by side in the scheduler pool of their parallelism
+    tier (see :mod:`tabscope.plans.packing`). ``read_table`` gives a DataFrame, or a :class:`RemoteTable` whose source then
     counts and groups by itself. ``value_chars`` is the width of histogram values and patterns,
     ``extreme_chars`` that of extremes; None keeps whole texts.
     """
@@ -132,6 +136,8 @@ class Profiler:
         value_chars: int | None = None,
         extreme_chars: int | None = None,
         tables_per_job: int = TABLES_PER_JOB,
+        job_mb: int | None = None,
+        jobs_at_once: int = 1,
         counts_at_once: int = COUNTS_AT_ONCE,
         clock: Clock = _now,
         resume_within: dt.timedelta | None = RESUME_WITHIN,
@@ -144,6 +150,8 @@ class Profiler:
         self._value_chars = value_chars
         self._extreme_chars = extreme_chars
         self._per_job = tables_per_job
+        self._job_mb = job_mb
+        self._jobs_at_once = jobs_at_once
         self._at_once = counts_at_once
         self._clock = clock
         self._clock_lock = threading.Lock()
@@ -156,8 +164,12 @@ class Profiler:
             self._db_nm,
             self._prfl_id,
             self._decimals,
+            None if self._job_mb is None else self._packed,
         )
 
+    def _packed(self, tables: DataFrame) -> DataFrame:
+        return packing.packed(tables, self._job_mb, self._per_job)
+
     def _opened(self, spec: TableSpec) -> ProfileInput:
         table = self._read(spec.owner_nm, spec.tab_nm)
         if isinstance(table, RemoteTable):
@@ -185,9 +197,39 @@ class Profiler:
             left = (self._opened(spec) for spec in self.specs() if not done(spec))
         else:
             left = (source for source in inputs if not done(source.spec))
-        tables = filter(wanted, left)
-        while job := list(islice(tables, self._per_job)):
-            yield job
+        for _, tables in groupby(filter(wanted, left), lambda source: source.spec.job_no):
+            while job := list(islice(tables, self._per_job)):
+                yield job
+
+    def _each(
+        self,
+        jobs: Iterable[tuple[list[ProfileInput], dict[str, str]]],
+        work: Callable[[list[ProfileInput], dict[str, str]], None],
+    ) -> None:
+        """Do all jobs, ``jobs_at_once`` side by side, each in the pool of its tier.
+
+        A job that fails lets those that run beside it end first: they are noted.
+        """
+        spark = self._store.spark
+
+        def one(job: list[ProfileInput], tables: dict[str, str]) -> None:
+            with packing.in_pool(spark, max((s.spec.exec_dop or 0 for s in job), default=0)):
+                work(job, tables)
+
+        if self._jobs_at_once == 1:
+            for job, tables in jobs:
+                one(job, tables)
+            return
+        with ThreadPoolExecutor(self._jobs_at_once) as pool:
+            running: set[Future] = set()
+            for job, tables in jobs:
+                running.add(pool.submit(one, job, tables))
+                if len(running) >= self._jobs_at_once:
+                    ended, running = wait(running, return_when=FIRST_COMPLETED)
+                    for future in ended:
+                        future.result()
+            for future in running:
+                future.result()
 
     @contextmanager
     def _level(
@@ -261,8 +303,7 @@ class Profiler:
     def run_column_level(self, inputs: Iterable[ProfileInput] | None = None) -> None:
         options = {"extreme_chars": self._extreme_chars}
         with self._level("column", inputs, ProfileInput.stat_columns, options) as (ledger, jobs):
-            for job, tables in jobs:
-                ledger.add(remote.stats(job, **options), tables)
+            self._each(jobs, lambda job, tables: ledger.add(remote.stats(job, **options), tables))
             if ledger:
                 self._update_columns(ledger.rows(), STAT_COLUMNS)
 
@@ -276,16 +317,49 @@ class Profiler:
         """
         options = {"value_chars": self._value_chars, **options}
         with self._level("value", inputs, ProfileInput.value_columns, options) as (ledger, jobs):
-            for job, tables in jobs:
+
+            def replaced(job: list[ProfileInput], tables: dict[str, str]) -> None:
                 self._store.replace_scopes(
                     "column_values",
                     remote.histogram(job, **options),
                     [{c: getattr(source.spec, c) for c in VALUE_SCOPE} for source in job],
                 )
                 ledger.add(None, tables)
+
+            self._each(jobs, replaced)
             if ledger:
                 self._update_columns(sample_values(self.values()), ["sample_data"])
 
+    def refresh_values(
+        self, lake_table: Callable[[str, str], LakeTable], **options
+    ) -> dict[tuple[str, str], int]:
+        """The value level of lake tables from their new files only, samples included.
+
+        Partial histograms of files are kept (see :mod:`tabscope.operators.incremental`);
+        a table without new, changed or removed files is not touched. Returns the number
+        of files read of every table. Keep the options the same from refresh to refresh.
+        """
+        options = {"value_chars": self._value_chars, **options}
+        read: dict[tuple[str, str], int] = {}
+        for spec in self.specs():
+            if not any(c.use and c.value_mode in ("Y", "A", "B") for c in spec.columns):
+                continue
+            table = lake_table(spec.owner_nm, spec.tab_nm)
+            before = self._store.view(incremental.HISTOGRAM.files).number
+            count = incremental.refresh(
+                self._store, incremental.HISTOGRAM, spec, table, **options
+            )
+            read[spec.owner_nm, spec.tab_nm] = count
+            if self._store.view(incremental.HISTOGRAM.files).number > before:
+                self._store.replace_scopes(
+                    "column_values",
+                    incremental.current(self._store, incremental.HISTOGRAM, spec),
+                    [{c: getattr(spec, c) for c in VALUE_SCOPE}],
+                )
+        if read:
+            self._update_columns(sample_values(self.values()), ["sample_data"])
+        return read
+
     def run_pattern_level(
         self,
         source: str = "values",
@@ -305,8 +379,9 @@ class Profiler:
             options = {"mode": mode, "value_chars": self._value_chars, **options}
             level = self._level("pattern", inputs, ProfileInput.pattern_columns, options)
             with level as (ledger, jobs):
-                for job, tables in jobs:
-                    ledger.add(patterns_direct(job, **options), tables)
+                self._each(
+                    jobs, lambda job, tables: ledger.add(patterns_direct(job, **options), tables)
+                )
                 if not ledger:
                     return
                 self._store.replace_scope("column_patterns", ledger.rows(), scope)

@@ -6,9 +6,10 @@ size is that of the catalog, not of the tables.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 from dataclasses import dataclass, field, replace
 from itertools import groupby
+from operator import itemgetter
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -40,6 +41,9 @@ class TableSpec:
     columns: tuple[ColumnSpec, ...] = ()
     prfl_id: str = DEFAULT_PROFILE
     use: bool = True
+    #: Where the table is worked on; no part of how.
+    job_no: int | None = field(default=None, repr=False, compare=False)
+    exec_dop: int | None = field(default=None, repr=False, compare=False)
 
     def with_modes(self, **modes: str | None) -> "TableSpec":
         """Same table with the value mode of the named columns replaced."""
@@ -111,37 +115,52 @@ def spec_from_schema(
 
 def profile_targets(table_master: DataFrame, db_nm: str, prfl_id: str) -> DataFrame:
     """Tables of one profile that are switched on, in owner and table order."""
-    wanted = (
-        (F.col("db_nm") == db_nm) & (F.col("prfl_id") == prfl_id) & (F.col("use_yn") == "Y")
-    )
     return (
-        table_master.filter(wanted)
+        _wanted(table_master, db_nm, prfl_id)
         .select("owner_nm", "tab_nm")
         .orderBy("owner_nm", "tab_nm")
     )
 
 
+def _wanted(table_master: DataFrame, db_nm: str, prfl_id: str) -> DataFrame:
+    return table_master.filter(
+        (F.col("db_nm") == db_nm) & (F.col("prfl_id") == prfl_id) & (F.col("use_yn") == "Y")
+    )
+
+
 def specs_from_masters(
     table_master: DataFrame,
     column_master: DataFrame,
     db_nm: str,
     prfl_id: str = DEFAULT_PROFILE,
     decimals: int | None = None,
+    packed: Callable[[DataFrame], DataFrame] | None = None,
 ) -> Iterator[TableSpec]:
-    """The registered population, table by table; the driver holds one table's columns."""
+    """The registered population, table by table; the driver holds one table's columns.
+
+    ``packed`` adds a ``job_no`` to (owner_nm, tab_nm, tab_size, exec_dop); tables then
+    come job by job.
+    """
     key = ["owner_nm", "tab_nm"]
     columns = column_master.filter(
         (F.col("db_nm") == db_nm) & (F.col("prfl_id") == prfl_id)
     ).select(
         *key, "col_nm", "col_seq", "use_yn", "col_data_type", "colval_exec_typ", "colpat_exec_typ"
     )
+    if packed is None:
+        none = F.lit(None).cast("int")
+        targets = profile_targets(table_master, db_nm, prfl_id).withColumns(
+            {"job_no": none, "exec_dop": none}
+        )
+    else:
+        targets = packed(_wanted(table_master, db_nm, prfl_id).select(*key, "tab_size", "exec_dop"))
     rows = (
-        profile_targets(table_master, db_nm, prfl_id)
-        .join(columns, key, "left")
-        .orderBy(*key, "col_seq", "col_nm")
+        targets.join(columns, key, "left")
+        .orderBy("job_no", *key, "col_seq", "col_nm")
         .toLocalIterator()
     )
-    for (owner, tab), members in groupby(rows, lambda r: (r["owner_nm"], r["tab_nm"])):
+    table = itemgetter("job_no", "owner_nm", "tab_nm", "exec_dop")
+    for (job_no, owner, tab, dop), members in groupby(rows, table):
         specs = tuple(
             ColumnSpec(
                 row["col_nm"],
@@ -154,7 +173,7 @@ def specs_from_masters(
             for row in members
             if row["col_nm"] is not None
         )
-        yield TableSpec(db_nm, owner, tab, specs, prfl_id)
+        yield TableSpec(db_nm, owner, tab, specs, prfl_id, job_no=job_no, exec_dop=dop)
 
 
 @dataclass(frozen=True)

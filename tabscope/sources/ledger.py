@@ -12,6 +12,7 @@ from __future__ import annotations
 import datetime as dt
 import hashlib
 import json
+import threading
 import uuid
 from collections.abc import Mapping
 
@@ -44,6 +45,7 @@ class Ledger:
         max_age: dt.timedelta | None,
     ):
         self.spark, self._files, self.folder, self._now = spark, files, folder, now
+        self._lock = threading.Lock()
         self._entries = sorted(
             (
                 json.loads(files.read(f"{folder}/{name}"))
@@ -72,6 +74,10 @@ class Ledger:
         if rows is not None:
             part, schema = f"part-{uuid.uuid4().hex}", rows.schema.json()
             rows.write.parquet(f"{self.folder}/{part}")
+        with self._lock:
+            self._note(part, schema, tables)
+
+    def _note(self, part: str | None, schema: str | None, tables: Mapping[str, str]) -> None:
         entry = {
             "nr": max((e["nr"] for e in self._entries), default=0) + 1,
             "at": self._now.isoformat(),

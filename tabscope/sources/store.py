@@ -49,6 +49,28 @@ TABLES: dict[str, tuple[dict[str, str], tuple[str, ...]]] = {
         },
         VALUE_SCOPE,
     ),
+    # Partial results per file of a lake table, and the files whose partials count.
+    **{
+        f"{kind}_files": (
+            {
+                "path": "string", "bytes": "bigint", "changed": "timestamp_ntz",
+                "load_id": "string", "file_id": "bigint",
+            },
+            VALUE_SCOPE,
+        )
+        for kind in ("histogram", "sketch")
+    },
+    "histogram_parts": (
+        {
+            "load_id": "string", "file_id": "bigint", "col_nm": "string", "col_val": "string",
+            "col_val_cnt": "bigint",
+        },
+        VALUE_SCOPE,
+    ),
+    "sketch_parts": (
+        {"load_id": "string", "file_id": "bigint", "col_nm": "string", "sketch": "binary"},
+        VALUE_SCOPE,
+    ),
     "column_patterns": (
         {
             "col_nm": "string", "col_pat": "string", "col_pat_cnt": "bigint",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
@@ -18,15 +19,19 @@ from tabscope.operators.pattern_dist import (
     patterns_from_values,
     top_pattern,
 )
-from tabscope.operators import remote
+from tabscope.operators import incremental, remote
 from tabscope.operators.registration import column_population
 from tabscope.operators.report import profile_report
 from tabscope.operators.dictionary import lake
 from tabscope.operators.registration import Snapshot
+from tabscope.operators.sketches import distinct_sketches, estimates, union_sketches
 from tabscope.operators.table_stats import row_counts
 from tabscope.operators.value_dist import numbered_histogram, sample_values, value_histogram
 from tabscope.pipeline import STAT_COLUMNS, Profiler, collect_dictionary, register_population
-from tabscope.plans.spec import COLUMN_KEY, name_columns
+from tabscope.plans.packing import packed
+from tabscope.plans.spec import COLUMN_KEY, ProfileInput, name_columns
+from tabscope.session import shared_dir
+from tabscope.sources.lake_files import LakeTable
 from tabscope.sources.registry import SourceRegistry, adhoc_query
 from verification import profile_sql as sql
 from verification.checked import Check
@@ -436,9 +441,120 @@ def _remote_checks() -> dict[str, Check]:
     }
 
 
+#: A third of the orders each, by key; the third batch replaces the first.
+_BATCHES = ("o_orderkey % 3 = 0", "o_orderkey % 3 = 1", "o_orderkey % 2 = 0")
+
+
+def _loads(frames: Frames) -> tuple[LakeTable, list]:
+    """A lake table of orders, and what puts its three batches there."""
+    root = f"{shared_dir(frames.spark)}/orders-{uuid.uuid4().hex}"
+    schema = frames["orders"].schema.simpleString()[len("struct<") : -1]
+    schema = ", ".join(part.replace(":", " ", 1) for part in schema.split(","))
+
+    def put(batch: int, folder: str) -> None:
+        rows = frames["orders"].where(_BATCHES[batch])
+        rows.write.mode("overwrite").parquet(f"{root}/{folder}")
+
+    steps = [lambda: put(0, "a"), lambda: put(1, "b"), lambda: put(2, "a")]
+    return LakeTable(frames.spark, root, schema), steps
+
+
+def _incremental(frames: Frames, kind: incremental.Kind) -> tuple[DataFrame, ProfileInput]:
+    """The merged partials after each batch was loaded and read once, and the table."""
+    store = scratch_store(frames)
+    spec = profile_input(frames["orders"], "orders", _ORDER_MODES).spec
+    table, steps = _loads(frames)
+    for put in steps:
+        put()
+        incremental.refresh(store, kind, spec, table)
+    return incremental.current(store, kind, spec), ProfileInput(spec, table.frame())
+
+
+def _compared(sketches: DataFrame, sources: list[ProfileInput]) -> DataFrame:
+    """Exact distinct counts, and whether the estimates are inside their bound."""
+    exact = distinct_counts(sources).withColumnRenamed("col_kind", "exact")
+    inside = F.col("exact").between(F.col("least_kind"), F.col("most_kind"))
+    found = estimates(sketches).join(exact, list(COLUMN_KEY))
+    return found.select("tab_nm", "col_nm", F.col("exact").alias("col_kind"), inside.alias("inside"))
+
+
+def _estimated(frames: Frames) -> DataFrame:
+    """Sketches of two halves of every table, united."""
+    halves = [
+        [
+            ProfileInput(s.spec, s.frame.where(F.pmod(F.xxhash64(s.frame.columns[0]), F.lit(2)) == i))
+            for s in inputs(frames, *TABLES)
+        ]
+        for i in (0, 1)
+    ]
+    sketches = union_sketches(
+        distinct_sketches(halves[0]).unionByName(distinct_sketches(halves[1]))
+    )
+    return _compared(sketches, inputs(frames, *TABLES))
+
+
+def _packing_population(frames: Frames) -> DataFrame:
+    """Suppliers as owners and their parts' first digits as tables, sized by what they sold."""
+    return frames["lineitem"].groupBy(
+        F.col("l_suppkey").cast("string").alias("owner_nm"),
+        F.substring(F.col("l_partkey").cast("string"), 1, 1).alias("tab_nm"),
+    ).agg(F.sum("l_quantity").cast("bigint").alias("tab_size"))
+
+
+_PACKING_SQL = """
+WITH t AS (
+  SELECT l_suppkey::VARCHAR AS owner_nm, left(l_partkey::VARCHAR, 1) AS tab_nm,
+    sum(l_quantity)::BIGINT AS tab_size
+  FROM lineitem GROUP BY 1, 2
+),
+placed AS (
+  SELECT *, row_number() OVER largest AS nr,
+    coalesce(sum(CASE WHEN tab_size < 3000 THEN tab_size END) OVER before, 0) AS mb,
+    coalesce(sum(CASE WHEN tab_size < 3000 THEN 1 END) OVER before, 0) AS tables
+  FROM t WINDOW largest AS (ORDER BY tab_size DESC, owner_nm, tab_nm),
+    before AS (ORDER BY tab_size DESC, owner_nm, tab_nm ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+),
+slots AS (
+  SELECT *, CASE WHEN tab_size >= 3000 THEN nr::VARCHAR
+      ELSE 's' || floor(mb / 3000)::BIGINT || '/' || floor(tables / 40)::BIGINT END AS slot
+  FROM placed
+),
+jobs AS (SELECT slot, row_number() OVER (ORDER BY min(nr)) AS job_no FROM slots GROUP BY slot)
+SELECT owner_nm, tab_nm, tab_size, job_no::INTEGER AS job_no FROM slots JOIN jobs USING (slot)"""
+
+
+def _growth_checks() -> dict[str, Check]:
+    loaded = f"(SELECT * FROM orders WHERE {_BATCHES[2]} UNION ALL SELECT * FROM orders WHERE {_BATCHES[1]})"
+    counted = sql.union(
+        f"SELECT tab_nm, col_nm, col_kind, true AS inside FROM ({sql.stats(t)}) WHERE col_kind > 0"
+        for t in TABLES
+    )
+
+    def sketched(frames: Frames) -> DataFrame:
+        made, source = _incremental(frames, incremental.SKETCH)
+        return _compared(made, [source])
+
+    return {
+        "value_dist_incremental": Check(
+            lambda f: _short(_incremental(f, incremental.HISTOGRAM)[0]),
+            sql.values("orders", _ORDER_MODES).replace("FROM orders", f"FROM {loaded}"),
+        ),
+        "distinct_sketch_incremental": Check(
+            sketched,
+            "SELECT tab_nm, col_nm, col_kind, true AS inside FROM "
+            f"({sql.stats('orders').replace('FROM orders', f'FROM {loaded}')})",
+        ),
+        "distinct_sketch_bounds": Check(_estimated, counted),
+        "plan_job_packing": Check(
+            lambda f: packed(_packing_population(f), job_mb=3000, most_tables=40), _PACKING_SQL
+        ),
+    }
+
+
 def checks() -> dict[str, Check]:
     return (
         _column_checks()
+        | _growth_checks()
         | _remote_checks()
         | _value_checks()
         | _pattern_checks()
