@@ -7,14 +7,16 @@ import re
 import uuid
 import zipfile
 from collections.abc import Callable, Iterable, Iterator
+from functools import wraps
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
 import pyarrow.parquet as pq
+import xxhash
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
@@ -156,17 +158,77 @@ def small_side(df: DataFrame, rows: int, row_bytes: int) -> DataFrame:
     return F.broadcast(df) if rows * row_bytes <= BROADCAST_BYTES else df
 
 
+#: Bits of a row's number inside its file; the others name the file.
+ROW_BITS = 26
+
+
 def identified(df: DataFrame, name: str) -> DataFrame:
     """``df`` with a number per row that stays the same in every plan over its files.
 
-    It is made from the file and the place of the row in it. A frame that is not a plain
+    It is exact: the row's place in its file below a hash of the file's path, and a seed of
+    the hash is taken under which no two of the files meet. A frame that is not a plain
     read of files is written to the shared folder first.
     """
     try:
         place = df.metadataColumn("_metadata")
-        return df.withColumn(name, F.xxhash64(place["file_path"], place["row_index"]))
     except AnalysisException:
         return identified(scratch_table(df, "rows"), name)
+    seed = _apart(df.inputFiles())
+    # Spark's xxhash64 goes on from the hash of the columns before.
+    file = F.xxhash64(F.lit(seed), place["file_path"])
+    row = place["row_index"]
+    fits = F.when(row < (1 << ROW_BITS), row).otherwise(
+        F.raise_error(F.lit(f"a file holds more than 2^{ROW_BITS} rows")).cast("long")
+    )
+    return df.withColumn(name, F.shiftleft(file, ROW_BITS).bitwiseOR(fits))
+
+
+def _apart(paths: list[str]) -> int:
+    """A seed whose file numbers differ for all paths."""
+    kept = (1 << (64 - ROW_BITS)) - 1
+    # A row's metadata name local files with one slash.
+    named = {re.sub("^file:///", "file:/", p) for p in paths}
+    for seed in range(1000):
+        base = xxhash.xxh64_intdigest(seed.to_bytes(4, "little"), 42)
+        numbers = {xxhash.xxh64_intdigest(p.encode(), base) & kept for p in named}
+        if len(numbers) == len(named):
+            return seed
+    raise RuntimeError(f"no seed keeps {len(paths)} files apart")
+
+
+def content_order(df: DataFrame, seed: int) -> list[Column]:
+    """Two 64-bit hashes of a row's values: the same order wherever the rows are stored.
+
+    Rows that agree in both hold the same values in every column of an atomic type.
+    """
+    plain = [
+        f.name
+        for f in df.schema.fields
+        if isinstance(f.dataType, T.AtomicType) and not f.name.lower().startswith("_tabscope")
+    ]
+    cells = [F.col("`" + c.replace("`", "``") + "`") for c in plain]
+    nulls = F.concat(F.lit("n"), *[F.when(c.isNull(), "1").otherwise("0") for c in cells])
+    return [F.xxhash64(F.lit(seed), nulls, *cells), F.xxhash64(*reversed(cells), nulls, F.lit(~seed))]
+
+
+def keeping_names(func: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """For a stage that returns its documents' columns: those that are named like its own
+    (``_tabscope...``) are renamed while it works."""
+
+    @wraps(func)
+    def stage(documents: DataFrame, *args, **options) -> DataFrame:
+        names = documents.columns
+        own = [c for c in names if c.lower().startswith("_tabscope")]
+        if not own:
+            return func(documents, *args, **options)
+        # Names of the user's that no operator uses, nor any other column.
+        kept = {c: f"kept_{i}_{uuid.uuid4().hex}" for i, c in enumerate(own)}
+        made = func(documents.withColumnsRenamed(kept), *args, **options)
+        return made.withColumnsRenamed({new: old for old, new in kept.items()}).select(
+            *["`" + c.replace("`", "``") + "`" for c in names]
+        )
+
+    return stage
 
 
 def dense_blocks(

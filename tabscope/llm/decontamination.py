@@ -37,6 +37,7 @@ from tabscope.llm.common import (
     dense_blocks,
     identified,
     joined_blocks,
+    keeping_names,
     map_batches,
     runs,
     scratch_table,
@@ -341,6 +342,7 @@ def contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     )
 
 
+@keeping_names
 def without_contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that hold no benchmark item, all columns as they were."""
     tagged = identified(documents, ROW)

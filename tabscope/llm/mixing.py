@@ -27,7 +27,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabscope.llm.common import WORD, identified, measured_bytes, scratch_table, small_side
+from tabscope.llm.common import (
+    WORD,
+    content_order,
+    identified,
+    keeping_names,
+    measured_bytes,
+    scratch_table,
+    small_side,
+)
 from tabscope.operators.ranking import global_row_number
 
 #: Weights of the sources in code point order, repeating.
@@ -40,6 +48,8 @@ SCHEDULES = ((1.5, 1.0, 0.5), (0.5, 1.0, 1.5), (1.0, 1.0, 1.0))
 BUCKET_ROWS = 10_000
 ROW = "_tabscope_row"
 SEED = 42
+#: The hashed order: rows that agree in both hashes are alike, so that ROW decides nothing.
+ORDER = ("order", "tie", ROW)
 
 
 def word_count(text: Column) -> Column:
@@ -122,7 +132,7 @@ def running_sums(dealt: DataFrame) -> DataFrame:
     )
     within = (
         Window.partitionBy("place", "bucket")
-        .orderBy("order", ROW)
+        .orderBy(*ORDER)
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     before = F.col("offset") + F.coalesce(F.sum("size").over(within), F.lit(0))
@@ -137,7 +147,7 @@ def last_pass(summed: DataFrame, count: int) -> DataFrame:
     new sums, until no document is left that fits; a round halves what is left, about. The
     gap that remains goes to the one document nearest to it in size.
     """
-    narrow = ["place", "bucket", "order", ROW, "size"]
+    narrow = ["place", "bucket", *ORDER, "size"]
     gap, ended = F.col("rest").alias("gap"), F.lit(0).cast("long").alias("ended")
     others = summed.where("rest > 0")
     ends = scratch_table(others.select("place", gap, ended).distinct(), "mixing-ends")
@@ -162,7 +172,7 @@ def last_pass(summed: DataFrame, count: int) -> DataFrame:
         if rest.isEmpty():
             break
         left = running_sums(rest)
-    nearest = F.min(F.struct(F.abs(F.col("size") - F.col("gap")).alias("miss"), "order", ROW))
+    nearest = F.min(F.struct(F.abs(F.col("size") - F.col("gap")).alias("miss"), *ORDER))
     closing = (
         others.where("size > 0")
         .join(taken.select(ROW), ROW, "left_anti")
@@ -181,8 +191,16 @@ def plan(
     schedules: Sequence[Sequence[float]] = SCHEDULES,
 ) -> DataFrame:
     """Per row of ``documents(doc_id, text, source, ROW)``: size, target, copies, positions."""
+    order, tie = content_order(documents, SEED)
     rows = scratch_table(
-        documents.select("doc_id", "source", ROW, word_count(F.col("text")).alias("size")),
+        documents.select(
+            "doc_id",
+            "source",
+            ROW,
+            order.alias("order"),
+            tie.alias("tie"),
+            word_count(F.col("text")).alias("size"),
+        ),
         "mixing-sizes",
     )
     every = scratch_table(targets(rows, weights), "mixing-plan")
@@ -191,7 +209,6 @@ def plan(
     source = every.select(
         F.col("source").alias("_source"), "place", "docs", "kind", "source_size", "target"
     )
-    order = F.xxhash64("doc_id", ROW, F.lit(SEED))
     buckets = F.greatest(F.ceil(F.col("docs") / BUCKET_ROWS), F.lit(1))
     whole = F.when(
         F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))
@@ -199,7 +216,6 @@ def plan(
     dealt = (
         rows.join(small_side(source, 1, width), F.col("source").eqNullSafe(F.col("_source")))
         .drop("source", "_source")
-        .withColumn("order", order)
         .withColumn("bucket", F.pmod("order", buckets))
         .withColumn("whole", whole)
         .withColumn("rest", F.col("target") - F.col("whole") * F.col("source_size"))
@@ -220,7 +236,7 @@ def plan(
         summed.withColumn("copies", copies)
         .select(
             "doc_id",
-            ROW,
+            *ORDER,
             "size",
             "source_size",
             "target",
@@ -233,19 +249,22 @@ def plan(
 
 def mix(documents: DataFrame, **options) -> DataFrame:
     """doc_id, size, source_size, target, taken and first position, sorted by position."""
-    made = scratch_table(plan(identified(documents, ROW), **options), "mixing-result")
+    rows = identified(documents.select("doc_id", "text", "source"), ROW)
+    made = scratch_table(plan(rows, **options), "mixing-result")
     first = F.try_element_at("positions", F.lit(1)).alias("position")
-    return made.select("doc_id", "size", "source_size", "target", "taken", first).orderBy(
-        F.asc_nulls_last("position"), "doc_id"
-    )
+    made = made.withColumn("position", first).orderBy(F.asc_nulls_last("position"), *ORDER)
+    return made.select("doc_id", "size", "source_size", "target", "taken", "position")
 
 
+@keeping_names
 def mixed(documents: DataFrame, **options) -> DataFrame:
     """The documents of the mix, each as often as it is taken, sorted by training position."""
     tagged = identified(documents, ROW)
     made = plan(tagged, **options).where("copies > 0")
+    place = [F.col(c).alias(f"_tabscope_{c}") for c in ORDER[:2]]
     places = scratch_table(
-        made.select(ROW, F.explode("positions").alias("_tabscope_position")), "mixing-positions"
+        made.select(ROW, *place, F.explode("positions").alias("_tabscope_position")),
+        "mixing-positions",
     )
-    rows = tagged.join(places, ROW)
-    return rows.orderBy("_tabscope_position", ROW).drop("_tabscope_position", ROW)
+    order = ["_tabscope_position", "_tabscope_order", "_tabscope_tie", ROW]
+    return tagged.join(places, ROW).orderBy(*order).drop(*order)

@@ -2,11 +2,16 @@
 
 Per document a few counts; per (lang, source) a quantile sketch of each rate: counts in
 buckets that grow by 2 %, so a quantile is right to 2 % of its value. Sketches merge by
-adding counts. A group with too few documents is judged by the merged sketch of its
-language, and a language with too few by that of all documents. A document fails a rule
-if its rate lies beyond the upper fence, the upper quartile plus three times the distance
-between the quartiles; where a group has hardly any spread, a least distance for each rate
-stands in, so that ordinary documents do not fail. Thresholds are joined to the documents and all rules decide together.
+adding counts: those of a language's sources give its own, and those of all languages that
+of the corpus.
+
+A rate is odd beyond its fence: a high quantile of the group, and above it :data:`SPREADS`
+times the distance from the median to it; for the letters a word there is a lower fence as
+well. A small group is drawn towards its language, and a small language towards the
+corpus: a fence is the mean of its own and the wider one, weighted by its documents against
+:data:`LEAST_DOCUMENTS`. Where a group has no spread at all, the fence is a tolerance above
+the median that shrinks with the square root of its documents: what few documents can not
+show to be odd stays. Fences are joined to the documents and all rules decide together.
 
 Defined results: null, empty and blank texts have no words and fail the base rules; null
 languages and sources are groups of their own; repeated rows are judged alike; an empty
@@ -17,6 +22,7 @@ documents costs a row per task and bucket.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 from itertools import count
 
 import numpy as np
@@ -32,13 +38,29 @@ SPACES = " \t\n\x0b\x0c\r"
 WINDOW = 5
 LEAST_WORDS = 10
 MOST_REPEATED = 20  # per cent of the words
-#: A sketch judges from this many documents on.
+#: Documents that weigh as much as the wider group's fence.
 LEAST_DOCUMENTS = 200
 GROWTH = 1.02
 SMALLEST = 1e-4
 SPREADS = 3.0
-#: Rates, and the least distance between quartiles that counts for each.
-RATES = {"symbols_a_word": 0.05, "repeated_lines": 0.1, "letters_a_word": 1.5}
+
+
+@dataclass(frozen=True)
+class Rate:
+    """Quantile the fence starts from, and the tolerance of a group without documents."""
+
+    quantile: float
+    tolerance: float
+    both_sides: bool = False
+
+
+#: Symbols are rare where they are text, and fill the tenth of a source that is not; lines
+#: repeat a little in many good documents of a few sources.
+RATES = {
+    "symbols_a_word": Rate(0.9, 0.15),
+    "repeated_lines": Rate(0.99, 0.3),
+    "letters_a_word": Rate(0.9, 1.5, both_sides=True),
+}
 
 
 def repeated_words(words: list[bytes]) -> int:
@@ -135,7 +157,10 @@ def merged(sketch: DataFrame, *keys: str) -> DataFrame:
 
 
 def fences(sketch: DataFrame, *keys: str) -> DataFrame:
-    """(keys, rate, documents, fence) from sketches; a window sees one sketch's buckets."""
+    """(keys, rate, documents, high, low) from sketches; a window sees one sketch's buckets.
+
+    ``low`` is null for rates without a lower fence.
+    """
     part = Window.partitionBy(*keys, "rate")
     below = part.orderBy("bucket")
     value = F.when(F.col("bucket") == 0, 0.0).otherwise(
@@ -148,51 +173,80 @@ def fences(sketch: DataFrame, *keys: str) -> DataFrame:
         F.sum("n").over(below).alias("upto"),
         F.sum("n").over(part).alias("documents"),
     )
-    at = lambda q: F.min(F.when(F.col("upto") >= q * F.col("documents"), F.col("value")))
-    quartiles = placed.groupBy(*keys, "rate").agg(
-        F.first("documents").alias("documents"), at(0.25).alias("low"), at(0.75).alias("high")
+    of = lambda get: _by_rate({name: F.lit(get(rate)) for name, rate in RATES.items()})
+    level = of(lambda r: r.quantile)
+
+    def at(share: Column) -> Column:
+        reached = F.col("upto") >= share * F.col("documents")
+        return F.min(F.when(reached, F.col("value")))
+
+    found = placed.groupBy(*keys, "rate").agg(
+        F.first("documents").alias("documents"),
+        at(1 - level).alias("lower"),
+        at(F.lit(0.5)).alias("middle"),
+        at(level).alias("upper"),
+    )
+    room = of(lambda r: r.tolerance) * F.sqrt(
+        LEAST_DOCUMENTS / (F.col("documents") + LEAST_DOCUMENTS)
+    )
+    upper, lower, middle = F.col("upper"), F.col("lower"), F.col("middle")
+    high = F.greatest(upper + SPREADS * (upper - middle), middle + room)
+    low = F.least(lower - SPREADS * (middle - lower), middle - room)
+    return found.select(
+        *keys,
+        "rate",
+        "documents",
+        high.alias("high"),
+        F.when(of(lambda r: r.both_sides), low).alias("low"),
+    )
+
+
+def _by_rate(values: dict[str, Column]) -> Column:
+    out = F.lit(None)
+    for name, value in values.items():
+        out = F.when(F.col("rate") == name, value).otherwise(out)
+    return out
+
+
+def _drawn(own: DataFrame, wider: DataFrame, same: Column) -> DataFrame:
+    """Fences of ``own`` drawn towards those of ``wider(w_rate, w_high, w_low)``."""
+    weight = F.col("documents") / (F.col("documents") + LEAST_DOCUMENTS)
+    both = own.join(wider, same)
+    return both.select(
+        *[c for c in own.columns if c not in ("high", "low")],
+        *[
+            (weight * F.col(c) + (1 - weight) * F.col(f"w_{c}")).alias(c)
+            for c in ("high", "low")
+        ],
     )
-    least = F.element_at(F.create_map(*[F.lit(x) for r in RATES.items() for x in r]), F.col("rate"))
-    fence = F.col("high") + SPREADS * F.greatest(F.col("high") - F.col("low"), least)
-    return quartiles.select(*keys, "rate", "documents", fence.alias("fence"))
 
 
 def thresholds(rows: DataFrame) -> DataFrame:
-    """(lang, source, one column per rate): the fence each group is judged by."""
+    """(lang, source, two columns per rate): the fences each group is judged by."""
     sketch = scratch_table(sketches(rows), "quality-sketches")
-    group = fences(sketch, "lang", "source")
-    language = fences(merged(sketch, "lang"), "lang").select(
-        F.col("lang").alias("l_lang"),
-        F.col("rate").alias("l_rate"),
-        F.col("documents").alias("l_documents"),
-        F.col("fence").alias("l_fence"),
-    )
-    total = fences(merged(sketch)).select(
-        F.col("rate").alias("t_rate"), F.col("fence").alias("t_fence")
-    )
-    same = F.col("lang").eqNullSafe(F.col("l_lang")) & (F.col("rate") == F.col("l_rate"))
-    chosen = (
-        group.join(language, same)
-        .join(F.broadcast(total), F.col("rate") == F.col("t_rate"))  # a row per rate
-        .select(
-            "lang",
-            "source",
-            "rate",
-            F.when(F.col("documents") >= LEAST_DOCUMENTS, F.col("fence"))
-            .when(F.col("l_documents") >= LEAST_DOCUMENTS, F.col("l_fence"))
-            .otherwise(F.col("t_fence"))
-            .alias("fence"),
-        )
+    wider = lambda f: f.withColumnsRenamed(
+        {c: f"w_{c}" for c in ("lang", "rate", "documents", "high", "low")}
     )
-    columns = [F.max(F.when(F.col("rate") == r, F.col("fence"))).alias(f"_{r}") for r in RATES]
-    return chosen.groupBy("lang", "source").agg(*columns)
+    corpus = F.broadcast(wider(fences(merged(sketch))))  # a row per rate
+    rate_too = F.col("rate") == F.col("w_rate")
+    language = _drawn(fences(merged(sketch, "lang"), "lang"), corpus, rate_too)
+    same = F.col("lang").eqNullSafe(F.col("w_lang")) & rate_too
+    group = _drawn(fences(sketch, "lang", "source"), wider(language), same)
+    columns = [
+        F.max(F.when(F.col("rate") == r, F.col(side))).alias(f"_{side}_{r}")
+        for r in RATES
+        for side in ("high", "low")
+    ]
+    return group.groupBy("lang", "source").agg(*columns)
 
 
 def judged(documents: DataFrame) -> DataFrame:
     """doc_id, the counts, base_failed and kept of every document."""
     rows = scratch_table(measured(documents), "quality-counts")
     bounds = scratch_table(thresholds(rows), "quality-thresholds").select(
-        F.col("lang").alias("_lang"), F.col("source").alias("_source"), *[f"_{r}" for r in RATES]
+        F.col("lang").alias("_lang"),
+        F.col("source").alias("_source"),
+        *[f"_{side}_{r}" for r in RATES for side in ("high", "low")],
     )
     width = measured_bytes(bounds, "_lang", "_source")
     same = F.col("lang").eqNullSafe(F.col("_lang")) & F.col("source").eqNullSafe(F.col("_source"))
@@ -201,7 +255,8 @@ def judged(documents: DataFrame) -> DataFrame:
     )
     beyond = F.lit(False)
     for r in RATES:
-        beyond = beyond | F.coalesce(rate(r) > F.col(f"_{r}"), F.lit(False))
+        for out in (rate(r) > F.col(f"_high_{r}"), rate(r) < F.col(f"_low_{r}")):
+            beyond = beyond | F.coalesce(out, F.lit(False))
     return rows.join(small_side(bounds, 1, width), same, "left").select(
         "doc_id",
         *_COUNTS[:5],

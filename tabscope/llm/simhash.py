@@ -30,7 +30,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabscope.llm.common import appended, identified, scratch_table, small_side, words_of
+from tabscope.llm.common import (
+    appended,
+    content_order,
+    identified,
+    keeping_names,
+    scratch_table,
+    small_side,
+    words_of,
+)
 from tabscope.llm.components import components
 
 SHINGLE_WORDS = 4
@@ -325,16 +333,23 @@ def near_duplicates(
     )
 
 
+@keeping_names
 def one_of_each(
     documents: DataFrame, width: int = SHINGLE_WORDS, bits: int = MAX_BITS
 ) -> DataFrame:
-    """``documents`` with one row of each component: one with its smallest doc_id."""
+    """``documents`` with one row of each component: one with its smallest doc_id.
+
+    Of several with that id it is the first by a hash of their values, wherever they are
+    stored.
+    """
     tagged = identified(documents, ROW)
-    prints = with_fingerprints(tagged.select("doc_id", "text", ROW), "fp", width).drop("text")
+    first, second = content_order(documents, SEED)
+    narrow = tagged.select("doc_id", "text", ROW, first.alias("order"), second.alias("tie"))
+    prints = with_fingerprints(narrow, "fp", width).drop("text")
     rows = scratch_table(prints, "simhash-fingerprints")
     found = scratch_table(classes(rows, bits).select("fp", "root"), "simhash-classes")
     several = rows.join(found, "fp")
-    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", ROW)
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "order", "tie", ROW)
     # Copies combine on the map side, per fingerprint, before their component is known.
     kept = rows.groupBy("fp").agg(F.min(order).alias("least")).join(found, "fp")
     kept = kept.groupBy("root").agg(F.min("least").alias("least"))

@@ -36,6 +36,7 @@ from tabscope.llm.common import (
     claim,
     dense_blocks,
     joined_blocks,
+    keeping_names,
     map_batches,
     parquet_rows,
     scratch_path,
@@ -321,6 +322,7 @@ def score_documents(documents: DataFrame, labels: DataFrame) -> DataFrame:
     )
 
 
+@keeping_names
 def without_toxic(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that are not judged toxic, all columns as they were."""
     model = train(documents, labels)

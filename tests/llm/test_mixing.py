@@ -120,3 +120,27 @@ def test_long_documents_do_not_end_a_pass(spark, monkeypatch):
         assert r.target == 3000
     assert set(taken.values()) == {3000}
     assert all(None not in p and max(p) <= 1 for p in places.values())
+
+
+def copied(frame, path, files):
+    """The same rows under another path, in other files and another order."""
+    frame.repartition(files).write.parquet(str(path))
+    return frame.sparkSession.read.parquet(str(path))
+
+
+def test_the_mix_does_not_depend_on_where_the_rows_are(documents, awkward, tmp_path):
+    for i, frame in enumerate((documents, awkward)):
+        there = [copied(frame, tmp_path / f"{i}-{n}", n) for n in (1, 5)]
+        one, two = (mixing.mix(f).collect() for f in there)
+        assert one == two
+        one, two = (mixing.mixed(f).collect() for f in there)
+        assert one == two
+
+
+def test_columns_named_like_the_stages_own_stay(documents):
+    from pyspark.sql import functions as F
+
+    frame = documents.limit(50).withColumn("_tabscope_row", F.col("doc_id") + 1).withColumn("_Tabscope_Position", F.lit("x"))
+    made = mixing.mixed(frame)
+    assert made.columns == frame.columns
+    assert all(r._tabscope_row == r.doc_id + 1 for r in made.collect())
