@@ -13,9 +13,17 @@ capped, and the hash join that follows removes what it lets through by mistake.
 is searched by its rarest windows first: of n windows, any n - ceil(0.8 n) + 1 include
 one that a contaminated document must share, so boilerplate of many items pairs nothing.
 
-Defined results: null, empty and very short texts have no windows and match nothing; an
-item with fewer than five template tokens, or no window of three plain words, is never
-found; repeated rows are judged alike; an empty table gives no rows.
+A capitalised word is a name wherever it stands, so that a name that opens a sentence can
+change, and what a window looks like does not depend on the text around it.
+
+An item without any window of three plain words (sums, lists, a few words) is searched by
+its exact tokens instead: windows of five of them, or all of a shorter item, which then
+must stand between sentence ends.
+
+Defined results: null, empty and wordless texts have no windows and match nothing, as
+items and as documents; every row of the benchmark is an item of its own, with the id it
+has, also a null one, and equal rows are one item; repeated documents are judged alike;
+ids keep their type; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -130,8 +138,8 @@ def token_keys(texts: pa.Array) -> list[np.ndarray]:
 def template(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(codes, values) of a text's template; the value is 0 where the token is plain.
 
-    A capitalised word that does not open a sentence is a name, and a run of names is one
-    slot. A unit counts as one right after a number.
+    A capitalised word is a name, and a run of names inside a sentence is one slot. A unit
+    counts as one right after a number.
     """
     if not len(keys):
         return np.empty(0, np.uint64), np.empty(0, np.uint64)
@@ -142,12 +150,12 @@ def template(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     keys, kind, opens = keys[words] >> np.uint64(3), kind[words], opens[words]
     slot = np.zeros(len(kind), np.int8)
     slot[kind == _NUMBER] = _NUMBER_SLOT
-    slot[(kind == _CAPITAL) & ~opens] = _NAME_SLOT
+    slot[kind == _CAPITAL] = _NAME_SLOT
     after = np.zeros(len(kind), bool)
     after[1:] = kind[:-1] == _NUMBER
     slot[(kind == _UNIT) & after] = _UNIT_SLOT
     joined = np.zeros(len(kind), bool)
-    joined[1:] = (slot[1:] == _NAME_SLOT) & (slot[:-1] == _NAME_SLOT)
+    joined[1:] = (slot[1:] == _NAME_SLOT) & (slot[:-1] == _NAME_SLOT) & ~opens[1:]
     codes = np.where(slot > 0, _TYPES[slot], keys)
     values = np.where(slot > 0, keys, np.uint64(0))
     if joined.any():
@@ -177,6 +185,42 @@ def windows(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return h[at], at, values
 
 
+def exact_windows(keys: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, place) of runs of ``size`` tokens as they are; short ones between stops only."""
+    kind = keys & np.uint64(7)
+    words = kind != _STOP
+    opens = np.ones(len(keys), bool)
+    opens[1:] = ~words[:-1]
+    closes = np.ones(len(keys), bool)
+    closes[:-1] = ~words[1:]
+    opens, closes, keys = opens[words], closes[words], keys[words] >> np.uint64(3)
+    n = len(keys) - size + 1
+    if n < 1:
+        return np.empty(0, np.uint64), np.empty(0, np.int64)
+    h = np.full(n, np.uint64(size) * _TYPES[3])
+    for j in range(size):
+        h ^= h >> np.uint64(29)
+        h ^= keys[j : j + n]
+        h *= _PRIME
+    h ^= h >> np.uint64(29)
+    at = np.arange(n) if size == WINDOW else np.flatnonzero(opens[:n] & closes[size - 1 :])
+    return h[at], at
+
+
+def item_windows(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """(hash, place, slots, size) of an item: of its template, else (size > 0) exact ones."""
+    h, at, values = windows(keys)
+    if len(h):
+        return h, at, slots_of(values, at), 0
+    size = min(WINDOW, int((keys & np.uint64(7) != _STOP).sum()))
+    if not size:
+        return h, at, np.zeros((0, WINDOW), np.uint64), 0
+    if size < WINDOW:  # whole: it opens and closes itself
+        keys = keys[keys & np.uint64(7) != _STOP]
+    h, at = exact_windows(keys, size)
+    return h, at, np.zeros((len(h), WINDOW), np.uint64), size
+
+
 def slots_of(values: np.ndarray, at: np.ndarray) -> np.ndarray:
     """The values in each of the windows ``at``."""
     return values[at[:, None] + np.arange(WINDOW)]
@@ -191,20 +235,28 @@ def _rows(h: np.ndarray, at: np.ndarray, slots: np.ndarray) -> list[pa.Array]:
     return [pa.array(h.view(np.int64)), pa.array(at.astype(np.int32)), lists]
 
 
-def benchmark_windows(benchmark: DataFrame) -> DataFrame:
-    """(item, h, place, slots, n): the windows of every item and how many it has."""
+def items(benchmark: DataFrame) -> DataFrame:
+    """(item, item_id, text): the rows of a benchmark, numbered."""
+    rows = benchmark.select("item_id", "text").distinct()
+    return scratch_table(
+        rows.withColumn("item", F.monotonically_increasing_id()), "decontamination-items"
+    )
+
+
+def benchmark_windows(numbered: DataFrame) -> DataFrame:
+    """(item, h, place, slots, n, size): the windows of every item and how many it has."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for item, keys in zip(batch.column(0).to_pylist(), token_keys(batch.column(1)), strict=True):
-                h, at, values = windows(keys)
-                rows = _rows(h, at, slots_of(values, at))
-                fixed = [pa.array([item] * len(h), pa.int64()), *rows]
-                fixed.append(pa.array(np.full(len(h), len(h), np.int32)))
-                yield pa.RecordBatch.from_arrays(fixed, names=["item", "h", "place", "slots", "n"])
+                h, at, slots, size = item_windows(keys)
+                fixed = [pa.array([item] * len(h), pa.int64()), *_rows(h, at, slots)]
+                fixed += [pa.array(np.full(len(h), x, np.int32)) for x in (len(h), size)]
+                yield pa.RecordBatch.from_arrays(
+                    fixed, names=["item", "h", "place", "slots", "n", "size"]
+                )
 
-    items = benchmark.select(F.col("item_id").cast("long"), "text").distinct()
-    return map_batches(items, run, f"item long, {_SCHEMA}, n int")
+    return map_batches(numbered.select("item", "text"), run, f"item long, {_SCHEMA}, n int, size int")
 
 
 def _bloom(hashes: DataFrame, count: int) -> np.ndarray:
@@ -234,7 +286,7 @@ def _maybe(bloom: np.ndarray, h: np.ndarray) -> np.ndarray:
 
 def _consistent(pair: pd.DataFrame) -> pd.DataFrame:
     """Windows and slots of one document and item that agree along their alignment."""
-    head = pair[["row", "doc_id", "item", "n"]].iloc[:1]
+    head = pair[["row", "item", "n"]].iloc[:1]
     item_place = pair["item_place"].to_numpy()
     due = np.stack(pair["item_slots"].to_numpy())
     if not due.any():
@@ -266,36 +318,41 @@ def _consistent(pair: pd.DataFrame) -> pd.DataFrame:
     return head.assign(found=len(places), slots=len(slots), agreed=len(agreed))
 
 
-def matches(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """(ROW, doc_id, item, found, n) of every document that holds an item.
+def matches(documents: DataFrame, numbered: DataFrame) -> DataFrame:
+    """(ROW, item, found, n) of every document of ``documents(text, ROW)`` that holds an item.
 
-    ``documents(doc_id, text, ROW)``. Only the size-capped Bloom filter reaches the driver.
+    ``numbered`` is what :func:`items` gives. Only the size-capped Bloom filter reaches the
+    driver, and the sizes of exact windows, of which there are WINDOW at most.
     """
-    due = scratch_table(benchmark_windows(benchmark), "decontamination-benchmark")
+    due = scratch_table(benchmark_windows(numbered), "decontamination-benchmark")
     count = due.count()
+    exact = [r["size"] for r in due.where("size > 0").select("size").distinct().collect()]
     filter_ = documents.sparkSession.sparkContext.broadcast(_bloom(due.select("h"), count))
 
     def hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for run in runs(batches, RUN_BYTES):
             out = []
-            ids = (c.to_pylist() for c in run.columns[:2])
-            texts = run.column(2).combine_chunks()
-            for row, doc, keys in zip(*ids, token_keys(texts), strict=True):
+            ids = run.column(0).to_pylist()
+            texts = run.column(1).combine_chunks()
+            for row, keys in zip(ids, token_keys(texts), strict=True):
                 h, at, values = windows(keys)
-                some = _maybe(filter_.value, h)
-                if len(some):
+                every = [(h, at, values), *((*exact_windows(keys, n), None) for n in exact)]
+                for h, at, values in every:
+                    some = _maybe(filter_.value, h)
+                    if not len(some):
+                        continue
                     h, at = h[some], at[some]
-                    fixed = [pa.array([x] * len(h), pa.int64()) for x in (row, doc)]
+                    slots = np.zeros((len(h), WINDOW), np.uint64) if values is None else slots_of(values, at)
                     out.append(
                         pa.RecordBatch.from_arrays(
-                            fixed + _rows(h, at, slots_of(values, at)),
-                            names=["row", "doc_id", "h", "place", "slots"],
+                            [pa.array([row] * len(h), pa.int64()), *_rows(h, at, slots)],
+                            names=["row", "h", "place", "slots"],
                         )
                     )
             yield from pa.Table.from_batches(out).combine_chunks().to_batches() if out else ()
 
-    rows = documents.select(F.col(ROW).alias("row"), F.col("doc_id").cast("long"), "text")
-    maybe = map_batches(rows, hits, f"row long, doc_id long, {_SCHEMA}")
+    rows = documents.select(F.col(ROW).alias("row"), "text")
+    maybe = map_batches(rows, hits, f"row long, {_SCHEMA}")
     known = small_side(due.select("h").distinct(), count, 24)
     found = scratch_table(maybe.join(known, "h", "left_semi"), "decontamination-hits")
 
@@ -322,23 +379,31 @@ def matches(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     checked = (
         joined.join(enough, ["row", "item"], "left_semi")
         .groupBy("row", "item")
-        .applyInPandas(_consistent, "row long, doc_id long, item long, n int, found int, slots int, agreed int")
+        .applyInPandas(_consistent, "row long, item long, n int, found int, slots int, agreed int")
     )
     whole = F.col("found") >= F.col("n") * COVERAGE
     return checked.where(whole & (F.col("agreed") >= F.col("slots") * COVERAGE)).select(
-        F.col("row").alias(ROW), "doc_id", "item", "found", "n"
+        F.col("row").alias(ROW), "item", "found", "n"
     )
 
 
 def contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, item_id, windows found, windows of the item, coverage; a row per pair."""
-    found = matches(identified(documents, ROW), benchmark)
-    return found.select(
-        "doc_id",
-        F.col("item").alias("item_id"),
-        F.col("found").alias("windows_found"),
-        F.col("n").alias("windows"),
-        (F.col("found") / F.col("n")).alias("coverage"),
+    tagged = identified(documents.select("doc_id", "text"), ROW)
+    numbered = items(benchmark)
+    found = scratch_table(matches(tagged, numbered), "decontamination-found")
+    count = found.count()
+    return (
+        tagged.select("doc_id", ROW)
+        .join(small_side(found, count, 32), ROW)
+        .join(numbered.select("item", "item_id"), "item")
+        .select(
+            "doc_id",
+            "item_id",
+            F.col("found").alias("windows_found"),
+            F.col("n").alias("windows"),
+            (F.col("found") / F.col("n")).alias("coverage"),
+        )
     )
 
 
@@ -346,5 +411,6 @@ def contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
 def without_contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that hold no benchmark item, all columns as they were."""
     tagged = identified(documents, ROW)
-    gone = scratch_table(matches(tagged, benchmark).select(ROW).distinct(), "decontamination-gone")
+    found = matches(tagged, items(benchmark))
+    gone = scratch_table(found.select(ROW).distinct(), "decontamination-gone")
     return tagged.join(small_side(gone, gone.count(), 32), ROW, "left_anti").drop(ROW)

@@ -1,3 +1,6 @@
+import re
+from collections import Counter
+
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -51,10 +54,12 @@ def test_template_types():
     codes, values = of("He paid 3,000 dollars. Then Mary Ann Smith left two hours later.")
     filled = [int(c) for c, v in zip(codes, values, strict=True) if v]
     kinds = [int(dc._TYPES[k]) for k in (dc._NUMBER_SLOT, dc._UNIT_SLOT, dc._NAME_SLOT)]
-    assert filled == [kinds[0], kinds[1], kinds[2], kinds[0], kinds[1]]
-    assert len(codes) == 10  # he paid N U then NAME left N U later
-    same, _ = of("he paid 7 euros. then Bob left 9 minutes later")
-    assert np.array_equal(codes[:6], same[:6])
+    assert filled == [kinds[2], kinds[0], kinds[1], kinds[2], kinds[0], kinds[1]]
+    assert len(codes) == 9  # NAME paid N U NAME left N U later: a capital is a name anywhere
+    same, _ = of("He paid 7 euros. Bob left 9 minutes later")
+    assert np.array_equal(codes, same)
+    apart, _ = of("He met Tom. Ann left")  # names of two sentences are two slots
+    assert len(apart) == 5
 
 
 def test_planted_passages_of_the_test_tables(spark, documents):
@@ -85,4 +90,131 @@ def test_awkward_and_empty_tables(spark, awkward, nothing, benchmark):
     assert dc.contaminated(nothing, benchmark).count() == 0
     assert dc.contaminated(awkward, benchmark.where("false")).count() == 0
     repeated = benchmark.select(benchmark.item_id.alias("doc_id"), "text")
-    assert dc.contaminated(repeated.unionAll(repeated), benchmark).count() == 6
+    assert dc.contaminated(repeated.unionAll(repeated), benchmark).count() == 8  # the two words too
+
+
+# Probes: names that open sentences, ids, sums, short items ---------------------------------
+
+OPENERS = (
+    "Betty saves 12 dollars each week for a new bicycle. Betty has already put 30 dollars aside in"
+    " a jar. Betty wants to know how many weeks are left before she can pay for it."
+)
+
+
+def test_names_that_open_sentences_can_change(spark):
+    benchmark = spark.createDataFrame([(1, OPENERS)], "item_id long, text string")
+    texts = [
+        OPENERS,
+        OPENERS.replace("Betty", "Carol"),
+        "It was late. " + OPENERS.replace("Betty", "Mary Ann").replace("12", "9") + " Nobody knew.",
+        OPENERS.replace("Betty", "Carol", 1).replace("Betty", "Dora", 1).replace("12", "30"),
+        "The weeks went by and Betty has a new bicycle in the garden.",
+    ]
+    assert found(spark, benchmark, texts) >= {(0, 1), (1, 1), (2, 1)}
+    assert (4, 1) not in found(spark, benchmark, texts)
+
+
+def test_every_item_counts_whatever_its_id(spark):
+    other = QUESTION.replace("farmer", "baker").replace("apples", "loaves of fresh bread")
+    rows = [(1, QUESTION), (1, COUNTED), (None, other), (1, QUESTION)]
+    benchmark = spark.createDataFrame(rows, "item_id long, text string")
+    frame = spark.createDataFrame([(0, QUESTION), (1, COUNTED), (None, other)], "doc_id long, text string")
+    made = [(r.doc_id, r.item_id) for r in dc.contaminated(frame, benchmark).collect()]
+    assert {(0, 1), (1, 1), (None, None)} <= set(made)
+    assert dc.without_contaminated(frame, benchmark).count() == 0
+
+
+def test_ids_keep_their_type(spark):
+    benchmark = spark.createDataFrame([("q-1", COUNTED)], "item_id string, text string")
+    frame = spark.createDataFrame([("d/7", "So. " + COUNTED), ("d/8", "nothing")], "doc_id string, text string")
+    assert [tuple(r)[:2] for r in dc.contaminated(frame, benchmark).collect()] == [("d/7", "q-1")]
+
+
+def test_sums_and_short_items_are_found_as_they_are(spark):
+    sums = "12 + 30 = 42, 5 + 6 = 11 and 7 + 8 = 15"
+    rows = [(1, sums), (2, "What is 7 times 8?"), (3, "Name a colour"), (4, "..."), (5, "Berlin, Paris")]
+    benchmark = spark.createDataFrame(rows, "item_id long, text string")
+    texts = [
+        f"Work this out: {sums}! Then rest.",
+        sums.replace("30", "31").replace("42", "43").replace("11", "12"),
+        "Here it comes. What is 7 times 8? Easy.",
+        "What is 7 times 9?",
+        "Please. Name a colour. Thanks",
+        "You may name a colour of your own",
+        "name a colour",
+        "We saw Berlin, Paris and Rome",
+    ]
+    assert found(spark, benchmark, texts) == {(0, 1), (2, 2), (4, 3), (6, 3)}
+
+
+def plain_template(text):
+    """(code, value) per template token, read off the text."""
+    out, opens = [], True
+    for m in re.finditer(r"\d+(?:[.,]\d+)*|[^\W\d_]+|[.!?\n]", text or ""):
+        t = m[0]
+        low = t.lower()
+        if t in ".!?\n":
+            opens = True
+            continue
+        number = t[0].isdigit() or low in dc.NUMBER_WORDS
+        unit = low in dc.UNITS
+        if number:
+            out.append(["N", low, True])
+        elif unit:
+            after = bool(out) and out[-1][2] and not opens
+            out.append(["U", low, False] if after else [low, "", False])
+        elif t[0].isupper() and len(t) > 1 and not t.isupper():
+            if out and out[-1][0] == "P" and not opens:
+                out[-1][1] += " " + low
+            else:
+                out.append(["P", low, False])
+        else:
+            out.append([low, "", False])
+        opens = False
+    return [(a, b) for a, b, _ in out]
+
+
+def plain_windows(text):
+    t = plain_template(text)
+    return [
+        (i, tuple(a for a, _ in t[i : i + 5]), tuple(b for _, b in t[i : i + 5]))
+        for i in range(len(t) - 4)
+        if sum(not b for _, b in t[i : i + 5]) >= 3
+    ]
+
+
+def plain_found(text, item):
+    """Coverage and slot agreement of one pair, alignment by alignment."""
+    due, seen = plain_windows(item), {}
+    for at, codes, values in plain_windows(text):
+        seen.setdefault(codes, []).append((at, values))
+    shifts = {}
+    for place, codes, values in due:
+        for at, others in seen.get(codes, ()):
+            shifts.setdefault(at - place, []).append((place, values, others))
+    places, slots, agreed = set(), set(), set()
+    for hits in shifts.values():
+        each = {(p + i, a, b) for p, d, s in hits for i, (a, b) in enumerate(zip(d, s)) if a}
+        often = Counter((a, b) for _, a, b in each)
+        good, taken = {}, set()
+        # Ties between partners are broken by hash there: only texts without such ties are compared.
+        for (a, b), _ in sorted(often.items(), key=lambda x: -x[1]):
+            if a not in good and b not in taken:
+                good[a] = b
+                taken.add(b)
+        slots |= {p for p, _, _ in each}
+        agreed |= {p for p, a, b in each if good.get(a) == b}
+        places |= {p for p, d, s in hits if all(not a or good.get(a) == b for a, b in zip(d, s))}
+    return len(places) >= 0.8 * len(due) and len(agreed) >= 0.8 * len(slots) if due else False
+
+
+def test_against_all_pairs_of_a_plain_version(spark, documents):
+    benchmark = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")
+    rows = [tuple(r) for r in benchmark.select("item_id", "text").distinct().collect()]
+    changed = [(1000 + i, t.replace("The", "A").replace("2", "7")) for i, t in rows[:10]]
+    extra = spark.createDataFrame([(d, "Before it. " + t + " After it.") for d, t in changed], "doc_id long, text string")
+    frame = documents.select("doc_id", "text").unionAll(extra)
+    texts = [tuple(r) for r in frame.collect()]
+    due = {(d, i) for d, t in texts for i, item in rows if plain_found(t, item)}
+    got = {(r.doc_id, r.item_id) for r in dc.contaminated(frame, benchmark).collect()}
+    assert got == due and len(due) > 10
