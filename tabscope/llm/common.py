@@ -196,12 +196,13 @@ def _apart(paths: list[str]) -> int:
     raise RuntimeError(f"no seed keeps {len(paths)} files apart")
 
 
-def content_order(df: DataFrame, seed: int) -> list[Column]:
+def content_order(df: DataFrame, seed: int, *columns: str) -> list[Column]:
     """Two 64-bit hashes of a row's values: the same order wherever the rows are stored.
 
-    Rows that agree in both hold the same values in every column of an atomic type.
+    Rows that agree in both hold the same values in ``columns``, by default in every column
+    of an atomic type.
     """
-    plain = [
+    plain = columns or [
         f.name
         for f in df.schema.fields
         if isinstance(f.dataType, T.AtomicType) and not f.name.lower().startswith("_tabscope")

@@ -48,8 +48,9 @@ SCHEDULES = ((1.5, 1.0, 0.5), (0.5, 1.0, 1.5), (1.0, 1.0, 1.0))
 BUCKET_ROWS = 10_000
 ROW = "_tabscope_row"
 SEED = 42
-#: The hashed order: rows that agree in both hashes are alike, so that ROW decides nothing.
-ORDER = ("order", "tie", ROW)
+#: The hashed order: by what the mix reads of a document, then by all it holds. Rows that
+#: agree in all of it are alike, so that ROW decides nothing.
+ORDER = ("order", "tie", "other", ROW)
 
 
 def word_count(text: Column) -> Column:
@@ -191,7 +192,8 @@ def plan(
     schedules: Sequence[Sequence[float]] = SCHEDULES,
 ) -> DataFrame:
     """Per row of ``documents(doc_id, text, source, ROW)``: size, target, copies, positions."""
-    order, tie = content_order(documents, SEED)
+    order, tie = content_order(documents, SEED, "doc_id", "text", "source")
+    other, _ = content_order(documents, SEED)
     rows = scratch_table(
         documents.select(
             "doc_id",
@@ -199,6 +201,7 @@ def plan(
             ROW,
             order.alias("order"),
             tie.alias("tie"),
+            other.alias("other"),
             word_count(F.col("text")).alias("size"),
         ),
         "mixing-sizes",
@@ -261,10 +264,10 @@ def mixed(documents: DataFrame, **options) -> DataFrame:
     """The documents of the mix, each as often as it is taken, sorted by training position."""
     tagged = identified(documents, ROW)
     made = plan(tagged, **options).where("copies > 0")
-    place = [F.col(c).alias(f"_tabscope_{c}") for c in ORDER[:2]]
+    place = [F.col(c).alias(f"_tabscope_{c}") for c in ORDER[:-1]]
     places = scratch_table(
         made.select(ROW, *place, F.explode("positions").alias("_tabscope_position")),
         "mixing-positions",
     )
-    order = ["_tabscope_position", "_tabscope_order", "_tabscope_tie", ROW]
+    order = ["_tabscope_position", *[f"_tabscope_{c}" for c in ORDER[:-1]], ROW]
     return tagged.join(places, ROW).orderBy(*order).drop(*order)
