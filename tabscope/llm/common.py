@@ -282,6 +282,14 @@ def parquet_rows(uri: str) -> Iterator[tuple]:
             yield from zip(*(c.to_pylist() for c in table.columns), strict=True)
 
 
+def parquet_columns(uri: str) -> list[np.ndarray]:
+    """Columns of a Parquet table of numbers on shared storage, read inside a task."""
+    fs, path = files_at(uri)
+    files = [i.path for i in fs.get_file_info(pafs.FileSelector(path)) if i.base_name.endswith(".parquet")]
+    tables = [pq.read_table(f, filesystem=fs) for f in sorted(files)]
+    return [c.to_numpy() for c in pa.concat_tables(tables).columns]
+
+
 def files_at(uri: str) -> tuple[pafs.FileSystem, str]:
     """File system and path of a URI on any store pyarrow reaches (file, hdfs, s3, gs)."""
     if uri.startswith("file:/") and not uri.startswith("file:///"):

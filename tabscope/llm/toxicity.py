@@ -1,14 +1,21 @@
-"""Toxicity from class-conditional Kneser-Ney models.
+"""Toxicity from class-conditional Kneser-Ney models of word pairs.
 
-Two models, one per label, give every word a probability. A word that a class has seen
-often keeps its own discounted count; what the discount frees goes to the word's stem
-(its first four letters), whose probability follows Kneser-Ney: the number of different
-words of the class that continue the stem, not how often they occur. Stems back off to
-counts that both classes share, so an expression rare in either class says little.
+Two models, one per label, give every word a probability given the word before it. A pair
+that a class has seen keeps its discounted count; what the discount frees goes to the word
+alone, whose discounted count backs off to its stem (its first four letters). A stem's
+probability is Kneser-Ney's: the number of different words of the class that continue it,
+not how often they occur. Both classes share the weights of all backoffs and the
+distribution below the stems, so an expression that is rare or unseen says little or
+nothing, however different the classes are in size.
 
-A document is judged by the log-likelihood ratio of the two models, normalised by length:
-over all its words, and over its most telling words, where a few insults in a long text
-still show. A logistic fit turns these into a score between 0 and 1.
+All counts are exact and cover every labelled document that is learned from; the tables
+grow with the corpus. What workers score with are log-likelihood ratios: of the words and
+pairs whose ratio differs from the one they would back off to by more than a stated gain
+over all their occurrences (entropy pruning), and of stems for all others.
+
+A document is judged by the ratio of the two models, normalised by length: over all its
+words, and over its most telling words, where a few insults in a long text still show. A
+logistic fit over labelled documents that are not counted turns these into a score.
 
 Defined results: a null or empty text, or one without letters, has no words; all its
 ratios are 0 and its score is the model's answer to that. A document labelled several
@@ -34,46 +41,47 @@ from pyspark.sql import types as T
 from tabscope.llm.common import (
     appended,
     claim,
-    dense_blocks,
-    joined_blocks,
     keeping_names,
     map_batches,
-    parquet_rows,
+    parquet_columns,
     scratch_path,
     scratch_table,
     small_side,
 )
 
-#: Words are counted in two tables of 2^21 buckets with hashes of their own, whatever the
-#: corpus, and a word's count is the lower of the two: the model has a fixed size (two
-#: counts of 4 bytes a bucket: 32 MB). Workers read it from the shared folder; it never
-#: passes through the driver.
-WORD_BITS = 21
-STEM_BITS = 18
 STEM_LETTERS = 4
 DISCOUNT = 0.75
+#: Log-likelihood a word or pair must gain over its backoff, in nats over all occurrences.
+WORD_GAIN = 1.0
+PAIR_GAIN = 8.0
+#: A pair seen less often can not gain that much.
+LEAST_PAIRS = 3
+#: One labelled document in so many is not counted: the logistic fit sees it.
+FIT_FOLD = 5
 #: The logistic fit sees about this many labelled documents, drawn by hash of their id.
 FIT_ROWS = 20_000
 THRESHOLD = 0.3
+#: Words counted at a time, and bytes of pairs one task sums.
+RUN_WORDS = 4_000_000
+BUCKET_BYTES = 32 << 20
 #: A worker forgets its word cache beyond this many words.
 CACHE_WORDS = 300_000
 
 _WORD = re.compile(r"[^\W_]+")
-_WORDS = 1 << WORD_BITS
-_STEMS = 1 << STEM_BITS
 _SLOTS = 1 << 20
 TOP = 2
+_ODD = np.array([0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93], np.uint64)
+
+
+def _hash(text: str) -> int:
+    return xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass"))
 
 
 class _Keys(dict):
-    """Word to its stem's bucket and its own bucket in either table, in one integer."""
-
-    def __missing__(self, word: str) -> int:
-        data = word.encode("utf-8", "surrogatepass")
-        stem = word[:STEM_LETTERS].encode("utf-8", "surrogatepass")
-        key = (xxhash.xxh3_64_intdigest(stem) % _STEMS) << 2 * WORD_BITS
-        key |= xxhash.xxh3_64_intdigest(data) % (1 << 2 * WORD_BITS)
-        self[word] = key
+    """Word to the hashes of itself and of its stem."""
+
+    def __missing__(self, word: str) -> tuple[int, int]:
+        self[word] = key = (_hash(word), _hash(word[:STEM_LETTERS]))
         return key
 
 
@@ -81,13 +89,24 @@ _KEYS = _Keys()
 
 
 def _keys(text: str | None) -> np.ndarray:
+    """(words, 2): the hashes of the words of a text, in order."""
     if not text:
-        return np.empty(0, np.int64)
+        return np.empty((0, 2), np.uint64)
     claim(_KEYS, _forget)
     if len(_KEYS) > CACHE_WORDS:
         _KEYS.clear()
     words = _WORD.findall(text.lower())
-    return np.fromiter(map(_KEYS.__getitem__, words), np.int64, len(words))
+    return np.array(list(map(_KEYS.__getitem__, words)), np.uint64).reshape(-1, 2)
+
+
+def _pairs(words: np.ndarray) -> np.ndarray:
+    """The hash of each word with the one before it; 0 for the first."""
+    out = np.zeros(len(words), np.uint64)
+    if len(words) > 1:
+        key = words[:-1] * _ODD[0] + words[1:]
+        key = (key ^ (key >> np.uint64(32))) * _ODD[1]
+        out[1:] = key ^ (key >> np.uint64(29))
+    return out
 
 
 def held_out(doc_id: Column) -> Column:
@@ -112,87 +131,244 @@ def labelled(documents: DataFrame, known: DataFrame, rows: int) -> DataFrame:
     return texts.join(small_side(known, rows, 32), "_id").select("_text", "_label")
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(key, ordinary count, toxic count) of the words of a task; a run per 4M words."""
-    held: list[list[np.ndarray]] = [[], []]
-
-    def flush() -> pa.RecordBatch:
-        keys, counts = [], []
-        for parts in held:
-            k, n = np.unique(np.concatenate(parts or [np.empty(0, np.int64)]), return_counts=True)
-            keys.append(k)
-            counts.append(n)
-            parts.clear()
-        every = np.union1d(*keys)
-        columns = [pa.array(every)]
-        for k, n in zip(keys, counts, strict=True):
-            full = np.zeros(len(every), np.int64)
-            full[np.searchsorted(every, k)] = n
-            columns.append(pa.array(full))
-        return pa.RecordBatch.from_arrays(columns, names=["key", "c0", "c1"])
-
-    size = 0
+# Counting ------------------------------------------------------------------------------
+
+_PACKED = "bucket int, kind int, a binary, b binary, c0 binary, c1 binary"
+_SUMMED = "kind int, a long, b long, c0 long, c1 long, n0 long, n1 long"
+_WORDS, _PAIRS, _CONTEXTS = range(3)
+
+
+def _summed(key: np.ndarray, c0: np.ndarray, c1: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Places of the distinct keys, and the sums of both counts for each."""
+    if not len(key):
+        return np.empty(0, np.int64), c0, c1
+    order = np.argsort(key, kind="stable")
+    ordered = key[order]
+    edges = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
+    return order[edges], np.add.reduceat(c0[order], edges), np.add.reduceat(c1[order], edges)
+
+
+def _sender(buckets: int):
+    """Counts of the words and pairs of a task, packed by the bucket that sums them."""
+
+    def packed(kind: int, key: np.ndarray, a: np.ndarray, b: np.ndarray, label: np.ndarray):
+        if not len(key):
+            return
+        at, c0, c1 = _summed(key, 1 - label, label)
+        place = (key[at] >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
+        first = np.flatnonzero(np.diff(place, prepend=place[:1] + np.uint64(1)))
+        ends = [*first[1:], len(place)]
+        cut = lambda x: [x[i:j].tobytes() for i, j in zip(first, ends, strict=True)]
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(place[first].astype(np.int32)),
+                pa.array(np.full(len(first), kind, np.int32)),
+                *[pa.array(cut(x), pa.binary()) for x in (a[at], b[at], c0, c1)],
+            ],
+            names=["bucket", "kind", "a", "b", "c0", "c1"],
+        )
+
+    def flush(words: list[np.ndarray], labels: list[np.ndarray], pairs: list[np.ndarray]):
+        word, stem = np.concatenate(words).T
+        label, pair = np.concatenate(labels), np.concatenate(pairs)
+        yield from packed(_WORDS, word, word, stem, label)
+        second = np.flatnonzero(pair)
+        yield from packed(_PAIRS, pair[second], word[second - 1], word[second], label[second])
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, labels, pairs, size = [], [], [], 0
+        for batch in batches:
+            for text, label in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                found = _keys(text)
+                words.append(found)
+                labels.append(np.full(len(found), label, np.int64))
+                pairs.append(_pairs(found[:, 0]))
+                size += len(found)
+            if size > RUN_WORDS:
+                yield from flush(words, labels, pairs)
+                words, labels, pairs, size = [], [], [], 0
+        if size:
+            yield from flush(words, labels, pairs)
+
+    return send
+
+
+def _add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Words, frequent pairs, and what each word's pairs add up to as a context."""
+    held: dict[int, list[list[np.ndarray]]] = {_WORDS: [[], [], [], []], _PAIRS: [[], [], [], []]}
     for batch in batches:
-        for text, label in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            found = _keys(text)
-            held[label].append(found)
-            size += len(found)
-        if size > 4_000_000:
-            yield flush()
-            size = 0
-    yield flush()
+        for kind, *columns in zip(*(c.to_pylist() for c in batch.columns[1:]), strict=True):
+            for parts, data in zip(held[kind], columns, strict=True):
+                parts.append(np.frombuffer(data, np.int64))
+
+    def rows(kind: int, *columns: np.ndarray) -> pa.RecordBatch:
+        n = len(columns[0])
+        every = [np.full(n, kind, np.int32), *columns, *[np.zeros(n, np.int64)] * (6 - len(columns))]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c) for c in every], names=["kind", "a", "b", "c0", "c1", "n0", "n1"]
+        )
+
+    for kind, parts in held.items():
+        if not parts[0]:
+            continue
+        a, b, c0, c1 = (np.concatenate(p) for p in parts)
+        key = a.view(np.uint64) * _ODD[0] + b.view(np.uint64)
+        at, c0, c1 = _summed(key, c0, c1)
+        a, b = a[at], b[at]
+        if kind == _WORDS:
+            yield rows(_WORDS, a, b, c0, c1)
+            continue
+        enough = c0 + c1 >= LEAST_PAIRS
+        yield rows(_PAIRS, a[enough], b[enough], c0[enough], c1[enough])
+        first, n0, n1 = _summed(a, (c0 > 0).astype(np.int64), (c1 > 0).astype(np.int64))
+        _, t0, t1 = _summed(a, c0, c1)
+        yield rows(_CONTEXTS, a[first], np.zeros(len(first), np.int64), t0, t1, n0, n1)
+
+
+def counted(rows: DataFrame) -> DataFrame:
+    """Counts of ``rows(text, label)`` in the shared folder: words, pairs, contexts."""
+    size = rows.agg(F.sum(F.octet_length(rows.columns[0]))).first()[0] or 0
+    # Some six bytes of text a word, and eighteen for what is sent of it.
+    buckets = max(1, -(-3 * size // BUCKET_BYTES))
+    sent = map_batches(rows, _sender(buckets), _PACKED)
+    summed = map_batches(sent.repartitionById(buckets, F.col("bucket")), _add, _SUMMED)
+    return scratch_table(summed, "toxicity-counts")
+
+
+# Models --------------------------------------------------------------------------------
+
+
+def _ratio(one: Column, zero: Column) -> Column:
+    return F.log(one / zero)
+
+
+def ratios(counts: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame] | None:
+    """(key, ratio) of stems, words and pairs that tell more than their backoff.
+
+    None if one of the classes has no words.
+    """
+    words = counts.where(F.col("kind") == _WORDS).groupBy("a", "b").agg(
+        F.sum("c0").alias("c0"), F.sum("c1").alias("c1")
+    )
+    words = scratch_table(words, "toxicity-words")
+    stems = words.groupBy("b").agg(
+        F.count_if(F.col("c0") > 0).alias("k0"),
+        F.count_if(F.col("c1") > 0).alias("k1"),
+        F.sum(F.col("c0") + F.col("c1")).alias("tokens"),
+    )
+    t = words.agg(F.sum("c0").alias("t0"), F.sum("c1").alias("t1")).first()
+    if not t.t0 or not t.t1:
+        return None
+    k = stems.agg(
+        F.sum("k0").alias("k0"),
+        F.sum("k1").alias("k1"),
+        F.count_if(F.col("k0") > 0).alias("s0"),
+        F.count_if(F.col("k1") > 0).alias("s1"),
+        F.count(F.lit(1)).alias("stems"),
+    ).first()
+    types = (k.k0, k.k1)
+    below = DISCOUNT * (k.s0 + k.s1) / (k.k0 + k.k1)
+    shared = (F.col("k0") + F.col("k1") + 1) / (k.k0 + k.k1 + k.stems + 1)
+    stem = lambda c: F.greatest(F.col(f"k{c}") - DISCOUNT, F.lit(0.0)) / types[c] + below * shared
+    stems = scratch_table(
+        stems.select("b", "tokens", *[stem(c).alias(f"q{c}") for c in (0, 1)]), "toxicity-stems"
+    )
+
+    freed = DISCOUNT * (k.k0 + k.k1) / (t.t0 + t.t1)
+    within = (F.col("c0") + F.col("c1") + 0.5) / (F.col("tokens") + 1)
+    tokens = (t.t0, t.t1)
+    word = lambda c: (
+        F.greatest(F.col(f"c{c}") - DISCOUNT, F.lit(0.0)) / tokens[c]
+        + freed * F.col(f"q{c}") * within
+    )
+    single = scratch_table(
+        words.join(stems, "b").select(
+            F.col("a").alias("word"),
+            (F.col("c0") + F.col("c1")).alias("n"),
+            word(0).alias("p0"),
+            word(1).alias("p1"),
+            _ratio(F.col("q1"), F.col("q0")).alias("backoff"),
+        ),
+        "toxicity-single",
+    )
+    alone = _ratio(F.col("p1"), F.col("p0"))
+
+    contexts = counts.where(F.col("kind") == _CONTEXTS).groupBy("a").agg(
+        *[F.sum(c).alias(f"u{c}") for c in ("c0", "c1", "n0", "n1")]
+    )
+    weight = DISCOUNT * (F.col("un0") + F.col("un1")) / (F.col("uc0") + F.col("uc1"))
+    pair = lambda c: F.when(F.col(f"uc{c}") == 0, F.col(f"p{c}")).otherwise(
+        F.greatest(F.col(f"c{c}") - DISCOUNT, F.lit(0.0)) / F.col(f"uc{c}")
+        + weight * F.col(f"p{c}")
+    )
+    pairs = (
+        counts.where(F.col("kind") == _PAIRS)
+        .select("a", F.col("b").alias("word"), "c0", "c1")
+        .join(contexts, "a")
+        .join(single.select("word", "p0", "p1"), "word")
+        .select(
+            "a", "word", (F.col("c0") + F.col("c1")).alias("n"), alone.alias("backoff"),
+            _ratio(pair(1), pair(0)).alias("ratio"),
+        )
+    )
+
+    gains = lambda least: F.col("n") * F.abs(F.col("ratio") - F.col("backoff")) >= least
+    return (
+        stems.select(F.col("b").alias("key"), _ratio(F.col("q1"), F.col("q0")).alias("ratio")),
+        single.select(F.col("word").alias("key"), alone.alias("ratio"), "n", "backoff")
+        .where(gains(WORD_GAIN))
+        .select("key", "ratio"),
+        pairs.where(gains(PAIR_GAIN)).select("a", "word", "ratio"),
+    )
+
+
+@dataclass
+class Table:
+    """Ratios by key; what is not in it takes another's ratio."""
+
+    keys: np.ndarray
+    ratios: np.ndarray
+
+    @classmethod
+    def of(cls, keys: np.ndarray, values: np.ndarray) -> Table:
+        order = np.argsort(keys)
+        return cls(keys[order], values[order].astype(np.float64))
+
+    def __call__(self, keys: np.ndarray, otherwise: np.ndarray) -> np.ndarray:
+        if not len(self.keys):
+            return otherwise
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return np.where(self.keys[at] == keys, self.ratios[at], otherwise)
 
 
 @dataclass
-class Counts:
-    """Per bucket: class counts of words in both tables, type counts and tokens of stems."""
-
-    words: list[list[np.ndarray]]
-    stems: list[np.ndarray]
-
-    def finish(self) -> Counts:
-        self.tokens = [float(c.sum(dtype=np.float64)) for c in self.words[0]]
-        types = [float(k.sum()) for k in self.stems[:2]]
-        shared = self.stems[0] + self.stems[1] + 1.0
-        shared = shared / shared.sum()
-        self.lower = []
-        for k, total, n in zip(self.stems[:2], types, self.tokens, strict=True):
-            if not n:
-                self.lower.append(shared)
-                continue
-            freed = DISCOUNT * np.count_nonzero(k) / total
-            stem = np.maximum(k - DISCOUNT, 0) / total + freed * shared
-            # The weight that discounted words of the class leave to their stems.
-            self.lower.append(stem * (DISCOUNT * total / n))
-        return self
-
-    def ratios(self, keys: np.ndarray, own: np.ndarray | None = None, label: int = 0):
-        """Log-likelihood ratio of each key; ``own``: counts to leave out of ``label``."""
-        if not self.tokens[0] or not self.tokens[1]:
-            return np.zeros(len(keys))
-        at = keys & (_WORDS - 1), keys >> WORD_BITS & (_WORDS - 1)
-        stem = keys >> 2 * WORD_BITS
-        pair = [
-            np.minimum(*(table[c][i] for table, i in zip(self.words, at, strict=True))).astype(float)
-            for c in (0, 1)
-        ]
-        seen = pair[0] + pair[1]
-        within = (seen + 0.5) / (self.stems[2][stem] + 1.0)
-        if own is not None:
-            pair[label] = pair[label] - own
-        p = [
-            np.maximum(pair[c] - DISCOUNT, 0) / self.tokens[c] + self.lower[c][stem] * within
-            for c in (0, 1)
-        ]
-        return np.log(p[1] / p[0])
+class Ratios:
+    """What a worker scores with."""
+
+    stems: Table
+    words: Table
+    pairs: Table
+
+    def __call__(self, keys: np.ndarray) -> np.ndarray:
+        """Log-likelihood ratio of each word of a text, given the one before."""
+        words, at = np.unique(keys[:, 0], return_index=True)
+        single = self.words(words, self.stems(keys[at, 1], np.zeros(len(at))))
+        single = single[np.searchsorted(words, keys[:, 0])]
+        return self.pairs(_pairs(keys[:, 0]), single)
 
 
 @lru_cache(maxsize=1)
-def _loaded(stored: tuple[str, ...]) -> Counts:
-    """The model, as a worker reads it from the shared folder."""
-    first, second, stems = map(parquet_rows, stored)
-    words = [joined_blocks(t, WORD_BITS, 2, np.float32) for t in (first, second)]
-    return Counts(words, joined_blocks(stems, STEM_BITS, 3, np.float32)).finish()
+def _loaded(stored: tuple[str, ...]) -> Ratios:
+    """The ratios, as a worker reads them from the shared folder."""
+    stems, words, pairs = (parquet_columns(uri) for uri in stored)
+    unsigned = lambda c: c.astype(np.int64).view(np.uint64)
+    first, second, ratio = pairs
+    both = _pairs(np.column_stack([unsigned(first), unsigned(second)]).ravel())[1::2]
+    return Ratios(
+        Table.of(unsigned(stems[0]), stems[1]),
+        Table.of(unsigned(words[0]), words[1]),
+        Table.of(both, ratio),
+    )
 
 
 def _forget() -> None:
@@ -238,73 +414,62 @@ class Logistic:
 
 @dataclass
 class Model:
-    stored: tuple[str, ...]
+    stored: tuple[str, ...] | None
     fit: Logistic | None
     share: float
 
 
 def train(documents: DataFrame, labels: DataFrame) -> Model:
-    """Counts over all labelled documents outside the held-out quarter, then the fit.
+    """Counts over the labelled documents outside the held-out quarter, then the fit.
 
-    Only the features of FIT_ROWS documents reach the driver; they leave a document's own
-    words out of its class.
+    Only the features of FIT_ROWS documents reach the driver, of documents that are not
+    counted; where those lack a class, of counted ones.
     """
     known = training_labels(labels)
-    n = known.count()
-    rows = labelled(documents, known, n)
-    parts = map_batches(rows, _count, "key long, c0 long, c1 long")
-    counted = scratch_table(
-        parts.groupBy("key").agg(F.sum("c0").alias("c0"), F.sum("c1").alias("c1")), "toxicity"
-    )
-    uris = []
-    for table in (0, 1):
-        place = F.shiftright("key", table * WORD_BITS).bitwiseAND(F.lit(_WORDS - 1))
-        sums = counted.groupBy(place.alias("at")).agg(
-            F.sum("c0").alias("c0"), F.sum("c1").alias("c1")
-        )
-        packed = dense_blocks(sums, WORD_BITS, ["c0", "c1"], np.float32)
-        uris.append(scratch_path(packed, "toxicity-words"))
-    stems = counted.groupBy(F.shiftright("key", 2 * WORD_BITS).alias("at")).agg(
-        F.count_if(F.col("c0") > 0).alias("k0"),
-        F.count_if(F.col("c1") > 0).alias("k1"),
-        F.sum(F.col("c0") + F.col("c1")).alias("tokens"),
+    n, toxic = known.agg(F.count(F.lit(1)), F.coalesce(F.sum("_label"), F.lit(0))).first()
+    if not 0 < toxic < n:
+        return Model(None, None, toxic / n if n else 0.0)
+    fold = F.pmod(F.xxhash64(F.lit(FIT_FOLD), F.col("_id")), F.lit(FIT_FOLD)) == 0
+    learned = ratios(counted(labelled(documents, known.where(~fold), n)))
+    if learned is None:
+        return Model(None, None, toxic / n)
+    stored = tuple(
+        scratch_path(t, f"toxicity-{name}-ratios")
+        for t, name in zip(learned, ("stem", "word", "pair"), strict=True)
     )
-    packed = dense_blocks(stems, STEM_BITS, ["k0", "k1", "tokens"], np.float32)
-    stored = (*uris, scratch_path(packed, "toxicity-stems"))
-    share = int(_SLOTS * min(1.0, FIT_ROWS / max(n, 1)))
-    drawn_ids = known.where(F.pmod(F.xxhash64("_id"), F.lit(_SLOTS)) < share)
-    sample = labelled(documents, drawn_ids, min(n, 2 * FIT_ROWS))
-
-    def left_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = _loaded(stored)
+
+    def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = _loaded(stored)
         for batch in batches:
-            out = []
-            labels = batch.column(1).to_pylist()
-            for text, label in zip(batch.column(0).to_pylist(), labels, strict=True):
-                keys = _keys(text)
-                _, place, own = np.unique(keys, return_inverse=True, return_counts=True)
-                out.append([*features(counts.ratios(keys, own[place], label)), label])
+            texts, marks = (c.to_pylist() for c in batch.columns)
+            out = [[*features(found(_keys(t))), mark] for t, mark in zip(texts, marks, strict=True)]
             columns = [pa.array(list(c), pa.float64()) for c in zip(*out, strict=True)]
             yield pa.RecordBatch.from_arrays(columns, names=["f0", "f1", "f2", "f3", "y"])
 
-    drawn = map_batches(sample, left_out, "f0 double, f1 double, f2 double, f3 double, y double")
-    rows_seen = drawn.limit(2 * FIT_ROWS).collect()
-    seen = np.array([tuple(r) for r in rows_seen], np.float64).reshape(-1, 5)
-    y = seen[:, 4]
-    both = 0 < y.sum() < len(y)
-    fit = Logistic.fit(seen[:, :4], y) if both else None
-    return Model(stored, fit, float(y.mean()) if len(y) else 0.0)
+    def seen(some: DataFrame, share: float) -> np.ndarray:
+        drawn = some.where(F.pmod(F.xxhash64("_id"), F.lit(_SLOTS)) < int(_SLOTS * min(1.0, share)))
+        sample = labelled(documents, drawn, min(n, 2 * FIT_ROWS))
+        frame = map_batches(sample, measured, "f0 double, f1 double, f2 double, f3 double, y double")
+        rows = sorted(tuple(r) for r in frame.limit(2 * FIT_ROWS).collect())
+        return np.array(rows, np.float64).reshape(-1, 5)
+
+    rows = seen(known.where(fold), FIT_FOLD * FIT_ROWS / n)
+    if not 0 < rows[:, 4].sum() < len(rows):
+        rows = seen(known, FIT_ROWS / n)
+    both = 0 < rows[:, 4].sum() < len(rows)
+    return Model(stored, Logistic.fit(rows[:, :4], rows[:, 4]) if both else None, toxic / n)
 
 
 def with_scores(documents: DataFrame, model: Model, name: str = "score") -> DataFrame:
     """``documents`` with a double column ``name``; reads the column ``text`` only."""
     stored, fit, share = model.stored, model.fit, model.share
 
+    if fit is None:
+        return documents.withColumn(name, F.lit(float(share)))
+
     def score(texts: pa.Array) -> list:
-        counts = _loaded(stored)
-        rows = np.array([features(counts.ratios(_keys(t))) for t in texts.to_pylist()])
-        if fit is None:
-            return [np.full(len(rows), share)]
+        found = _loaded(stored)
+        rows = np.array([features(found(_keys(t))) for t in texts.to_pylist()])
         return [fit(rows) if len(rows) else np.empty(0)]
 
     return appended(documents, ["text"], score, [T.StructField(name, T.DoubleType())])
