@@ -8,8 +8,9 @@ keys for the distinct count. In one ``agg``, distinct counts next to string extr
 copy every row once per column and sort the copies.
 
 What a task sends of an extreme is bounded: the leading characters, cut on the map side.
-Where extremes are wanted whole, a further pass looks at the rows that share the winning
-leading characters only, spread over tasks by a hash of the text.
+Where extremes are wanted whole, the row per column is kept, and only columns whose
+winner fills the leading characters are read once more: their rows that share them, spread
+over tasks by a hash of the text.
 """
 
 from __future__ import annotations
@@ -30,6 +31,7 @@ from tabscope.operators.shapes import (
     union_all,
 )
 from tabscope.plans.spec import ColumnRef, ProfileInput, name_columns, number_columns
+from tabscope.session import ensure_checkpoint_dir
 
 # Fixed value: width of the extremes in the profile tables, for ``extreme_chars``.
 EXTREME_CHARS = 4000
@@ -114,24 +116,29 @@ def _one_row_stats(one_row: DataFrame, refs: Sequence[str]) -> DataFrame:
 
 
 def _by_value(
-    rows: DataFrame, decimals: int | None, refs: Sequence[str], batch_columns: int
+    families: dict[tuple[str, int | None], DataFrame], refs: Sequence[str], batch_columns: int
 ) -> DataFrame:
     """All statistics of columns that are not text, from their value counts.
 
     The extremes are keyless aggregates with a condition per column: grouped by column,
-    extremes of strings would sort all distinct values. The batches read one exchange.
+    extremes of strings would sort all distinct values. Text is made per key type, and
+    the columns of all types share an aggregate; the batches read the same exchanges.
     """
-    counts = rows.groupBy("ref", "key").agg(F.count(F.lit(1)).alias("n"))
-    text = canonical_text(F.col("key"), rows.schema["key"].dataType, decimals)
-    shown = counts.select("ref", "key", "n", text.alias("txt"))
+
+    def shown(rows: DataFrame, decimals: int | None) -> DataFrame:
+        counts = rows.groupBy("ref", "key").agg(F.count(F.lit(1)).alias("n"))
+        text = canonical_text(F.col("key"), rows.schema["key"].dataType, decimals)
+        return counts.select("ref", F.col("key").isNotNull().alias("held"), "n", text.alias("txt"))
+
+    every = union_all(shown(rows, decimals) for (_, decimals), rows in families.items())
 
     def aggregates(ref: str) -> Column:
         mine = F.col("ref") == ref
         own = F.when(mine, F.col("txt"))
         return F.struct(
             F.sum(F.when(mine, F.col("n"))),
-            F.sum(F.when(mine & F.col("key").isNotNull(), F.col("n"))),
-            F.count(F.when(mine, F.col("key"))),
+            F.sum(F.when(mine & F.col("held"), F.col("n"))),
+            F.count_if(mine & F.col("held")),
             F.max(own),
             F.min(own),
             F.max(F.length(own)),
@@ -139,7 +146,7 @@ def _by_value(
 
     batches = [refs[i : i + batch_columns] for i in range(0, len(refs), batch_columns)]
     return union_all(
-        _one_row_stats(shown.agg(*[aggregates(r).alias(r) for r in batch]), batch)
+        _one_row_stats(every.agg(*[aggregates(r).alias(r) for r in batch]), batch)
         for batch in batches
     )
 
@@ -205,13 +212,22 @@ def _text_stats(
     n_columns = sum(map(len, groups))
     kinds = _distinct(groups).select(F.col("ref").cast("int").alias("ref"), "col_kind")
     plain = _plain_text(groups, batch_columns, LEADING_CHARS if chars is None else chars)
+    if chars is not None:
+        joined = plain.drop("col_kind").join(bounded_broadcast(kinds, n_columns), "ref", "left")
+        return joined.select("ref", *_STATS)
+    ensure_checkpoint_dir(plain.sparkSession)
+    plain = plain.checkpoint()
+    full = (F.length("max_col_val") == LEADING_CHARS) | (F.length("min_col_val") == LEADING_CHARS)
+    cut = {str(r.ref) for r in plain.where(full).select("ref").collect()}  # some of the plan's columns
     out = plain.drop("col_kind").join(bounded_broadcast(kinds, n_columns), "ref", "left")
-    if chars is None:
-        whole = _whole_extremes(groups, plain)
-        out = (
-            out.drop("max_col_val", "min_col_val")
-            .join(whole, "ref", "left")
-            .withColumnsRenamed({"highest": "max_col_val", "lowest": "min_col_val"})
+    long = [g for group in groups if (g := [r for r in group if r.ref in cut])]
+    if long:
+        whole = _whole_extremes(long, plain.where(full))
+        out = out.join(whole, "ref", "left").withColumns(
+            {
+                "max_col_val": F.coalesce("highest", "max_col_val"),
+                "min_col_val": F.coalesce("lowest", "min_col_val"),
+            }
         )
     return out.select("ref", *_STATS)
 
@@ -233,15 +249,10 @@ def column_stats(
     n_columns = sum(map(len, groups))
     texts = [t for g in groups if (t := [r for r in g if _is_text(r)])]
     others = [o for g in groups if (o := [r for r in g if not _is_text(r)])]
-    families: dict[tuple[str, int | None], list[str]] = {}
-    for group in others:
-        for r in group:
-            key_type, _ = distinct_key(source_column(r), _dtype(r))
-            families.setdefault((key_type, r.column.decimals), []).append(r.ref)
-    facts = [
-        _by_value(rows, family[1], families[family], batch_columns)
-        for family, rows in _keyed_rows(others).items()
-    ]
+    facts = []
+    if others:
+        refs = [r.ref for group in others for r in group]
+        facts.append(_by_value(_keyed_rows(others), refs, batch_columns))
     if texts:
         facts.append(_text_stats(texts, batch_columns, extreme_chars))
 

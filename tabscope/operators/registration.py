@@ -198,13 +198,18 @@ def table_population(
     """Table rows as a first registration inserts them."""
     key = ["owner_nm", "tab_nm"]
     zero = F.lit(0).cast("bigint")
+    # Only the keys and sizes go through the ranking.
+    placed = work_groups(
+        snapshot.tables.select(*key)
+        .join(table_sizes(snapshot.segments), key, "left")
+        .select(*key, F.coalesce("tab_size", zero).alias("tab_size"))
+    )
     sized = (
-        snapshot.tables.join(table_sizes(snapshot.segments), key, "left")
-        .withColumn("tab_size", F.coalesce("tab_size", zero))
+        snapshot.tables.join(placed, key)
         .join(column_counts(snapshot.tables, snapshot.columns), key, "left")
         .join(index_stats(snapshot.segments, snapshot.indexes, index_by_name), key, "left")
     )
-    named = work_groups(sized).select(
+    named = sized.select(
         "*",
         F.lit(prfl_id).alias("prfl_id"),
         F.lit("Y").alias("use_yn"),

@@ -3,7 +3,9 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
+from tabscope.operators import column_stats as column_stats_module
 from tabscope.operators.column_stats import _distinct, _plain_text, column_numbers, column_stats
 from tabscope.operators.pattern_dist import patterns_direct, patterns_from_values
 from tabscope.operators.report import profile_report
@@ -70,14 +72,51 @@ def test_distinct_counts_are_hash_aggregation_over_disjoint_columns(small):
     assert sum(map(len, read)) == len(set.union(*read)) == 11
 
 
-def test_statistics_read_text_twice_and_everything_else_once(small):
+@pytest.fixture
+def first_pass(monkeypatch):
+    """Plans of the passes over text that run while the statistics are put together."""
+    plans = []
+    make = column_stats_module._plain_text
+
+    def watched(*args):
+        frame = make(*args)
+        plans.append(plan(frame))
+        return frame
+
+    monkeypatch.setattr(column_stats_module, "_plain_text", watched)
+    return plans
+
+
+def test_statistics_read_text_twice_and_everything_else_once(small, first_pass, monkeypatch):
+    """Whole extremes that are shorter than the leading characters take no third pass."""
+    monkeypatch.setattr(column_stats_module, "_whole_extremes", None)
     text = plan(column_stats(inputs(small, "lineitem")))
-    read = [c for columns in read_columns(text) for c in columns]
+    read = [c for p in (text, *first_pass) for columns in read_columns(p) for c in columns]
     twice = {c for c in read if read.count(c) > 1}
     assert twice == {"l_returnflag", "l_linestatus"} and len(set(read)) == 11
+    assert all(read.count(c) == 2 for c in twice)
     no_python(text)
 
 
+def test_only_columns_with_long_extremes_are_read_again(small, first_pass):
+    frame = small["nation"].select(
+        "n_name", F.repeat("n_name", 60).alias("high"), F.concat(F.lit("x"), "n_name").alias("short")
+    )
+    text = plan(column_stats([profile_input(frame, "nation")]))
+    assert count("FileScan", text) == 2 and len(first_pass) == 1  # distinct counts, long ones
+    made = {r.col_nm: r for r in column_stats([profile_input(frame, "nation")]).collect()}
+    names = [r.n_name for r in small["nation"].collect()]
+    assert made["high"].max_col_val == max(n * 60 for n in names)
+    assert made["high"].min_col_val == min(n * 60 for n in names)
+    assert (made["n_name"].max_col_val, made["short"].min_col_val) == (max(names), "x" + min(names))
+
+
+def test_numbers_of_all_types_share_an_aggregate(small):
+    numbers = small["lineitem"].drop("l_returnflag", "l_linestatus")
+    text = plan(column_stats([profile_input(numbers, "lineitem")]))
+    assert count("Exchange SinglePartition", text) == 1
+
+
 def test_statistics_of_numbers_do_not_sort(small):
     """Rows are combined by value on the map side; extremes of the values need no sort."""
     numbers = small["lineitem"].select("l_orderkey", "l_partkey")
@@ -86,10 +125,11 @@ def test_statistics_of_numbers_do_not_sort(small):
     assert count(r"HashAggregate\(keys=\[ref", text) == 2
 
 
-def test_extremes_are_cut_before_they_are_exchanged(small):
+def test_extremes_are_cut_before_they_are_exchanged(small, first_pass):
     """A task sends leading characters only, also where extremes are wanted whole."""
     for chars, width in ((4000, 4000), (None, 256)):
-        text = plan(column_stats([text_only(small)], extreme_chars=chars))
+        plan(column_stats([text_only(small)], extreme_chars=chars))
+        text = first_pass[-1]
         partial = [line for line in text.splitlines() if "partial_max(substring" in line]
         assert partial and all(f"1, {width}" in line for line in partial)
         assert "partial_max(l_returnflag" not in text
@@ -131,7 +171,7 @@ def test_report_has_no_cross_join_and_no_python(small):
 def test_report_reads_each_table_once_per_level(small):
     """A pass per key type over its own columns, the plain text pass, one histogram."""
     texts = {"c_name", "c_mktsegment"}
-    for chars, passes in ((4000, 3), (None, 4)):  # whole extremes take a pass of their own
+    for chars, passes in ((4000, 3), (None, 2)):  # for whole extremes the plain pass ran before
         text = plan(profile_report(inputs(small, "customer"), extreme_chars=chars), executed=True)
         expected = [{"c_custkey", "c_nationkey"}, {"c_acctbal"}, *[texts] * passes]
         assert sorted(map(sorted, read_columns(text))) == sorted(map(sorted, expected))
