@@ -101,6 +101,47 @@ def segments(
     )
 
 
+def partition_segments(
+    spark: SparkSession, root: str, owner_nm: str = "main", suffix: str = ""
+) -> DataFrame:
+    """One row per partition of the tables below ``root``, whatever the format of the files.
+
+    A partition is a directory whose steps below the table's read ``column=value``; its
+    name are these steps with their values decoded. Files of a table that lie in no such
+    directory are one segment of the whole table. Names that start with ``_`` or ``.`` are
+    not data. ``block_cnt`` counts the files.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    base = root.rstrip("/").split("/")[-1]
+    listed = files.select(
+        F.split(F.substring_index("path", f"/{base}/", -1), "/").alias("steps"), "length"
+    )
+    folders = F.slice("steps", F.lit(2), F.greatest(F.size("steps") - 2, F.lit(0)))
+    keyed = F.filter(folders, lambda s: s.contains("="))
+    decoded = F.transform(keyed, lambda s: F.try_url_decode(F.replace(s, F.lit("+"), F.lit("%2B"))))
+    name = F.when(F.size(keyed) > 0, F.array_join(decoded, "/"))
+    hidden = F.exists("steps", lambda s: s.startswith("_") | s.startswith("."))
+    # A table that is a single file is named without the file's suffix.
+    first = F.element_at("steps", 1)
+    table = F.when(F.size("steps") > 1, first).otherwise(F.regexp_replace(first, r"\.[^.]*$", ""))
+    found = (
+        listed.where(~hidden & F.element_at("steps", -1).endswith(suffix))
+        .groupBy(table.alias("tab"), name.alias("part"))
+        .agg(F.sum("length").alias("bytes"), F.count(F.lit(1)).cast("int").alias("files"))
+    )
+    return shaped(
+        found,
+        "segments",
+        owner_nm=F.lit(owner_nm),
+        segment_nm=F.col("tab"),
+        partition_nm=F.coalesce("part", F.lit(NO_PARTITION)),
+        segment_type=F.when(F.col("part").isNotNull(), "TABLE PARTITION").otherwise("TABLE"),
+        head_block_cnt=F.lit(0),
+        segment_size=F.col("bytes"),
+        block_cnt=F.col("files"),
+    )
+
+
 def tables(segment_rows: DataFrame, row_counts: DataFrame | None = None) -> DataFrame:
     """Tables of the lake, sized by their files; row counts where they are known."""
     per_table = segment_rows.groupBy("owner_nm", F.col("segment_nm").alias("tab_nm")).agg(

@@ -1,10 +1,16 @@
-"""Keyed merges of a master table: update by key, insert-or-update."""
+"""Keyed merges of a master table: update by key, insert-or-update.
+
+:func:`update_by_key` and :func:`upsert` join and give the whole new table: they work on any
+storage. Where the master is a table of a format that can change single rows,
+:func:`merge_update` and :func:`merge_upsert` build Spark's MERGE INTO with the same rule
+per column, and only changed rows are written.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, MergeIntoWriter, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -76,3 +82,57 @@ def upsert(
         )
 
     return both.select(*[merged(c) for c in existing.columns])
+
+
+_TARGET, _SOURCE = "target", "source"
+
+
+def _columns(spark: SparkSession, target: str) -> list[str]:
+    return spark.table(target).columns
+
+
+def _same(keys: Sequence[str]) -> Column:
+    """Equality of the keys, none of which is NULL in a master."""
+    out = F.lit(True)
+    for key in keys:
+        out = out & (F.col(f"{_TARGET}.{key}") == F.col(f"{_SOURCE}.{key}"))
+    return out
+
+
+def merge_update(
+    target: str,
+    facts: DataFrame,
+    keys: Sequence[str],
+    columns: Sequence[str],
+    run_ts: Column | None = None,
+) -> MergeIntoWriter:
+    """The MERGE INTO of :func:`update_by_key`; run it by ``merge()``."""
+    updates = {c: F.col(f"{_SOURCE}.{c}") for c in columns}
+    if run_ts is not None:
+        updates["up_dt"] = run_ts
+    source = facts.select(*keys, *columns).alias(_SOURCE)
+    return source.mergeInto(target, _same(keys)).whenMatched().update(updates)
+
+
+def merge_upsert(
+    target: str,
+    incoming: DataFrame,
+    keys: Sequence[str],
+    refreshed: Sequence[str],
+    on_conflict: Mapping[str, Column] | None = None,
+    columns: Sequence[str] | None = None,
+) -> MergeIntoWriter:
+    """The MERGE INTO of :func:`upsert`; run it by ``merge()``.
+
+    ``columns`` are those of the target; by default they are asked of the catalog.
+    """
+    names = list(columns or _columns(incoming.sparkSession, target))
+    given = dict(on_conflict or {})
+    updates = {
+        c: given.get(c, F.col(f"{_SOURCE}.{c}") if c in incoming.columns else F.lit(None))
+        for c in names
+        if c not in keys and (c in given or c in refreshed)
+    }
+    inserts = {c: F.col(f"{_SOURCE}.{c}") if c in incoming.columns else F.lit(None) for c in names}
+    merged = incoming.alias(_SOURCE).mergeInto(target, _same(keys))
+    return merged.whenMatched().update(updates).whenNotMatched().insert(inserts)

@@ -7,6 +7,7 @@ from collections.abc import Callable, Mapping
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from tabscope.operators.remote import RemoteTable
 from tabscope.sources import jdbc
@@ -35,12 +36,25 @@ class SourceRegistry:
         return reader
 
     def register_files(
-        self, source_id: str, root: str, fmt: str = "parquet", **options: str
+        self,
+        source_id: str,
+        root: str,
+        fmt: str = "parquet",
+        schemas: Mapping[str, StructType | str] | None = None,
+        **options: str,
     ) -> Reader:
-        """Tables are files or directories ``root/<table>.<fmt>``."""
+        """Tables are files or directories ``root/<table>.<fmt>``, of any format Spark reads.
+
+        ``schemas`` gives the columns of tables whose format holds none (csv), or spares a
+        pass that infers them (json).
+        """
+        schemas = schemas or {}
 
         def read(table: str) -> DataFrame:
-            return self._spark.read.format(fmt).options(**options).load(f"{root}/{table}.{fmt}")
+            reader = self._spark.read.format(fmt).options(**options)
+            if table in schemas:
+                reader = reader.schema(schemas[table])
+            return reader.load(f"{root}/{table}.{fmt}")
 
         return self.register(source_id, read)
 

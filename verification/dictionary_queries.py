@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from tabscope.operators.dictionary.common import drop_system_schemas, stamped
 from tabscope.operators.dictionary.vendors import dictionary_parts, extract_names
 from tabscope.operators.table_stats import row_counts
 from tabscope.pipeline import collect_dictionary
+from tabscope.session import shared_dir
 from verification import profile_sql as sql
 from verification.catalogs import DB, KEPT, extract, extracts, with_extracts
 from verification.checked import Check, comparable, sql_stamp
@@ -491,6 +493,22 @@ def _lake() -> dict[str, Check]:
             "owner_nm", "tab_nm", "row_cnt", "part_yn",
         )
 
+    def partitioned_segments(frames: Frames) -> DataFrame:
+        """A lake of three formats, two of its tables partitioned by columns."""
+        root = f"{shared_dir(frames.spark)}/lake-{uuid.uuid4().hex}"
+        writes = {
+            "orders": ("parquet", ["o_orderstatus", "o_orderpriority"]),
+            "customer": ("csv", ["c_mktsegment"]),
+            "nation": ("json", []),
+        }
+        for table, (fmt, by) in writes.items():
+            frames[table].write.format(fmt).partitionBy(*by).save(f"{root}/{table}")
+        found = lake.partition_segments(frames.spark, root)
+        tables = lake.tables(found).select("owner_nm", F.col("tab_nm").alias("segment_nm"), "part_yn")
+        return found.join(tables, ["owner_nm", "segment_nm"]).select(
+            "owner_nm", "segment_nm", "partition_nm", "segment_type", "part_yn"
+        )
+
     counts = " UNION ALL ".join(f"SELECT '{t}' AS tab_nm, count(*) AS n FROM {t}" for t in SCHEMAS)
     return {
         "dic_columns_spark": Check(
@@ -503,6 +521,16 @@ LEFT JOIN ({sql.union(map(sql.stats, SCHEMAS))}) s
        ON s.tab_nm = i.table_name AND s.col_nm = i.column_name
 LEFT JOIN ({counts}) c ON c.tab_nm = i.table_name
 WHERE table_name IN ({names})""",
+        ),
+        "dic_segments_partitioned": Check(
+            partitioned_segments,
+            """SELECT DISTINCT 'main' AS owner_nm, 'orders' AS segment_nm,
+       'o_orderstatus=' || o_orderstatus || '/o_orderpriority=' || o_orderpriority AS partition_nm,
+       'TABLE PARTITION' AS segment_type, 'Y' AS part_yn
+FROM orders
+UNION ALL SELECT DISTINCT 'main', 'customer', 'c_mktsegment=' || c_mktsegment, 'TABLE PARTITION', 'Y'
+FROM customer
+UNION ALL SELECT 'main', 'nation', 'NOPART', 'TABLE', 'N'""",
         ),
         "dic_tables_spark": Check(
             lake_tables,

@@ -20,6 +20,7 @@ from tabscope.operators.pattern_dist import (
     top_pattern,
 )
 from tabscope.operators import incremental, remote
+from tabscope.operators.heavy import sample_values_bounded, top_pattern_bounded
 from tabscope.operators.registration import column_population
 from tabscope.operators.report import profile_report
 from tabscope.operators.dictionary import lake
@@ -493,6 +494,20 @@ def _estimated(frames: Frames) -> DataFrame:
     return _compared(sketches, inputs(frames, *TABLES))
 
 
+def _text_lake(frames: Frames) -> DataFrame:
+    """Statistics of tables that were written as CSV and JSON and are read back by name."""
+    root = f"{shared_dir(frames.spark)}/text-{uuid.uuid4().hex}"
+    formats = {"customer": "csv", "part": "json", "nation": "csv"}
+    sources = SourceRegistry(frames.spark)
+    for fmt in ("csv", "json"):
+        sources.register_files(fmt, f"{root}/{fmt}", fmt, schemas={t: frames[t].schema for t in formats})
+    for table, fmt in formats.items():
+        frames[table].write.format(fmt).save(f"{root}/{fmt}/{table}.{fmt}")
+    return _short(
+        column_stats([profile_input(sources.table(fmt, t), t) for t, fmt in formats.items()])
+    )
+
+
 def _packing_population(frames: Frames) -> DataFrame:
     """Suppliers as owners and their parts' first digits as tables, sized by what they sold."""
     return frames["lineitem"].groupBy(
@@ -545,6 +560,15 @@ def _growth_checks() -> dict[str, Check]:
             f"({sql.stats('orders').replace('FROM orders', f'FROM {loaded}')})",
         ),
         "distinct_sketch_bounds": Check(_estimated, counted),
+        "sample_top3_bounded": Check(
+            lambda f: _short(sample_values_bounded(inputs(f, *_TEXT_TABLES))),
+            sql.samples(sql.union(sql.values(t, chars=None) for t in _TEXT_TABLES)),
+        ),
+        "pattern_top1_bounded": Check(
+            lambda f: _short(top_pattern_bounded(inputs(f, *_TEXT_TABLES))),
+            sql.top_pattern(sql.union(sql.patterns(t, chars=None) for t in _TEXT_TABLES)),
+        ),
+        "column_stats_text_lake": Check(_text_lake, sql.union(map(sql.stats, ("customer", "part", "nation")))),
         "plan_job_packing": Check(
             lambda f: packed(_packing_population(f), job_mb=3000, most_tables=40), _PACKING_SQL
         ),
