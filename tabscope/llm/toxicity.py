@@ -62,10 +62,10 @@ FIT_FOLD = 5
 FIT_ROWS = 20_000
 THRESHOLD = 0.3
 #: Words counted at a time, and bytes of pairs one task sums.
-RUN_WORDS = 4_000_000
-BUCKET_BYTES = 32 << 20
+RUN_WORDS = 1_000_000
+BUCKET_BYTES = 16 << 20
 #: A worker forgets its word cache beyond this many words.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 200_000
 
 _WORD = re.compile(r"[^\W_]+")
 _SLOTS = 1 << 20
@@ -78,11 +78,24 @@ def _hash(text: str) -> int:
 
 
 class _Keys(dict):
-    """Word to the hashes of itself and of its stem."""
+    """Word to its place in two arrays: the hashes of itself and of its stem."""
 
-    def __missing__(self, word: str) -> tuple[int, int]:
-        self[word] = key = (_hash(word), _hash(word[:STEM_LETTERS]))
-        return key
+    def __init__(self) -> None:
+        super().__init__()
+        self.hashes = np.empty((0, 2), np.uint64)
+
+    def __missing__(self, word: str) -> int:
+        at = len(self)
+        if at == len(self.hashes):
+            more = np.zeros((max(1024, at), 2), np.uint64)
+            self.hashes = np.concatenate([self.hashes, more])
+        self.hashes[at] = _hash(word), _hash(word[:STEM_LETTERS])
+        self[word] = at
+        return at
+
+    def forget(self) -> None:
+        self.clear()
+        self.hashes = np.empty((0, 2), np.uint64)
 
 
 _KEYS = _Keys()
@@ -94,9 +107,10 @@ def _keys(text: str | None) -> np.ndarray:
         return np.empty((0, 2), np.uint64)
     claim(_KEYS, _forget)
     if len(_KEYS) > CACHE_WORDS:
-        _KEYS.clear()
+        _KEYS.forget()
     words = _WORD.findall(text.lower())
-    return np.array(list(map(_KEYS.__getitem__, words)), np.uint64).reshape(-1, 2)
+    at = np.fromiter(map(_KEYS.__getitem__, words), np.int64, len(words))
+    return _KEYS.hashes[at]
 
 
 def _pairs(words: np.ndarray) -> np.ndarray:
@@ -372,7 +386,7 @@ def _loaded(stored: tuple[str, ...]) -> Ratios:
 
 
 def _forget() -> None:
-    _KEYS.clear()
+    _KEYS.forget()
     _loaded.cache_clear()
 
 
