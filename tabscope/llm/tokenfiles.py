@@ -12,8 +12,11 @@ the outliers: their places and full differences. Little-endian throughout:
              doc_id i64 and a byte that is 0 for a null id, each for every document
     tail:    blocks u64, documents u64, ids u64, start of the index u64, b"PFOR0001"
 
-Documents are dealt over shards by ranges of doc_id, so that shard after shard and
-document after document the ids ascend; a shard is some 12 MB of text.
+Documents are dealt over tasks by ranges of doc_id, so that shard after shard and document
+after document the ids ascend. A task has some 12 MB of text and writes one shard; beyond a
+number of tasks each has more, and writes several. A shard is what the returned row names:
+files get names of their own, so a task that runs twice leaves a file nobody reads, and
+never writes over one that somebody does.
 
 Texts are encoded with a file of the tokenizers library. Where the tokenizer is a plain
 byte-level one, a text is cut before each single space that precedes a word, where its
@@ -37,7 +40,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabscope.llm.common import (
@@ -50,12 +53,16 @@ from tabscope.llm.common import (
     scratch_table,
     small_side,
 )
+from tabscope.operators.ranking import global_running
 
 MAGIC = b"PFOR0001"
 BLOCK = 256
 #: The packed width fits this share of a block's differences; the others are outliers.
 FITS = 0.98
 SHARD_BYTES = 12 << 20
+#: Tasks at most, whatever the size, and ids after which a task begins another shard.
+MOST_TASKS = 20_000
+SHARD_IDS = 8 << 20
 #: Texts encoded at once: a chunk that comes twice in them is encoded once.
 ENCODE_BYTES = 16 << 20
 #: Words a worker remembers the ids of, some 40 bytes each.
@@ -364,16 +371,15 @@ def read_shard(data: bytes) -> Iterator[tuple[int | None, int, np.ndarray]]:
 def write_token_files(
     documents: DataFrame, folder: str, tokenizer: str, end_id: int = END_ID
 ) -> DataFrame:
-    """Write shards below ``folder``; returns (shard, file, documents, ids), one row each.
-
-    A retried task writes the same bytes under a name of its own and moves them into place.
-    """
+    """Write shards below ``folder``; returns (shard, file, documents, ids), one row each."""
     rows = identified(documents, ROW).select(
         "doc_id", F.coalesce("text", F.lit("")).alias("text"), ROW
     )
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     order = [F.asc_nulls_last("doc_id"), F.xxhash64("text"), F.col(ROW)]
-    dealt = rows.repartitionByRange(size // SHARD_BYTES + 1, *order).sortWithinPartitions(*order)
+    tasks = min(size // SHARD_BYTES + 1, MOST_TASKS)
+    dealt = rows.repartitionByRange(tasks, *order).sortWithinPartitions(*order)
+    most = SHARD_IDS
     end = np.array([end_id], "<u4").tobytes()
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -386,23 +392,30 @@ def write_token_files(
 
         found = encoded()
         head = next(found, None)
-        if head is None:
-            return
-        number = TaskContext.get().partitionId()
-        name = f"shard-{number:08d}.pfor"
+        part, made = TaskContext.get().partitionId(), 0
         fs, path = files_at(folder)
-        draft = f"{path}/.{name}.{uuid.uuid4().hex}"
-
-        def all_of() -> Iterator[tuple[int | None, bytes]]:
-            yield head
-            yield from found
-
-        with fs.open_output_stream(draft) as out:
-            documents, ids = _write_shard(out, all_of())
-        fs.move(draft, f"{path}/{name}")
-        yield pa.RecordBatch.from_pydict(
-            {"shard": [number], "file": [f"{folder}/{name}"], "documents": [documents], "ids": [ids]}
-        )
+        while head is not None:
+            # The document a shard ends with is the last one taken; the next begins another.
+            def shard() -> Iterator[tuple[int | None, bytes]]:
+                nonlocal head
+                held = 0
+                while head is not None and held < most:
+                    held += len(head[1]) // 4
+                    yield head
+                    head = next(found, None)
+
+            name = f"shard-{part:08d}-{made:06d}-{uuid.uuid4().hex}.pfor"
+            with fs.open_output_stream(f"{path}/{name}") as out:
+                documents, ids = _write_shard(out, shard())
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "shard": [part << 32 | made],
+                    "file": [f"{folder}/{name}"],
+                    "documents": [documents],
+                    "ids": [ids],
+                }
+            )
+            made += 1
 
     made = map_batches(
         dealt.select("doc_id", "text"), write, "shard long, file string, documents long, ids long"
@@ -413,11 +426,7 @@ def write_token_files(
 def read_token_files(shards: DataFrame) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 of every document, read from the shard files."""
     count = shards.count()
-    earlier = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    # One narrow row per 12 MB of text.
-    offsets = shards.select(
-        "shard", "file", F.coalesce(F.sum("ids").over(earlier), F.lit(0)).alias("before")
-    )
+    offsets = global_running(shards.select("shard", "file", "ids"), [F.col("shard")], "nr", {"ids": "before"})
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -434,7 +443,7 @@ def read_token_files(shards: DataFrame) -> DataFrame:
                     columns, names=["doc_id", "start", "n_tokens", "ids_crc32"]
                 )
 
-    spread = offsets.repartition(max(1, count), "shard").select("file", "before")
+    spread = offsets.repartition(max(1, min(count, MOST_TASKS)), "shard").select("file", "before")
     return map_batches(spread, read, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 

@@ -123,7 +123,10 @@ def _payload_key():
 
 
 def write_archives(pages: DataFrame, folder: str, least_bytes: int = 0) -> DataFrame:
-    """Write ``pages(page_id, url, html)`` below ``folder``; returns (file, bytes)."""
+    """Write ``pages(page_id, url, html)`` below ``folder``; returns (file, bytes).
+
+    The archives are what the rows name; a task that ran twice has left others.
+    """
     rows = identified(pages, ROW).select("page_id", "url", "html", ROW)
     equal = scratch_table(first_of_equal(rows, least_bytes), "warc-equal")
     side = small_side(equal, equal.count(), 128)
@@ -135,12 +138,10 @@ def write_archives(pages: DataFrame, folder: str, least_bytes: int = 0) -> DataF
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, path = files_at(folder)
         part = TaskContext.get().partitionId()
-        draft, out, size, made = "", None, 0, 0
+        name, out, size, made = "", None, 0, 0
 
         def close() -> pa.RecordBatch:
             out.close()
-            name = f"pages-{part:06d}-{made:04d}.warc"
-            fs.move(draft, f"{path}/{name}")
             return pa.RecordBatch.from_pydict({"file": [f"{folder}/{name}"], "bytes": [size]})
 
         for batch in batches:
@@ -148,8 +149,9 @@ def write_archives(pages: DataFrame, folder: str, least_bytes: int = 0) -> DataF
                 *(c.to_pylist() for c in batch.columns), strict=True
             ):
                 if out is None:
-                    draft = f"{path}/.{part}-{uuid.uuid4().hex}"
-                    out, size = fs.open_output_stream(draft), 0
+                    # A name of its own: a task that runs twice writes over nothing.
+                    name = f"pages-{part:06d}-{made:04d}-{uuid.uuid4().hex}.warc"
+                    out, size = fs.open_output_stream(f"{path}/{name}"), 0
                 revisits = (first, first_id) if first is not None and first != row else None
                 size += out.write(record(row, page_id, url, (html or "").encode(), revisits))
                 if size >= ARCHIVE_BYTES:

@@ -4,10 +4,12 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.fs as pafs
 import pytest
 from tokenizers import Tokenizer
 
 from tabscope.llm import tokenfiles as tf
+from tabscope.llm.common import files_at, scratch_dir, scratch_table
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -44,6 +46,32 @@ def test_many_shards(documents, monkeypatch):
     same(documents)
 
 
+def test_tasks_stay_under_their_bound_and_write_several_shards(documents, monkeypatch):
+    monkeypatch.setattr(tf, "SHARD_BYTES", 20_000)
+    monkeypatch.setattr(tf, "MOST_TASKS", 3)
+    monkeypatch.setattr(tf, "SHARD_IDS", 5_000)
+    folder = scratch_dir(documents.sparkSession, "few-tasks")
+    shards = tf.write_token_files(documents, folder, PATH).collect()
+    assert len({r.shard >> 32 for r in shards}) <= 3 < len(shards)
+    same(documents)
+
+
+def test_a_task_that_runs_twice_changes_nothing(documents, monkeypatch):
+    def twice(frame, name):
+        if name == "token-shards":
+            frame.write.format("noop").mode("overwrite").save()
+        return scratch_table(frame, name)
+
+    monkeypatch.setattr(tf, "scratch_table", twice)
+    folder = scratch_dir(documents.sparkSession, "twice")
+    shards = tf.write_token_files(documents, folder, PATH)
+    fs, path = files_at(folder)
+    there = [i.base_name for i in fs.get_file_info(pafs.FileSelector(path)) if i.base_name.endswith(".pfor")]
+    assert len(there) == 2 * shards.count()
+    got = sorted(((r.doc_id, r.n_tokens, r.ids_crc32) for r in tf.read_token_files(shards).collect()), key=repr)
+    assert got == plain(documents)
+
+
 def test_awkward_and_empty(awkward, nothing):
     same(awkward)
     assert tf.token_files(nothing, PATH).count() == 0

@@ -4,7 +4,7 @@ import hashlib
 import pytest
 
 from tabscope.llm import warc
-from tabscope.llm.common import scratch_dir
+from tabscope.llm.common import scratch_dir, scratch_table
 
 #: Payloads that hold the magic, whole records, or the start of one.
 TRAPS = [
@@ -67,6 +67,16 @@ def test_many_archives_and_small_payloads(spark, pages, rows, monkeypatch):
     assert rows(warc.round_trip(pages, least_bytes=9)) == plain(TRAPS, 9)
 
 
+def test_a_task_that_runs_twice_changes_nothing(spark, pages, rows, monkeypatch):
+    def twice(frame, name):
+        if name == "warc-archives":
+            frame.write.format("noop").mode("overwrite").save()
+        return scratch_table(frame, name)
+
+    monkeypatch.setattr(warc, "scratch_table", twice)
+    assert rows(warc.round_trip(pages)) == plain(TRAPS)
+
+
 def test_empty_table(pages):
     assert warc.round_trip(pages.where("false")).count() == 0
 
