@@ -12,7 +12,8 @@ Equal URLs are judged once. DataFrame functions only.
 Defined results: a null URL, or one without ``://``, has an empty host and path and fits no
 rule; a URL that fits no rule gets the default verdict; equally long rules of one URL are
 the same rule, and of repeated rules with different verdicts ``block`` wins; repeated rows
-are judged alike; an empty rule list leaves the default everywhere.
+are judged alike; an empty rule list leaves the default everywhere. A listed rule without
+a path (no ``/``) is no rule and is left out.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ DEFAULT = "allow"
 #: Sixteen bits for each rule: one in some thousand other keys passes.
 RULES_A_BLOCK = 16
 WORDS = 8
-#: Copies of a rule in the exact join when the rules are too many to broadcast.
+#: Copies of a block and of a rule where they are too many to broadcast.
 SALTS = 16
 
 
@@ -85,13 +86,13 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = DEFAULT) -> DataFra
     reach the driver.
     """
     listed = scratch_table(
-        rules.where("rule is not null and verdict is not null")
+        rules.where("rule is not null and verdict is not null and instr(rule, '/') > 0")
         .groupBy("rule")
         .agg(F.max("verdict").alias("verdict")),
         "url-rules",
     )
     path_length = F.length("rule") - F.instr("rule", "/") + 1
-    shape = listed.where(F.instr("rule", "/") > 0).agg(
+    shape = listed.agg(
         F.count(F.lit(1)).alias("n"), F.collect_set(path_length).alias("lengths")
     ).first()
     host, path = host_and_path(F.col("url"))
@@ -100,7 +101,10 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = DEFAULT) -> DataFra
         none = F.lit(None).cast("string").alias("rule")
         return parts.select("*", none, F.lit(default).alias("verdict"))
     blocks = shape.n // RULES_A_BLOCK + 1
-    bloom = small_side(bloom_blocks(listed, blocks), blocks, 96)
+    # A key that a third of all URLs have meets its block in several tasks, or in none.
+    salts = F.explode(F.array(*map(F.lit, range(SALTS))))
+    spread = bloom_blocks(listed, blocks).withColumn("salt", salts)
+    bloom = small_side(spread, blocks * SALTS, 104)
     keys = keys_of(F.col("host"), F.col("path"), sorted(shape.lengths))
     key = F.col("key")
     passed = [
@@ -115,12 +119,13 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = DEFAULT) -> DataFra
         .distinct()
         .select("host", "path", F.explode(keys).alias("key"))
         .withColumn("block", _block(key, blocks))
-        .join(bloom, "block")
+        .withColumn("salt", F.pmod(F.xxhash64("host", "path"), F.lit(SALTS)).cast("int"))
+        .join(bloom, ["block", "salt"])
         .where(hit)
-        .select("host", "path", "key", F.pmod(F.xxhash64("host", "path"), F.lit(SALTS)).alias("salt"))
+        .select("host", "path", "key", "salt")
     )
-    # A rule that a third of all URLs fit meets them in several tasks, or in none: broadcast.
-    salted = listed.withColumn("salt", F.explode(F.array(*map(F.lit, range(SALTS)))))
+    # So does a rule in the exact join.
+    salted = listed.withColumn("salt", salts)
     exact = possible.join(
         small_side(salted, SALTS, measured_bytes(listed, "rule", "verdict")),
         (possible["key"] == salted["rule"]) & (possible["salt"] == salted["salt"]),
