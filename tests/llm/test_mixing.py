@@ -1,9 +1,10 @@
+import math
 import re
 
 import pytest
 
 from tabscope.llm import mixing
-from tabscope.llm.common import WORD
+from tabscope.llm.common import WORD, content_order, identified
 
 
 def shares(sizes, weights, budget, most):
@@ -144,3 +145,93 @@ def test_columns_named_like_the_stages_own_stay(documents):
     made = mixing.mixed(frame)
     assert made.columns == frame.columns
     assert all(r._tabscope_row == r.doc_id + 1 for r in made.collect())
+
+
+def words(text):
+    return len(re.findall(WORD, text or ""))
+
+
+def plain_mix(frame, bucket_rows):
+    """Copies and positions of every row, source by source, in the stated order."""
+    order, tie = content_order(frame, mixing.SEED, "doc_id", "text", "source")
+    rows = frame.select("doc_id", "text", "source", order.alias("order"), tie.alias("tie")).collect()
+    sizes = {}
+    for r in rows:
+        sizes[r.source] = sizes.get(r.source, 0) + words(r.text)
+    names = sorted((s for s in sizes if s is not None), key=lambda s: s.encode())
+    names += [None] * (None in sizes)
+    kinds = {s: i % 3 for i, s in enumerate(names)}
+    weights = {s: mixing.WEIGHTS[k] for s, k in kinds.items()}
+    goal = shares(sizes, weights, 1.5 * sum(sizes.values()), 2)
+    out = []
+    for source in names:
+        mine = [r for r in rows if r.source == source]
+        buckets = max(1, math.ceil(len(mine) / bucket_rows))
+        mine.sort(key=lambda r: (r.order % buckets, r.order, r.tie))
+        total, target = sizes[source], goal[source]
+        whole = int(target // total) if total else 0
+        rest = target - whole * total
+        within, ended, gap = {}, 0, rest
+        left = [(i, words(r.text)) for i, r in enumerate(mine)] if rest > 0 else []
+        left = [x for x in left if x[1] <= rest]
+        while left:
+            before, behind = 0, []
+            for i, n in left:
+                if before + n <= gap:
+                    within[i] = ended + before
+                else:
+                    behind.append((i, n))
+                before += n
+            given = sum(n for i, n in left if i in within)
+            gap, ended = gap - given, ended + given
+            left = [x for x in behind if x[1] <= gap]
+        others = [
+            (abs(words(r.text) - gap), r.order, r.tie, i)
+            for i, r in enumerate(mine)
+            if rest > 0 and i not in within and words(r.text) and abs(words(r.text) - gap) < gap
+        ]
+        if others:
+            within[min(others)[3]] = ended
+        before = 0
+        for i, r in enumerate(mine):
+            n = words(r.text)
+            copies = min(whole + (i in within), 2)
+            places = []
+            for c in range(copies):
+                middle = c * total + (before if whole > c else within[i]) + n / 2
+                places.append(plain_time(min(middle / target, 1.0), kinds[source]) if target else None)
+            out.append((r.doc_id, n, n * copies, places))
+            before += n
+    return out
+
+
+def plain_time(share, kind):
+    """The time by halving, not in closed form."""
+    values = mixing.SCHEDULES[kind]
+    pieces = len(values) - 1
+
+    def spent(t):
+        done = 0.0
+        for i in range(pieces):
+            x = min(max(t * pieces - i, 0), 1)
+            done += (values[i] * x + (values[i + 1] - values[i]) * x * x / 2) / pieces
+        return done
+
+    low, high = 0.0, 1.0
+    for _ in range(60):
+        middle = (low + high) / 2
+        low, high = (middle, high) if spent(middle) < share * spent(1.0) else (low, middle)
+    return high
+
+
+@pytest.mark.parametrize("bucket_rows", [10_000, 7])
+def test_rows_and_positions_against_a_plain_version(documents, monkeypatch, bucket_rows):
+    monkeypatch.setattr(mixing, "BUCKET_ROWS", bucket_rows)
+    due = sorted(plain_mix(documents, bucket_rows))
+    made = sorted(
+        (r.doc_id, r.size, r.taken, list(r.positions))
+        for r in mixing.plan(identified(documents, mixing.ROW)).collect()
+    )
+    assert [m[:3] for m in made] == [d[:3] for d in due]
+    for (*_, got), (*_, want) in zip(made, due, strict=True):
+        assert got == pytest.approx(want, abs=1e-9)
