@@ -4,6 +4,14 @@ Rows that go: toxic documents, all but one of each near-duplicate group, documen
 hold a benchmark passage, documents the mix leaves out. The mix repeats documents of
 sources it needs more than once. The last stage writes token files and returns what they
 hold of every document.
+
+Defined results: null, empty and wordless texts are scored like a text without words, are
+near-duplicates of each other, hold no benchmark item, have the size 0 and so are in no mix;
+null ids, languages and sources are values of their own; repeated rows are near-duplicates;
+of documents that could stay for each other the one with the smallest id does, then the
+first by a hash of its values, so that two runs over the same documents keep the same rows;
+an empty table stays empty. Columns a stage does not know pass through, also when they are
+named like one of its own.
 """
 
 from __future__ import annotations
