@@ -27,8 +27,10 @@ from tabscope.session import ensure_checkpoint_dir, shared_dir
 #: Words as the contracts cut them: runs of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
-#: Rows of an Arrow batch: bounds a worker's memory where single texts are very long.
+#: Rows and bytes of an Arrow batch: they bound a worker's memory where texts are long. A
+#: batch ends with the row that passes the bytes.
 BATCH_ROWS = 512
+BATCH_BYTES = 16 << 20
 
 #: A frame is broadcast only below this many bytes, counted before the join.
 BROADCAST_BYTES = 32 << 20
@@ -39,10 +41,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Cap the rows Spark hands a Python worker at once (long texts: 512 rows at most)."""
+    """Cap the rows and bytes Spark hands a Python worker at once, for the session.
+
+    Lower values of the user's stay. The plan of a frame that is made now may run later, so
+    the settings can not be taken back.
+    """
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if int(spark.conf.get(key)) > BATCH_ROWS:
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
         spark.conf.set(key, str(BATCH_ROWS))
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if not 0 < _bytes(spark.conf.get(key)) <= BATCH_BYTES:
+        spark.conf.set(key, f"{BATCH_BYTES}b")
+
+
+def _bytes(setting: str) -> int:
+    """A size as Spark writes it: digits and a unit."""
+    number, unit = re.fullmatch(r"(-?\d+)\s*([a-z]*)", setting.strip().lower()).groups()
+    return int(number) << 10 * "bkmgtp".index((unit or "b")[0])
 
 
 _BLOCK_BITS = 15

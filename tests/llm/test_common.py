@@ -1,5 +1,6 @@
 """Helpers the operators share."""
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -54,3 +55,21 @@ def test_stages_leave_names_like_their_own_alone(spark, documents, labels, stage
     assert made.columns == frame.columns
     rows = made.collect()
     assert rows and all(r._tabscope_row == 2 * r.doc_id and r._tabscope_toxicity == "mine" for r in rows)
+
+
+def test_batches_are_bounded_by_bytes_too(spark):
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"n": [b.num_rows], "size": [b.nbytes]})
+
+    long = spark.range(0, 40, 1, 1).select(F.repeat(F.lit("abcdefghij"), 300_000).alias("text"))
+    made = common.map_batches(long, sizes, "n long, size long").collect()
+    assert sum(r.n for r in made) == 40
+    assert max(r.size for r in made) < common.BATCH_BYTES + 4_000_000
+    many = common.map_batches(spark.range(0, 2000, 1, 1), sizes, "n long, size long").collect()
+    assert max(r.n for r in many) == common.BATCH_ROWS
+
+
+@pytest.mark.parametrize("text, size", [("67108864b", 64 << 20), ("64m", 64 << 20), ("5 kb", 5 << 10), ("12", 12), ("-1", -1)])
+def test_sizes_as_spark_writes_them(text, size):
+    assert common._bytes(text) == size
