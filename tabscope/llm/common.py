@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import io
+import os
 import re
 import uuid
 import zipfile
@@ -129,17 +132,23 @@ def runs(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Table]:
 
 
 _claimed: list = []
+_LIBC = ctypes.CDLL(None) if os.name == "posix" else None
 
 
 def claim(owner: object, forget: Callable[[], None]) -> None:
     """Let only one operator keep a cache in this worker: another one's is emptied.
 
-    Workers outlive a stage, and the caches of several stages would add up.
+    Workers outlive a stage, and the caches of several stages would add up, with whatever
+    the allocators keep for themselves.
     """
     if _claimed and _claimed[0] is owner:
         return
     if _claimed:
         _claimed[1]()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        if hasattr(_LIBC, "malloc_trim"):
+            _LIBC.malloc_trim(0)
     _claimed[:] = [owner, forget]
 
 

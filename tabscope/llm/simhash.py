@@ -32,6 +32,7 @@ from pyspark.sql import types as T
 
 from tabscope.llm.common import (
     appended,
+    claim,
     content_order,
     identified,
     keeping_names,
@@ -77,6 +78,7 @@ def with_fingerprints(
     documents: DataFrame, name: str = "fp", width: int = SHINGLE_WORDS
 ) -> DataFrame:
     def run(texts: pa.Array) -> list:
+        claim(fingerprint, lambda: None)  # keeps nothing, and lets go of what others kept
         return [[fingerprint(t, width) for t in texts.to_pylist()]]
 
     return appended(documents, ["text"], run, [T.StructField(name, T.LongType())])
