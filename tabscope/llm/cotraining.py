@@ -143,7 +143,7 @@ def features(documents: DataFrame, labels: DataFrame) -> DataFrame:
         F.col("source").cast("string").alias("source"), "text",
         F.col("n_chars").cast("long").alias("n_chars"),
     )
-    joined = rows.join(small_side(known, known.count(), 64), F.col("doc_id") == F.col("_id"), "left")
+    joined = rows.join(small_side(known, known.count(), 96), F.col("doc_id") == F.col("_id"), "left")
     dealt = F.pmod(F.xxhash64(F.lit(2), "doc_id", "n_chars"), F.lit(ROUNDS)).cast("int")
     chosen = joined.select(
         "doc_id", "lang", "source", F.col("_label").alias("label"),

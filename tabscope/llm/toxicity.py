@@ -142,7 +142,7 @@ def training_labels(labels: DataFrame) -> DataFrame:
 def labelled(documents: DataFrame, known: DataFrame, rows: int) -> DataFrame:
     """(text, label) of the documents that the ``rows`` labels of ``known`` belong to."""
     texts = documents.select(F.col("doc_id").alias("_id"), F.col("text").alias("_text"))
-    return texts.join(small_side(known, rows, 32), "_id").select("_text", "_label")
+    return texts.join(small_side(known, rows, 96), "_id").select("_text", "_label")
 
 
 # Counting ------------------------------------------------------------------------------
