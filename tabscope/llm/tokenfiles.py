@@ -64,9 +64,9 @@ SHARD_BYTES = 12 << 20
 MOST_TASKS = 20_000
 SHARD_IDS = 8 << 20
 #: Texts encoded at once: a chunk that comes twice in them is encoded once.
-ENCODE_BYTES = 16 << 20
+ENCODE_BYTES = 6 << 20
 #: Words a worker remembers the ids of, some 40 bytes each.
-KNOWN_WORDS = 1_000_000
+KNOWN_WORDS = 600_000
 END_ID = 2
 ROW = "_tabscope_row"
 _HEAD = struct.Struct("<IBH")
