@@ -60,7 +60,7 @@ BLOOM_BITS_EACH = 32
 BLOOM_MOST_BITS = 29
 #: A worker forgets its chunks beyond so many, some 200 bytes each.
 CACHE_CHUNKS = 120_000
-RUN_BYTES = 4 << 20
+RUN_BYTES = 2 << 20
 ROW = "_tabscope_row"
 
 NUMBER_WORDS = frozenset(

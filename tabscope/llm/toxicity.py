@@ -65,7 +65,7 @@ THRESHOLD = 0.3
 RUN_WORDS = 1_000_000
 BUCKET_BYTES = 16 << 20
 #: A worker forgets its word cache beyond this many words.
-CACHE_WORDS = 200_000
+CACHE_WORDS = 150_000
 
 _WORD = re.compile(r"[^\W_]+")
 _SLOTS = 1 << 20
