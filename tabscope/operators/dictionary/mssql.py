@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tabscope.operators.dictionary.common import (
     KIB,
     NO_PARTITION,
-    keep_schemas,
+    schema_names,
     shaped,
     text_or_empty,
     yes_no,
@@ -22,8 +22,8 @@ PAGE_KIB = 8
 
 
 def _user_tables(sys_tables: DataFrame, sys_schemas: DataFrame, schemas: Sequence[str]) -> DataFrame:
-    named = keep_schemas(sys_schemas, "name", schemas).select(
-        "schema_id", F.col("name").alias("schema_name")
+    named = schema_names(
+        sys_schemas.select("schema_id", F.col("name").alias("schema_name")), "schema_name", schemas
     )
     return sys_tables.select("object_id", "schema_id", F.col("name").alias("table_name")).join(
         named, "schema_id"
@@ -131,15 +131,16 @@ def segments(
     allocation_units: DataFrame,
     schemas: Sequence[str],
 ) -> DataFrame:
-    """One table segment per table: the pages of its data and its indexes."""
-    pages = allocation_units.groupBy(F.col("container_id").alias("partition_id")).agg(
-        F.sum("total_pages").alias("pages")
-    )
+    """One table segment per table: the pages of its data and its indexes.
+
+    A partition has three allocation units at most: only the sum per table is worth making.
+    """
+    units = allocation_units.select(F.col("container_id").alias("partition_id"), "total_pages")
     sizes = (
         partitions.select("object_id", "partition_id")
-        .join(pages, "partition_id")
+        .join(units, "partition_id")
         .groupBy("object_id")
-        .agg((F.sum("pages") * PAGE_KIB * KIB).alias("bytes"))
+        .agg((F.sum("total_pages") * PAGE_KIB * KIB).alias("bytes"))
     )
     return shaped(
         _user_tables(sys_tables, sys_schemas, schemas).join(sizes, "object_id", "left"),

@@ -266,3 +266,62 @@ def test_lake_dictionary(spark, tmp_path, rows):
     stats = spark.createDataFrame([("main", "t", "a", 3, 1, 2)], "owner_nm string, tab_nm string, col_nm string, max_len int, notnull_cnt bigint, tab_cnt bigint")
     seen = lake.measured(lake.columns(spark, {"t": frame}), stats)
     assert rows(seen, "col_nm", "data_len", "null_yn") == [("a", 3, "Y"), ("b", None, "Y")]
+
+
+def test_objects_meet_their_schemas_without_moving(spark):
+    """Objects of a schema are not gathered in one task to learn its name."""
+    ids = spark.range(1000)
+    schemas = ids.selectExpr("id % 3 AS schema_id", "concat('S', id % 3) AS name").distinct()
+    tables = ids.selectExpr("id AS object_id", "id % 3 AS schema_id", "concat('T', id) AS name")
+    indexes = ids.selectExpr(
+        "id AS object_id", "concat('I', id) AS name", "'HEAP' AS type_desc", "0 AS is_unique",
+        "0 AS is_disabled",
+    )
+    made = mssql.indexes(indexes, tables, schemas, ["S0", "S1"])
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert "strategy=broadcast" in plan
+    assert made.count() == 667
+
+
+def test_segments_are_summed_once(spark):
+    """Pages are joined and summed per table, with no aggregate of the units before."""
+    parts = spark.createDataFrame([(1, 11), (1, 12), (2, 21), (3, 31)], "object_id long, partition_id long")
+    units = spark.createDataFrame(
+        [(11, 1), (11, 2), (12, None), (21, None), (99, 7)], "container_id long, total_pages long"
+    )
+    tables = spark.createDataFrame([(i, 1, f"T{i}") for i in (1, 2, 3)], "object_id long, schema_id long, name string")
+    schemas = spark.createDataFrame([(1, "S")], "schema_id long, name string")
+    made = mssql.segments(tables, schemas, parts, units, ["S"])
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate") == 1
+    assert {(r.segment_nm, r.segment_size) for r in made.collect()} == {("T1", 24576), ("T2", 0), ("T3", 0)}
+
+
+def test_relations_no_table_is_named_like_go_before_they_are_described(spark):
+    make = spark.createDataFrame
+    base = make([("S", "T1", "BASE TABLE"), ("S", "T2", "BASE TABLE"), ("X", "T1", "BASE TABLE")],
+                "table_schema string, table_name string, table_type string")
+    classes = make([(10, "T1", 1, 0, 5 * MB), (11, "I1", 1, 0, MB), (12, "T1", 2, 0, MB)],
+                   "oid long, relname string, relnamespace long, reltablespace long, total_bytes long")
+    spaces, stats = make([(0, "SP")], "oid long, spcname string"), make(
+        [("S", "T2", 7, TS)], "schemaname string, relname string, n_live_tup long, last_analyze timestamp_ntz")
+    comments = make([(10, "pg_class", 0, "one"), (11, "pg_class", 0, "index")],
+                    "objoid long, classname string, objsubid int, description string")
+    names = make([(1, "S"), (2, "X")], "oid long, nspname string")
+    made = postgres.tables(base, classes, names, spaces, stats, comments, ["S"])
+    assert "LeftSemi" in made._jdf.queryExecution().optimizedPlan().toString()
+    found = {(r.tab_nm, r.tab_comment, r.tablespace_nm, r.row_cnt, r.tab_mb_size) for r in made.collect()}
+    assert found == {("T1", "one", "SP", None, 5), ("T2", "", None, 7, 0)}
+
+
+def test_lines_are_dealt_over_more_tasks_as_they_grow(small, monkeypatch):
+    """What one task joins and groups of an extract is bounded by bytes, not by settings."""
+    from verification import catalogs
+
+    before = {tuple(r) for r in catalogs.extract(small, "sys_indexes").collect()}
+    size = small.bytes("lineitem") + small.bytes("orders")
+    assert size > 0
+    monkeypatch.setattr(catalogs, "TASK_BYTES", size // 20)
+    dealt = catalogs.extract(small, "sys_indexes")
+    assert dealt.rdd.getNumPartitions() >= 20
+    assert {tuple(r) for r in dealt.collect()} == before
