@@ -14,6 +14,9 @@ _FRACTIONAL = (T.FloatType, T.DoubleType)
 # documents shuffles 66 bytes per value instead of the document.
 DIGEST_OVER_BYTES = 64
 
+# Fixed value: the key type that all integers share.
+INTEGER_KEY = "bigint"
+
 
 def canonical_text(col: Column, dtype: T.DataType, decimals: int | None = None) -> Column:
     """The text a profile shows for a value.
@@ -40,5 +43,5 @@ def distinct_key(col: Column, dtype: T.DataType) -> tuple[str, Column]:
         digest = F.concat(F.lit("h:"), F.sha2(col, 256))
         return "string", F.when(F.octet_length(col) > DIGEST_OVER_BYTES, digest).otherwise(col)
     if isinstance(dtype, T.IntegralType):
-        return "bigint", col.cast("bigint")
+        return INTEGER_KEY, col.cast(INTEGER_KEY)
     return dtype.simpleString(), col

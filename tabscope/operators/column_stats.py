@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabscope.functions.text import canonical_text, distinct_key
+from tabscope.functions.text import INTEGER_KEY, canonical_text, distinct_key
 from tabscope.functions.types import is_character
 from tabscope.operators.shapes import (
     bounded_broadcast,
@@ -65,12 +65,13 @@ def _is_text(r: ColumnRef) -> bool:
 
 def _keyed_rows(
     groups: Sequence[Sequence[ColumnRef]],
-) -> dict[tuple[str, int | None], DataFrame]:
-    """Long rows (``ref``, ``key``) of all tables, by key type and text decimals.
+) -> dict[tuple[str, int | None], tuple[list[str], DataFrame]]:
+    """Refs and long rows (``ref``, ``key``) of all tables, by key type and text decimals.
 
     The frames read disjoint columns, so no byte of a columnar table is read twice.
     """
     frames: dict[tuple[str, int | None], list[DataFrame]] = {}
+    refs: dict[tuple[str, int | None], list[str]] = {}
     for group in groups:
         keyed: dict[tuple[str, int | None], dict[str, tuple[ColumnRef, Column]]] = {}
         for r in group:
@@ -81,7 +82,8 @@ def _keyed_rows(
                 [r for r, _ in members.values()], lambda r: members[r.ref][1], "key"
             )
             frames.setdefault(family, []).append(rows)
-    return {family: union_all(parts) for family, parts in frames.items()}
+            refs.setdefault(family, []).extend(members)
+    return {family: (refs[family], union_all(parts)) for family, parts in frames.items()}
 
 
 def _distinct(groups: Sequence[Sequence[ColumnRef]]) -> DataFrame:
@@ -91,7 +93,7 @@ def _distinct(groups: Sequence[Sequence[ColumnRef]]) -> DataFrame:
         .distinct()
         .groupBy("ref")
         .agg(F.count(F.lit(1)).alias("col_kind"))
-        for rows in _keyed_rows(groups).values()
+        for _, rows in _keyed_rows(groups).values()
     )
 
 
@@ -115,39 +117,70 @@ def _one_row_stats(one_row: DataFrame, refs: Sequence[str]) -> DataFrame:
     )
 
 
+def _facts(rows: DataFrame, key_type: str, decimals: int | None, refs: Sequence[str] | None) -> DataFrame:
+    """Value counts of one key type as rows, with what each adds to its column's statistics.
+
+    Integers of one sign and length stand in the order of their texts or in its reverse, so
+    all that the extremes need is the least and the greatest of each such group. For other
+    types every value is a row; ``refs`` names the columns whose text is wanted.
+    """
+    counts = rows.groupBy("ref", "key").agg(F.count(F.lit(1)).alias("n"))
+    key = F.col("key")
+    held = F.when(key.isNotNull(), F.col("n")).alias("held")
+    if key_type == INTEGER_KEY:
+        size = F.length(key.cast("string")).alias("len")
+        shapes = counts.select(F.col("ref").alias("of"), "key", "n", held, size)
+        return shapes.groupBy("of", "len", (key < 0).alias("negative")).agg(
+            F.sum("n").alias("n"),
+            F.sum("held").alias("held"),
+            F.count("key").alias("kinds"),
+            F.max("key").cast("string").alias("high"),
+            F.min("key").cast("string").alias("low"),
+        ).select("of", "n", "held", "kinds", "high", "low", "len")
+    text = canonical_text(key, rows.schema["key"].dataType, decimals)
+    if refs is not None:
+        text = F.when(F.col("ref").isin(*refs), text)
+    return counts.select(
+        F.col("ref").alias("of"), "n", held, key.isNotNull().cast("bigint").alias("kinds"), text.alias("txt")
+    ).select("of", "n", "held", "kinds", F.col("txt").alias("high"), F.col("txt").alias("low"), F.length("txt").alias("len"))
+
+
 def _by_value(
-    families: dict[tuple[str, int | None], DataFrame], refs: Sequence[str], batch_columns: int
+    families: dict[tuple[str, int | None], tuple[list[str], DataFrame]], batch_columns: int
 ) -> DataFrame:
     """All statistics of columns that are not text, from their value counts.
 
     The extremes are keyless aggregates with a condition per column: grouped by column,
     extremes of strings would sort all distinct values. Text is made per key type, and
-    the columns of all types share an aggregate; the batches read the same exchanges.
+    the columns of all types share an aggregate. Columns go by type, so that a batch reads
+    the exchanges of its own types only and makes the text of its own columns.
     """
-
-    def shown(rows: DataFrame, decimals: int | None) -> DataFrame:
-        counts = rows.groupBy("ref", "key").agg(F.count(F.lit(1)).alias("n"))
-        text = canonical_text(F.col("key"), rows.schema["key"].dataType, decimals)
-        return counts.select("ref", F.col("key").isNotNull().alias("held"), "n", text.alias("txt"))
-
-    every = union_all(shown(rows, decimals) for (_, decimals), rows in families.items())
-
-    def aggregates(ref: str) -> Column:
-        mine = F.col("ref") == ref
-        own = F.when(mine, F.col("txt"))
-        return F.struct(
-            F.sum(F.when(mine, F.col("n"))),
-            F.sum(F.when(mine & F.col("held"), F.col("n"))),
-            F.count_if(mine & F.col("held")),
-            F.max(own),
-            F.min(own),
-            F.max(F.length(own)),
+    planned = [(family, ref) for family, (refs, _) in families.items() for ref in refs]
+    parts = []
+    for i in range(0, len(planned), batch_columns):
+        mine: dict[tuple[str, int | None], list[str]] = {}
+        for family, ref in planned[i : i + batch_columns]:
+            mine.setdefault(family, []).append(ref)
+        every = union_all(
+            _facts(families[f][1], *f, refs if len(refs) < len(families[f][0]) else None)
+            for f, refs in mine.items()
         )
-
-    batches = [refs[i : i + batch_columns] for i in range(0, len(refs), batch_columns)]
-    return union_all(
-        _one_row_stats(every.agg(*[aggregates(r).alias(r) for r in batch]), batch)
-        for batch in batches
+        batch = [ref for refs in mine.values() for ref in refs]
+        parts.append(_one_row_stats(every.agg(*[_of_column(r).alias(r) for r in batch]), batch))
+    return union_all(parts)
+
+
+def _of_column(ref: str) -> Column:
+    def own(name: str) -> Column:
+        return F.when(F.col("of") == ref, F.col(name))
+
+    return F.struct(
+        F.sum(own("n")),
+        F.sum(own("held")),
+        F.sum(own("kinds")),
+        F.max(own("high")),
+        F.min(own("low")),
+        F.max(own("len")),
     )
 
 
@@ -251,8 +284,7 @@ def column_stats(
     others = [o for g in groups if (o := [r for r in g if not _is_text(r)])]
     facts = []
     if others:
-        refs = [r.ref for group in others for r in group]
-        facts.append(_by_value(_keyed_rows(others), refs, batch_columns))
+        facts.append(_by_value(_keyed_rows(others), batch_columns))
     if texts:
         facts.append(_text_stats(texts, batch_columns, extreme_chars))
 

@@ -211,3 +211,34 @@ def test_report_levels(small):
     assert same(direct, profile_report(source))
     numbers = profile_report(inputs(small, "labels"))
     assert numbers.count() == 3
+
+
+def test_integers_are_reduced_to_a_row_per_length(spark):
+    """What is asked about for every column are sign and length groups, not values."""
+    values = [-(2**63), 2**63 - 1, -10, -9, -100, 0, 9, 10, 100, 9, None]
+    names = [f"c{i}" for i in range(40)]
+    frame = spark.createDataFrame([(v,) for v in values], "v bigint").select(
+        *[F.col("v").alias(n) for n in names], F.lit(None).cast("int").alias("empty")
+    )
+    stats = column_stats([profile_input(frame, "t")], with_row_count=True)
+    assert "HashAggregate(keys=[of#" in stats._jdf.queryExecution().executedPlan().toString()
+    found = {r.col_nm: r for r in stats.collect()}
+    texts = [str(v) for v in values if v is not None]
+    for name in names:
+        r = found[name]
+        assert (r.tab_cnt, r.notnull_cnt, r.col_kind) == (11, 10, 9)
+        assert (r.max_col_val, r.min_col_val, r.max_len) == (max(texts), min(texts), 20)
+    r = found["empty"]
+    assert (r.tab_cnt, r.notnull_cnt, r.col_kind, r.max_col_val, r.max_len) == (11, 0, 0, None, 0)
+
+
+def test_a_batch_reads_the_types_of_its_own_columns(spark):
+    columns = [f"id * 0.5D AS d{i}" for i in range(3)] + ["date_add(DATE '2024-01-01', CAST(id AS INT)) AS day"]
+    frame = spark.range(20).selectExpr(*columns)
+    stats = column_stats([profile_input(frame, "t")], batch_columns=3)
+    plan = stats._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Range (0, 20") == 2
+    found = {r.col_nm: (r.max_col_val, r.min_col_val, r.col_kind) for r in stats.collect()}
+    assert found["day"] == ("2024-01-20", "2024-01-01", 20)
+    assert {v[2] for v in found.values()} == {20} and len(found) == 4
+    assert {float(found[f"d{i}"][0]) for i in range(3)} == {float(max(f"{i / 2:.2f}" for i in range(20)))}
