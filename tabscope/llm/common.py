@@ -90,10 +90,25 @@ def map_batches(
     func: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
     schema: T.StructType | str,
 ) -> DataFrame:
-    """``mapInArrow`` over batches of a bounded number of rows."""
+    """``mapInArrow`` over batches of a bounded number of rows; tasks give memory back."""
     small_batches(df.sparkSession)
     ship_package(df.sparkSession)
-    return df.mapInArrow(func, schema)
+    return df.mapInArrow(trimmed(func), schema)
+
+
+def trimmed(
+    func: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
+) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``func``, and when its task ends what the allocators hold is given back.
+
+    A worker outlives its task, and waits beside stages that need the memory themselves.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from func(batches)
+        trim()
+
+    return run
 
 
 def appended(
@@ -146,12 +161,17 @@ def claim(owner: object, forget: Callable[[], None]) -> None:
     if _claimed:
         _claimed[1]()
         gc.collect()
-        pa.default_memory_pool().release_unused()
-        if hasattr(_LIBC, "malloc_trim"):
-            _LIBC.malloc_trim(0)
+        trim()
     _claimed[:] = [owner, forget]
 
 
+def trim() -> None:
+    """Give back what the allocators keep of freed memory."""
+    pa.default_memory_pool().release_unused()
+    if hasattr(_LIBC, "malloc_trim"):
+        _LIBC.malloc_trim(0)
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A new folder under the shared checkpoint folder, deleted when the session ends."""
     ensure_checkpoint_dir(spark)

@@ -64,14 +64,15 @@ SHARD_BYTES = 12 << 20
 MOST_TASKS = 20_000
 SHARD_IDS = 8 << 20
 #: Texts encoded at once: a chunk that comes twice in them is encoded once.
-ENCODE_BYTES = 6 << 20
+ENCODE_BYTES = 4 << 20
 #: Words a worker remembers the ids of, some 40 bytes each.
 KNOWN_WORDS = 600_000
 END_ID = 2
 ROW = "_tabscope_row"
 _HEAD = struct.Struct("<IBH")
 _TAIL = struct.Struct("<QQQQ8s")
-_WRITE_IDS = 1 << 20
+#: Ids packed at once: each takes some 60 bytes while it is.
+_WRITE_IDS = 1 << 18
 
 
 # Blocks --------------------------------------------------------------------------------

@@ -73,3 +73,12 @@ def test_batches_are_bounded_by_bytes_too(spark):
 @pytest.mark.parametrize("text, size", [("67108864b", 64 << 20), ("64m", 64 << 20), ("5 kb", 5 << 10), ("12", 12), ("-1", -1)])
 def test_sizes_as_spark_writes_them(text, size):
     assert common._bytes(text) == size
+
+
+def test_a_task_gives_its_memory_back(monkeypatch):
+    done = []
+    monkeypatch.setattr(common, "trim", lambda: done.append("trimmed"))
+    batch = pa.RecordBatch.from_pydict({"x": [1]})
+    run = common.trimmed(lambda batches: (done.append("batch") or b for b in batches))
+    assert list(run(iter([batch, batch]))) == [batch, batch]
+    assert done == ["batch", "batch", "trimmed"]

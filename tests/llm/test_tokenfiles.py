@@ -117,3 +117,20 @@ def test_other_tokenizers_encode_whole_texts():
     assert not encode.chunked
     want = Tokenizer.from_file(path).encode("Hello there,  world", add_special_tokens=False).ids
     assert encode(pa.array(["Hello there,  world"]))[0].tolist() == want
+
+
+def test_packing_needs_little_memory():
+    """A shard of many ids is packed in small runs, with the same blocks."""
+    import io
+    import tracemalloc
+
+    ids = np.random.default_rng(7).integers(0, 50_000, 2 << 20).astype("<u4")
+    documents = [(n, part.tobytes()) for n, part in enumerate(np.array_split(ids, 3000))]
+    out = io.BytesIO()
+    tracemalloc.start()
+    tf._write_shard(out, iter(documents))
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert peak < 40 << 20
+    read = np.concatenate([tokens for _, _, tokens in tf.read_shard(out.getvalue())])
+    assert (read == ids).all()
