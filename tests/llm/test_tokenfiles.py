@@ -1,5 +1,9 @@
+import os
 import random
+import subprocess
+import sys
 import zlib
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -134,3 +138,46 @@ def test_packing_needs_little_memory():
     assert peak < 40 << 20
     read = np.concatenate([tokens for _, _, tokens in tf.read_shard(out.getvalue())])
     assert (read == ids).all()
+
+
+_THREADS = """
+import os, sys
+import pyarrow as pa
+from tabscope.llm.tokenfiles import Encoder
+words = [f"{a}{b}'{c}" for a in "abcdefghij" for b in "klmnopqrst" for c in "uvwxyz"] * 4
+before = len(os.listdir("/proc/self/task"))
+encode = Encoder(sys.argv[1])
+encode(pa.array([" ".join(words)] * 100))
+print(len(os.listdir("/proc/self/task")) - before)
+"""
+
+
+def test_the_tokenizer_starts_no_threads_in_a_task():
+    root = str(Path(tf.__file__).parents[2])
+    env = {k: v for k, v in os.environ.items() if k != "TOKENIZERS_PARALLELISM"} | {"PYTHONPATH": root}
+    made = subprocess.run(
+        [sys.executable, "-c", _THREADS, PATH], env=env, capture_output=True, text=True, check=True
+    )
+    assert int(made.stdout) == 0
+
+
+def test_words_of_letters_are_one_call_of_the_model():
+    """Nothing but the first chunk of a text and words of other characters is pre-tokenized."""
+    asked = []
+
+    class Counting:
+        def __init__(self, tokenizer):
+            self.tokenizer = tokenizer
+
+        def encode_batch_fast(self, texts, **options):
+            asked.extend(texts)
+            return self.tokenizer.encode_batch_fast(texts, **options)
+
+    letters = ["word", "Straße", "ÀÖØöøſ", "Привет", "ΑΡαω", "É", "zzqxv"]
+    others = ["x1", "a-b", "중국", "end.\nNext", "end.\n\nNext", "two\n", "\nthree", "a\n\tb", "x÷y", "΢"]
+    text = " ".join([*others[:1], *letters, *others, *letters])
+    encode = tf.Encoder(PATH)
+    want = encode.tokenizer.encode(text, add_special_tokens=False).ids
+    encode.tokenizer = Counting(encode.tokenizer)
+    assert encode(pa.array([text]))[0].tolist() == want
+    assert not any(f" {word}" in call for call in asked for word in letters)
