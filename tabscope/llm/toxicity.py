@@ -64,62 +64,96 @@ THRESHOLD = 0.3
 #: Words counted at a time, and bytes of pairs one task sums.
 RUN_WORDS = 1_000_000
 BUCKET_BYTES = 16 << 20
-#: A worker forgets its word cache beyond this many words.
-CACHE_WORDS = 150_000
+#: Characters of the texts whose words are worked on at once.
+RUN_CHARACTERS = 1 << 20
+#: Words of more bytes are hashed alone.
+LONG_WORD = 256
+#: First bits of its keys that a table of ratios knows, at most.
+MOST_BITS = 24
 
-_WORD = re.compile(r"[^\W_]+")
 _SLOTS = 1 << 20
 TOP = 2
 _ODD = np.array([0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93], np.uint64)
+#: What is no letter or digit beyond ASCII, and whether a byte of the remaining text is one.
+_OTHER = re.compile(r"[^\x00-\x7F\w]+")
+_IN_WORD = np.array([b > 0x7F or chr(b).isalnum() for b in range(0x100)])
+_FIRST_BYTES = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+
+
+def _hashes(data: bytes, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Hashes of the ``sizes`` bytes from ``starts`` on; at least seven more follow them."""
+    eights = np.ndarray(len(data) - 7, "<u8", data, strides=(1,))
+    out = sizes.astype(np.uint64) * _ODD[0]
+    for i in np.flatnonzero(sizes > LONG_WORD).tolist():
+        out[i] = xxhash.xxh3_64_intdigest(data[starts[i] : starts[i] + sizes[i]])
+    which = np.flatnonzero(sizes <= LONG_WORD)
+    done = 0
+    while len(which):
+        left = sizes[which] - done
+        h = (out[which] ^ (eights[starts[which] + done] & _FIRST_BYTES[np.minimum(left, 8)])) * _ODD[0]
+        h = (h ^ (h >> np.uint64(32))) * _ODD[1]
+        out[which] = h ^ (h >> np.uint64(29))
+        done += 8
+        which = which[left > 8]
+    return out
+
 
+def _hash(word: str) -> int:
+    """The hash of one word."""
+    data = word.encode("utf-8", "surrogatepass")
+    return int(_hashes(data + bytes(8), np.zeros(1, np.int64), np.array([len(data)]))[0])
 
-def _hash(text: str) -> int:
-    return xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass"))
 
+def _stems(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Bytes of the first letters of the words at ``starts``."""
+    leads = np.flatnonzero(data & 0xC0 != 0x80)
+    if len(leads) == len(data):
+        return np.minimum(sizes, STEM_LETTERS)
+    after = np.searchsorted(leads, starts) + STEM_LETTERS
+    return np.minimum(sizes, np.append(leads, [len(data)] * STEM_LETTERS)[after] - starts)
 
-class _Keys(dict):
-    """Word to its place in two arrays: the hashes of itself and of its stem."""
 
-    def __init__(self) -> None:
-        super().__init__()
-        self.hashes = np.empty((0, 2), np.uint64)
+def _words(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """(words, 2): the hashes of the words of the texts and of their stems, in order; and
+    where each text's begin and the last one's end."""
+    claim(_loaded, _loaded.cache_clear)
+    lower = [(t or "").lower() for t in texts]
+    parts = [(t if t.isascii() else _OTHER.sub(" ", t)).encode("utf-8", "surrogatepass") for t in lower]
+    joined = b" ".join([b"", *parts, bytes(8)])
+    data = np.frombuffer(joined, np.uint8)
+    inside = _IN_WORD[data]
+    edges = np.flatnonzero(inside[1:] != inside[:-1]) + 1
+    starts, sizes = edges[::2], edges[1::2] - edges[::2]
+    found = np.empty((len(starts), 2), np.uint64)
+    found[:, 0] = _hashes(joined, starts, sizes)
+    found[:, 1] = _hashes(joined, starts, _stems(data, starts, sizes))
+    return found, np.searchsorted(starts, np.cumsum([0, *[len(part) + 1 for part in parts]]))
 
-    def __missing__(self, word: str) -> int:
-        at = len(self)
-        if at == len(self.hashes):
-            more = np.zeros((max(1024, at), 2), np.uint64)
-            self.hashes = np.concatenate([self.hashes, more])
-        self.hashes[at] = _hash(word), _hash(word[:STEM_LETTERS])
-        self[word] = at
-        return at
 
-    def forget(self) -> None:
-        self.clear()
-        self.hashes = np.empty((0, 2), np.uint64)
+def _keys(text: str | None) -> np.ndarray:
+    """The hashes of the words of one text."""
+    return _words([text])[0]
 
 
-_KEYS = _Keys()
+def _in_runs(texts: list[str | None]) -> Iterator[slice]:
+    """The places of ``texts``, RUN_CHARACTERS at once."""
+    at = held = 0
+    for i, text in enumerate(texts):
+        held += len(text or "")
+        if held >= RUN_CHARACTERS or i + 1 == len(texts):
+            yield slice(at, i + 1)
+            at, held = i + 1, 0
 
 
-def _keys(text: str | None) -> np.ndarray:
-    """(words, 2): the hashes of the words of a text, in order."""
-    if not text:
-        return np.empty((0, 2), np.uint64)
-    claim(_KEYS, _forget)
-    if len(_KEYS) > CACHE_WORDS:
-        _KEYS.forget()
-    words = _WORD.findall(text.lower())
-    at = np.fromiter(map(_KEYS.__getitem__, words), np.int64, len(words))
-    return _KEYS.hashes[at]
-
-
-def _pairs(words: np.ndarray) -> np.ndarray:
-    """The hash of each word with the one before it; 0 for the first."""
+def _pairs(words: np.ndarray, bounds: np.ndarray | None = None) -> np.ndarray:
+    """The hash of each word with the one before it; 0 for the first of a text."""
     out = np.zeros(len(words), np.uint64)
     if len(words) > 1:
         key = words[:-1] * _ODD[0] + words[1:]
         key = (key ^ (key >> np.uint64(32))) * _ODD[1]
         out[1:] = key ^ (key >> np.uint64(29))
+    if bounds is not None:
+        out[bounds[bounds < len(out)]] = 0
     return out
 
 
@@ -192,11 +226,12 @@ def _sender(buckets: int):
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, labels, pairs, size = [], [], [], 0
         for batch in batches:
-            for text, label in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                found = _keys(text)
+            texts, marks = batch.column(0).to_pylist(), batch.column(1).to_numpy()
+            for run in _in_runs(texts):
+                found, bounds = _words(texts[run])
                 words.append(found)
-                labels.append(np.full(len(found), label, np.int64))
-                pairs.append(_pairs(found[:, 0]))
+                labels.append(np.repeat(marks[run].astype(np.int64), np.diff(bounds)))
+                pairs.append(_pairs(found[:, 0], bounds))
                 size += len(found)
             if size > RUN_WORDS:
                 yield from flush(words, labels, pairs)
@@ -343,16 +378,27 @@ class Table:
     keys: np.ndarray
     ratios: np.ndarray
 
+    def __post_init__(self) -> None:
+        # Most keys looked for are not there, which their first bits tell.
+        bits = min(max(8 * len(self.keys), 2).bit_length(), MOST_BITS)
+        self.shift = np.uint64(64 - bits)
+        self.begins = np.zeros(1 << bits, bool)
+        self.begins[self.keys >> self.shift] = True
+
     @classmethod
     def of(cls, keys: np.ndarray, values: np.ndarray) -> Table:
         order = np.argsort(keys)
         return cls(keys[order], values[order].astype(np.float64))
 
     def __call__(self, keys: np.ndarray, otherwise: np.ndarray) -> np.ndarray:
-        if not len(self.keys):
-            return otherwise
-        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        return np.where(self.keys[at] == keys, self.ratios[at], otherwise)
+        out = otherwise.copy()
+        maybe = np.flatnonzero(self.begins[keys >> self.shift])
+        if len(maybe):
+            some = keys[maybe]
+            at = np.minimum(np.searchsorted(self.keys, some), len(self.keys) - 1)
+            there = self.keys[at] == some
+            out[maybe[there]] = self.ratios[at[there]]
+        return out
 
 
 @dataclass
@@ -363,12 +409,17 @@ class Ratios:
     words: Table
     pairs: Table
 
-    def __call__(self, keys: np.ndarray) -> np.ndarray:
-        """Log-likelihood ratio of each word of a text, given the one before."""
-        words, at = np.unique(keys[:, 0], return_index=True)
+    def __call__(self, keys: np.ndarray, bounds: np.ndarray | None = None) -> np.ndarray:
+        """Log-likelihood ratio of each word of one text or several, given the one before."""
+        words, at, places = np.unique(keys[:, 0], return_index=True, return_inverse=True)
         single = self.words(words, self.stems(keys[at, 1], np.zeros(len(at))))
-        single = single[np.searchsorted(words, keys[:, 0])]
-        return self.pairs(_pairs(keys[:, 0]), single)
+        return self.pairs(_pairs(keys[:, 0], bounds), single[places])
+
+    def of_texts(self, texts: list[str | None]) -> Iterator[np.ndarray]:
+        """The ratios of the words of each text."""
+        for run in _in_runs(texts):
+            keys, bounds = _words(texts[run])
+            yield from np.split(self(keys, bounds), bounds[1:-1])
 
 
 @lru_cache(maxsize=1)
@@ -385,11 +436,6 @@ def _loaded(stored: tuple[str, ...]) -> Ratios:
     )
 
 
-def _forget() -> None:
-    _KEYS.forget()
-    _loaded.cache_clear()
-
-
 def features(ratios: np.ndarray) -> list[float]:
     """Length-normalised ratio of all words, and of the most telling one and two words."""
     n = len(ratios)
@@ -456,7 +502,7 @@ def train(documents: DataFrame, labels: DataFrame) -> Model:
         found = _loaded(stored)
         for batch in batches:
             texts, marks = (c.to_pylist() for c in batch.columns)
-            out = [[*features(found(_keys(t))), mark] for t, mark in zip(texts, marks, strict=True)]
+            out = [[*features(r), mark] for r, mark in zip(found.of_texts(texts), marks, strict=True)]
             columns = [pa.array(list(c), pa.float64()) for c in zip(*out, strict=True)]
             yield pa.RecordBatch.from_arrays(columns, names=["f0", "f1", "f2", "f3", "y"])
 
@@ -483,7 +529,7 @@ def with_scores(documents: DataFrame, model: Model, name: str = "score") -> Data
 
     def score(texts: pa.Array) -> list:
         found = _loaded(stored)
-        rows = np.array([features(found(_keys(t))) for t in texts.to_pylist()])
+        rows = np.array([features(r) for r in found.of_texts(texts.to_pylist())])
         return [fit(rows) if len(rows) else np.empty(0)]
 
     return appended(documents, ["text"], score, [T.StructField(name, T.DoubleType())])

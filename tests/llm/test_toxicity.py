@@ -181,3 +181,36 @@ def test_held_out_documents_of_the_test_tables(spark):
     found = sum(r.predicted for r in toxic)
     assert found >= 0.9 * len(toxic)
     assert found >= 0.8 * sum(r.predicted for r in rows)
+
+
+ODD_TEXTS = [
+    None, "", " ", "ÄÖ_ß x1²  ǅ İstanbul ΣΑΣ Σ", "日本語 テスト a_b__c", "😀a😀", "½a ٣ é éx", "_", "a",
+    "x" * 300 + " " + "é" * 9 + " " + "y" * 16, "\x00b\x1fc", "ﬁne ªº calm", "scum, scum! calm scumminess", "",
+]
+
+
+def test_words_and_stems_of_many_texts_are_found_at_once():
+    keys, bounds = toxicity._words(ODD_TEXTS)
+    for i, text in enumerate(ODD_TEXTS):
+        words = WORDS.findall((text or "").lower())
+        want = [(toxicity._hash(w), toxicity._hash(w[:4])) for w in words]
+        assert [tuple(k) for k in keys[bounds[i] : bounds[i + 1]].tolist()] == want
+    every = {w for t in ODD_TEXTS for w in WORDS.findall((t or "").lower())}
+    assert len({toxicity._hash(w) for w in every}) == len(every)
+
+
+@pytest.mark.parametrize("run", [1, 40, 1 << 20])
+def test_many_texts_are_looked_up_at_once(monkeypatch, run):
+    monkeypatch.setattr(toxicity, "RUN_CHARACTERS", run)
+    rng = np.random.default_rng(5)
+    texts = [" ".join(rng.choice(["calm", "river", "scum", "é", "boat"], n)) for n in range(40)] + ODD_TEXTS
+    keys = [toxicity._keys(t) for t in texts]
+    every = np.concatenate(keys)
+    of = lambda k: toxicity.Table.of(np.unique(k), rng.normal(size=len(np.unique(k))))
+    model = toxicity.Ratios(of(every[:, 1]), of(every[:200, 0]), of(toxicity._pairs(keys[30][:, 0])[1:]))
+    want = [model(k).tolist() for k in keys]
+    calls = []
+    look_up = toxicity.Table.__call__
+    monkeypatch.setattr(toxicity.Table, "__call__", lambda *a: calls.append(1) or look_up(*a))
+    assert [r.tolist() for r in model.of_texts(texts)] == want
+    assert run < 1 << 20 or len(calls) == 3
