@@ -31,7 +31,8 @@ def tables(
     """Tables with comment and allocated size.
 
     Segments are summed per table before the join, so a table of many partitions
-    meets the join as one row.
+    meets the join as one row. Joins name the object before its owner: they sort by the
+    first key, and owners are few.
     """
     base = keep_schemas(all_tables, "owner", schemas)
     comments = all_tab_comments.filter(F.col("table_type") == "TABLE").select(
@@ -40,11 +41,11 @@ def tables(
     sizes = (
         keep_schemas(dba_segments, "owner", schemas)
         .filter(F.col("segment_type").isin(*TABLE_SEGMENTS))
-        .groupBy("owner", F.col("segment_name").alias("table_name"))
+        .groupBy(F.col("segment_name").alias("table_name"), "owner")
         .agg(F.sum("bytes").alias("bytes"))
     )
-    joined = base.join(comments, ["owner", "table_name"], "left").join(
-        sizes, ["owner", "table_name"], "left"
+    joined = base.join(comments, ["table_name", "owner"], "left").join(
+        sizes, ["table_name", "owner"], "left"
     )
     return shaped(
         joined,
@@ -72,8 +73,8 @@ def columns(
     comments = all_col_comments.select("owner", "table_name", "column_name", "comments")
     joined = (
         keep_schemas(all_tab_columns, "owner", schemas)
-        .join(views, ["owner", "table_name"], "left_anti")
-        .join(comments, ["owner", "table_name", "column_name"], "left")
+        .join(views, ["table_name", "owner"], "left_anti")
+        .join(comments, ["table_name", "owner", "column_name"], "left")
     )
     return shaped(
         joined,
@@ -141,7 +142,7 @@ def constraint_columns(
         "owner", "constraint_name", "constraint_type", "table_name"
     )
     return shaped(
-        members.join(owners, ["owner", "constraint_name"]),
+        members.join(owners, ["constraint_name", "owner"]),
         "constraint_columns",
         owner_nm=F.col("owner"),
         cons_nm=F.col("constraint_name"),

@@ -10,6 +10,7 @@ from concurrent.futures import FIRST_COMPLETED, Future, ThreadPoolExecutor, wait
 from contextlib import contextmanager
 from itertools import groupby, islice
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,6 +46,9 @@ RESUME_WITHIN = dt.timedelta(hours=24)
 #: Row counts that run side by side. Each is a job of its own, for a time window of its own.
 COUNTS_AT_ONCE = 8
 
+#: Dictionary parts loaded side by side: one fills the cores that another's last tasks leave.
+LOADS_AT_ONCE = 3
+
 log = logging.getLogger(__name__)
 
 Clock = Callable[[], dt.datetime]
@@ -70,10 +74,13 @@ def collect_dictionary(
     if chasu is None:
         chasu = next_snapshot(store.read("dic_snapshots"), db_nm).first()["chasu"]
     scope = {"db_nm": db_nm, "chasu": chasu}
-    for kind, frame in parts.items():
-        store.replace_scope(
-            f"dic_{kind}", stamped(frame, db_nm, chasu, run_ts.date()), scope
-        )
+
+    def load(kind: str) -> None:
+        rows = stamped(parts[kind], db_nm, chasu, run_ts.date())
+        store.replace_scope(f"dic_{kind}", rows, scope)
+
+    with ThreadPoolExecutor(LOADS_AT_ONCE) as pool:
+        list(pool.map(inheritable_thread_target(spark)(load), parts))
     # The row that makes this snapshot the latest comes last: it is never incomplete.
     store.replace_scope("dic_snapshots", snapshot_row(spark, db_nm, chasu, run_ts), scope)
     return chasu

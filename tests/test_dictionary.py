@@ -1,6 +1,8 @@
 """Vendor normalisers on small catalogs with hand-computed results."""
 
 import datetime as dt
+import re
+import threading
 from decimal import Decimal
 
 import pytest
@@ -325,3 +327,61 @@ def test_lines_are_dealt_over_more_tasks_as_they_grow(small, monkeypatch):
     dealt = catalogs.extract(small, "sys_indexes")
     assert dealt.rdd.getNumPartitions() >= 20
     assert {tuple(r) for r in dealt.collect()} == before
+
+
+@pytest.fixture
+def odd_lines(spark, tmp_path):
+    """Orders and lines with NULLs, keys that come twice, and lines that come twice."""
+    from verification.tables import SCHEMAS, SPARK_TYPES, Frames
+
+    def write(table, data):
+        ddl = ", ".join(f"{c} {SPARK_TYPES[t]}" for c, t in SCHEMAS[table].items())
+        spark.createDataFrame(data, ddl).repartition(3).write.parquet(f"{tmp_path}/{table}.parquet")
+
+    orders = [
+        (k, k % 5, ("F", "O", "P", None)[k % 4], 40_000.0 * k, TS, ("1-URGENT", "2-HIGH", "5-LOW", None)[k % 3])
+        for k in range(12)
+    ]
+    write("orders", [*orders, (3, 9, "F", 1.0, TS, "2-HIGH"), orders[4], (None, 1, "F", 2.0, TS, "1-URGENT")])
+    lines = [
+        (k, k * 7, 1, n, float(n + k % 2), 1000.5 * k, 0.01 * (k % 4), 0.02 * n, "ANR"[(k + n) % 3], "FO"[n % 2], TS)
+        for k in range(12) for n in range(1, 5)
+    ]
+    twice = [(*line[:4], 9.0, None, None, None, None, "O", TS) for line in lines[::5]]
+    write("lineitem", [*lines, *lines[::3], *twice, (None, *lines[0][1:]), (5, None, None, None, *lines[0][4:])])
+    return Frames(spark, str(tmp_path))
+
+
+def test_extracts_share_lines_joined_and_grouped_once(odd_lines, rows):
+    from verification import catalogs
+
+    names = [*catalogs.ORACLE, *catalogs.DICTIONARY]
+    before = {name: rows(catalogs.extract(odd_lines, name)) for name in names}
+    tables = odd_lines.spark.catalog.listTables
+    views = len(tables())
+    with catalogs.lines_at_hand(odd_lines, *names) as joined:
+        for name in names:
+            made = catalogs.extract(joined, name)
+            assert rows(made) == before[name], name
+            if "{lineitem}" in catalogs.EXTRACTS[name] and name != "old_columns":
+                text = made._jdf.queryExecution().executedPlan().toString()
+                above = text.split("InMemoryRelation")[0]
+                assert not re.search("Exchange|Join|Aggregate|Sort|FileScan", above), name
+    assert len(tables()) == views and odd_lines.lines is None
+
+
+def test_parts_are_loaded_side_by_side(spark, tmp_path, monkeypatch):
+    from tabscope.pipeline import collect_dictionary
+    from tabscope.sources.store import ResultStore
+
+    store, both, load = ResultStore(spark, str(tmp_path)), threading.Barrier(2), ResultStore.replace_scope
+
+    def meet(self, table, *given):
+        if table in ("dic_tables", "dic_columns"):
+            both.wait(60)
+        load(self, table, *given)
+
+    monkeypatch.setattr(ResultStore, "replace_scope", meet)
+    kinds = ("tables", "columns", "indexes")
+    assert collect_dictionary(spark, store, "db", {k: lake.empty(spark, k) for k in kinds}, TS) == 1
+    assert store.read("dic_snapshots").count() == 1
