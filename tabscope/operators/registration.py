@@ -26,6 +26,9 @@ LOWEST_PARALLELISM = 2
 TABLE_WORK_GROUPS = 3
 COLUMNS_PER_GROUP = 30
 
+#: What tables are joined by. Joins sort by the first key, and owners are few.
+_TABLE_KEY = ("tab_nm", "owner_nm")
+
 #: Column types of the masters, in order.
 TABLE_MASTER = {
     "prfl_id": "string", "db_nm": "string", "owner_nm": "string", "tab_nm": "string",
@@ -82,11 +85,14 @@ class Snapshot:
 
 def column_counts(tables: DataFrame, columns: DataFrame) -> DataFrame:
     """``col_cnt`` of every table; a table without columns has zero."""
-    counts = columns.groupBy("owner_nm", "tab_nm").agg(F.count(F.lit(1)).alias("col_cnt"))
+    counts = columns.groupBy(*_TABLE_KEY).agg(F.count(F.lit(1)).alias("col_cnt"))
     return (
         tables.select("owner_nm", "tab_nm")
-        .join(counts, ["owner_nm", "tab_nm"], "left")
-        .withColumn("col_cnt", F.coalesce("col_cnt", F.lit(0).cast("bigint")))
+        .join(counts, list(_TABLE_KEY), "left")
+        .select(
+            "owner_nm", "tab_nm",
+            F.coalesce("col_cnt", F.lit(0).cast("bigint")).alias("col_cnt"),
+        )
     )
 
 
@@ -94,7 +100,7 @@ def table_sizes(segments: DataFrame) -> DataFrame:
     """``tab_size``: whole MB over all segments of a table."""
     return (
         segments.filter(F.col("segment_type").isin(*TABLE_SEGMENTS))
-        .groupBy("owner_nm", F.col("segment_nm").alias("tab_nm"))
+        .groupBy(F.col("segment_nm").alias("tab_nm"), "owner_nm")
         .agg(F.sum("segment_size").alias("bytes"))
         .select("owner_nm", "tab_nm", whole_units(F.col("bytes"), MIB).alias("tab_size"))
     )
@@ -118,16 +124,16 @@ def index_stats(segments: DataFrame, indexes: DataFrame, by_index: bool = False)
     the profile tables hold and is zero unless an index is named like its table.
     ``by_index`` finds the segments of a table's indexes by the index name.
     """
-    key = ["owner_nm", "tab_nm"]
+    key = list(_TABLE_KEY)
     if by_index:
         sizes = (
             segments.filter(F.col("segment_type").isin(*INDEX_SEGMENTS))
-            .groupBy("owner_nm", F.col("segment_nm").alias("index_nm"))
+            .groupBy(F.col("segment_nm").alias("index_nm"), "owner_nm")
             .agg(F.sum("segment_size").alias("bytes"))
         )
         per_table = (
             indexes.select(*key, "index_nm")
-            .join(sizes, ["owner_nm", "index_nm"], "left")
+            .join(sizes, ["index_nm", "owner_nm"], "left")
             .groupBy(*key)
             .agg(F.count(F.lit(1)).alias("index_cnt"), F.sum("bytes").alias("bytes"))
         )
@@ -135,12 +141,12 @@ def index_stats(segments: DataFrame, indexes: DataFrame, by_index: bool = False)
         counts = indexes.groupBy(*key).agg(F.count(F.lit(1)).alias("index_cnt"))
         per_table = (
             segments.filter(F.col("segment_type") == INDEX_SEGMENTS[0])
-            .groupBy("owner_nm", F.col("segment_nm").alias("tab_nm"))
+            .groupBy(F.col("segment_nm").alias("tab_nm"), "owner_nm")
             .agg(F.sum("segment_size").alias("bytes"))
             .join(counts, key, "left")
         )
     return per_table.select(
-        *key,
+        "owner_nm", "tab_nm",
         F.coalesce("index_cnt", F.lit(0)).alias("index_cnt"),
         whole_units(F.col("bytes"), MIB).alias("ind_size"),
     )
@@ -169,7 +175,7 @@ def primary_key_positions(
 
     Keys are found by table and name, since tables may share constraint names.
     """
-    key = ["owner_nm", "tab_nm", "cons_nm"]
+    key = [*_TABLE_KEY, "cons_nm"]
     named = F.col("table_nm").alias("tab_nm")
     primary = constraints.filter(F.col("cons_type") == "P").select("owner_nm", named, "cons_nm")
     members = (
@@ -177,7 +183,9 @@ def primary_key_positions(
         .join(primary, key)
         .select("owner_nm", "tab_nm", "col_nm", F.col("pos").alias("pk_col_seq"))
     )
-    return columns.join(members, ["owner_nm", "tab_nm", "col_nm"], "left")
+    front = ["owner_nm", "tab_nm", "col_nm"]
+    placed = columns.join(members, [*_TABLE_KEY, "col_nm"], "left")
+    return placed.select(*front, *[c for c in placed.columns if c not in front])
 
 
 def _typed(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
@@ -196,7 +204,7 @@ def table_population(
     index_by_name: bool = False,
 ) -> DataFrame:
     """Table rows as a first registration inserts them."""
-    key = ["owner_nm", "tab_nm"]
+    key = list(_TABLE_KEY)
     zero = F.lit(0).cast("bigint")
     # Only the keys and sizes go through the ranking.
     placed = work_groups(
@@ -251,7 +259,7 @@ def upsert_tables(
     existing: DataFrame, incoming: DataFrame, run_ts: dt.datetime, per_profile: bool = True
 ) -> DataFrame:
     """Merge table rows. Sizes, counts and the use flag are reset; results are kept."""
-    key = ["db_nm", "owner_nm", "tab_nm"] + (["prfl_id"] if per_profile else [])
+    key = [*_TABLE_KEY, "db_nm"] + (["prfl_id"] if per_profile else [])
     stamp = {"up_dt": F.lit(run_ts).cast("timestamp_ntz")}
     return upsert(existing, incoming, key, TABLE_REFRESHED, stamp)
 
@@ -260,7 +268,7 @@ def upsert_columns(
     existing: DataFrame, incoming: DataFrame, run_ts: dt.datetime, per_profile: bool = True
 ) -> DataFrame:
     """Merge column rows. Types and places are refreshed; flags and results are kept."""
-    key = ["db_nm", "owner_nm", "tab_nm", "col_nm"] + (["prfl_id"] if per_profile else [])
+    key = [*_TABLE_KEY, "col_nm", "db_nm"] + (["prfl_id"] if per_profile else [])
     stamp = {"up_dt": F.lit(run_ts).cast("timestamp_ntz")}
     return upsert(existing, incoming, key, COLUMN_REFRESHED, stamp)
 

@@ -155,7 +155,8 @@ class ResultStore:
         inside = view.within(["/".join(_directory(c, v) for c, v in scope.items())])
         directories = sorted({d for ds in inside.values() for d in ds})
         if not directories:
-            return self.spark.createDataFrame([], self.schema(table))
+            # Seen to be empty when a query is planned, so that nothing moves to meet it.
+            return self.spark.createDataFrame([], self.schema(table)).where(F.lit(False))
         schema = T.StructType([*self.schema(table).fields, T.StructField("load", T.StringType())])
         paths = [f"{self.path(table)}/{d}" for d in directories]
         reader = self.spark.read.schema(schema).option("basePath", self.path(table))

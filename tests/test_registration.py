@@ -139,3 +139,24 @@ def test_upsert_rules(spark, rows):
     new = spark.createDataFrame([("b", 9, 9), ("c", 8, 8)], "k string, fresh int, kept int")
     got = rows(upsert(old, new, ["k"], ["fresh"], {"mark": F.lit("hit")}))
     assert got == [("a", 1, 1, "o"), ("b", 9, 2, "hit"), ("c", 8, 8, None)]
+
+
+def test_nothing_moves_to_meet_a_master_without_rows(spark, tmp_path, rows):
+    from tabscope.sources.store import ResultStore
+
+    master = ResultStore(spark, str(tmp_path)).master("column_master")
+    incoming = reg.column_population(snapshot(spark), T1)
+    made = reg.upsert_columns(master, incoming, T1)
+    assert made.columns == master.columns
+    assert rows(made) == rows(incoming.select(*master.columns))
+    joins = [f._jdf.queryExecution().optimizedPlan().toString().count("Join") for f in (made, incoming)]
+    assert joins[0] == joins[1]
+
+
+def test_joins_sort_by_the_table_before_its_owner(spark):
+    """Owners are few: rows sorted by them first are compared whole, most of all for a full key."""
+    s = snapshot(spark)
+    for made in (reg.table_population(s, T1), reg.column_population(s, T1)):
+        text = made._jdf.queryExecution().optimizedPlan().toString()
+        joins = [line for line in text.splitlines() if "Join" in line and "tab_nm#" in line]
+        assert joins and all(line.index("tab_nm#") < line.index("owner_nm#") for line in joins)

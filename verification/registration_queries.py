@@ -9,7 +9,7 @@ from tabscope.operators import registration as reg
 from tabscope.operators.dictionary.snapshot import latest_snapshot
 from tabscope.pipeline import collect_dictionary, register_population
 from tabscope.plans.spec import profile_targets
-from verification.catalogs import DB, KEPT, extract, with_extracts
+from verification.catalogs import DB, KEPT, extract, lines_at_hand, with_extracts
 from verification.checked import Check, comparable, sql_stamp
 from verification.inputs import RUN_TS, scratch_store
 from verification.tables import Frames
@@ -144,18 +144,19 @@ FROM (SELECT 'P01' AS prfl_id, * FROM dic_columns WHERE owner_nm IN {_IN})"""
 def _registered(frames: Frames) -> DataFrame:
     """Collect a dictionary, register it; the column master that is left."""
     store = scratch_store(frames)
-    parts = derived(frames)
-    names = {p: getattr(parts, p).drop("chasu", "db_nm") for p in _PARTS}
-    shaped = {
-        p: df.select(
-            *[
-                (F.col(c) if c in df.columns else F.lit(None)).cast(t).alias(c)
-                for c, t in _types(p).items()
-            ]
-        )
-        for p, df in names.items()
-    }
-    collect_dictionary(frames.spark, store, DB, shaped, RUN_TS, chasu=2)
+    with lines_at_hand(frames, *_DIC) as joined:
+        parts = derived(joined)
+        names = {p: getattr(parts, p).drop("chasu", "db_nm") for p in _PARTS}
+        shaped = {
+            p: df.select(
+                *[
+                    (F.col(c) if c in df.columns else F.lit(None)).cast(t).alias(c)
+                    for c, t in _types(p).items()
+                ]
+            )
+            for p, df in names.items()
+        }
+        collect_dictionary(frames.spark, store, DB, shaped, RUN_TS, chasu=2)
     register_population(store, DB, KEPT, RUN_TS)
     return comparable(store.master("column_master"), *_COLUMN_OUT)
 
